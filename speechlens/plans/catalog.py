@@ -106,3 +106,132 @@ def search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = _benchmark_queries(ws)
     first = b.orderBy("query_id").limit(1)
     return S.search(ws.model(), ws.docs(), first)
+
+
+@register
+def search_no_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries without any vocabulary term (empty, stop words only, punctuation
+    only, unknown word) against the whole model: no hits, HITS schema."""
+    ws = _ws(spark, sf_dir)
+    q = spark.createDataFrame(
+        [(1, ""), (2, "the and of"), (3, "!!! ??? ..."), (4, "zzqxjv")], "query_id long, text string")
+    return S.search(ws.model(), ws.docs(), q)
+
+
+@register
+def fetch_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All fields of every document hit by the benchmark batch search."""
+    ws = _ws(spark, sf_dir)
+    hits = S.top_hits(S.score(ws.model(), _benchmark_queries(ws)))
+    return S.fetch_hits(hits, ws.docs())
+
+
+@register
+def suggest_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vocabulary terms containing 'er', most frequent in documents first (20)."""
+    return S.suggest_terms(_ws(spark, sf_dir).model(), "ER", limit=20)
+
+
+# ------------------------------------------------------- scans and sinks
+
+from ..operators import consolidate as C  # noqa: E402
+from ..functions import text as TX  # noqa: E402
+from ..functions import lexicon as LX  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import speeches as SP  # noqa: E402
+from ..schema import SPEECH_COLUMNS  # noqa: E402
+
+
+def _raw(ws: Workspace) -> DataFrame:
+    return SP.documents_as_speeches(ws.table("documents"))
+
+
+def _csv_copy(spark: SparkSession, ws: Workspace) -> str:
+    path = scratch_path(spark, "speeches-csv")
+    SP.write_speeches_csv(_raw(ws), path, num_files=4)
+    return path
+
+
+@register
+def scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw speeches written as header CSV (texts with newlines and quotes),
+    then scanned back with the fixed schema: every row and value survives."""
+    ws = _ws(spark, sf_dir)
+    return SP.read_speeches_csv(spark, _csv_copy(spark, ws))
+
+
+@register
+def scan_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column-pruned CSV scan: only member, speech and order are read."""
+    ws = _ws(spark, sf_dir)
+    return SP.read_speeches_csv(spark, _csv_copy(spark, ws), ["member_name", "speech", "seq"])
+
+
+@register
+def consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (party, member, date); first non-null attributes; speeches
+    joined with ' | ' in row order; ids in key order."""
+    return C.consolidate(_raw(_ws(spark, sf_dir)))
+
+
+@register
+def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two raw sources stacked by name (documents and conversation turns),
+    then consolidated (a conversation's turns joined in turn order)."""
+    ws = _ws(spark, sf_dir)
+    raw = SP.union_sources(_raw(ws), SP.conversations_as_speeches(ws.table("conversations")))
+    return C.consolidate(raw)
+
+
+@register
+def sample_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly round(0.1 n) documents: those of smallest md5(doc_id)."""
+    return C.sample_exact(_ws(spark, sf_dir).docs(), 0.1)
+
+
+@register
+def choose_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents if there are at most 1000, else the exact 10 % sample."""
+    return C.choose_input(_ws(spark, sf_dir).docs(), 1000, 0.1)
+
+
+@register
+def lookup_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All eleven fields of every document listed in `labels`."""
+    ws = _ws(spark, sf_dir)
+    return C.lookup(ws.docs(), ws.table("labels"))
+
+
+# --------------------------------------------------------- text functions
+
+@register
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ws = _ws(spark, sf_dir)
+    return ws.docs().select("doc_id", TX.clean_text(F.col("speech")).alias("clean"))
+
+
+@register
+def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ws = _ws(spark, sf_dir)
+    return ws.docs().select("doc_id", F.posexplode(TX.tokens(F.col("speech"))).alias("pos", "token"))
+
+
+@register
+def remove_stopwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ws = _ws(spark, sf_dir)
+    t = tokenize(spark, sf_dir)
+    return t.filter(LX.not_stop_word(F.col("token"), LX.default_stop_words()))
+
+
+@register
+def conflate_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct (token, term) pairs where the suffix rules change the token."""
+    t = remove_stopwords(spark, sf_dir).select("token").distinct()
+    st = t.select("token", LX.stem(F.col("token"), LX.as_rule_list(None)).alias("term"))
+    return st.filter(F.col("token") != F.col("term"))
+
+
+@register
+def snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ws = _ws(spark, sf_dir)
+    return ws.docs().select("doc_id", TX.snippet(F.col("speech")).alias("speech_start"))

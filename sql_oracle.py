@@ -168,3 +168,105 @@ ORACLE["search_batch"] = search_sql("benchmark", "item_id", "text")
 
 ORACLE["search_topk"] = search_sql(
     "(SELECT * FROM benchmark ORDER BY item_id LIMIT 1)", "item_id", "text")
+
+ORACLE["search_no_hit"] = """SELECT CAST(NULL AS BIGINT) AS query_id, CAST(NULL AS INTEGER) AS rank,
+       CAST(NULL AS BIGINT) AS doc_id, CAST(NULL AS VARCHAR) AS speech_start,
+       CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS political_party,
+       CAST(NULL AS VARCHAR) AS date, CAST(NULL AS DOUBLE) AS score
+WHERE false"""
+
+ORACLE["fetch_hits"] = f"""WITH hits AS ({search_sql('benchmark', 'item_id', 'text')}),
+{SPEECHES},
+{DOCS}
+SELECT * FROM docs WHERE doc_id IN (SELECT doc_id FROM hits)"""
+
+ORACLE["suggest_terms"] = f"""WITH {model_ctes()}
+SELECT term, df FROM vocab WHERE contains(lower(term), 'er')
+ORDER BY df DESC, term LIMIT 20"""
+
+RAW_COLS = ("political_party, member_name, sitting_date, parliamentary_period, parliamentary_session, "
+            "parliamentary_sitting, government, member_region, roles, member_gender, speech, seq")
+
+ORACLE["scan_csv_roundtrip"] = f"""WITH {SPEECHES}
+SELECT {RAW_COLS} FROM speeches"""
+
+ORACLE["scan_pruned"] = f"""WITH {SPEECHES}
+SELECT member_name, speech, seq FROM speeches"""
+
+_ATTR_NAMES = [c for c, *_ in _ATTRIBUTE_PATTERN]
+
+
+def consolidate_sql(src: str) -> str:
+    firsts = ",\n       ".join(
+        f"arg_min({c}, seq) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _ATTR_NAMES)
+    return f"""SELECT CAST(row_number() OVER (ORDER BY political_party, member_name, sitting_date) - 1 AS BIGINT) AS doc_id,
+       political_party, member_name, sitting_date,
+       {firsts},
+       string_agg(speech, ' | ' ORDER BY seq) AS speech
+FROM {src}
+WHERE political_party IS NOT NULL AND member_name IS NOT NULL AND sitting_date IS NOT NULL
+GROUP BY political_party, member_name, sitting_date"""
+
+
+CONV_SPEECHES = """conv AS (
+  SELECT role AS political_party, 'conv-' || CAST(conv_id AS VARCHAR) AS member_name,
+         '01/01/2000' AS sitting_date,
+         """ + ",\n         ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in _ATTR_NAMES) + """,
+         text AS speech, CAST(turn AS BIGINT) AS seq
+  FROM conversations)"""
+
+ORACLE["consolidate"] = f"""WITH {SPEECHES}
+{consolidate_sql('speeches')}"""
+
+ORACLE["union_sources"] = f"""WITH {SPEECHES},
+{CONV_SPEECHES},
+allsp AS (SELECT * FROM speeches UNION ALL BY NAME SELECT * FROM conv)
+{consolidate_sql('allsp')}"""
+
+SAMPLE = """(SELECT * FROM docs
+  QUALIFY row_number() OVER (ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id)
+          <= (SELECT round_even(0.1 * count(*), 0) FROM docs))"""
+
+ORACLE["sample_exact"] = f"""WITH {SPEECHES},
+{DOCS}
+SELECT * FROM {SAMPLE}"""
+
+ORACLE["choose_input"] = f"""WITH {SPEECHES},
+{DOCS}
+SELECT * FROM docs WHERE (SELECT count(*) FROM docs) <= 1000
+UNION ALL
+SELECT * FROM {SAMPLE} WHERE (SELECT count(*) FROM docs) > 1000"""
+
+ORACLE["lookup_doc"] = f"""WITH {SPEECHES},
+{DOCS}
+SELECT * FROM docs WHERE doc_id IN (SELECT doc_id FROM labels)"""
+
+ORACLE["clean_text"] = f"""WITH {SPEECHES},
+{DOCS}
+SELECT doc_id, lower(regexp_replace(coalesce(speech, ''), {lit(PUNCTUATION_CLASS)}, '', 'g')) AS clean
+FROM docs"""
+
+TOKENS = f"""toks AS (
+  SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, l[i] AS token
+  FROM (SELECT doc_id, l, unnest(generate_series(1, len(l))) AS i
+        FROM (SELECT doc_id, {tokens_sql('speech')} AS l FROM docs)))"""
+
+ORACLE["tokenize"] = f"""WITH {SPEECHES},
+{DOCS},
+{TOKENS}
+SELECT doc_id, pos, token FROM toks"""
+
+ORACLE["remove_stopwords"] = f"""WITH {SPEECHES},
+{DOCS},
+{TOKENS}
+SELECT doc_id, pos, token FROM toks WHERE token NOT IN ({stop_list()})"""
+
+ORACLE["conflate_terms"] = f"""WITH {SPEECHES},
+{DOCS},
+{TOKENS},
+kept AS (SELECT DISTINCT token FROM toks WHERE token NOT IN ({stop_list()}))
+SELECT token, {stem_sql('token')} AS term FROM kept WHERE token <> {stem_sql('token')}"""
+
+ORACLE["snippet"] = f"""WITH {SPEECHES},
+{DOCS}
+SELECT doc_id, {snippet_sql('speech')} AS speech_start FROM docs"""
