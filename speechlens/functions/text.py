@@ -51,7 +51,7 @@ def snippet(text: Column, n_words: int = SNIPPET_WORDS) -> Column:
 
 def parse_date(text: Column) -> Column:
     """`dd/MM/yyyy` text to DATE; bad text gives null instead of an error."""
-    return F.try_to_date(text, F.lit(DATE_FORMAT))
+    return F.try_to_date(text, DATE_FORMAT)
 
 
 def rounded(value: Column, digits: int) -> Column:

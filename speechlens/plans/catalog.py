@@ -235,3 +235,89 @@ def conflate_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = _ws(spark, sf_dir)
     return ws.docs().select("doc_id", TX.snippet(F.col("speech")).alias("speech_start"))
+
+
+# --------------------------------------------------------------- keywords
+
+from ..operators import keywords as K  # noqa: E402
+from ..operators import similarity as M  # noqa: E402
+
+
+def _per_doc(ws: Workspace) -> DataFrame:
+    return K.keywords_per_doc(ws.model().weights, ws.docs())
+
+
+@register
+def keywords_per_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-10 words of every document by weight (ties: word descending)."""
+    return _per_doc(_ws(spark, sf_dir))
+
+
+@register
+def keywords_per_member(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ws = _ws(spark, sf_dir)
+    return K.keywords_per_member(_per_doc(ws), ws.docs())
+
+
+@register
+def keywords_per_party(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ws = _ws(spark, sf_dir)
+    return K.keywords_per_party(_per_doc(ws), ws.docs())
+
+
+@register
+def keywords_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three keyword lists written as nested JSON lines and read back, long form."""
+    ws = _ws(spark, sf_dir)
+    docs = ws.docs()
+    per_doc = _per_doc(ws)
+    path = scratch_path(spark, "keywords-json")
+    K.write_keywords_json(per_doc, K.keywords_per_member(per_doc, docs),
+                          K.keywords_per_party(per_doc, docs), path)
+    return K.read_keywords_json(spark, path)
+
+
+@register
+def keyword_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ws = _ws(spark, sf_dir)
+    docs = ws.docs()
+    per_doc = _per_doc(ws)
+    return K.keyword_timeline(per_doc, K.keywords_per_member(per_doc, docs),
+                              K.keywords_per_party(per_doc, docs))
+
+
+@register
+def keyword_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per party and year: speeches with the word among their top 10, best weight."""
+    ws = _ws(spark, sf_dir)
+    return K.keyword_trend(_per_doc(ws), ws.docs())
+
+
+# ---------------------------------------------------------------- members
+
+def _member_vectors(ws: Workspace) -> DataFrame:
+    return M.member_vectors(ws.model().weights, ws.docs())
+
+
+@register
+def member_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _member_vectors(_ws(spark, sf_dir))
+    return v.select("member_name", "term", F.round("weight", SCORE_DIGITS).alias("weight"))
+
+
+@register
+def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 most similar member pairs with cosine >= 0.6."""
+    return M.similar_pairs(_member_vectors(_ws(spark, sf_dir)), 10, 0.6)
+
+
+@register
+def similar_pairs_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every member pair with cosine >= 0.6 (no top-k cut)."""
+    return M.similar_pairs(_member_vectors(_ws(spark, sf_dir)), None, 0.6)
+
+
+@register
+def pair_graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Node degrees of the graph of the 10 most similar pairs."""
+    return M.pair_graph_nodes(similar_pairs(spark, sf_dir))

@@ -270,3 +270,83 @@ SELECT token, {stem_sql('token')} AS term FROM kept WHERE token <> {stem_sql('to
 ORACLE["snippet"] = f"""WITH {SPEECHES},
 {DOCS}
 SELECT doc_id, {snippet_sql('speech')} AS speech_start FROM docs"""
+
+KW_DOC = f"""kw_doc AS (
+  SELECT w.doc_id, CAST(w.rank AS INTEGER) AS rank, w.word, w.tfidf, d.sitting_date AS date
+  FROM (SELECT doc_id, term AS word, round(weight, {D}) AS tfidf,
+               row_number() OVER (PARTITION BY doc_id ORDER BY round(weight, {D}) DESC, term DESC) AS rank
+        FROM weights) w
+  JOIN docs d ON d.doc_id = w.doc_id
+  WHERE w.rank <= 10)"""
+
+
+def kw_group(name: str, col: str) -> str:
+    return f"""{name} AS (
+  SELECT {col}, CAST(rank AS INTEGER) AS rank, tfidf, word, date FROM (
+    SELECT d.{col}, k.tfidf, k.word, k.date,
+           row_number() OVER (PARTITION BY d.{col} ORDER BY k.tfidf DESC, k.word DESC, k.date DESC) AS rank
+    FROM kw_doc k JOIN docs d ON d.doc_id = k.doc_id)
+  WHERE rank <= 10)"""
+
+
+KW_ALL = f"""{model_ctes()},
+{KW_DOC},
+{kw_group('kw_member', 'member_name')},
+{kw_group('kw_party', 'political_party')}"""
+
+ORACLE["keywords_per_doc"] = f"""WITH {KW_ALL}
+SELECT doc_id, rank, word, tfidf, date FROM kw_doc"""
+
+ORACLE["keywords_per_member"] = f"""WITH {KW_ALL}
+SELECT member_name, rank, tfidf, word, date FROM kw_member"""
+
+ORACLE["keywords_per_party"] = f"""WITH {KW_ALL}
+SELECT political_party, rank, tfidf, word, date FROM kw_party"""
+
+ORACLE["keywords_json"] = f"""WITH {KW_ALL}
+SELECT 'speech' AS kind, CAST(doc_id AS VARCHAR) AS key, rank, word, tfidf, date FROM kw_doc
+UNION ALL SELECT 'member', member_name, rank, word, tfidf, date FROM kw_member
+UNION ALL SELECT 'party', political_party, rank, word, tfidf, date FROM kw_party"""
+
+ORACLE["keyword_timeline"] = f"""WITH {KW_ALL}
+SELECT 'speech' AS series_kind, CAST(doc_id AS VARCHAR) AS series, rank, word,
+       CAST(try_strptime(date, '%d/%m/%Y') AS DATE) AS date FROM kw_doc
+UNION ALL SELECT 'member', member_name, rank, word, CAST(try_strptime(date, '%d/%m/%Y') AS DATE) FROM kw_member
+UNION ALL SELECT 'party', political_party, rank, word, CAST(try_strptime(date, '%d/%m/%Y') AS DATE) FROM kw_party"""
+
+ORACLE["keyword_trend"] = f"""WITH {KW_ALL}
+SELECT d.political_party, CAST(year(CAST(try_strptime(k.date, '%d/%m/%Y') AS DATE)) AS INTEGER) AS year,
+       k.word, CAST(count(*) AS BIGINT) AS n_speeches, max(k.tfidf) AS max_tfidf
+FROM kw_doc k JOIN docs d ON d.doc_id = k.doc_id
+GROUP BY ALL"""
+
+MEMBER_CTES = f"""{model_ctes()},
+mcount AS (SELECT member_name, count(*) AS n FROM docs GROUP BY member_name),
+mv AS (
+  SELECT d.member_name, w.term, sum(w.weight) / any_value(c.n) AS weight
+  FROM weights w JOIN docs d ON d.doc_id = w.doc_id JOIN mcount c ON c.member_name = d.member_name
+  GROUP BY d.member_name, w.term),
+mnorm AS (SELECT member_name, sqrt(sum(weight * weight)) AS nrm FROM mv GROUP BY member_name),
+sims AS (
+  SELECT a.member_name AS member_a, b.member_name AS member_b,
+         round(sum(a.weight * b.weight) / (any_value(na.nrm) * any_value(nb.nrm)), {D}) AS similarity
+  FROM mv a JOIN mv b ON a.term = b.term AND a.member_name < b.member_name
+  JOIN mnorm na ON na.member_name = a.member_name JOIN mnorm nb ON nb.member_name = b.member_name
+  GROUP BY a.member_name, b.member_name),
+top_pairs AS (
+  SELECT * FROM sims WHERE similarity >= 0.6
+  ORDER BY similarity DESC, member_a, member_b LIMIT 10)"""
+
+ORACLE["member_vectors"] = f"""WITH {MEMBER_CTES}
+SELECT member_name, term, round(weight, {D}) AS weight FROM mv"""
+
+ORACLE["similar_pairs"] = f"""WITH {MEMBER_CTES}
+SELECT member_a, member_b, similarity FROM top_pairs"""
+
+ORACLE["similar_pairs_all"] = f"""WITH {MEMBER_CTES}
+SELECT member_a, member_b, similarity FROM sims WHERE similarity >= 0.6"""
+
+ORACLE["pair_graph_nodes"] = f"""WITH {MEMBER_CTES}
+SELECT member_name, CAST(count(*) AS BIGINT) AS degree FROM (
+  SELECT member_a AS member_name FROM top_pairs UNION ALL SELECT member_b FROM top_pairs)
+GROUP BY member_name"""
