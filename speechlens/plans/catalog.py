@@ -321,3 +321,71 @@ def similar_pairs_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pair_graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Node degrees of the graph of the 10 most similar pairs."""
     return M.pair_graph_nodes(similar_pairs(spark, sf_dir))
+
+
+# ------------------------------------------------------- topics, clusters
+
+from ..operators import topics as TP  # noqa: E402
+from ..operators import clusters as CL  # noqa: E402
+
+
+@register
+def singular_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 largest singular values of the TF-IDF matrix (non-increasing)."""
+    return TP.singular_values_frame(spark, _ws(spark, sf_dir).lsa())
+
+
+@register
+def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10 topics x 10 terms by signed loading."""
+    ws = _ws(spark, sf_dir)
+    return TP.topics(ws.lsa(), ws.model().vocabulary)
+
+
+@register
+def doc_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in topic space (U S), long form; term-less documents are zero."""
+    return TP.doc_topics_long(_ws(spark, sf_dir).doc_topics())
+
+
+@register
+def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k-means (k=10, seed 42) on the topic vectors: first 10 speeches of every cluster."""
+    ws = _ws(spark, sf_dir)
+    return CL.cluster_examples(ws.clusters(10), ws.docs(), 10)
+
+
+@register
+def kmeans_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size and cohesion of the k-means clusters."""
+    ws = _ws(spark, sf_dir)
+    return CL.cluster_profile(ws.model().weights, ws.clusters(10))
+
+
+def _label_assignment(ws: Workspace) -> DataFrame:
+    lab = ws.table("labels")
+    return lab.select("doc_id", (F.col("quality") * 2 + F.col("toxic")).cast("int").alias("cluster_id"))
+
+
+@register
+def cluster_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size and cohesion of the groups given by `labels` (quality, toxic)."""
+    ws = _ws(spark, sf_dir)
+    return CL.cluster_profile(ws.model().weights, _label_assignment(ws))
+
+
+@register
+def cluster_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-10 centroid terms of the groups given by `labels`."""
+    ws = _ws(spark, sf_dir)
+    return CL.cluster_top_terms(ws.model().weights, _label_assignment(ws))
+
+
+@register
+def assign_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest centre for every embedding; centres = mean embedding per label."""
+    ws = _ws(spark, sf_dir)
+    emb = ws.table("embeddings")
+    ids, centres = CL.label_means(emb, "embedding", "label")
+    out = CL.assign_to_centres(emb, "embedding", centres, ids)
+    return out.select("vec_id", "cluster_id", F.round("distance", SCORE_DIGITS).alias("distance"))

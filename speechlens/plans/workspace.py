@@ -64,3 +64,54 @@ class Workspace:
             m = fit_tfidf(self.docs(), max_df=max_df, max_features=max_features, path=path)
             Workspace._models[cache_key] = m
         return m
+
+    _lsa: dict = {}
+    _clusters: dict = {}
+
+    def lsa(self, k: int = 10):
+        """Truncated SVD of the default model's weights (fit once, kept on disk)."""
+        import numpy as np
+
+        from ..operators import topics as TP
+        from ..session import path_exists
+
+        m = self.model()
+        path = self.artifact_path("lsa", k=k)
+        cache_key = (id(self.spark), path)
+        got = Workspace._lsa.get(cache_key)
+        if got is not None:
+            return got
+        if path_exists(self.spark, f"{path}/_DONE"):
+            comp = self.spark.read.parquet(f"{path}/components").orderBy("term_id").collect()
+            sv = self.spark.read.parquet(f"{path}/singular").orderBy("component").collect()
+            comps = np.array([r["loadings"] for r in comp]).T.copy()
+            got = TP.LsaModel(np.array([r["value"] for r in sv]), comps, -1)
+        else:
+            n_terms = int(m.vocabulary.agg({"term_id": "max"}).first()[0]) + 1
+            got = TP.fit_lsa(m.weights, n_terms, k=k)
+            got.components_frame(self.spark).coalesce(1).write.mode("overwrite").parquet(
+                f"{path}/components")
+            self.spark.createDataFrame(
+                [(i, float(s)) for i, s in enumerate(got.singular_values)],
+                "component int, value double").coalesce(1).write.mode("overwrite").parquet(
+                f"{path}/singular")
+            self.spark.createDataFrame([(1,)], "done int").write.mode("overwrite").parquet(
+                f"{path}/_DONE")
+        Workspace._lsa[cache_key] = got
+        return got
+
+    def doc_topics(self, k: int = 10) -> DataFrame:
+        from ..operators import topics as TP
+
+        return TP.doc_topics(self.lsa(k), self.model().weights, self.docs())
+
+    def clusters(self, n_clusters: int = 10, k: int = 10) -> DataFrame:
+        """(doc_id, cluster_id, distance) of k-means on the topic vectors, written once."""
+        from ..operators import clusters as CL
+        from ..session import path_exists
+
+        path = self.artifact_path("kmeans", n_clusters=n_clusters, k=k)
+        if not path_exists(self.spark, f"{path}/_SUCCESS"):
+            assigned, _ = CL.fit_clusters(self.doc_topics(k), n_clusters)
+            assigned.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)

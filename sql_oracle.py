@@ -350,3 +350,43 @@ ORACLE["pair_graph_nodes"] = f"""WITH {MEMBER_CTES}
 SELECT member_name, CAST(count(*) AS BIGINT) AS degree FROM (
   SELECT member_a AS member_name FROM top_pairs UNION ALL SELECT member_b FROM top_pairs)
 GROUP BY member_name"""
+
+LABEL_ASSIGN = """assign AS (SELECT doc_id, CAST(quality * 2 + toxic AS INTEGER) AS cluster_id FROM labels),
+csize AS (SELECT cluster_id, count(*) AS n_docs FROM assign GROUP BY cluster_id),
+cent AS (
+  SELECT a.cluster_id, w.term, sum(w.weight) / any_value(s.n_docs) AS c
+  FROM weights w JOIN assign a ON a.doc_id = w.doc_id JOIN csize s ON s.cluster_id = a.cluster_id
+  GROUP BY a.cluster_id, w.term)"""
+
+ORACLE["cluster_profile"] = f"""WITH {model_ctes()},
+{LABEL_ASSIGN},
+cnorm AS (SELECT cluster_id, sqrt(sum(c * c)) AS cn FROM cent GROUP BY cluster_id),
+dots AS (
+  SELECT a.cluster_id, w.doc_id, sum(w.weight * c.c) AS dot
+  FROM weights w JOIN assign a ON a.doc_id = w.doc_id
+  JOIN cent c ON c.cluster_id = a.cluster_id AND c.term = w.term
+  GROUP BY a.cluster_id, w.doc_id),
+tot AS (SELECT d.cluster_id, sum(d.dot / n.cn) AS sc FROM dots d JOIN cnorm n ON n.cluster_id = d.cluster_id GROUP BY d.cluster_id)
+SELECT s.cluster_id, CAST(s.n_docs AS BIGINT) AS n_docs, round(coalesce(t.sc, 0.0) / s.n_docs, {D}) AS cohesion
+FROM csize s LEFT JOIN tot t ON t.cluster_id = s.cluster_id"""
+
+ORACLE["cluster_top_terms"] = f"""WITH {model_ctes()},
+{LABEL_ASSIGN}
+SELECT cluster_id, CAST(rank AS INTEGER) AS rank, term, weight FROM (
+  SELECT cluster_id, term, round(c, {D}) AS weight,
+         row_number() OVER (PARTITION BY cluster_id ORDER BY round(c, {D}) DESC, term) AS rank
+  FROM cent)
+WHERE rank <= 10"""
+
+ORACLE["assign_clusters"] = f"""WITH el AS (
+  SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS m
+  FROM (SELECT label, embedding, unnest(generate_series(1, len(embedding))) AS i FROM embeddings)
+  GROUP BY label, i),
+centres AS (SELECT label, list(m ORDER BY i) AS c FROM el GROUP BY label),
+d AS (
+  SELECT e.vec_id, c.label,
+         sqrt(list_sum(list_transform(list_zip(e.embedding, c.c),
+                                      lambda p: (CAST(p[1] AS DOUBLE) - p[2]) * (CAST(p[1] AS DOUBLE) - p[2])))) AS dist
+  FROM embeddings e CROSS JOIN centres c)
+SELECT vec_id, CAST(label AS INTEGER) AS cluster_id, round(dist, {D}) AS distance
+FROM d QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY dist, label) = 1"""
