@@ -76,7 +76,8 @@ def search(model: TfidfModel, docs: DataFrame, queries: DataFrame, k: int = SEAR
            text_col: str = "text") -> DataFrame:
     """Ranked hits of each query with snippets: the HITS schema."""
     hits = top_hits(score(model, queries, id_col, text_col), k, floor)
-    return attach_display(hits, docs)
+    # k rows per query: the final range sort is over the hits only
+    return attach_display(hits, docs).orderBy("query_id", "rank")
 
 
 def search_text(spark: SparkSession, model: TfidfModel, docs: DataFrame, text: str | None,
