@@ -101,21 +101,59 @@ def as_rule_list(rules: DataFrame | Sequence[tuple] | None) -> list[tuple[str, s
     return ordered
 
 
-def not_stop_word(token: Column, words: Sequence[str]) -> Column:
-    """`token NOT IN (...)` — Catalyst turns a long literal list into a hash set."""
+def sql_literal(s: str) -> str:
+    """A Spark SQL string literal (backslash escapes are on by default)."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def stop_sql(var: str, words: Sequence[str]) -> str:
+    """SQL text `NOT var IN (...)`; Catalyst turns the list into a hash set."""
     if not words:
-        return F.lit(True)
-    return ~token.isin(list(words))
+        return "true"
+    return f"NOT {var} IN ({', '.join(sql_literal(w) for w in words)})"
 
 
-def stem(token: Column, rules: Sequence[tuple[str, str, int]]) -> Column:
-    """Apply the longest matching suffix rule whose stem keeps `min_len` chars."""
+def stem_sql(var: str, rules: Sequence[tuple[str, str, int]]) -> str:
+    """SQL text applying the longest matching suffix rule to `var`."""
     if not rules:
-        return token
-    expr = None
+        return var
+    whens = []
     for suffix, replacement, min_len in rules:
         n = len(suffix)
-        cond = token.endswith(suffix) & (F.length(token) - F.lit(n) >= F.lit(min_len))
-        value = F.concat(F.left(token, F.length(token) - F.lit(n)), F.lit(replacement))
-        expr = F.when(cond, value) if expr is None else expr.when(cond, value)
-    return expr.otherwise(token)
+        whens.append(f"WHEN endswith({var}, {sql_literal(suffix)}) AND length({var}) - {n} >= {min_len} "
+                     f"THEN concat(left({var}, length({var}) - {n}), {sql_literal(replacement)})")
+    return "CASE " + " ".join(whens) + f" ELSE {var} END"
+
+
+@functools.lru_cache(maxsize=64)
+def _expr_cached(text: str, context_id: int) -> Column:
+    return F.expr(text)
+
+
+def _expr(text: str) -> Column:
+    # parsed once on the JVM side; building 1000-literal lists through py4j
+    # one element at a time costs seconds per query plan
+    from pyspark import SparkContext
+
+    return _expr_cached(text, id(SparkContext._active_spark_context))
+
+
+def not_stop_word(column_name: str, words: Sequence[str]) -> Column:
+    """Predicate on the string column `column_name`: not a stop word."""
+    return _expr(stop_sql(f"`{column_name}`", tuple(words)))
+
+
+def stem(column_name: str, rules: Sequence[tuple[str, str, int]]) -> Column:
+    """The stem of the string column `column_name`."""
+    return _expr(stem_sql(f"`{column_name}`", tuple(rules)))
+
+
+def text_terms_sql(tokens_col: str, words: Sequence[str], rules: Sequence[tuple[str, str, int]]) -> str:
+    """SQL text: array of tokens -> array of kept stems (per row, no explode)."""
+    kept = f"filter(`{tokens_col}`, t -> {stop_sql('t', words)})"
+    stems = f"transform({kept}, t -> {stem_sql('t', rules)})"
+    return f"filter({stems}, t -> length(t) >= 2)"
+
+
+def text_terms(tokens_col: str, words: Sequence[str], rules: Sequence[tuple[str, str, int]]) -> Column:
+    return _expr(text_terms_sql(tokens_col, tuple(words), tuple(rules)))

@@ -18,31 +18,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.sizing import maybe_broadcast
 from ..functions.text import snippet
 from ..schema import DATE, HITS, MEMBER, PARTY, SCORE_DIGITS, SPEECH
 from .tfidf import TfidfModel
 
 SEARCH_SIZE = 10
 SCORE_FLOOR = 0.001
-# below this many distinct query terms the term list is pushed into the scan
-PUSHDOWN_TERMS = 10_000
-# below this many hits their doc ids are pushed into the document scan
-PUSHDOWN_HITS = 10_000
+# query-term rows up to this size are materialised once and broadcast, and
+# their terms are pushed into the postings scan; larger batches shuffle
+SMALL_QUERY_ROWS = 200_000
+# hits up to this size are materialised once and their ids pushed into the
+# document scan; larger hit lists are joined by a shuffle
+SMALL_HITS = 100_000
+
+_QW_SCHEMA = "query_id long, term string, qw double"
+_HIT_SCHEMA = "query_id long, doc_id long, score double, rank int"
+
+
+def _materialise_if_small(df: DataFrame, limit: int, schema: str):
+    """(local DataFrame, rows) if `df` has at most `limit` rows, else (df, None).
+    One job either way; the local copy is a LocalRelation (no recomputation)."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df, None
+    return df.sparkSession.createDataFrame(rows, schema), rows
+
+
+def query_weights(model: TfidfModel, queries: DataFrame, id_col: str = "query_id",
+                  text_col: str = "text") -> DataFrame:
+    return model.transform(queries, id_col, text_col).select(
+        F.col(id_col).cast("long").alias("query_id"), "term", F.col("weight").alias("qw"))
 
 
 def score(model: TfidfModel, queries: DataFrame, id_col: str = "query_id",
           text_col: str = "text") -> DataFrame:
     """(query_id, doc_id, score) for every document sharing a term with a query."""
-    q = model.transform(queries, id_col, text_col).select(
-        F.col(id_col).alias("query_id"), "term", F.col("weight").alias("qw"))
-    q, small = maybe_broadcast(q)
+    q, rows = _materialise_if_small(query_weights(model, queries, id_col, text_col),
+                                    SMALL_QUERY_ROWS, _QW_SCHEMA)
     postings = model.postings.select("term", "doc_id", "weight")
-    if small:
-        terms = q.select("term").distinct().limit(PUSHDOWN_TERMS + 1).collect()
-        if len(terms) <= PUSHDOWN_TERMS:
-            # literal IN list: pushed to the parquet scan of the sorted postings
-            postings = postings.filter(F.col("term").isin([r[0] for r in terms]))
+    if rows is not None:
+        terms = sorted({r["term"] for r in rows})
+        # literal IN list: pushed to the parquet scan of the term-sorted postings
+        postings = postings.filter(F.col("term").isin(terms))
+        q = F.broadcast(q)
     prod = postings.join(q, "term")
     return prod.groupBy("query_id", "doc_id").agg(
         F.sum(F.col("weight") * F.col("qw")).alias("score"))
@@ -53,18 +71,19 @@ def top_hits(scores: DataFrame, k: int = SEARCH_SIZE, floor: float = SCORE_FLOOR
     s = scores.withColumn("score", F.round("score", SCORE_DIGITS)).filter(F.col("score") >= floor)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id"))
     ranked = s.withColumn("rank", F.row_number().over(w))
-    return ranked.filter(F.col("rank") <= k).withColumn("rank", F.col("rank").cast("int"))
+    return ranked.filter(F.col("rank") <= k).select(
+        "query_id", "doc_id", "score", F.col("rank").cast("int").alias("rank"))
 
 
 def attach_display(hits: DataFrame, docs: DataFrame) -> DataFrame:
     """Join hits with their documents for snippet, name, party and date."""
     fields = docs.select("doc_id", SPEECH, MEMBER, PARTY, DATE)
-    hits_side, small = maybe_broadcast(hits, 1_000_000)
-    if small:
-        ids = hits.select("doc_id").distinct().limit(PUSHDOWN_HITS + 1).collect()
-        if len(ids) <= PUSHDOWN_HITS:
-            fields = fields.filter(F.col("doc_id").isin([r[0] for r in ids]))
-    j = fields.join(hits_side, "doc_id")
+    hits, rows = _materialise_if_small(hits, SMALL_HITS, _HIT_SCHEMA)
+    if rows is not None:
+        ids = sorted({r["doc_id"] for r in rows})
+        fields = fields.filter(F.col("doc_id").isin(ids))
+        hits = F.broadcast(hits)
+    j = fields.join(hits, "doc_id")
     return j.select(
         F.col("query_id").cast("long").alias("query_id"), "rank", F.col("doc_id").cast("long"),
         snippet(F.col(SPEECH)).alias("speech_start"), F.col(MEMBER).alias("name"),
@@ -91,9 +110,11 @@ def search_text(spark: SparkSession, model: TfidfModel, docs: DataFrame, text: s
 
 def fetch_hits(hits: DataFrame, docs: DataFrame) -> DataFrame:
     """Full records of the documents that appear in `hits` (left semi join)."""
-    ids = hits.select("doc_id").distinct()
-    ids_side, _ = maybe_broadcast(ids)
-    return docs.join(ids_side, "doc_id", "left_semi")
+    ids, rows = _materialise_if_small(hits.select("doc_id").distinct(), SMALL_HITS, "doc_id long")
+    if rows is not None:
+        docs = docs.filter(F.col("doc_id").isin(sorted(r["doc_id"] for r in rows)))
+        ids = F.broadcast(ids)
+    return docs.join(ids, "doc_id", "left_semi")
 
 
 def suggest_terms(model: TfidfModel, text: str, limit: int = 10) -> DataFrame:

@@ -27,12 +27,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicon
 from ..functions.ids import with_sequential_id
-from ..functions.text import tokens
+from ..functions.text import term_counts, tokens
 from ..schema import SCORE_DIGITS
 from ..session import path_exists
 
@@ -65,19 +65,24 @@ def default_options() -> TextOptions:
     return DEFAULT_OPTIONS
 
 
-def term_column(token: Column, opts: TextOptions) -> Column:
-    return lexicon.stem(token, opts.stem_rules)
-
-
 def doc_terms(src: DataFrame, id_col: str, text_col: str, opts: TextOptions) -> DataFrame:
     """One row per kept token occurrence: (id, term)."""
     tok = src.select(F.col(id_col), F.explode(tokens(F.col(text_col))).alias("token"))
-    tok = tok.filter(lexicon.not_stop_word(F.col("token"), opts.stop_words))
-    t = tok.select(F.col(id_col), term_column(F.col("token"), opts).alias("term"))
+    tok = tok.filter(lexicon.not_stop_word("token", opts.stop_words))
+    t = tok.select(F.col(id_col), lexicon.stem("token", opts.stem_rules).alias("term"))
     # a stem must still be a token of two or more characters
     return t.filter(F.length("term") >= 2)
 
 
+def text_term_counts(texts: DataFrame, id_col: str, text_col: str,
+                     opts: TextOptions) -> DataFrame:
+    """(id, term, tf) counted inside each row: no shuffle, for query texts."""
+    toks = texts.select(F.col(id_col), tokens(F.col(text_col)).alias("_tokens"))
+    terms = lexicon.text_terms("_tokens", opts.stop_words, opts.stem_rules)
+    rows = toks.select(F.col(id_col), F.explode(term_counts(terms)).alias("c"))
+    return rows.select(F.col(id_col), F.col("c.term").alias("term"), F.col("c.tf").alias("tf"))
+
+
 def term_frequencies(docs: DataFrame, opts: TextOptions | None = None, *,
                      id_col: str = "doc_id", text_col: str = "speech",
                      num_partitions: int | None = None) -> DataFrame:
@@ -147,10 +152,8 @@ class TfidfModel:
                   text_col: str = "text") -> DataFrame:
         """Weights of new texts under this model: (id, term, term_id, tf, weight).
         Unknown terms vanish (inner join); empty texts give no rows."""
-        src = texts.select(F.col(id_col), F.col(text_col))
-        terms = doc_terms(src, id_col, text_col, self.options)
-        tf = terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-        return weigh(tf, self.vocab_side(), key=id_col)
+        return weigh(text_term_counts(texts, id_col, text_col, self.options),
+                     self.vocab_side(), key=id_col)
 
 
 def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speech",

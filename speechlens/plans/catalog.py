@@ -218,16 +218,15 @@ def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def remove_stopwords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ws = _ws(spark, sf_dir)
     t = tokenize(spark, sf_dir)
-    return t.filter(LX.not_stop_word(F.col("token"), LX.default_stop_words()))
+    return t.filter(LX.not_stop_word("token", LX.default_stop_words()))
 
 
 @register
 def conflate_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct (token, term) pairs where the suffix rules change the token."""
     t = remove_stopwords(spark, sf_dir).select("token").distinct()
-    st = t.select("token", LX.stem(F.col("token"), LX.as_rule_list(None)).alias("term"))
+    st = t.select("token", LX.stem("token", LX.as_rule_list(None)).alias("term"))
     return st.filter(F.col("token") != F.col("term"))
 
 

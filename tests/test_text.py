@@ -41,7 +41,7 @@ def test_stem_longest_suffix_wins(spark):
     rules = lexicon.as_rule_list(None)
     df = spark.createDataFrame(
         [(w,) for w in ["ponies", "ties", "caresses", "cats", "bus", "class", "goes", "is", "toes"]], "t string")
-    got = {r[0]: r[1] for r in df.select("t", lexicon.stem(F.col("t"), rules)).collect()}
+    got = {r[0]: r[1] for r in df.select("t", lexicon.stem("t", rules)).collect()}
     assert got == {"ponies": "pony", "ties": "ty", "caresses": "caresse", "cats": "cat", "bus": "bus",
                    "class": "class", "goes": "goe", "is": "i", "toes": "toe"}
 
@@ -49,7 +49,7 @@ def test_stem_longest_suffix_wins(spark):
 def test_custom_rules_and_min_len(spark):
     rules = lexicon.as_rule_list([("ing", "", 3), ("s", "", 1)])
     df = spark.createDataFrame([("singing",), ("sing",), ("bring",)], "t string")
-    got = {r[0]: r[1] for r in df.select("t", lexicon.stem(F.col("t"), rules)).collect()}
+    got = {r[0]: r[1] for r in df.select("t", lexicon.stem("t", rules)).collect()}
     assert got == {"singing": "sing", "sing": "sing", "bring": "bring"}
 
 
@@ -61,5 +61,19 @@ def test_stop_words_from_spark_lists():
 
 def test_stop_filter(spark):
     df = spark.createDataFrame([("the",), ("parliament",)], "t string")
-    got = [r[0] for r in df.filter(lexicon.not_stop_word(F.col("t"), ["the"])).collect()]
+    got = [r[0] for r in df.filter(lexicon.not_stop_word("t", ["the"])).collect()]
     assert got == ["parliament"]
+
+
+def test_sql_literal_escaping(spark):
+    words = ["it's", "back\\slash", "plain"]
+    df = spark.createDataFrame([(w,) for w in words + ["other"]], "t string")
+    got = [r[0] for r in df.filter(lexicon.not_stop_word("t", words)).collect()]
+    assert got == ["other"]
+
+
+def test_in_row_term_counts(spark):
+    df = spark.createDataFrame([(["b", "a", "b", "c", "b"],), ([],)], "t array<string>")
+    got = [r[0] for r in df.select(TX.term_counts(F.col("t"))).collect()]
+    assert [(x["term"], x["tf"]) for x in got[0]] == [("a", 1), ("b", 3), ("c", 1)]
+    assert got[1] == []
