@@ -138,6 +138,17 @@ def _expr(text: str) -> Column:
     return _expr_cached(text, id(SparkContext._active_spark_context))
 
 
+def in_list(column_name: str, values: Sequence) -> Column:
+    """`column IN (v1, v2, ...)` parsed from SQL text (one JVM call)."""
+    if not values:
+        return F.lit(False)
+    if isinstance(values[0], str):
+        items = ", ".join(sql_literal(v) for v in values)
+    else:
+        items = ", ".join(str(int(v)) for v in values)
+    return F.expr(f"`{column_name}` IN ({items})")
+
+
 def not_stop_word(column_name: str, words: Sequence[str]) -> Column:
     """Predicate on the string column `column_name`: not a stop word."""
     return _expr(stop_sql(f"`{column_name}`", tuple(words)))
@@ -146,14 +157,3 @@ def not_stop_word(column_name: str, words: Sequence[str]) -> Column:
 def stem(column_name: str, rules: Sequence[tuple[str, str, int]]) -> Column:
     """The stem of the string column `column_name`."""
     return _expr(stem_sql(f"`{column_name}`", tuple(rules)))
-
-
-def text_terms_sql(tokens_col: str, words: Sequence[str], rules: Sequence[tuple[str, str, int]]) -> str:
-    """SQL text: array of tokens -> array of kept stems (per row, no explode)."""
-    kept = f"filter(`{tokens_col}`, t -> {stop_sql('t', words)})"
-    stems = f"transform({kept}, t -> {stem_sql('t', rules)})"
-    return f"filter({stems}, t -> length(t) >= 2)"
-
-
-def text_terms(tokens_col: str, words: Sequence[str], rules: Sequence[tuple[str, str, int]]) -> Column:
-    return _expr(text_terms_sql(tokens_col, tuple(words), tuple(rules)))

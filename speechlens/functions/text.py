@@ -54,24 +54,5 @@ def parse_date(text: Column) -> Column:
     return F.try_to_date(text, DATE_FORMAT)
 
 
-def term_counts(terms: Column) -> Column:
-    """array<string> -> array<struct<term, tf>>: the distinct terms of one row
-    with their counts, computed inside the row (sort, then run lengths), so
-    counting the terms of a text needs no shuffle."""
-    s = F.array_sort(terms)
-    n = F.size(s)
-    at = F.try_element_at
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                      lambda i: (i == 1) | (at(s, i) != at(s, F.greatest(i - 1, F.lit(1)))))
-    m = F.size(starts)
-    counts = F.transform(
-        F.sequence(F.lit(1), F.greatest(m, F.lit(1))),
-        lambda k: F.struct(
-            at(s, at(starts, k)).alias("term"),
-            (F.coalesce(at(starts, k + 1), n + 1) - at(starts, k)).cast("long").alias("tf")))
-    empty = F.array().cast("array<struct<term:string,tf:bigint>>")
-    return F.when(n > 0, counts).otherwise(empty)
-
-
 def rounded(value: Column, digits: int) -> Column:
     return F.round(value, digits)

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.lexicon import in_list
 from ..functions.text import snippet
 from ..schema import DATE, HITS, MEMBER, PARTY, SCORE_DIGITS, SPEECH
 from .tfidf import TfidfModel
@@ -59,7 +60,7 @@ def score(model: TfidfModel, queries: DataFrame, id_col: str = "query_id",
     if rows is not None:
         terms = sorted({r["term"] for r in rows})
         # literal IN list: pushed to the parquet scan of the term-sorted postings
-        postings = postings.filter(F.col("term").isin(terms))
+        postings = postings.filter(in_list("term", terms))
         q = F.broadcast(q)
     prod = postings.join(q, "term")
     return prod.groupBy("query_id", "doc_id").agg(
@@ -81,7 +82,7 @@ def attach_display(hits: DataFrame, docs: DataFrame) -> DataFrame:
     hits, rows = _materialise_if_small(hits, SMALL_HITS, _HIT_SCHEMA)
     if rows is not None:
         ids = sorted({r["doc_id"] for r in rows})
-        fields = fields.filter(F.col("doc_id").isin(ids))
+        fields = fields.filter(in_list("doc_id", ids))
         hits = F.broadcast(hits)
     j = fields.join(hits, "doc_id")
     return j.select(
@@ -112,7 +113,7 @@ def fetch_hits(hits: DataFrame, docs: DataFrame) -> DataFrame:
     """Full records of the documents that appear in `hits` (left semi join)."""
     ids, rows = _materialise_if_small(hits.select("doc_id").distinct(), SMALL_HITS, "doc_id long")
     if rows is not None:
-        docs = docs.filter(F.col("doc_id").isin(sorted(r["doc_id"] for r in rows)))
+        docs = docs.filter(in_list("doc_id", sorted(r["doc_id"] for r in rows)))
         ids = F.broadcast(ids)
     return docs.join(ids, "doc_id", "left_semi")
 

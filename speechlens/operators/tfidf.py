@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon
 from ..functions.ids import with_sequential_id
-from ..functions.text import term_counts, tokens
+from ..functions.text import tokens
 from ..schema import SCORE_DIGITS
 from ..session import path_exists
 
@@ -76,11 +76,10 @@ def doc_terms(src: DataFrame, id_col: str, text_col: str, opts: TextOptions) ->
 
 def text_term_counts(texts: DataFrame, id_col: str, text_col: str,
                      opts: TextOptions) -> DataFrame:
-    """(id, term, tf) counted inside each row: no shuffle, for query texts."""
-    toks = texts.select(F.col(id_col), tokens(F.col(text_col)).alias("_tokens"))
-    terms = lexicon.text_terms("_tokens", opts.stop_words, opts.stem_rules)
-    rows = toks.select(F.col(id_col), F.explode(term_counts(terms)).alias("c"))
-    return rows.select(F.col(id_col), F.col("c.term").alias("term"), F.col("c.tf").alias("tf"))
+    """(id, term, tf) of free texts (queries): same pipeline as documents,
+    one partially aggregated shuffle on (id, term)."""
+    terms = doc_terms(texts.select(F.col(id_col), F.col(text_col)), id_col, text_col, opts)
+    return terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def term_frequencies(docs: DataFrame, opts: TextOptions | None = None, *,

@@ -70,10 +70,3 @@ def test_sql_literal_escaping(spark):
     df = spark.createDataFrame([(w,) for w in words + ["other"]], "t string")
     got = [r[0] for r in df.filter(lexicon.not_stop_word("t", words)).collect()]
     assert got == ["other"]
-
-
-def test_in_row_term_counts(spark):
-    df = spark.createDataFrame([(["b", "a", "b", "c", "b"],), ([],)], "t array<string>")
-    got = [r[0] for r in df.select(TX.term_counts(F.col("t"))).collect()]
-    assert [(x["term"], x["tf"]) for x in got[0]] == [("a", 1), ("b", 3), ("c", 1)]
-    assert got[1] == []
