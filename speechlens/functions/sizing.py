@@ -28,3 +28,22 @@ def collect_bounded(df: DataFrame, limit: int, what: str) -> list:
     if len(rows) > limit:
         raise ValueError(f"{what}: more than {limit} rows; refusing to bring it to the driver")
     return rows
+
+
+def local_frame(spark, rows: list, schema: str) -> DataFrame:
+    """A small driver-side table as a DataFrame built through Arrow (a JVM-side
+    relation), so later actions do not start Python workers to unpickle it."""
+    import pandas as pd
+    from pyspark.sql.types import _parse_datatype_string
+
+    st = _parse_datatype_string(schema)
+    names = [f.name for f in st.fields]
+    pdf = pd.DataFrame.from_records([tuple(r) for r in rows], columns=names)
+    if len(pdf) == 0:
+        return spark.createDataFrame([], st)
+    return spark.createDataFrame(pdf, st)
+
+
+def marker(spark, path: str) -> None:
+    """Write a one-row completion marker (JVM-side, no Python worker)."""
+    spark.range(1).select(F.lit(1).alias("done")).coalesce(1).write.mode("overwrite").parquet(path)

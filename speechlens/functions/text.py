@@ -24,9 +24,14 @@ SNIPPET_WORDS = 10
 DATE_FORMAT = "dd/MM/yyyy"
 
 
+# the same 32 marks as plain characters, for a character-mapping delete
+PUNCTUATION_CHARS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+
+
 def clean_text(text: Column) -> Column:
-    """Null-safe: null text becomes ''; punctuation deleted; lower-cased."""
-    return F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), PUNCTUATION_CLASS, ""))
+    """Null-safe: null text becomes ''; punctuation deleted (character
+    mapping, cheaper than a regex); lower-cased."""
+    return F.lower(F.translate(F.coalesce(text, F.lit("")), PUNCTUATION_CHARS, ""))
 
 
 def tokens(text: Column) -> Column:

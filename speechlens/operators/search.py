@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.lexicon import in_list
+from ..functions.sizing import local_frame
 from ..functions.text import snippet
 from ..schema import DATE, HITS, MEMBER, PARTY, SCORE_DIGITS, SPEECH
 from .tfidf import TfidfModel
@@ -42,7 +43,7 @@ def _materialise_if_small(df: DataFrame, limit: int, schema: str):
     rows = df.limit(limit + 1).collect()
     if len(rows) > limit:
         return df, None
-    return df.sparkSession.createDataFrame(rows, schema), rows
+    return local_frame(df.sparkSession, rows, schema), rows
 
 
 def query_weights(model: TfidfModel, queries: DataFrame, id_col: str = "query_id",
@@ -105,7 +106,7 @@ def search_text(spark: SparkSession, model: TfidfModel, docs: DataFrame, text: s
     """One query string. Empty text means no search: an empty HITS frame."""
     if not text or not text.strip():
         return spark.createDataFrame([], HITS)
-    q = spark.createDataFrame([(0, text)], "query_id long, text string")
+    q = spark.range(1).select(F.lit(0).cast("long").alias("query_id"), F.lit(text).alias("text"))
     return search(model, docs, q, k, floor)
 
 

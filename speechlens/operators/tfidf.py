@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon
 from ..functions.ids import with_sequential_id
+from ..functions.sizing import marker
 from ..functions.text import tokens
 from ..schema import SCORE_DIGITS
 from ..session import path_exists
@@ -188,12 +189,11 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
         tf.unpersist()
         _sorted_postings(weights, n_parts).write.mode("overwrite").parquet(f"{path}/postings")
         postings = spark.read.parquet(f"{path}/postings")
-        spark.createDataFrame(
-            [(int(n_docs), float(max_df), max_features)],
-            "n_docs long, max_df double, max_features int",
+        spark.range(1).select(
+            F.lit(int(n_docs)).cast("long").alias("n_docs"), F.lit(float(max_df)).alias("max_df"),
+            F.lit(max_features).cast("int").alias("max_features"),
         ).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
-        spark.createDataFrame([(1,)], "done int").coalesce(1).write.mode("overwrite").parquet(
-            f"{path}/_DONE")
+        marker(spark, f"{path}/_DONE")
     else:
         weights = weights.persist(StorageLevel.MEMORY_AND_DISK)
         postings = _sorted_postings(weights, n_parts).persist(StorageLevel.MEMORY_AND_DISK)

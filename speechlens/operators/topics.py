@@ -31,6 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.sizing import local_frame
 from ..schema import SCORE_DIGITS
 
 N_COMPONENTS = 10
@@ -51,7 +52,7 @@ class LsaModel:
     def components_frame(self, spark: SparkSession) -> DataFrame:
         k, n = self.components.shape
         rows = [(int(t), [float(x) for x in self.components[:, t]]) for t in range(n)]
-        return spark.createDataFrame(rows, "term_id int, loadings array<double>")
+        return local_frame(spark, rows, "term_id int, loadings array<double>")
 
 
 def packed_rows(weights: DataFrame) -> DataFrame:
@@ -179,7 +180,7 @@ def fit_lsa(weights: DataFrame, n_terms: int, k: int = N_COMPONENTS, n_iter: int
 
 def singular_values_frame(spark: SparkSession, model: LsaModel) -> DataFrame:
     rows = [(i, float(round(s, SCORE_DIGITS))) for i, s in enumerate(model.singular_values)]
-    return spark.createDataFrame(rows, "component int, singular_value double")
+    return local_frame(spark, rows, "component int, singular_value double")
 
 
 def topics(model: LsaModel, vocabulary: DataFrame, n_terms: int = 10) -> DataFrame:

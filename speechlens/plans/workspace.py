@@ -16,6 +16,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.sizing import local_frame, marker
 from ..operators.tfidf import TfidfModel, fit_tfidf
 from ..session import artifact_root
 from ..sources.speeches import documents_corpus, read_table
@@ -91,12 +92,10 @@ class Workspace:
             got = TP.fit_lsa(m.weights, n_terms, k=k)
             got.components_frame(self.spark).coalesce(1).write.mode("overwrite").parquet(
                 f"{path}/components")
-            self.spark.createDataFrame(
-                [(i, float(s)) for i, s in enumerate(got.singular_values)],
-                "component int, value double").coalesce(1).write.mode("overwrite").parquet(
+            local_frame(self.spark, [(i, float(s)) for i, s in enumerate(got.singular_values)],
+                        "component int, value double").coalesce(1).write.mode("overwrite").parquet(
                 f"{path}/singular")
-            self.spark.createDataFrame([(1,)], "done int").write.mode("overwrite").parquet(
-                f"{path}/_DONE")
+            marker(self.spark, f"{path}/_DONE")
         Workspace._lsa[cache_key] = got
         return got
 
