@@ -388,3 +388,24 @@ def assign_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids, centres = CL.label_means(emb, "embedding", "label")
     out = CL.assign_to_centres(emb, "embedding", centres, ids)
     return out.select("vec_id", "cluster_id", F.round("distance", SCORE_DIGITS).alias("distance"))
+
+
+# -------------------------------------------------------------- streaming
+
+from ..streaming import search_stream as ST  # noqa: E402
+
+
+@register
+def search_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark passages arriving as a stream of query files (four
+    micro-batches), each batch searched against the fixed model; the
+    collected hits equal the batch search."""
+    ws = _ws(spark, sf_dir)
+    src = scratch_path(spark, "query-stream")
+    _benchmark_queries(ws).repartition(4).write.parquet(src)
+    sink = scratch_path(spark, "stream-hits")
+    q = ST.start_search_stream(ST.query_stream(spark, src, max_files_per_trigger=1), ws.model(),
+                               ws.docs(), sink, scratch_path(spark, "stream-ckpt"),
+                               available_now=True)
+    q.awaitTermination()
+    return ST.read_stream_hits(spark, sink).drop("epoch")

@@ -390,3 +390,5 @@ d AS (
   FROM embeddings e CROSS JOIN centres c)
 SELECT vec_id, CAST(label AS INTEGER) AS cluster_id, round(dist, {D}) AS distance
 FROM d QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY dist, label) = 1"""
+
+ORACLE["search_stream"] = search_sql("benchmark", "item_id", "text")
