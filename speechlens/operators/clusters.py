@@ -74,6 +74,8 @@ def fit_clusters(topic_vectors: DataFrame, k: int = N_CLUSTERS, seed: int = SEED
     """(doc_id, cluster_id, distance) and the centres, clusters renumbered by
     their smallest doc_id."""
     k = clamp_k(k)
+    # (docs x k) doubles, derived from all weights: materialised once
+    topic_vectors = topic_vectors.select("doc_id", "topic").checkpoint(eager=True)
     data = topic_vectors.select("doc_id", array_to_vector("topic").alias("features")).cache()
     km = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
                 predictionCol="raw_cluster").fit(data)

@@ -24,14 +24,23 @@ SAMPLE_FRACTION = 0.1
 ROWS_LIMIT = 1000
 
 
-def consolidate(raw: DataFrame, order_col: str = "seq") -> DataFrame:
-    """Raw speeches (with an order column) -> consolidated speeches with doc_id."""
+def consolidate(raw: DataFrame, order_cols: list[str] | None = None) -> DataFrame:
+    """Raw speeches -> consolidated speeches with doc_id.
+
+    `order_cols` give the row order (default: `source_file`, `seq` when the
+    rows come from CSV files without their own order column, else `seq`)."""
+    if order_cols is None:
+        order_cols = ["source_file", "seq"] if "source_file" in raw.columns else ["seq"]
+    if len(order_cols) == 1:
+        order_key = f"`{order_cols[0]}`"
+    else:
+        order_key = "struct(" + ", ".join(f"`{c}`" for c in order_cols) + ")"
     firsts = [
-        F.expr(f"min_by(`{c}`, `{order_col}`) FILTER (WHERE `{c}` IS NOT NULL)").alias(c)
+        F.expr(f"min_by(`{c}`, {order_key}) FILTER (WHERE `{c}` IS NOT NULL)").alias(c)
         for c in ATTRIBUTES
     ]
     sep = SEPARATOR.replace("'", "\\'")
-    joined = F.expr(f"listagg(`{SPEECH}`, '{sep}') WITHIN GROUP (ORDER BY `{order_col}`)")
+    joined = F.expr(f"listagg(`{SPEECH}`, '{sep}') WITHIN GROUP (ORDER BY {order_key})")
     grouped = raw.dropna(subset=GROUP_KEYS).groupBy(*GROUP_KEYS).agg(*firsts, joined.alias(SPEECH))
     numbered = with_sequential_id(grouped, GROUP_KEYS, "doc_id")
     return numbered.select("doc_id", *SPEECH_COLUMNS)

@@ -92,13 +92,16 @@ def similar_pairs(vectors: DataFrame, k: int | None = TOP_PAIRS,
                   threshold: float = SIMILARITY_THRESHOLD) -> DataFrame:
     """(member_a, member_b, similarity) with a < b and rounded similarity >=
     threshold; the k best (all of them if k is None)."""
-    unit = _unit_vectors(vectors)
+    # unit vectors are (members x vocabulary) at most: computed once from the
+    # weights and checkpointed, instead of once per action below
+    unit = _unit_vectors(vectors).checkpoint(eager=True)
     members = unit.select("member_name").distinct()
     numbered = with_sequential_id(members, ["member_name"], "midx")
-    n_members = numbered.count()
+    stats = numbered.agg(F.count(F.lit(1)).alias("n")).first()
+    n_members = int(stats["n"])
     if n_members < 2:
         return vectors.sparkSession.createDataFrame([], PAIR_SCHEMA)
-    n_terms = int(vectors.agg(F.max("term_id")).first()[0]) + 1
+    n_terms = int(unit.agg(F.max("term_id")).first()[0]) + 1
     per_block = max(1, min(n_members, BLOCK_CELLS // max(1, n_terms)))
     n_blocks = int(math.ceil(n_members / per_block))
     ids_side, _ = maybe_broadcast(numbered)

@@ -2,8 +2,9 @@
 
 A raw speech file is a UTF-8 CSV with a header. Texts carry newlines and
 quotes, so files are written with ``escape='"'`` and read with ``multiLine``
-and an explicit schema. A multi-line CSV file cannot be split, so writers
-emit many files and the long-term store is parquet.
+by header name, all values as text (no inference). A multi-line CSV file
+cannot be split, so writers emit many files and the long-term store is
+parquet.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import ATTRIBUTES, DATE, MEMBER, PARTY, RAW_SPEECH, SPEECH, SPEECH_COLUMNS
+from ..schema import ATTRIBUTES, DATE, MEMBER, PARTY, SPEECH, SPEECH_COLUMNS
 
 CSV_OPTIONS = {
     "header": "true",
@@ -27,10 +28,28 @@ CSV_OPTIONS = {
 
 
 def read_speeches_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Scan raw speech CSV files with a fixed schema; `columns` prunes the scan."""
-    schema = RAW_SPEECH
-    df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
-    return df.select(*columns) if columns else df
+    """Scan raw speech CSV files by header name, every value as text.
+
+    Columns beyond the speech columns are ignored, missing ones are null;
+    `columns` prunes the scan. Row order: the file's own `seq` column if it
+    has one, else (`source_file`, position in the file) — a multi-line CSV
+    file is never split, so positions follow the file."""
+    df = spark.read.options(**CSV_OPTIONS).csv(path)
+    have = set(df.columns)
+    wanted = columns or SPEECH_COLUMNS + ["seq"]
+    out = []
+    for c in wanted:
+        if c == "seq":
+            if "seq" in have:
+                out.append(F.col("seq").cast("long").alias("seq"))
+            else:
+                out.append(F.input_file_name().alias("source_file"))
+                out.append(F.monotonically_increasing_id().alias("seq"))
+        elif c in have:
+            out.append(F.col(c).cast("string").alias(c))
+        else:
+            out.append(F.lit(None).cast("string").alias(c))
+    return df.select(*out)
 
 
 def write_speeches_csv(df: DataFrame, path: str, num_files: int | None = None,

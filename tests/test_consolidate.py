@@ -74,3 +74,18 @@ def test_lookup_unknown_id_is_empty(spark):
     assert C.lookup_one(docs, 2).first()["speech"] == "b"
     ids = spark.createDataFrame([(2,), (2,), (9,)], "doc_id long")
     assert [r["doc_id"] for r in C.lookup(docs, ids).collect()] == [2]
+
+
+def test_csv_without_order_column_uses_file_order(spark, tmp_path):
+    p = tmp_path / "raw.csv"
+    p.write_text('extra,political_party,member_name,sitting_date,speech\n'
+                 'x,A,m,01/01/2000,"first\nline"\n'
+                 'y,A,m,01/01/2000,"say ""hi"""\n'
+                 'z,B,n,02/01/2000,other\n', encoding="utf-8")
+    from speechlens.sources.speeches import read_speeches_csv
+
+    raw = read_speeches_csv(spark, str(p))
+    assert "source_file" in raw.columns and raw.count() == 3
+    out = C.consolidate(raw).orderBy("doc_id").collect()
+    assert out[0]["speech"] == 'first\nline | say "hi"'
+    assert out[0]["member_region"] is None and out[1]["speech"] == "other"
