@@ -8,11 +8,11 @@ the k most similar are returned (ties: a, then b).
 Plan: member vectors come from one partially aggregated `groupBy(member,
 term)`, so a member with a third of all speeches still sends one row per
 term per map partition. Pairs are not produced by a self-join on term (that
-emits every pair of members sharing a frequent term). Members are numbered
-in name order and cut into blocks sized to fit a dense block in memory; each
-block is replicated to the block pairs it takes part in, and one task per
+emits every pair of members sharing a frequent term). Each block of members
+is replicated to the block pairs it takes part in, and one task per
 block pair computes the dense product with numpy, emitting only pairs that
-pass the threshold and can still reach the top k.
+pass the threshold and can still reach the top k. Members are hashed into
+blocks sized to fit a dense block in memory, so no global numbering is needed.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ids import with_sequential_id
 from ..functions.sizing import maybe_broadcast
 from ..schema import MEMBER, SCORE_DIGITS
 
@@ -60,30 +59,29 @@ def _unit_vectors(vectors: DataFrame) -> DataFrame:
 def _pair_block_fn(n_terms: int, threshold: float, k: int | None):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         bi, bj = int(pdf["bi"].iloc[0]), int(pdf["bj"].iloc[0])
-        out = []
-        left = pdf[pdf["block"] == bi]
-        right = pdf[pdf["block"] == bj]
 
         def dense(part):
-            idx, inv = np.unique(part["midx"].to_numpy(), return_inverse=True)
-            mat = np.zeros((len(idx), n_terms))
+            names, inv = np.unique(part["member_name"].to_numpy().astype(str), return_inverse=True)
+            mat = np.zeros((len(names), n_terms))
             np.add.at(mat, (inv, part["term_id"].to_numpy()), part["u"].to_numpy())
-            names = part.drop_duplicates("midx").set_index("midx").loc[idx, "member_name"].to_numpy()
-            return idx, names, mat
+            return names, mat
 
-        li, ln, lm = dense(left)
-        ri, rn, rm = (li, ln, lm) if bi == bj else dense(right)
+        ln, lm = dense(pdf[pdf["block"] == bi])
+        rn, rm = (ln, lm) if bi == bj else dense(pdf[pdf["block"] == bj])
         sims = lm @ rm.T
         a_idx, b_idx = np.nonzero(sims >= threshold - _RANK_SLACK)
-        keep = li[a_idx] < ri[b_idx]        # a < b by name (ids follow name order)
-        a_idx, b_idx = a_idx[keep], b_idx[keep]
+        if bi == bj:
+            keep = a_idx < b_idx            # names are sorted: one orientation, no self pairs
+            a_idx, b_idx = a_idx[keep], b_idx[keep]
         vals = sims[a_idx, b_idx]
         if k is not None and len(vals) > k:
             kth = np.partition(vals, len(vals) - k)[len(vals) - k]
             sel = vals >= kth - _RANK_SLACK
             a_idx, b_idx, vals = a_idx[sel], b_idx[sel], vals[sel]
-        out = pd.DataFrame({"member_a": ln[a_idx], "member_b": rn[b_idx], "similarity": vals})
-        return out
+        a, b = ln[a_idx], rn[b_idx]
+        first = np.where(a < b, a, b)       # orient every pair as (smaller, larger) name
+        second = np.where(a < b, b, a)
+        return pd.DataFrame({"member_a": first, "member_b": second, "similarity": vals})
 
     return run
 
@@ -95,24 +93,21 @@ def similar_pairs(vectors: DataFrame, k: int | None = TOP_PAIRS,
     # unit vectors are (members x vocabulary) at most: computed once from the
     # weights and checkpointed, instead of once per action below
     unit = _unit_vectors(vectors).checkpoint(eager=True)
-    members = unit.select("member_name").distinct()
-    numbered = with_sequential_id(members, ["member_name"], "midx")
-    stats = numbered.agg(F.count(F.lit(1)).alias("n")).first()
-    n_members = int(stats["n"])
+    stats = unit.agg(F.countDistinct("member_name").alias("m"), F.max("term_id").alias("t")).first()
+    n_members = int(stats["m"] or 0)
     if n_members < 2:
         return vectors.sparkSession.createDataFrame([], PAIR_SCHEMA)
-    n_terms = int(unit.agg(F.max("term_id")).first()[0]) + 1
+    n_terms = int(stats["t"]) + 1
     per_block = max(1, min(n_members, BLOCK_CELLS // max(1, n_terms)))
     n_blocks = int(math.ceil(n_members / per_block))
-    ids_side, _ = maybe_broadcast(numbered)
-    rows = unit.join(ids_side, "member_name").withColumn(
-        "block", (F.col("midx") / per_block).cast("int"))
-    # each row goes to every block pair (min(b, j), max(b, j)) it belongs to
+    # members are hashed into blocks; each unordered pair of members meets in
+    # exactly one block pair (min(block), max(block))
+    rows = unit.withColumn("block", F.pmod(F.xxhash64("member_name"), F.lit(n_blocks)).cast("int"))
     others = F.sequence(F.lit(0), F.lit(n_blocks - 1))
     pairs = F.transform(others, lambda j: F.struct(
         F.least(F.col("block"), j).alias("bi"), F.greatest(F.col("block"), j).alias("bj")))
-    rep = rows.select("*", F.explode(F.array_distinct(pairs)).alias("p")).select(
-        "member_name", "midx", "term_id", "u", "block", "p.bi", "p.bj")
+    rep = rows.select("*", F.explode(pairs).alias("p")).select(
+        "member_name", "term_id", "u", "block", "p.bi", "p.bj")
     fn = _pair_block_fn(n_terms, threshold, k)
     cand = rep.groupBy("bi", "bj").applyInPandas(fn, PAIR_SCHEMA)
     cand = cand.withColumn("similarity", F.round("similarity", SCORE_DIGITS)).filter(

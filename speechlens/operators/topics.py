@@ -14,9 +14,10 @@ in the reference's 100 power iterations). One pass is one Spark job:
   vocabulary size) and checkpointed to the shared folder;
 * `mapInPandas` computes, per partition, ``sum_d a_d^T (a_d Q)`` — a
   (terms x l) partial — with numpy over Arrow batches;
-* partials are summed by a grouped aggregate on `term_id`; only the
-  (terms x l) result (bounded by the vocabulary cap) reaches the driver,
-  where the QR and the small Rayleigh-Ritz eigenproblem run.
+* partials are summed by a grouped aggregate on `term_id` (or, when
+  partitions x terms is below a bound, in one Arrow transfer); only
+  (terms x l) numbers reach the driver, where the orthogonalisation and the
+  small Rayleigh-Ritz eigenproblem run.
 
 Signs are fixed so that the largest-magnitude loading of every component is
 positive; the document side then follows from ``A V``.
@@ -41,6 +42,8 @@ SEED = 42
 TOL = 1e-10
 # the driver holds (terms x l) matrices; refuse vocabularies beyond this
 MAX_TERMS = 200_000
+# partial sums (partitions x terms rows) summed on the driver up to this size
+DIRECT_SUM_ROWS = 1_000_000
 
 
 @dataclass
@@ -78,12 +81,17 @@ def _gram_pass(rows: DataFrame, q: np.ndarray) -> np.ndarray:
             if len(pdf) == 0:
                 continue
             lens = pdf["term_ids"].map(len).to_numpy()
+            if lens.sum() == 0:
+                continue
             t = np.concatenate(pdf["term_ids"].to_numpy()).astype(np.int64)
             w = np.concatenate(pdf["values"].to_numpy()).astype(np.float64)
             doc = np.repeat(np.arange(len(pdf)), lens)
             wq = w[:, None] * qm[t]                     # entries x l
+            # a document's entries are contiguous: segment sums give y_d = a_d Q
+            starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
+            nz = lens > 0
             y = np.zeros((len(pdf), qm.shape[1]))
-            np.add.at(y, doc, wq)                        # y_d = a_d Q
+            y[nz] = np.add.reduceat(wq, starts[nz], axis=0)
             contrib = w[:, None] * y[doc]                # entries x l
             for j in range(qm.shape[1]):
                 acc[:, j] += np.bincount(t, weights=contrib[:, j], minlength=qm.shape[0])
@@ -94,11 +102,18 @@ def _gram_pass(rows: DataFrame, q: np.ndarray) -> np.ndarray:
         yield out
 
     partial = rows.mapInPandas(part, schema)
-    summed = partial.groupBy("term_id").agg(*[F.sum(c).alias(c) for c in cols]).collect()
-    bq.unpersist()
     z = np.zeros_like(q)
-    for r in summed:
-        z[r["term_id"]] = [r[c] for c in cols]
+    if rows.rdd.getNumPartitions() * n_terms <= DIRECT_SUM_ROWS:
+        # few partitions: their partials (bounded by partitions x vocabulary)
+        # come back in one Arrow transfer and are summed here
+        pdf = partial.toPandas()
+        idx = pdf["term_id"].to_numpy()
+        for j, c in enumerate(cols):
+            z[:, j] = np.bincount(idx, weights=pdf[c].to_numpy(), minlength=n_terms)
+    else:
+        summed = partial.groupBy("term_id").agg(*[F.sum(c).alias(c) for c in cols]).toPandas()
+        z[summed["term_id"].to_numpy()] = summed[cols].to_numpy()
+    bq.unpersist()
     return z
 
 
