@@ -13,15 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import durable
+
 _PID = "_sl_pid"
 _MONO = "_sl_mono"
 
 
-def _durable(df: DataFrame) -> DataFrame:
-    """Materialise to the shared checkpoint folder (survives executor loss)."""
-    return df.checkpoint(eager=True)
-
-
 def with_sequential_id(df: DataFrame, order_cols: list, id_col: str = "doc_id",
                        start: int = 0) -> DataFrame:
     """Add `id_col` = position of the row in the order of `order_cols`.
@@ -30,7 +27,7 @@ def with_sequential_id(df: DataFrame, order_cols: list, id_col: str = "doc_id",
     that is fixed once the sorted data has been checkpointed.
     """
     sorted_df = df.orderBy(*order_cols)
-    tagged = _durable(sorted_df.select(
+    tagged = durable(sorted_df.select(
         "*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_MONO)))
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: the window below runs over #partitions rows only

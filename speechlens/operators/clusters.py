@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sizing import collect_bounded
+from ..session import durable
 from ..schema import SCORE_DIGITS, SPEECH
 
 N_CLUSTERS = 10
@@ -75,7 +76,7 @@ def fit_clusters(topic_vectors: DataFrame, k: int = N_CLUSTERS, seed: int = SEED
     their smallest doc_id."""
     k = clamp_k(k)
     # (docs x k) doubles, derived from all weights: materialised once
-    topic_vectors = topic_vectors.select("doc_id", "topic").checkpoint(eager=True)
+    topic_vectors = durable(topic_vectors.select("doc_id", "topic"))
     data = topic_vectors.select("doc_id", array_to_vector("topic").alias("features")).cache()
     km = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
                 predictionCol="raw_cluster").fit(data)

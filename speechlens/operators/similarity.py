@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sizing import maybe_broadcast
+from ..session import durable
 from ..schema import MEMBER, SCORE_DIGITS
 
 SIMILARITY_THRESHOLD = 0.6
@@ -92,7 +93,7 @@ def similar_pairs(vectors: DataFrame, k: int | None = TOP_PAIRS,
     threshold; the k best (all of them if k is None)."""
     # unit vectors are (members x vocabulary) at most: computed once from the
     # weights and checkpointed, instead of once per action below
-    unit = _unit_vectors(vectors).checkpoint(eager=True)
+    unit = durable(_unit_vectors(vectors))
     stats = unit.agg(F.countDistinct("member_name").alias("m"), F.max("term_id").alias("t")).first()
     n_members = int(stats["m"] or 0)
     if n_members < 2:

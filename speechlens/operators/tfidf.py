@@ -196,6 +196,8 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
         marker(spark, f"{path}/_DONE")
     else:
         weights = weights.persist(StorageLevel.MEMORY_AND_DISK)
+        weights.count()
+        tf.unpersist()
         postings = _sorted_postings(weights, n_parts).persist(StorageLevel.MEMORY_AND_DISK)
     return TfidfModel(vocab, int(n_docs), weights, postings, opts, max_df, max_features, path)
 

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sizing import local_frame
+from ..session import durable
 from ..schema import SCORE_DIGITS
 
 N_COMPONENTS = 10
@@ -62,7 +63,7 @@ def packed_rows(weights: DataFrame) -> DataFrame:
     """One row per document: (doc_id, term_ids, values); checkpointed."""
     g = weights.groupBy("doc_id").agg(F.collect_list(F.struct("term_id", "weight")).alias("e"))
     g = g.select("doc_id", F.col("e.term_id").alias("term_ids"), F.col("e.weight").alias("values"))
-    return g.checkpoint(eager=True)
+    return durable(g)
 
 
 def _gram_pass(rows: DataFrame, q: np.ndarray) -> np.ndarray:

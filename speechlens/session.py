@@ -82,3 +82,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hconf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(hconf).exists(p)
+
+
+def durable(df):
+    """`df.checkpoint()` into the session's checkpoint folder: cuts lineage
+    with files that outlive a lost executor (never a local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
