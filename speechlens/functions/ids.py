@@ -88,3 +88,41 @@ def smallest_by_hash(df: DataFrame, key: str, k: int, *, prefix_step: int = 4,
                 (F.col("_sl_h") == F.lit(th)) & (F.col(key) <= F.lit(tk)))
             return keyed.filter(cond).drop("_sl_h")
         prefix = boundary
+
+
+# distinct values read back from the boundary bucket of `kth_largest`
+KTH_BUCKET_VALUES = 5_000_000
+
+
+def kth_largest(df: DataFrame, col: str, k: int) -> int | None:
+    """Exact k-th largest value of a positive integer column, without sorting
+    the column into one task: a histogram of log2 buckets (about 64 rows)
+    finds the bucket holding the k-th value, then exact counts of the values
+    inside that bucket fix it. Returns None if there are fewer than k rows."""
+    if k <= 0:
+        return None
+    v = F.col(col)
+    bucket = F.floor(F.log2(F.greatest(v, F.lit(1)).cast("double"))).cast("int")
+    hist = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    above = 0
+    target = None
+    for r in sorted(hist, key=lambda r: -r["b"]):
+        if above + r["n"] >= k:
+            target = r["b"]
+            break
+        above += r["n"]
+    if target is None:
+        return None
+    inside = (df.filter(bucket == target).groupBy(v.alias("x"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    # values in one bucket [2^b, 2^(b+1)) that are held by at least one row;
+    # their number is bounded by the rows in the bucket and by 2^b
+    rows = inside.limit(KTH_BUCKET_VALUES + 1).collect()
+    if len(rows) > KTH_BUCKET_VALUES:
+        raise ValueError("too many distinct values in one histogram bucket")
+    seen = above
+    for r in sorted(rows, key=lambda r: -r["x"]):
+        seen += r["n"]
+        if seen >= k:
+            return int(r["x"])
+    return None

@@ -47,3 +47,29 @@ def local_frame(spark, rows: list, schema: str) -> DataFrame:
 def marker(spark, path: str) -> None:
     """Write a one-row completion marker (JVM-side, no Python worker)."""
     spark.range(1).select(F.lit(1).alias("done")).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+# Catalyst reports Long.MaxValue (scaled by projections) when it cannot size
+# a relation; anything beyond a few petabytes is treated as unknown
+UNKNOWN_SIZE = 2 ** 52
+MAX_PARTITIONS = 100_000
+# bytes of (compressed) input per partition when text is redistributed
+TEXT_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (file sizes for a scan)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable
+        return 0
+
+
+def partitions_for(df: DataFrame, target_bytes: int = TEXT_PARTITION_BYTES) -> int:
+    """At least the session's shuffle partitions, more when the input is large."""
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = estimated_bytes(df)
+    if size <= 0 or size >= UNKNOWN_SIZE:
+        return base
+    return int(min(MAX_PARTITIONS, max(base, -(-size // target_bytes))))

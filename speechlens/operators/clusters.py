@@ -20,7 +20,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.sizing import collect_bounded
+from ..functions.sizing import collect_bounded, maybe_broadcast
 from ..session import durable
 from ..schema import SCORE_DIGITS, SPEECH
 
@@ -109,6 +109,7 @@ def cluster_examples(assignment: DataFrame, docs: DataFrame, k: int,
     ex = first.join(docs.select("doc_id", SPEECH), "doc_id").select(
         "cluster_id", "rank", "doc_id", F.col(SPEECH).alias("speech"))
     ids = spark.range(k).select(F.col("id").cast("int").alias("cluster_id"))
+    # k <= CLUSTERING_LIMIT rows: a proven bound
     full = ids.join(F.broadcast(sizes), "cluster_id", "left").join(ex, "cluster_id", "left")
     return full.select(F.col("cluster_id").cast("int"),
                        F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"),
@@ -119,7 +120,8 @@ def _centroids(weights: DataFrame, assignment: DataFrame) -> tuple[DataFrame, Da
     sizes = assignment.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n_docs"))
     sums = (weights.select("doc_id", "term", "weight").join(assignment.select("doc_id", "cluster_id"), "doc_id")
             .groupBy("cluster_id", "term").agg(F.sum("weight").alias("s")))
-    cent = sums.join(F.broadcast(sizes), "cluster_id").select(
+    sizes_side, _ = maybe_broadcast(sizes)
+    cent = sums.join(sizes_side, "cluster_id").select(
         "cluster_id", "term", (F.col("s") / F.col("n_docs")).alias("c"))
     return cent, sizes
 
@@ -128,13 +130,15 @@ def cluster_profile(weights: DataFrame, assignment: DataFrame) -> DataFrame:
     """(cluster_id, n_docs, cohesion): cohesion = mean over the cluster's
     documents of cos(document, centroid); documents without terms count 0."""
     cent, sizes = _centroids(weights, assignment)
+    # centroids are (clusters x vocabulary): computed once, reused three times
+    cent = durable(cent)
     norms = cent.groupBy("cluster_id").agg(F.sqrt(F.sum(F.col("c") ** 2)).alias("cn"))
-    # centroids are bounded by (clusters x vocabulary): broadcast
+    cent_side, _ = maybe_broadcast(cent)
     dots = (weights.select("doc_id", "term", "weight")
             .join(assignment.select("doc_id", "cluster_id"), "doc_id")
-            .join(F.broadcast(cent), ["cluster_id", "term"])
+            .join(cent_side, ["cluster_id", "term"])
             .groupBy("cluster_id", "doc_id").agg(F.sum(F.col("weight") * F.col("c")).alias("dot")))
-    cos = dots.join(F.broadcast(norms), "cluster_id").select(
+    cos = dots.join(maybe_broadcast(norms)[0], "cluster_id").select(
         "cluster_id", (F.col("dot") / F.col("cn")).alias("cos"))
     tot = cos.groupBy("cluster_id").agg(F.sum("cos").alias("sc"))
     out = sizes.join(tot, "cluster_id", "left").select(

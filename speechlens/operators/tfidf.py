@@ -31,14 +31,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicon
-from ..functions.ids import with_sequential_id
-from ..functions.sizing import marker
+from ..functions.ids import kth_largest, with_sequential_id
+from ..functions.sizing import marker, partitions_for
 from ..functions.text import tokens
 from ..schema import SCORE_DIGITS
 from ..session import path_exists
 
 # vocabulary sizes up to this are broadcast (bounded by max_features)
 VOCAB_BROADCAST_LIMIT = 2_000_000
+# partitions x max_features rows a direct top-k may merge in one task
+TOPK_DIRECT_ROWS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -89,7 +91,7 @@ def term_frequencies(docs: DataFrame, opts: TextOptions | None = None, *,
     """(doc_id, term, tf) for every term of every document."""
     opts = opts or default_options()
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    src = src.repartition(num_partitions, "doc_id") if num_partitions else src.repartition("doc_id")
+    src = src.repartition(num_partitions or partitions_for(src), "doc_id")
     terms = doc_terms(src, "doc_id", "text", opts)
     return terms.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
@@ -105,8 +107,15 @@ def select_vocabulary(stats: DataFrame, n_docs: int, max_df: float | int = 0.9,
     limit = max_df if isinstance(max_df, int) and not isinstance(max_df, bool) else max_df * n_docs
     kept = stats.filter(F.col("df") <= F.lit(float(limit)))
     if max_features is not None:
-        # top-k by cf is a TakeOrderedAndProject (k rows per partition), then the
-        # alphabetical numbering runs over at most max_features rows
+        # a plain top-k merges k rows from every partition in one task; when
+        # that product is large, the exact cf of the k-th term is found from
+        # two small histograms first, so the final sort only sees the terms at
+        # or above it (k plus ties). Numbering then runs over k rows.
+        n_parts = int(stats.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if n_parts * int(max_features) > TOPK_DIRECT_ROWS:
+            cut = kth_largest(kept, "cf", int(max_features))
+            if cut is not None:
+                kept = kept.filter(F.col("cf") >= F.lit(cut))
         top = kept.orderBy(F.desc("cf"), F.asc("term")).limit(int(max_features))
         vocab = top.withColumn(
             "term_id", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
@@ -182,11 +191,12 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
     else:
         vocab = vocab.persist(StorageLevel.MEMORY_AND_DISK)
     weights = weigh(tf, vocabulary_side(vocab, max_features))
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if path:
         weights.write.mode("overwrite").parquet(f"{path}/weights")
         weights = spark.read.parquet(f"{path}/weights")
         tf.unpersist()
+        # sized from the written files (a plan estimate of a join is not a size)
+        n_parts = num_partitions or partitions_for(weights)
         _sorted_postings(weights, n_parts).write.mode("overwrite").parquet(f"{path}/postings")
         postings = spark.read.parquet(f"{path}/postings")
         spark.range(1).select(
@@ -198,6 +208,7 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
         weights = weights.persist(StorageLevel.MEMORY_AND_DISK)
         weights.count()
         tf.unpersist()
+        n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         postings = _sorted_postings(weights, n_parts).persist(StorageLevel.MEMORY_AND_DISK)
     return TfidfModel(vocab, int(n_docs), weights, postings, opts, max_df, max_features, path)
 

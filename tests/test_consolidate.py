@@ -89,3 +89,14 @@ def test_csv_without_order_column_uses_file_order(spark, tmp_path):
     out = C.consolidate(raw).orderBy("doc_id").collect()
     assert out[0]["speech"] == 'first\nline | say "hi"'
     assert out[0]["member_region"] is None and out[1]["speech"] == "other"
+
+
+def test_kth_largest_exact(spark):
+    from speechlens.functions.ids import kth_largest
+
+    vals = [1, 1, 2, 3, 3, 3, 7, 7, 8, 100, 1000, 1000]
+    df = spark.createDataFrame([(v,) for v in vals], "cf long")
+    desc = sorted(vals, reverse=True)
+    for k in range(1, len(vals) + 1):
+        assert kth_largest(df, "cf", k) == desc[k - 1], k
+    assert kth_largest(df, "cf", len(vals) + 1) is None

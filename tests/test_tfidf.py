@@ -83,3 +83,12 @@ def test_same_result_at_any_partition_count(spark, plain):
     ra = sorted((r["doc_id"], r["term"], round(r["weight"], 12)) for r in a.weights.collect())
     rb = sorted((r["doc_id"], r["term"], round(r["weight"], 12)) for r in b.weights.collect())
     assert ra == rb
+
+
+def test_vocabulary_cut_through_histograms(spark, plain, monkeypatch):
+    rows = [(i, " ".join(f"w{j}" for j in range(i % 9 + 1))) for i in range(40)]
+    d = docs(spark, rows)
+    direct = T.fit_tfidf(d, max_df=1.0, max_features=5, options=plain)
+    monkeypatch.setattr(T, "TOPK_DIRECT_ROWS", 0)
+    cut = T.fit_tfidf(d, max_df=1.0, max_features=5, options=plain)
+    assert sorted(map(tuple, direct.vocabulary.collect())) == sorted(map(tuple, cut.vocabulary.collect()))
