@@ -75,8 +75,13 @@ def fit_clusters(topic_vectors: DataFrame, k: int = N_CLUSTERS, seed: int = SEED
     """(doc_id, cluster_id, distance) and the centres, clusters renumbered by
     their smallest doc_id."""
     k = clamp_k(k)
-    # (docs x k) doubles, derived from all weights: materialised once
-    topic_vectors = durable(topic_vectors.select("doc_id", "topic"))
+    # (docs x k) doubles, derived from all weights: materialised once, in a
+    # fixed order and partitioning, with summation-order noise rounded away, so
+    # the seeded k-means|| sampling sees the same input on every run
+    n_parts = int(topic_vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    topic_vectors = durable(
+        topic_vectors.select("doc_id", F.transform("topic", lambda x: F.round(x, 12)).alias("topic"))
+        .repartitionByRange(n_parts, "doc_id").sortWithinPartitions("doc_id"))
     data = topic_vectors.select("doc_id", array_to_vector("topic").alias("features")).cache()
     km = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
                 predictionCol="raw_cluster").fit(data)
