@@ -78,7 +78,8 @@ def top_hits(scores: DataFrame, k: int = SEARCH_SIZE, floor: float = SCORE_FLOOR
 
 
 def attach_display(hits: DataFrame, docs: DataFrame) -> DataFrame:
-    """Join hits with their documents for snippet, name, party and date."""
+    """Join hits with their documents for snippet, name, party and date,
+    ordered by (query_id, rank)."""
     fields = docs.select("doc_id", SPEECH, MEMBER, PARTY, DATE)
     hits, rows = _materialise_if_small(hits, SMALL_HITS, _HIT_SCHEMA)
     if rows is not None:
@@ -86,10 +87,14 @@ def attach_display(hits: DataFrame, docs: DataFrame) -> DataFrame:
         fields = fields.filter(in_list("doc_id", ids))
         hits = F.broadcast(hits)
     j = fields.join(hits, "doc_id")
-    return j.select(
+    out = j.select(
         F.col("query_id").cast("long").alias("query_id"), "rank", F.col("doc_id").cast("long"),
         snippet(F.col(SPEECH)).alias("speech_start"), F.col(MEMBER).alias("name"),
         F.col(PARTY), F.col(DATE).alias("date"), F.col("score").cast("double"))
+    if rows is not None:
+        # at most SMALL_HITS rows: one sorted partition, no range-sampling pass
+        return out.repartition(1).sortWithinPartitions("query_id", "rank")
+    return out.orderBy("query_id", "rank")
 
 
 def search(model: TfidfModel, docs: DataFrame, queries: DataFrame, k: int = SEARCH_SIZE,
@@ -97,8 +102,7 @@ def search(model: TfidfModel, docs: DataFrame, queries: DataFrame, k: int = SEAR
            text_col: str = "text") -> DataFrame:
     """Ranked hits of each query with snippets: the HITS schema."""
     hits = top_hits(score(model, queries, id_col, text_col), k, floor)
-    # k rows per query: the final range sort is over the hits only
-    return attach_display(hits, docs).orderBy("query_id", "rank")
+    return attach_display(hits, docs)
 
 
 def search_text(spark: SparkSession, model: TfidfModel, docs: DataFrame, text: str | None,
