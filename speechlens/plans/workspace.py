@@ -24,6 +24,22 @@ from ..sources.speeches import documents_corpus, read_table
 ARTIFACT_VERSION = "1"
 
 
+def _code_digest() -> str:
+    """Digest of the library's source: artifacts written by other code are
+    never picked up again."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for dirpath, _, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(dirpath, f), "rb") as fh:
+                    h.update(f.encode() + fh.read())
+    return h.hexdigest()[:12]
+
+
+CODE_DIGEST = _code_digest()
+
+
 def _input_identity(path: str) -> str:
     try:
         st = os.stat(path)
@@ -50,7 +66,8 @@ class Workspace:
 
     def key(self, kind: str, **params) -> str:
         ident = _input_identity(f"{self.sf_dir}/documents.parquet")
-        blob = json.dumps({"v": ARTIFACT_VERSION, "in": ident, "kind": kind, **params},
+        blob = json.dumps({"v": ARTIFACT_VERSION, "code": CODE_DIGEST, "in": ident, "kind": kind,
+                           **params},
                           sort_keys=True, default=str)
         return hashlib.sha1(blob.encode()).hexdigest()[:16]
 
