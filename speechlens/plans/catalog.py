@@ -139,7 +139,6 @@ from ..functions import text as TX  # noqa: E402
 from ..functions import lexicon as LX  # noqa: E402
 from ..session import scratch_path  # noqa: E402
 from ..sources import speeches as SP  # noqa: E402
-from ..schema import SPEECH_COLUMNS  # noqa: E402
 
 
 def _raw(ws: Workspace) -> DataFrame:
