@@ -46,6 +46,32 @@ def consolidate(raw: DataFrame, order_cols: list[str] | None = None) -> DataFram
     return numbered.select("doc_id", *SPEECH_COLUMNS)
 
 
+def consolidate_parts(raw: DataFrame, order_cols: list[str] | None = None
+                      ) -> tuple[DataFrame, DataFrame]:
+    """Consolidation that never builds a group's joined text.
+
+    Returns (groups, parts): groups = (doc_id, keys, first non-null
+    attributes); parts = (doc_id, order columns..., speech), one row per raw
+    speech. A group holding a third of all speeches stays spread over many
+    partitions, and TF-IDF over the parts equals TF-IDF over the joined text
+    (the separator is punctuation, i.e. a token boundary)."""
+    if order_cols is None:
+        order_cols = ["source_file", "seq"] if "source_file" in raw.columns else ["seq"]
+    order_key = (f"`{order_cols[0]}`" if len(order_cols) == 1
+                 else "struct(" + ", ".join(f"`{c}`" for c in order_cols) + ")")
+    firsts = [
+        F.expr(f"min_by(`{c}`, {order_key}) FILTER (WHERE `{c}` IS NOT NULL)").alias(c)
+        for c in ATTRIBUTES
+    ]
+    keyed = raw.dropna(subset=GROUP_KEYS)
+    groups = with_sequential_id(keyed.groupBy(*GROUP_KEYS).agg(*firsts), GROUP_KEYS, "doc_id")
+    groups = groups.select("doc_id", *GROUP_KEYS, *ATTRIBUTES)
+    # a hot key is one row on the groups side; AQE splits the skewed side
+    parts = keyed.join(groups.select("doc_id", *GROUP_KEYS), GROUP_KEYS).select(
+        "doc_id", *order_cols, SPEECH)
+    return groups, parts
+
+
 def sample_exact(df: DataFrame, fraction: float = SAMPLE_FRACTION, id_col: str = "doc_id") -> DataFrame:
     """Exactly round(fraction * n) rows, reproducible: the rows whose md5(id)
     is smallest. (The reference samples without a seed.)"""

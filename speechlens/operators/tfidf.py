@@ -87,11 +87,19 @@ def text_term_counts(texts: DataFrame, id_col: str, text_col: str,
 
 def term_frequencies(docs: DataFrame, opts: TextOptions | None = None, *,
                      id_col: str = "doc_id", text_col: str = "speech",
-                     num_partitions: int | None = None) -> DataFrame:
-    """(doc_id, term, tf) for every term of every document."""
+                     num_partitions: int | None = None, parts: bool = False) -> DataFrame:
+    """(doc_id, term, tf) for every term of every document.
+
+    One row per document: rows are hash-partitioned by doc_id before
+    tokenising, and everything after stays in place. Several rows per
+    document (`parts=True`, e.g. the speeches of a consolidated group):
+    rows are tokenised where they are and the counts are combined by a
+    partially aggregated shuffle on (doc_id, term), so a document holding a
+    third of all text is still spread over all tasks."""
     opts = opts or default_options()
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    src = src.repartition(num_partitions or partitions_for(src), "doc_id")
+    if not parts:
+        src = src.repartition(num_partitions or partitions_for(src), "doc_id")
     terms = doc_terms(src, "doc_id", "text", opts)
     return terms.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
@@ -168,12 +176,16 @@ class TfidfModel:
 def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speech",
               max_df: float | int = 0.9, max_features: int | None = 6000,
               options: TextOptions | None = None, path: str | None = None,
-              num_partitions: int | None = None) -> TfidfModel:
+              num_partitions: int | None = None, parts: bool = False,
+              n_docs: int | None = None) -> TfidfModel:
     """Fit the model on `docs` and weigh every document.
 
     With `path`, the model, the document weights and the postings are
     written there (and reused if already present); without it they are
-    persisted in executor memory/disk for this session.
+    persisted in executor memory/disk for this session. `parts=True` takes
+    several text rows per document (see `term_frequencies`); `n_docs` then
+    defaults to the number of distinct ids (pass the group count to include
+    groups without any text).
     """
     spark = docs.sparkSession
     opts = options or default_options()
@@ -181,8 +193,9 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
         return load_tfidf(spark, path, opts)
 
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("speech"))
-    n_docs = src.count()
-    tf = term_frequencies(src, opts, num_partitions=num_partitions).persist(
+    if n_docs is None:
+        n_docs = src.select("doc_id").distinct().count() if parts else src.count()
+    tf = term_frequencies(src, opts, num_partitions=num_partitions, parts=parts).persist(
         StorageLevel.MEMORY_AND_DISK)
     vocab = select_vocabulary(term_statistics(tf), n_docs, max_df, max_features)
     if path:

@@ -408,3 +408,13 @@ def search_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                                available_now=True)
     q.awaitTermination()
     return ST.read_stream_hits(spark, sink).drop("epoch")
+
+
+@register
+def tfidf_consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TF-IDF of the consolidated speeches, computed from the grouped speech
+    rows without building any joined text (equal to TF-IDF of the joined text)."""
+    ws = _ws(spark, sf_dir)
+    groups, parts = C.consolidate_parts(_raw(ws))
+    m = T.fit_tfidf(parts, parts=True, n_docs=groups.count())
+    return T.rounded_weights(m.weights).select("doc_id", "term", "term_id", "tf", "weight")

@@ -73,9 +73,8 @@ def terms_cte(name: str, src: str, id_col: str, text_col: str) -> str:
   SELECT id, term, count(*) AS tf FROM {name}_terms WHERE length(term) >= 2 GROUP BY id, term)"""
 
 
-def model_ctes(max_df: float = 0.9, max_features: int = 6000) -> str:
-    return f"""{SPEECHES},
-{DOCS},
+def model_ctes(max_df: float = 0.9, max_features: int = 6000, docs_block: str | None = None) -> str:
+    return f"""{docs_block or SPEECHES + ',' + chr(10) + DOCS},
 {terms_cte('d', 'docs', 'doc_id', 'speech')},
 n AS (SELECT count(*) AS n_docs FROM docs),
 stats AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM d_tf GROUP BY term),
@@ -392,3 +391,7 @@ SELECT vec_id, CAST(label AS INTEGER) AS cluster_id, round(dist, {D}) AS distanc
 FROM d QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY dist, label) = 1"""
 
 ORACLE["search_stream"] = search_sql("benchmark", "item_id", "text")
+
+
+ORACLE["tfidf_consolidated"] = f"""WITH {model_ctes(docs_block=SPEECHES + ", docs AS (" + consolidate_sql('speeches') + ")")}
+SELECT doc_id, term, term_id, tf, round(weight, {D}) AS weight FROM weights"""

@@ -92,3 +92,26 @@ def test_vocabulary_cut_through_histograms(spark, plain, monkeypatch):
     monkeypatch.setattr(T, "TOPK_DIRECT_ROWS", 0)
     cut = T.fit_tfidf(d, max_df=1.0, max_features=5, options=plain)
     assert sorted(map(tuple, direct.vocabulary.collect())) == sorted(map(tuple, cut.vocabulary.collect()))
+
+
+def test_parts_equal_joined_text(spark):
+    from speechlens.operators import consolidate as C
+    from speechlens.schema import RAW_SPEECH, SPEECH_COLUMNS
+
+    speeches = [("A", "m", "d1", "The cats sat."), ("A", "m", "d1", "Cats and dogs!"),
+                ("B", "n", "d1", "dogs, dogs"), ("A", "m", "d2", None), ("A", "m", "d1", "a.b sat")]
+    rows = []
+    for i, (p, mb, dt, sp) in enumerate(speeches):
+        r = dict.fromkeys(SPEECH_COLUMNS)
+        r.update(political_party=p, member_name=mb, sitting_date=dt, speech=sp)
+        rows.append(tuple(r[c] for c in SPEECH_COLUMNS) + (i,))
+    raw = spark.createDataFrame(rows, RAW_SPEECH)
+    joined = C.consolidate(raw)
+    groups, parts = C.consolidate_parts(raw)
+    a = T.fit_tfidf(joined, max_df=1.0, max_features=None)
+    b = T.fit_tfidf(parts, max_df=1.0, max_features=None, parts=True, n_docs=groups.count())
+    wa = sorted((r["doc_id"], r["term"], r["tf"], round(r["weight"], 12)) for r in a.weights.collect())
+    wb = sorted((r["doc_id"], r["term"], r["tf"], round(r["weight"], 12)) for r in b.weights.collect())
+    assert wa == wb and a.n_docs == b.n_docs == 3
+    assert sorted(map(tuple, groups.drop("doc_id").collect())) == sorted(
+        map(tuple, joined.drop("doc_id", "speech").collect()))
