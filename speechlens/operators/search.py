@@ -70,6 +70,8 @@ def score(model: TfidfModel, queries: DataFrame, id_col: str = "query_id",
 
 def top_hits(scores: DataFrame, k: int = SEARCH_SIZE, floor: float = SCORE_FLOOR) -> DataFrame:
     """Top-k per query by rounded score, then doc_id; scores below `floor` dropped."""
+    if int(k) < 1:
+        raise ValueError("k must be at least 1")
     s = scores.withColumn("score", F.round("score", SCORE_DIGITS)).filter(F.col("score") >= floor)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id"))
     ranked = s.withColumn("rank", F.row_number().over(w))

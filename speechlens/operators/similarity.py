@@ -91,6 +91,8 @@ def similar_pairs(vectors: DataFrame, k: int | None = TOP_PAIRS,
                   threshold: float = SIMILARITY_THRESHOLD) -> DataFrame:
     """(member_a, member_b, similarity) with a < b and rounded similarity >=
     threshold; the k best (all of them if k is None)."""
+    if k is not None and int(k) < 1:
+        raise ValueError("k must be at least 1 (or None for every pair above the threshold)")
     # unit vectors are (members x vocabulary) at most: computed once from the
     # weights and checkpointed, instead of once per action below
     unit = durable(_unit_vectors(vectors))

@@ -119,3 +119,16 @@ def test_blocked_pairs_match_brute_force(spark, monkeypatch):
     assert [(r["member_a"], r["member_b"]) for r in top] == [k for k, _ in best]
     nodes = {r["member_name"]: r["degree"] for r in M.pair_graph_nodes(M.similar_pairs(v, 5, 0.3)).collect()}
     assert sum(nodes.values()) == 10
+
+
+def test_parameter_checks(spark):
+    from speechlens.operators import clusters as CL
+    from speechlens.operators import search as S
+
+    w = weights(spark, [(1, "x", 0, 1, 1.0)])
+    d = docs(spark, [(1, "m", "p", "", "")])
+    with pytest.raises(ValueError):
+        M.similar_pairs(M.member_vectors(w, d), k=0)
+    with pytest.raises(ValueError):
+        S.top_hits(spark.createDataFrame([(1, 1, 0.5)], "query_id long, doc_id long, score double"), k=0)
+    assert CL.clamp_k(25) == 20 and CL.clamp_k(-3) == 1
