@@ -418,3 +418,17 @@ def tfidf_consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups, parts = C.consolidate_parts(_raw(ws))
     m = T.fit_tfidf(parts, parts=True, n_docs=groups.count())
     return T.rounded_weights(m.weights).select("doc_id", "term", "term_id", "tf", "weight")
+
+
+@register
+def pair_graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adjacency of the graph of the 10 most similar pairs, both directions."""
+    return M.pair_graph_edges(similar_pairs(spark, sf_dir))
+
+
+@register
+def vocabulary_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No max_features: every term within max_df, ids numbered alphabetically
+    by the distributed two-pass numbering."""
+    m = _ws(spark, sf_dir).model(max_df=0.9, max_features=None)
+    return m.vocabulary.select("term", "term_id", "df", "cf", F.round("idf", SCORE_DIGITS).alias("idf"))

@@ -73,7 +73,7 @@ def terms_cte(name: str, src: str, id_col: str, text_col: str) -> str:
   SELECT id, term, count(*) AS tf FROM {name}_terms WHERE length(term) >= 2 GROUP BY id, term)"""
 
 
-def model_ctes(max_df: float = 0.9, max_features: int = 6000, docs_block: str | None = None) -> str:
+def model_ctes(max_df: float = 0.9, max_features: int | None = 6000, docs_block: str | None = None) -> str:
     return f"""{docs_block or SPEECHES + ',' + chr(10) + DOCS},
 {terms_cte('d', 'docs', 'doc_id', 'speech')},
 n AS (SELECT count(*) AS n_docs FROM docs),
@@ -81,7 +81,7 @@ stats AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM d_tf GROUP BY term),
 top AS (
   SELECT term, df, cf FROM stats
   WHERE df <= {float(max_df)} * (SELECT n_docs FROM n)
-  ORDER BY cf DESC, term ASC LIMIT {int(max_features)}),
+  ORDER BY cf DESC, term ASC {'' if max_features is None else f'LIMIT {int(max_features)}'}),
 vocab AS (
   SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS term_id,
          CAST(df AS BIGINT) AS df, CAST(cf AS BIGINT) AS cf,
@@ -395,3 +395,11 @@ ORACLE["search_stream"] = search_sql("benchmark", "item_id", "text")
 
 ORACLE["tfidf_consolidated"] = f"""WITH {model_ctes(docs_block=SPEECHES + ", docs AS (" + consolidate_sql('speeches') + ")")}
 SELECT doc_id, term, term_id, tf, round(weight, {D}) AS weight FROM weights"""
+
+ORACLE["pair_graph_edges"] = f"""WITH {MEMBER_CTES}
+SELECT member_a AS member_name, member_b AS neighbour, similarity FROM top_pairs
+UNION ALL
+SELECT member_b, member_a, similarity FROM top_pairs"""
+
+ORACLE["vocabulary_unbounded"] = f"""WITH {model_ctes(0.9, None)}
+SELECT term, term_id, df, cf, round(idf, {D}) AS idf FROM vocab"""
