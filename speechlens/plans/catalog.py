@@ -161,7 +161,8 @@ def scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def scan_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column-pruned CSV scan: only member, speech and order are read."""
+    """Column-pruned CSV scan: only member, speech and order are parsed into
+    the output (CSV is row-oriented, so the file bytes are still scanned)."""
     ws = _ws(spark, sf_dir)
     return SP.read_speeches_csv(spark, _csv_copy(spark, ws), ["member_name", "speech", "seq"])
 
@@ -396,8 +397,8 @@ from ..streaming import search_stream as ST  # noqa: E402
 
 @register
 def search_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The benchmark passages arriving as a stream of query files (four
-    micro-batches), each batch searched against the fixed model; the
+    """The benchmark passages arriving as a stream of query files (one file
+    per micro-batch), each batch searched against the fixed model; the
     collected hits equal the batch search."""
     ws = _ws(spark, sf_dir)
     src = scratch_path(spark, "query-stream")
