@@ -52,7 +52,7 @@ def main() -> None:
     timed("search_batch", lambda: S.search(m, docs, bench_q).collect())
 
     def keywords():
-        per_doc = K.keywords_per_doc(m.weights, docs).persist()
+        per_doc = K.keywords_per_doc(m.weights, docs, carry=("member_name", "political_party")).persist()
         run(per_doc)
         run(K.keywords_per_member(per_doc, docs))
         run(K.keywords_per_party(per_doc, docs))

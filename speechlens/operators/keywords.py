@@ -23,20 +23,23 @@ from ..schema import DATE, MEMBER, PARTY, SCORE_DIGITS
 NO_KEYWORDS = 10
 
 
-def keywords_per_doc(weights: DataFrame, docs: DataFrame, n: int = NO_KEYWORDS) -> DataFrame:
-    """(doc_id, rank, word, tfidf, date)."""
+def keywords_per_doc(weights: DataFrame, docs: DataFrame, n: int = NO_KEYWORDS,
+                     carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, rank, word, tfidf, date) plus the document columns in `carry`
+    (e.g. member and party, so later rankings need no second join)."""
     w = weights.select("doc_id", F.col("term").alias("word"),
                        F.round("weight", SCORE_DIGITS).alias("tfidf"))
     order = Window.partitionBy("doc_id").orderBy(F.desc("tfidf"), F.desc("word"))
     top = w.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
-    dated = top.join(docs.select("doc_id", F.col(DATE).alias("date")), "doc_id")
-    return dated.select("doc_id", F.col("rank").cast("int"), "word", "tfidf", "date")
+    dated = top.join(docs.select("doc_id", F.col(DATE).alias("date"), *carry), "doc_id")
+    return dated.select("doc_id", F.col("rank").cast("int"), "word", "tfidf", "date", *carry)
 
 
 def keywords_per_group(per_doc: DataFrame, docs: DataFrame, group_col: str,
                        n: int = NO_KEYWORDS) -> DataFrame:
     """(group_col, rank, tfidf, word, date) from the per-speech keyword lists."""
-    j = per_doc.join(docs.select("doc_id", group_col), "doc_id")
+    j = per_doc if group_col in per_doc.columns else per_doc.join(
+        docs.select("doc_id", group_col), "doc_id")
     order = Window.partitionBy(group_col).orderBy(
         F.desc("tfidf"), F.desc("word"), F.desc("date"))
     top = j.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
@@ -104,6 +107,7 @@ def read_keywords_json(spark, path: str) -> DataFrame:
 def keyword_timeline(per_doc: DataFrame, per_member: DataFrame, per_party: DataFrame) -> DataFrame:
     """(series_kind, series, rank, word, date DATE): the points the reference
     plots, one row per (series, keyword); bad date text gives a null date."""
+    per_doc = per_doc.select("doc_id", "rank", "word", "tfidf", "date")
     s = per_doc.select(F.lit("speech").alias("series_kind"),
                        F.col("doc_id").cast("string").alias("series"), "rank", "word", "date")
     m = per_member.select(F.lit("member").alias("series_kind"), F.col(MEMBER).alias("series"),
@@ -117,7 +121,8 @@ def keyword_timeline(per_doc: DataFrame, per_member: DataFrame, per_party: DataF
 def keyword_trend(per_doc: DataFrame, docs: DataFrame, group_col: str = PARTY) -> DataFrame:
     """How keywords evolve: per group and year, how many speeches have the word
     among their top keywords, and its highest weight that year."""
-    j = per_doc.join(docs.select("doc_id", group_col), "doc_id")
+    j = per_doc if group_col in per_doc.columns else per_doc.join(
+        docs.select("doc_id", group_col), "doc_id")
     y = F.year(parse_date(F.col("date")))
     return (j.withColumn("year", y)
             .groupBy(group_col, "year", "word")

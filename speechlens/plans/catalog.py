@@ -243,13 +243,14 @@ from ..operators import similarity as M  # noqa: E402
 
 
 def _per_doc(ws: Workspace) -> DataFrame:
-    return K.keywords_per_doc(ws.model().weights, ws.docs())
+    # member and party ride along from the one join that adds the date
+    return K.keywords_per_doc(ws.model().weights, ws.docs(), carry=("member_name", "political_party"))
 
 
 @register
 def keywords_per_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-10 words of every document by weight (ties: word descending)."""
-    return _per_doc(_ws(spark, sf_dir))
+    return _per_doc(_ws(spark, sf_dir)).select("doc_id", "rank", "word", "tfidf", "date")
 
 
 @register
@@ -271,7 +272,8 @@ def keywords_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = ws.docs()
     per_doc = _per_doc(ws)
     path = scratch_path(spark, "keywords-json")
-    K.write_keywords_json(per_doc, K.keywords_per_member(per_doc, docs),
+    K.write_keywords_json(per_doc.select("doc_id", "rank", "word", "tfidf", "date"),
+                          K.keywords_per_member(per_doc, docs),
                           K.keywords_per_party(per_doc, docs), path)
     return K.read_keywords_json(spark, path)
 
