@@ -10,9 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import lexicon as LX
+from ..functions import text as TX
+from ..operators import clusters as CL
+from ..operators import consolidate as C
+from ..operators import keywords as K
 from ..operators import search as S
+from ..operators import similarity as M
 from ..operators import tfidf as T
+from ..operators import topics as TP
 from ..schema import SCORE_DIGITS
+from ..session import scratch_path
+from ..sources import speeches as SP
+from ..streaming import search_stream as ST
 from .workspace import Workspace
 
 QUERIES: dict = {}
@@ -134,11 +144,6 @@ def suggest_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------- scans and sinks
 
-from ..operators import consolidate as C  # noqa: E402
-from ..functions import text as TX  # noqa: E402
-from ..functions import lexicon as LX  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import speeches as SP  # noqa: E402
 
 
 def _raw(ws: Workspace) -> DataFrame:
@@ -238,8 +243,6 @@ def snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------- keywords
 
-from ..operators import keywords as K  # noqa: E402
-from ..operators import similarity as M  # noqa: E402
 
 
 def _per_doc(ws: Workspace) -> DataFrame:
@@ -326,8 +329,6 @@ def pair_graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------- topics, clusters
 
-from ..operators import topics as TP  # noqa: E402
-from ..operators import clusters as CL  # noqa: E402
 
 
 @register
@@ -394,7 +395,6 @@ def assign_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -------------------------------------------------------------- streaming
 
-from ..streaming import search_stream as ST  # noqa: E402
 
 
 @register
