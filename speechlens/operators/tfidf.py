@@ -24,6 +24,7 @@ Physical plan, chosen for large corpora:
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -195,7 +196,8 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("speech"))
     if n_docs is None:
         n_docs = src.select("doc_id").distinct().count() if parts else src.count()
-    tf = term_frequencies(src, opts, num_partitions=num_partitions, parts=parts).persist(
+    n_text = num_partitions or partitions_for(src)
+    tf = term_frequencies(src, opts, num_partitions=n_text, parts=parts).persist(
         StorageLevel.MEMORY_AND_DISK)
     vocab = select_vocabulary(term_statistics(tf), n_docs, max_df, max_features)
     if path:
@@ -205,8 +207,11 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
         vocab = vocab.persist(StorageLevel.MEMORY_AND_DISK)
     weights = weigh(tf, vocabulary_side(vocab, max_features))
     if path:
-        weights.write.mode("overwrite").parquet(f"{path}/weights")
-        weights = spark.read.parquet(f"{path}/weights")
+        # the weights are already hash-partitioned by doc_id: written as a table
+        # bucketed on doc_id, later per-document joins, windows and groupings
+        # read them without a shuffle
+        n_buckets = 0 if parts else n_text
+        weights, n_buckets = _write_weights(spark, weights, path, n_buckets)
         tf.unpersist()
         # sized from the written files (a plan estimate of a join is not a size)
         n_parts = num_partitions or partitions_for(weights)
@@ -215,6 +220,7 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
         spark.range(1).select(
             F.lit(int(n_docs)).cast("long").alias("n_docs"), F.lit(float(max_df)).alias("max_df"),
             F.lit(max_features).cast("int").alias("max_features"),
+            F.lit(int(n_buckets)).alias("n_buckets"),
         ).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
         marker(spark, f"{path}/_DONE")
     else:
@@ -226,6 +232,46 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
     return TfidfModel(vocab, int(n_docs), weights, postings, opts, max_df, max_features, path)
 
 
+def _weights_table(path: str) -> str:
+    return "speechlens_weights_" + hashlib.sha1(path.encode()).hexdigest()[:16]
+
+
+_WEIGHTS_DDL = "doc_id BIGINT, term STRING, term_id INT, tf BIGINT, weight DOUBLE"
+
+
+def _write_weights(spark: SparkSession, weights: DataFrame, path: str,
+                   n_buckets: int) -> tuple[DataFrame, int]:
+    """Write weights bucketed by doc_id when possible, else as plain parquet."""
+    if n_buckets > 0:
+        table = _weights_table(path)
+        try:
+            (weights.write.mode("overwrite").format("parquet")
+             .bucketBy(n_buckets, "doc_id").sortBy("doc_id")
+             .option("path", f"{path}/weights").saveAsTable(table))
+            return spark.table(table), n_buckets
+        except Exception:  # noqa: BLE001 - no usable catalog: plain files
+            pass
+    weights.write.mode("overwrite").parquet(f"{path}/weights")
+    return spark.read.parquet(f"{path}/weights"), 0
+
+
+def _read_weights(spark: SparkSession, path: str, n_buckets: int) -> DataFrame:
+    """Weights of a written model; a bucketed table is registered again in a
+    new session (its files carry the bucket ids)."""
+    if n_buckets > 0:
+        table = _weights_table(path)
+        try:
+            if not spark.catalog.tableExists(table):
+                loc = f"{path}/weights".replace("'", "\\'")
+                spark.sql(f"CREATE TABLE {table} ({_WEIGHTS_DDL}) USING parquet "
+                          f"CLUSTERED BY (doc_id) SORTED BY (doc_id) INTO {int(n_buckets)} BUCKETS "
+                          f"LOCATION '{loc}'")
+            return spark.table(table)
+        except Exception:  # noqa: BLE001 - fall back to the plain files
+            pass
+    return spark.read.parquet(f"{path}/weights")
+
+
 def _sorted_postings(weights: DataFrame, n_parts: int) -> DataFrame:
     # range bounds are sampled on (term, doc_id): a hot term is split by doc_id
     return weights.repartitionByRange(n_parts, "term", "doc_id").sortWithinPartitions(
@@ -234,9 +280,10 @@ def _sorted_postings(weights: DataFrame, n_parts: int) -> DataFrame:
 
 def load_tfidf(spark: SparkSession, path: str, options: TextOptions | None = None) -> TfidfModel:
     meta = spark.read.parquet(f"{path}/meta").first()
+    n_buckets = int(meta["n_buckets"]) if "n_buckets" in meta.asDict() else 0
     return TfidfModel(
         spark.read.parquet(f"{path}/model"), int(meta["n_docs"]),
-        spark.read.parquet(f"{path}/weights"), spark.read.parquet(f"{path}/postings"),
+        _read_weights(spark, path, n_buckets), spark.read.parquet(f"{path}/postings"),
         options or default_options(), meta["max_df"], meta["max_features"], path)
 
 
