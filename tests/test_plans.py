@@ -79,3 +79,17 @@ def test_written_weights_are_bucketed_by_doc(spark, tmp_path):
     # reloading in the same session re-uses the table; results are unchanged
     again = T.load_tfidf(spark, p)
     assert again.weights.count() == m.weights.count()
+
+
+def test_bucketed_weights_registered_again_from_files(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"gamma delta w{i % 5}") for i in range(30)],
+                                 "doc_id long, speech string")
+    p = str(tmp_path / "model")
+    m = T.fit_tfidf(docs, max_df=1.0, max_features=20, path=p, num_partitions=3)
+    want = sorted(map(tuple, m.weights.collect()))
+    # a new process has the files but not the catalog entry (external table: files stay)
+    spark.sql(f"DROP TABLE IF EXISTS {T._weights_table(p)}")
+    again = T.load_tfidf(spark, p)
+    assert sorted(map(tuple, again.weights.collect())) == want
+    packed = again.weights.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    assert "Exchange hashpartitioning(doc_id" not in plan(packed)
