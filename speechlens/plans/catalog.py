@@ -194,6 +194,13 @@ def sample_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.sample_exact(_ws(spark, sf_dir).docs(), 0.1)
 
 
+@register
+def sample_bernoulli(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """About 10 % of the documents, Bernoulli sampling with seed 42 (one
+    pass, no count); the rows are Spark's own sampler's, so no SQL twin."""
+    return C.sample_approx(_ws(spark, sf_dir).docs(), 0.1, seed=42)
+
+
 @register
 def choose_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents if there are at most 1000, else the exact 10 % sample."""
