@@ -9,10 +9,8 @@ are pulled into an expression.
 
 from __future__ import annotations
 
-import functools
-import os
-import zipfile
 from collections.abc import Iterable, Sequence
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,27 +39,23 @@ S_STEMMER_RULES = [
 ]
 
 
-@functools.lru_cache(maxsize=None)
 def spark_stop_words(language: str) -> tuple[str, ...]:
-    """Spark ML's default stop-word list for a language code, read from the
-    installed Spark jar (no JVM needed, so the SQL oracle can use it too)."""
-    import pyspark
+    """Spark ML's default stop-word list for a language code (needs a session)."""
+    from pyspark.ml.feature import StopWordsRemover
 
-    name = SPARK_STOPWORD_LISTS[language]
-    jar_dir = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-    jars = [j for j in os.listdir(jar_dir) if j.startswith("spark-mllib_")]
-    if not jars:
-        raise FileNotFoundError("spark-mllib jar not found next to pyspark")
-    with zipfile.ZipFile(os.path.join(jar_dir, jars[0])) as z:
-        text = z.read(f"org/apache/spark/ml/feature/stopwords/{name}.txt").decode("utf-8")
-    return tuple(w for w in text.split() if w)
+    return tuple(w for w in StopWordsRemover.loadDefaultStopWords(SPARK_STOPWORD_LISTS[language]) if w)
 
 
-def default_stop_words(languages: Iterable[str] = DEFAULT_LANGUAGES) -> list[str]:
-    words: set[str] = set()
-    for lang in languages:
-        words.update(spark_stop_words(lang))
-    return sorted(words)
+def packaged_stop_words(language: str) -> tuple[str, ...]:
+    """The same list from a text file of this package: readable without a
+    session or a JVM, also when the package is imported from a zip."""
+    text = files("speechlens.resources").joinpath(f"stopwords_{language}.txt").read_text("utf-8")
+    return tuple(text.split())
+
+
+def default_stop_words(languages: Iterable[str] = DEFAULT_LANGUAGES, packaged: bool = False) -> list[str]:
+    read = packaged_stop_words if packaged else spark_stop_words
+    return sorted({w for lang in languages for w in read(lang)})
 
 
 def as_word_list(stop_words: DataFrame | Sequence[str] | None,
@@ -71,8 +65,9 @@ def as_word_list(stop_words: DataFrame | Sequence[str] | None,
     if stop_words is None:
         return default_stop_words(languages)
     if isinstance(stop_words, DataFrame):
-        rows = stop_words.select("term").distinct().limit(MAX_STOP_WORDS + 1).collect()
-        words = [r[0] for r in rows if r[0] is not None]
+        rows = (stop_words.select("term").where(F.col("term").isNotNull()).distinct()
+                .limit(MAX_STOP_WORDS + 1).collect())
+        words = [r[0] for r in rows]
     else:
         words = [w for w in stop_words if w is not None]
     if len(words) > MAX_STOP_WORDS:
@@ -85,7 +80,9 @@ def as_rule_list(rules: DataFrame | Sequence[tuple] | None) -> list[tuple[str, s
     if rules is None:
         rules = S_STEMMER_RULES
     if isinstance(rules, DataFrame):
-        rows = rules.select("suffix", "replacement", "min_len").limit(MAX_STEM_RULES + 1).collect()
+        rows = (rules.select("suffix", "replacement", "min_len")
+                .where(F.col("suffix").isNotNull() & (F.col("suffix") != ""))
+                .limit(MAX_STEM_RULES + 1).collect())
         rules = [(r[0], r[1] or "", int(r[2] or 0)) for r in rows]
     rules = [(s, r or "", int(m)) for s, r, m in rules if s]
     if len(rules) > MAX_STEM_RULES:
@@ -125,17 +122,10 @@ def stem_sql(var: str, rules: Sequence[tuple[str, str, int]]) -> str:
     return "CASE " + " ".join(whens) + f" ELSE {var} END"
 
 
-@functools.lru_cache(maxsize=64)
-def _expr_cached(text: str, context_id: int) -> Column:
-    return F.expr(text)
-
-
 def _expr(text: str) -> Column:
-    # parsed once on the JVM side; building 1000-literal lists through py4j
-    # one element at a time costs seconds per query plan
-    from pyspark import SparkContext
-
-    return _expr_cached(text, id(SparkContext._active_spark_context))
+    # one py4j call for the whole text; building 1000-literal lists one element
+    # at a time costs seconds per query plan
+    return F.expr(text)
 
 
 def in_list(column_name: str, values: Sequence) -> Column:

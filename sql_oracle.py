@@ -49,7 +49,7 @@ def tokens_sql(text: str) -> str:
 
 
 def stop_list() -> str:
-    return ", ".join(lit(w) for w in lexicon.default_stop_words())
+    return ", ".join(lit(w) for w in lexicon.default_stop_words(packaged=True))
 
 
 def stem_sql(tok: str) -> str:
