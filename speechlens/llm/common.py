@@ -29,4 +29,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["WORD", "crc_mod", "durable", "scratch_path", "table", "written"]
+def sampled(df: DataFrame, id_col: str, bound: int, n: int | None = None, seed: int = 1) -> DataFrame:
+    """All rows if there are at most `bound`, else about `bound` of them chosen by
+    a hash of the id: the same rows for any partitioning."""
+    n = df.count() if n is None else n
+    if n <= bound:
+        return df
+    parts = 1 << 30
+    return df.where(F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)), F.lit(parts)) < int(parts * bound / n))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, *, id_col: str, text_col: str, bound: int,
+             where: Column | None = None) -> DataFrame:
+    """(id, text, y): the texts of at most about `bound` labelled documents of
+    each class, whose ids are broadcast (so texts are read, not shuffled)."""
+    own = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull())
+    own = own.where(where) if where is not None else own
+    own = own.groupBy(id_col).agg(F.max(F.col(label).cast("int")).alias("y")).where("y in (0, 1)")
+    per = {r["y"]: r["count"] for r in own.groupBy("y").count().collect()}
+    picked = None
+    for y, n in sorted(per.items()):
+        some = sampled(own.where(F.col("y") == y), id_col, bound, n)
+        picked = some if picked is None else picked.union(some)
+    if picked is None:
+        picked = own
+    return docs.select(F.col(id_col), F.col(text_col).alias("text")).join(F.broadcast(picked), id_col).select(
+        F.col(id_col).alias("id"), "text", "y")
+
+
+__all__ = ["WORD", "crc_mod", "durable", "labelled", "sampled", "scratch_path", "table", "written"]

@@ -31,6 +31,9 @@ from .common import WORD, durable
 
 STEPS_PER_PASS = 31
 PASSES = 7
+#: sources up to this number are broadcast with their weights (some 100 bytes each)
+BROADCAST_SOURCES = 100_000
+SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -43,11 +46,9 @@ class Target:
     entropy: float | None = None
 
 
-def source_shares(counted: DataFrame) -> DataFrame:
-    """(_m_key, src_tokens, share) per source with tokens; partially aggregated."""
-    per = counted.groupBy("_m_key").agg(F.sum("n_tokens").alias("src_tokens")).where("src_tokens > 0")
-    total = per.agg(F.sum("src_tokens").alias("all_tokens"))
-    return per.crossJoin(F.broadcast(total)).withColumn("share", F.col("src_tokens") / F.col("all_tokens"))
+def source_tokens(counted: DataFrame) -> DataFrame:
+    """(_m_key, src_tokens) per source with tokens; partially aggregated."""
+    return counted.groupBy("_m_key").agg(F.sum("n_tokens").alias("src_tokens")).where("src_tokens > 0")
 
 
 def solve_exponent(shares: DataFrame, target: Target) -> float:
@@ -105,16 +106,25 @@ def mix(docs: DataFrame, *, target: Target = Target(), id_col: str = "doc_id", t
         F.when(F.col(source_col).isNull(), F.lit("n")).otherwise(
             F.concat(F.lit("s"), F.col(source_col).cast("string"))).alias("_m_key"),
         F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("_m_id"))
-    shares = durable(source_shares(counted))
+    shares = durable(source_tokens(counted))
+    all_tokens, n_sources = shares.agg(F.sum("src_tokens"), F.count(F.lit(1))).first()
+    shares = shares.withColumn("share", F.col("src_tokens") / F.lit(all_tokens or 1))
     alpha = solve_exponent(shares, target)
     z = shares.agg(F.sum(F.pow("share", F.lit(alpha)))).first()[0] or 1.0
-    size = F.lit(total_tokens).cast("double") if total_tokens is not None else F.col("all_tokens").cast("double")
+    size = F.lit(float(total_tokens if total_tokens is not None else all_tokens or 0))
     plan = shares.select(
         "_m_key", (F.pow("share", F.lit(alpha)) / F.lit(z)).alias("weight"),
         F.ceil(F.col("src_tokens") / F.lit(float(block_tokens))).cast("long").alias("_m_blocks"),
         (F.pow("share", F.lit(alpha)) / F.lit(z) * size / F.col("src_tokens")).alias("_m_rep"))
-    # blocks follow from the document alone, so a hot source is dealt out before any shuffle by group
-    dealt = counted.join(plan, "_m_key").withColumn(
+    # a hot source is never one join key: few sources are broadcast, many are salted
+    if n_sources <= BROADCAST_SOURCES:
+        planned = counted.join(F.broadcast(plan), "_m_key")
+    else:
+        salt = F.pmod(F.xxhash64("_m_id"), F.lit(SALTS)).cast("int")
+        planned = counted.withColumn("_m_salt", salt).join(
+            plan.withColumn("_m_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["_m_key", "_m_salt"])
+    # blocks follow from the document alone, so it is dealt out before any shuffle by group too
+    dealt = planned.withColumn(
         "block", _fraction(F.concat_ws(":", F.lit(str(seed)), "_m_id")) % F.col("_m_blocks")).withColumn(
         "_m_full", F.floor("_m_rep").cast("long")).withColumn(
         "_m_order", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_m_full").cast("string"), "_m_id")))
