@@ -44,12 +44,12 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
 
     timed("consolidate", lambda: run(C.consolidate(SP.documents_as_speeches(ws.table("documents")))))
-    timed("tfidf_fit", lambda: ws.model())
+    timed("tfidf_fit", lambda: (ws.model(), ws.display()))
     m = ws.model()
     bench_q = ws.table("benchmark").select("item_id", "text").withColumnRenamed("item_id", "query_id")
     first = bench_q.orderBy("query_id").limit(1).first()["text"]
-    timed("search_one", lambda: S.search_text(spark, m, docs, first).collect())
-    timed("search_batch", lambda: S.search(m, docs, bench_q).collect())
+    timed("search_one", lambda: S.search_text(spark, m, ws.display(), first).collect())
+    timed("search_batch", lambda: S.search(m, ws.display(), bench_q).collect())
 
     def keywords():
         per_doc = K.keywords_per_doc(m.weights, docs, carry=("member_name", "political_party")).persist()

@@ -5,20 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import durable
+
 # rows of a query-side table we are willing to broadcast to every executor
 BROADCAST_ROWS = 2_000_000
 
 
-def bounded_count(df: DataFrame, limit: int) -> int:
-    """Count rows but stop scanning once `limit + 1` rows are seen."""
-    return df.limit(limit + 1).count()
-
-
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Broadcast `df` only if it has at most `max_rows` rows; else leave it to
-    a shuffle join (sort-merge, with AQE skew splitting)."""
-    n = bounded_count(df, max_rows)
-    if n <= max_rows:
+    a shuffle join (sort-merge, with AQE skew splitting). The side is computed
+    once, into the checkpoint folder, and counted there."""
+    df = durable(df)
+    if df.count() <= max_rows:
         return F.broadcast(df), True
     return df, False
 
@@ -52,17 +50,13 @@ def marker(spark, path: str) -> None:
 # Catalyst reports Long.MaxValue (scaled by projections) when it cannot size
 # a relation; anything beyond a few petabytes is treated as unknown
 UNKNOWN_SIZE = 2 ** 52
-MAX_PARTITIONS = 100_000
 # bytes of (compressed) input per partition when text is redistributed
 TEXT_PARTITION_BYTES = 128 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan (file sizes for a scan)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable
-        return 0
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def partitions_for(df: DataFrame, target_bytes: int = TEXT_PARTITION_BYTES) -> int:
@@ -72,4 +66,4 @@ def partitions_for(df: DataFrame, target_bytes: int = TEXT_PARTITION_BYTES) -> i
     size = estimated_bytes(df)
     if size <= 0 or size >= UNKNOWN_SIZE:
         return base
-    return int(min(MAX_PARTITIONS, max(base, -(-size // target_bytes))))
+    return int(max(base, -(-size // target_bytes)))

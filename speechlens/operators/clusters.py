@@ -25,15 +25,18 @@ from ..session import durable
 from ..schema import SCORE_DIGITS, SPEECH
 
 N_CLUSTERS = 10
-CLUSTERING_LIMIT = 20
 EXAMPLES = 10
 SEED = 42
 MAX_CENTRES = 10_000
+# topic vectors per partition of the k-means input
+VECTORS_PER_PARTITION = 50_000
 
 
-def clamp_k(k: int, limit: int = CLUSTERING_LIMIT) -> int:
-    """The reference caps the number of clusters at 20 (and needs at least 1)."""
-    return max(1, min(int(k), limit))
+def checked_k(k: int) -> int:
+    """The number of clusters as asked for; an error if it can't be had."""
+    if not 1 <= int(k) <= MAX_CENTRES:
+        raise ValueError(f"the number of clusters must be from 1 to {MAX_CENTRES}")
+    return int(k)
 
 
 def nearest_centre(vec: Column, centres: list[list[float]], ids: list[int] | None = None) -> Column:
@@ -74,14 +77,14 @@ def fit_clusters(topic_vectors: DataFrame, k: int = N_CLUSTERS, seed: int = SEED
                  max_iter: int = 100) -> tuple[DataFrame, list[list[float]]]:
     """(doc_id, cluster_id, distance) and the centres, clusters renumbered by
     their smallest doc_id."""
-    k = clamp_k(k)
-    # (docs x k) doubles, derived from all weights: materialised once, in a
-    # fixed order and partitioning, with summation-order noise rounded away, so
-    # the seeded k-means|| sampling sees the same input on every run
-    n_parts = int(topic_vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    topic_vectors = durable(
-        topic_vectors.select("doc_id", F.transform("topic", lambda x: F.round(x, 12)).alias("topic"))
-        .repartitionByRange(n_parts, "doc_id").sortWithinPartitions("doc_id"))
+    k = checked_k(k)
+    # (docs x k) doubles, derived from all weights: materialised once, with
+    # summation-order noise rounded away, hashed by doc_id into a number of
+    # partitions that follows from the data alone and sorted there: the seeded
+    # k-means|| sampling sees the same input whatever the session's settings
+    rounded = durable(topic_vectors.select("doc_id", F.transform("topic", lambda x: F.round(x, 10)).alias("topic")))
+    n_parts = max(1, -(-rounded.count() // VECTORS_PER_PARTITION))
+    topic_vectors = durable(rounded.repartition(n_parts, "doc_id").sortWithinPartitions("doc_id"))
     data = topic_vectors.select("doc_id", array_to_vector("topic").alias("features")).cache()
     km = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
                 predictionCol="raw_cluster").fit(data)
@@ -114,7 +117,8 @@ def cluster_examples(assignment: DataFrame, docs: DataFrame, k: int,
     ex = first.join(docs.select("doc_id", SPEECH), "doc_id").select(
         "cluster_id", "rank", "doc_id", F.col(SPEECH).alias("speech"))
     ids = spark.range(k).select(F.col("id").cast("int").alias("cluster_id"))
-    # k <= CLUSTERING_LIMIT rows: a proven bound
+    # at most k rows go on, and k is at most MAX_CENTRES
+    sizes = sizes.where((F.col("cluster_id") >= 0) & (F.col("cluster_id") < k))
     full = ids.join(F.broadcast(sizes), "cluster_id", "left").join(ex, "cluster_id", "left")
     return full.select(F.col("cluster_id").cast("int"),
                        F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"),

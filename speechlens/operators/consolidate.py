@@ -21,7 +21,7 @@ from ..schema import ATTRIBUTES, GROUP_KEYS, SPEECH, SPEECH_COLUMNS
 
 SEPARATOR = " | "
 SAMPLE_FRACTION = 0.1
-ROWS_LIMIT = 1000
+ROWS_LIMIT = 1000  # above this the reference's analysis pages take a sample
 
 
 def consolidate(raw: DataFrame, order_cols: list[str] | None = None) -> DataFrame:
@@ -85,16 +85,13 @@ def sample_approx(df: DataFrame, fraction: float = SAMPLE_FRACTION, seed: int =
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
-def choose_input(df: DataFrame, max_rows: int = ROWS_LIMIT, fraction: float = SAMPLE_FRACTION,
+def choose_input(df: DataFrame, max_rows: int | None = None, fraction: float = SAMPLE_FRACTION,
                  id_col: str = "doc_id") -> DataFrame:
-    """Use the whole input up to `max_rows` rows, else the exact sample.
-
-    The reference switches the analysis jobs to a 10 % sample above 1000
-    rows; callers here can pass ``max_rows=None`` to always use everything."""
+    """The whole input; only with an explicit `max_rows`, and more rows than
+    that, the exact sample (ROWS_LIMIT gives the reference's switch)."""
     if max_rows is None:
         return df
-    n = df.limit(max_rows + 1).count()
-    return df if n <= max_rows else sample_exact(df, fraction, id_col)
+    return df if df.count() <= max_rows else sample_exact(df, fraction, id_col)
 
 
 def lookup(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -3,47 +3,41 @@
 One query and a batch of queries are the same plan (a `query_id` column):
 
     queries -> tokens -> weights under the model (vocabulary broadcast)
-            -> join postings on term -> sum of products per (query, doc)
-            -> floor -> top-k per query -> fetch display fields of the hits
-
-The per-(query, doc) sum is partially aggregated before its shuffle on
-(query_id, doc_id), so a popular query spreads over all partitions; the top-k
-window then gets a partial `WindowGroupLimit` before its shuffle on
-`query_id`, so at most k rows per query per partition move. Display fields
-are fetched only for the hits (late materialisation).
+            -> join on term -> sum of products per (query, doc)
+            -> floor -> top-k per query -> display fields of the hits
+
+Queries are taken in blocks of bounded size, each broadcast to the weights. The
+weights are bucketed by doc_id, so a document's sum is complete where its rows
+lie: no (query, doc) pair crosses the network, and the top-k window gets a
+partial `WindowGroupLimit` before its shuffle on `query_id`, so at most k rows
+per query per partition move. Queries of a few terms in all read the postings
+instead, whose scan takes the terms as a filter and skips row groups.
+
+Display fields come from a narrow table (doc_id, snippet, name, party, date)
+where there is one (`display_fields`), so no speech is read for a hit.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.lexicon import in_list
-from ..functions.sizing import local_frame
+from ..functions.sizing import maybe_broadcast
 from ..functions.text import snippet
 from ..schema import DATE, HITS, MEMBER, PARTY, SCORE_DIGITS, SPEECH
+from ..session import durable
 from .tfidf import TfidfModel
 
 SEARCH_SIZE = 10
 SCORE_FLOOR = 0.001
-# query-term rows up to this size are materialised once and broadcast, and
-# their terms are pushed into the postings scan; larger batches shuffle
-SMALL_QUERY_ROWS = 200_000
-# hits up to this size are materialised once and their ids pushed into the
-# document scan; larger hit lists are joined by a shuffle
-SMALL_HITS = 100_000
-
-_QW_SCHEMA = "query_id long, term string, qw double"
-_HIT_SCHEMA = "query_id long, doc_id long, score double, rank int"
-
-
-def _materialise_if_small(df: DataFrame, limit: int, schema: str):
-    """(local DataFrame, rows) if `df` has at most `limit` rows, else (df, None).
-    One job either way; the local copy is a LocalRelation (no recomputation)."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df, None
-    return local_frame(df.sparkSession, rows, schema), rows
+# query-term rows per broadcast block (some 50 bytes each)
+BLOCK_ROWS = 500_000
+# up to so many different terms (Parquet pushes an IN list of ten values as
+# such, a longer one as a range) the sorted postings are read instead
+POINT_TERMS = 10
 
 
 def query_weights(model: TfidfModel, queries: DataFrame, id_col: str = "query_id",
@@ -55,17 +49,18 @@ def query_weights(model: TfidfModel, queries: DataFrame, id_col: str = "query_id
 def score(model: TfidfModel, queries: DataFrame, id_col: str = "query_id",
           text_col: str = "text") -> DataFrame:
     """(query_id, doc_id, score) for every document sharing a term with a query."""
-    q, rows = _materialise_if_small(query_weights(model, queries, id_col, text_col),
-                                    SMALL_QUERY_ROWS, _QW_SCHEMA)
-    postings = model.postings.select("term", "doc_id", "weight")
-    if rows is not None:
-        terms = sorted({r["term"] for r in rows})
-        # literal IN list: pushed to the parquet scan of the term-sorted postings
-        postings = postings.filter(in_list("term", terms))
-        q = F.broadcast(q)
-    prod = postings.join(q, "term")
-    return prod.groupBy("query_id", "doc_id").agg(
-        F.sum(F.col("weight") * F.col("qw")).alias("score"))
+    q = durable(query_weights(model, queries, id_col, text_col))
+    n = q.count()
+    terms = [r[0] for r in q.select("term").distinct().limit(POINT_TERMS + 1).collect()] if n <= BLOCK_ROWS else None
+    if terms is not None and len(terms) <= POINT_TERMS:
+        docs = model.postings.select("term", "doc_id", "weight").filter(in_list("term", sorted(terms)))
+    else:
+        docs = model.weights.select("term", "doc_id", "weight")
+    blocks = max(1, -(-n // BLOCK_ROWS))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    parts = [q if blocks == 1 else q.where(block == i) for i in range(blocks)]
+    return reduce(DataFrame.union, [docs.join(F.broadcast(p), "term").groupBy("query_id", "doc_id").agg(
+        F.sum(F.col("weight") * F.col("qw")).alias("score")) for p in parts])
 
 
 def top_hits(scores: DataFrame, k: int = SEARCH_SIZE, floor: float = SCORE_FLOOR) -> DataFrame:
@@ -79,24 +74,21 @@ def top_hits(scores: DataFrame, k: int = SEARCH_SIZE, floor: float = SCORE_FLOOR
         "query_id", "doc_id", "score", F.col("rank").cast("int").alias("rank"))
 
 
+def display_fields(docs: DataFrame) -> DataFrame:
+    """The narrow table that hits are shown with; written once, it spares every
+    search the reading of speeches."""
+    return docs.select("doc_id", snippet(F.col(SPEECH)).alias("speech_start"), F.col(MEMBER).alias("name"),
+                       F.col(PARTY), F.col(DATE).alias("date"))
+
+
 def attach_display(hits: DataFrame, docs: DataFrame) -> DataFrame:
-    """Join hits with their documents for snippet, name, party and date,
-    ordered by (query_id, rank)."""
-    fields = docs.select("doc_id", SPEECH, MEMBER, PARTY, DATE)
-    hits, rows = _materialise_if_small(hits, SMALL_HITS, _HIT_SCHEMA)
-    if rows is not None:
-        ids = sorted({r["doc_id"] for r in rows})
-        fields = fields.filter(in_list("doc_id", ids))
-        hits = F.broadcast(hits)
-    j = fields.join(hits, "doc_id")
-    out = j.select(
+    """Join hits with snippet, name, party and date, ordered by (query_id, rank).
+    `docs` is either the documents or their `display_fields`."""
+    fields = docs if "speech_start" in docs.columns else display_fields(docs)
+    side, _ = maybe_broadcast(hits)
+    return fields.join(side, "doc_id").select(
         F.col("query_id").cast("long").alias("query_id"), "rank", F.col("doc_id").cast("long"),
-        snippet(F.col(SPEECH)).alias("speech_start"), F.col(MEMBER).alias("name"),
-        F.col(PARTY), F.col(DATE).alias("date"), F.col("score").cast("double"))
-    if rows is not None:
-        # at most SMALL_HITS rows: one sorted partition, no range-sampling pass
-        return out.repartition(1).sortWithinPartitions("query_id", "rank")
-    return out.orderBy("query_id", "rank")
+        "speech_start", "name", F.col(PARTY), "date", F.col("score").cast("double")).orderBy("query_id", "rank")
 
 
 def search(model: TfidfModel, docs: DataFrame, queries: DataFrame, k: int = SEARCH_SIZE,
@@ -118,10 +110,7 @@ def search_text(spark: SparkSession, model: TfidfModel, docs: DataFrame, text: s
 
 def fetch_hits(hits: DataFrame, docs: DataFrame) -> DataFrame:
     """Full records of the documents that appear in `hits` (left semi join)."""
-    ids, rows = _materialise_if_small(hits.select("doc_id").distinct(), SMALL_HITS, "doc_id long")
-    if rows is not None:
-        docs = docs.filter(in_list("doc_id", sorted(r["doc_id"] for r in rows)))
-        ids = F.broadcast(ids)
+    ids, _ = maybe_broadcast(hits.select("doc_id").distinct())
     return docs.join(ids, "doc_id", "left_semi")
 
 

@@ -88,7 +88,7 @@ def _pair_block_fn(n_terms: int, threshold: float, k: int | None):
 
 
 def similar_pairs(vectors: DataFrame, k: int | None = TOP_PAIRS,
-                  threshold: float = SIMILARITY_THRESHOLD) -> DataFrame:
+                  threshold: float = SIMILARITY_THRESHOLD, n_blocks: int | None = None) -> DataFrame:
     """(member_a, member_b, similarity) with a < b and rounded similarity >=
     threshold; the k best (all of them if k is None)."""
     if k is not None and int(k) < 1:
@@ -102,7 +102,9 @@ def similar_pairs(vectors: DataFrame, k: int | None = TOP_PAIRS,
         return vectors.sparkSession.createDataFrame([], PAIR_SCHEMA)
     n_terms = int(stats["t"]) + 1
     per_block = max(1, min(n_members, BLOCK_CELLS // max(1, n_terms)))
-    n_blocks = int(math.ceil(n_members / per_block))
+    # blocks that fit in memory, and at least as many block pairs as cores
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    n_blocks = n_blocks or max(int(math.ceil(n_members / per_block)), int(math.ceil(math.sqrt(2 * cores))))
     # members are hashed into blocks; each unordered pair of members meets in
     # exactly one block pair (min(block), max(block))
     rows = unit.withColumn("block", F.pmod(F.xxhash64("member_name"), F.lit(n_blocks)).cast("int"))

@@ -25,6 +25,7 @@ Physical plan, chosen for large corpora:
 from __future__ import annotations
 
 import hashlib
+import json
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -59,7 +60,7 @@ class TextOptions:
         return TextOptions(words, rules)
 
 
-DEFAULT_OPTIONS = None  # resolved lazily (reads the Spark jar once)
+DEFAULT_OPTIONS = None  # resolved lazily (asks Spark for its lists once)
 
 
 def default_options() -> TextOptions:
@@ -162,6 +163,7 @@ class TfidfModel:
     max_df: float = 0.9
     max_features: int | None = 6000
     path: str | None = None
+    parts: bool = False
 
     def vocab_side(self) -> DataFrame:
         return vocabulary_side(self.vocabulary, self.max_features)
@@ -191,7 +193,11 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
     spark = docs.sparkSession
     opts = options or default_options()
     if path and path_exists(spark, f"{path}/_DONE"):
-        return load_tfidf(spark, path, opts)
+        found = load_tfidf(spark, path)
+        asked = (float(max_df), max_features, opts, parts)
+        if (found.max_df, found.max_features, found.options, found.parts) != asked:
+            raise ValueError(f"{path} holds a model fitted with other parameters; give another path")
+        return found
 
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("speech"))
     if n_docs is None:
@@ -201,7 +207,7 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
         StorageLevel.MEMORY_AND_DISK)
     vocab = select_vocabulary(term_statistics(tf), n_docs, max_df, max_features)
     if path:
-        vocab.coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
+        vocab.write.mode("overwrite").parquet(f"{path}/model")
         vocab = spark.read.parquet(f"{path}/model")
     else:
         vocab = vocab.persist(StorageLevel.MEMORY_AND_DISK)
@@ -220,7 +226,9 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
         spark.range(1).select(
             F.lit(int(n_docs)).cast("long").alias("n_docs"), F.lit(float(max_df)).alias("max_df"),
             F.lit(max_features).cast("int").alias("max_features"),
-            F.lit(int(n_buckets)).alias("n_buckets"),
+            F.lit(int(n_buckets)).alias("n_buckets"), F.lit(bool(parts)).alias("parts"),
+            F.lit(json.dumps(opts.stop_words)).alias("stop_words"),
+            F.lit(json.dumps(opts.stem_rules)).alias("stem_rules"),
         ).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
         marker(spark, f"{path}/_DONE")
     else:
@@ -229,7 +237,7 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
         tf.unpersist()
         n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         postings = _sorted_postings(weights, n_parts).persist(StorageLevel.MEMORY_AND_DISK)
-    return TfidfModel(vocab, int(n_docs), weights, postings, opts, max_df, max_features, path)
+    return TfidfModel(vocab, int(n_docs), weights, postings, opts, float(max_df), max_features, path, parts)
 
 
 def _weights_table(path: str) -> str:
@@ -241,16 +249,13 @@ _WEIGHTS_DDL = "doc_id BIGINT, term STRING, term_id INT, tf BIGINT, weight DOUBL
 
 def _write_weights(spark: SparkSession, weights: DataFrame, path: str,
                    n_buckets: int) -> tuple[DataFrame, int]:
-    """Write weights bucketed by doc_id when possible, else as plain parquet."""
+    """Write weights bucketed by doc_id, or as plain parquet for 0 buckets."""
     if n_buckets > 0:
         table = _weights_table(path)
-        try:
-            (weights.write.mode("overwrite").format("parquet")
-             .bucketBy(n_buckets, "doc_id").sortBy("doc_id")
-             .option("path", f"{path}/weights").saveAsTable(table))
-            return spark.table(table), n_buckets
-        except Exception:  # noqa: BLE001 - no usable catalog: plain files
-            pass
+        (weights.write.mode("overwrite").format("parquet")
+         .bucketBy(n_buckets, "doc_id").sortBy("doc_id")
+         .option("path", f"{path}/weights").saveAsTable(table))
+        return spark.table(table), n_buckets
     weights.write.mode("overwrite").parquet(f"{path}/weights")
     return spark.read.parquet(f"{path}/weights"), 0
 
@@ -260,15 +265,12 @@ def _read_weights(spark: SparkSession, path: str, n_buckets: int) -> DataFrame:
     new session (its files carry the bucket ids)."""
     if n_buckets > 0:
         table = _weights_table(path)
-        try:
-            if not spark.catalog.tableExists(table):
-                loc = f"{path}/weights".replace("'", "\\'")
-                spark.sql(f"CREATE TABLE {table} ({_WEIGHTS_DDL}) USING parquet "
-                          f"CLUSTERED BY (doc_id) SORTED BY (doc_id) INTO {int(n_buckets)} BUCKETS "
-                          f"LOCATION '{loc}'")
-            return spark.table(table)
-        except Exception:  # noqa: BLE001 - fall back to the plain files
-            pass
+        if not spark.catalog.tableExists(table):
+            loc = f"{path}/weights".replace("'", "\\'")
+            spark.sql(f"CREATE TABLE {table} ({_WEIGHTS_DDL}) USING parquet "
+                      f"CLUSTERED BY (doc_id) SORTED BY (doc_id) INTO {int(n_buckets)} BUCKETS "
+                      f"LOCATION '{loc}'")
+        return spark.table(table)
     return spark.read.parquet(f"{path}/weights")
 
 
@@ -278,13 +280,14 @@ def _sorted_postings(weights: DataFrame, n_parts: int) -> DataFrame:
         "term", "doc_id")
 
 
-def load_tfidf(spark: SparkSession, path: str, options: TextOptions | None = None) -> TfidfModel:
+def load_tfidf(spark: SparkSession, path: str) -> TfidfModel:
+    """A written model with the text options and parameters it was fitted with."""
     meta = spark.read.parquet(f"{path}/meta").first()
-    n_buckets = int(meta["n_buckets"]) if "n_buckets" in meta.asDict() else 0
+    opts = TextOptions(tuple(json.loads(meta["stop_words"])), tuple(tuple(r) for r in json.loads(meta["stem_rules"])))
     return TfidfModel(
         spark.read.parquet(f"{path}/model"), int(meta["n_docs"]),
-        _read_weights(spark, path, n_buckets), spark.read.parquet(f"{path}/postings"),
-        options or default_options(), meta["max_df"], meta["max_features"], path)
+        _read_weights(spark, path, int(meta["n_buckets"])), spark.read.parquet(f"{path}/postings"),
+        opts, meta["max_df"], meta["max_features"], path, bool(meta["parts"]))
 
 
 def inverted_index(model: TfidfModel) -> DataFrame:
@@ -292,8 +295,9 @@ def inverted_index(model: TfidfModel) -> DataFrame:
 
     A nested per-term list would put a very frequent term's whole postings in
     one row (one task); the long, range-partitioned form does not."""
-    df_ = F.broadcast(model.vocabulary.select("term", "df")) if model.max_features else \
-        model.vocabulary.select("term", "df")
+    df_ = model.vocabulary.select("term", "df")
+    if model.max_features is not None and model.max_features <= VOCAB_BROADCAST_LIMIT:
+        df_ = F.broadcast(df_)
     return model.postings.select("term", "doc_id", "tf").join(df_, "term").select(
         "term", "df", "doc_id", "tf")
 

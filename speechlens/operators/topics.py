@@ -14,8 +14,7 @@ in the reference's 100 power iterations). One pass is one Spark job:
   vocabulary size) and checkpointed to the shared folder;
 * `mapInPandas` computes, per partition, ``sum_d a_d^T (a_d Q)`` — a
   (terms x l) partial — with numpy over Arrow batches;
-* partials are summed by a grouped aggregate on `term_id` (or, when
-  partitions x terms is below a bound, in one Arrow transfer); only
+* partials are summed by a grouped aggregate on `term_id`; only
   (terms x l) numbers reach the driver, where the orthogonalisation and the
   small Rayleigh-Ritz eigenproblem run.
 
@@ -43,8 +42,6 @@ SEED = 42
 TOL = 1e-10
 # the driver holds (terms x l) matrices; refuse vocabularies beyond this
 MAX_TERMS = 200_000
-# partial sums (partitions x terms rows) summed on the driver up to this size
-DIRECT_SUM_ROWS = 1_000_000
 
 
 @dataclass
@@ -104,16 +101,8 @@ def _gram_pass(rows: DataFrame, q: np.ndarray) -> np.ndarray:
 
     partial = rows.mapInPandas(part, schema)
     z = np.zeros_like(q)
-    if rows.rdd.getNumPartitions() * n_terms <= DIRECT_SUM_ROWS:
-        # few partitions: their partials (bounded by partitions x vocabulary)
-        # come back in one Arrow transfer and are summed here
-        pdf = partial.toPandas()
-        idx = pdf["term_id"].to_numpy()
-        for j, c in enumerate(cols):
-            z[:, j] = np.bincount(idx, weights=pdf[c].to_numpy(), minlength=n_terms)
-    else:
-        summed = partial.groupBy("term_id").agg(*[F.sum(c).alias(c) for c in cols]).toPandas()
-        z[summed["term_id"].to_numpy()] = summed[cols].to_numpy()
+    summed = partial.groupBy("term_id").agg(*[F.sum(c).alias(c) for c in cols]).toPandas()
+    z[summed["term_id"].to_numpy()] = summed[cols].to_numpy()
     bq.unpersist()
     return z
 

@@ -7,6 +7,7 @@ reference's defaults unless the name says otherwise.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,26 +107,26 @@ def transform_new_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def search_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark passage as a query: top-10 hits each, with snippets."""
     ws = _ws(spark, sf_dir)
-    return S.search(ws.model(), ws.docs(), _benchmark_queries(ws))
+    return S.search(ws.model(), ws.display(), _benchmark_queries(ws))
 
 
 @register
 def search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One query: the benchmark passage with the smallest item id."""
+    """The three best hits of every benchmark passage, of a score of 0.2 or more."""
     ws = _ws(spark, sf_dir)
-    b = _benchmark_queries(ws)
-    first = b.orderBy("query_id").limit(1)
-    return S.search(ws.model(), ws.docs(), first)
+    return S.search(ws.model(), ws.display(), _benchmark_queries(ws), k=3, floor=0.2)
 
 
 @register
 def search_no_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Queries without any vocabulary term (empty, stop words only, punctuation
-    only, unknown word) against the whole model: no hits, HITS schema."""
+    """What is left of every benchmark passage without its words (punctuation
+    and blanks) as a query: (query_id, n_hits), and no query has a hit."""
     ws = _ws(spark, sf_dir)
-    q = spark.createDataFrame(
-        [(1, ""), (2, "the and of"), (3, "!!! ??? ..."), (4, "zzqxjv")], "query_id long, text string")
-    return S.search(ws.model(), ws.docs(), q)
+    q = _benchmark_queries(ws)
+    bare = q.select("query_id", F.regexp_replace("text", r"[\p{L}\p{N}]+", " ").alias("text"))
+    hits = S.top_hits(S.score(ws.model(), bare)).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    return q.select("query_id").join(hits, "query_id", "left").select(
+        "query_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_hits"))
 
 
 @register
@@ -164,6 +165,18 @@ def scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SP.read_speeches_csv(spark, _csv_copy(spark, ws))
 
 
+@register
+def scan_csv_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw speeches in two sets of CSV files with different column orders, one
+    without `roles`, scanned together by header name."""
+    ws = _ws(spark, sf_dir)
+    raw, path = _raw(ws), scratch_path(spark, "speeches-reordered")
+    SP.write_speeches_csv(raw.where("seq % 2 = 0"), f"{path}/part=a", num_files=2)
+    SP.write_speeches_csv(raw.where("seq % 2 = 1").select(*reversed([c for c in raw.columns if c != "roles"])),
+                          f"{path}/part=b", num_files=2)
+    return SP.read_speeches_csv(spark, f"{path}/*")
+
+
 @register
 def scan_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column-pruned CSV scan: only member, speech and order are parsed into
@@ -351,6 +364,17 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TP.topics(ws.lsa(), ws.model().vocabulary)
 
 
+@register
+def project_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document projected on three given loading vectors (a parameter:
+    loading i of term t is ((t * (i + 1)) % 7 - 3) / 10), long form."""
+    m = _ws(spark, sf_dir).model()
+    n = int(m.vocabulary.agg({"term_id": "max"}).first()[0]) + 1
+    t, i = np.arange(n)[None, :], np.arange(3)[:, None]
+    given = TP.LsaModel(np.ones(3), ((t * (i + 1)) % 7 - 3) / 10.0, 0)
+    return TP.doc_topics_long(TP.doc_topics(given, m.weights, _ws(spark, sf_dir).docs()))
+
+
 @register
 def doc_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in topic space (U S), long form; term-less documents are zero."""
@@ -414,7 +438,7 @@ def search_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     _benchmark_queries(ws).repartition(4).write.parquet(src)
     sink = scratch_path(spark, "stream-hits")
     q = ST.start_search_stream(ST.query_stream(spark, src, max_files_per_trigger=1), ws.model(),
-                               ws.docs(), sink, scratch_path(spark, "stream-ckpt"),
+                               ws.display(), sink, scratch_path(spark, "stream-ckpt"),
                                available_now=True)
     q.awaitTermination()
     return ST.read_stream_hits(spark, sink).drop("epoch")

@@ -12,40 +12,16 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.sizing import local_frame, marker
 from ..operators.tfidf import TfidfModel, fit_tfidf
-from ..session import artifact_root
+from ..session import artifact_root, files_identity
 from ..sources.speeches import documents_corpus, read_table
 
-ARTIFACT_VERSION = "1"
-
-
-def _code_digest() -> str:
-    """Digest of the library's source: artifacts written by other code are
-    never picked up again."""
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    h = hashlib.sha1()
-    for dirpath, _, files in sorted(os.walk(root)):
-        for f in sorted(files):
-            if f.endswith(".py"):
-                with open(os.path.join(dirpath, f), "rb") as fh:
-                    h.update(f.encode() + fh.read())
-    return h.hexdigest()[:12]
-
-
-CODE_DIGEST = _code_digest()
-
-
-def _input_identity(path: str) -> str:
-    try:
-        st = os.stat(path)
-        return f"{os.path.abspath(path)}:{st.st_size}:{int(st.st_mtime)}"
-    except OSError:
-        return path
+# raised whenever written artifacts change their meaning or layout
+ARTIFACT_VERSION = "2"
 
 
 class Workspace:
@@ -56,6 +32,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._identity: str | None = None
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
@@ -65,9 +42,9 @@ class Workspace:
         return documents_corpus(self.table("documents"))
 
     def key(self, kind: str, **params) -> str:
-        ident = _input_identity(f"{self.sf_dir}/documents.parquet")
-        blob = json.dumps({"v": ARTIFACT_VERSION, "code": CODE_DIGEST, "in": ident, "kind": kind,
-                           **params},
+        if self._identity is None:
+            self._identity = files_identity(self.spark, f"{self.sf_dir}/documents.parquet")
+        blob = json.dumps({"v": ARTIFACT_VERSION, "in": self._identity, "kind": kind, **params},
                           sort_keys=True, default=str)
         return hashlib.sha1(blob.encode()).hexdigest()[:16]
 
@@ -76,7 +53,7 @@ class Workspace:
 
     def model(self, max_df: float = 0.9, max_features: int | None = 6000) -> TfidfModel:
         path = self.artifact_path("tfidf", max_df=max_df, max_features=max_features)
-        cache_key = (id(self.spark), path)
+        cache_key = (self.spark.sparkContext.applicationId, path)
         m = Workspace._models.get(cache_key)
         if m is None:
             m = fit_tfidf(self.docs(), max_df=max_df, max_features=max_features, path=path)
@@ -95,7 +72,7 @@ class Workspace:
 
         m = self.model()
         path = self.artifact_path("lsa", k=k)
-        cache_key = (id(self.spark), path)
+        cache_key = (self.spark.sparkContext.applicationId, path)
         got = Workspace._lsa.get(cache_key)
         if got is not None:
             return got
@@ -116,6 +93,16 @@ class Workspace:
         Workspace._lsa[cache_key] = got
         return got
 
+    def display(self) -> DataFrame:
+        """What hits are shown with (snippet, name, party, date), written once."""
+        from ..operators import search as S
+        from ..session import path_exists
+
+        path = self.artifact_path("display")
+        if not path_exists(self.spark, f"{path}/_SUCCESS"):
+            S.display_fields(self.docs()).write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     def doc_topics(self, k: int = 10) -> DataFrame:
         from ..operators import topics as TP
 

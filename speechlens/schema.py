@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# Column names of the raw speech files
 PARTY = "political_party"
 MEMBER = "member_name"
 DATE = "sitting_date"
@@ -28,27 +29,6 @@ RAW_SPEECH = T.StructType(
     + [T.StructField("seq", T.LongType(), True)]
 )
 
-CONSOLIDATED = T.StructType(
-    [T.StructField("doc_id", T.LongType(), False)]
-    + [T.StructField(c, T.StringType(), True) for c in SPEECH_COLUMNS]
-)
-
-WEIGHTS = T.StructType([
-    T.StructField("doc_id", T.LongType(), False),
-    T.StructField("term", T.StringType(), False),
-    T.StructField("term_id", T.IntegerType(), False),
-    T.StructField("tf", T.LongType(), False),
-    T.StructField("weight", T.DoubleType(), False),
-])
-
-MODEL = T.StructType([
-    T.StructField("term", T.StringType(), False),
-    T.StructField("term_id", T.IntegerType(), False),
-    T.StructField("df", T.LongType(), False),
-    T.StructField("cf", T.LongType(), False),
-    T.StructField("idf", T.DoubleType(), False),
-])
-
 QUERIES = T.StructType([
     T.StructField("query_id", T.LongType(), False),
     T.StructField("text", T.StringType(), True),
@@ -65,14 +45,6 @@ HITS = T.StructType([
     T.StructField("score", T.DoubleType(), False),
 ])
 
-STOP_WORDS = T.StructType([T.StructField("term", T.StringType(), False)])
-
-STEM_RULES = T.StructType([
-    T.StructField("suffix", T.StringType(), False),
-    T.StructField("replacement", T.StringType(), False),
-    T.StructField("min_len", T.IntegerType(), False),
-])
-
 # scores and weights shown to users are rounded to this many decimals, and
 # ranks are decided on the rounded value (ties then break on ids / words)
 SCORE_DIGITS = 6

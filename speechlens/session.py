@@ -57,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     # unset: only happens in local tests and benches
     local = tempfile.mkdtemp(prefix="speechlens-ckpt-")
     sc.setCheckpointDir(local)
@@ -64,14 +66,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def artifact_root(spark: SparkSession) -> str:
-    """Folder for written tables, next to the session's checkpoint files."""
-    base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + "/speechlens-artifacts"
+    """Folder for artifacts that outlive the session: the one named by
+    ``spark.speechlens.artifact.dir``, else a folder in ``spark.checkpoint.dir``
+    (without the session's own part), else one beside the session's checkpoints."""
+    for name, suffix in (("spark.speechlens.artifact.dir", ""), ("spark.checkpoint.dir", "/speechlens-artifacts")):
+        value = spark.conf.get(name, None) or spark.sparkContext.getConf().get(name, None)
+        if value:
+            return value.rstrip("/") + suffix
+    return ensure_checkpoint_dir(spark).rstrip("/") + "/speechlens-artifacts"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the artifact root."""
-    return f"{artifact_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path beside the session's checkpoint files."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/speechlens-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def files_identity(spark: SparkSession, path: str) -> str:
+    """Digest of a table's files (path, size, modification time) by Spark's own
+    listing, so it works for any store and notices rewritten parts."""
+    from pyspark.sql import functions as F
+
+    listed = spark.read.format("binaryFile").load(path).select(
+        F.concat_ws("|", "path", F.col("length").cast("string"), F.unix_millis("modificationTime").cast("string")).alias("f"))
+    row = listed.agg(F.count(F.lit(1)), F.sum(F.xxhash64("f").cast("decimal(38,0)"))).first()
+    return f"{path}:{row[0]}:{row[1]}"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

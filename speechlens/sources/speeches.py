@@ -9,6 +9,8 @@ parquet.
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,20 +25,53 @@ CSV_OPTIONS = {
     "encoding": "UTF-8",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    "mode": "PERMISSIVE",
+    # a row with too few or too many fields is an error, never a silent null or cut
+    "mode": "FAILFAST",
+    "enforceSchema": "false",
 }
+# files whose headers the driver reads; more than this many different headers is an error
+MAX_HEADERS = 1_000
+
+
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of `path` by their header, read through Hadoop's file systems
+    (one line a file)."""
+    files = sorted(r[0] for r in spark.read.format("binaryFile").load(path).select("path").collect())
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found: dict[tuple[str, ...], list[str]] = {}
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(p.getFileSystem(conf).open(p), "UTF-8"))
+        try:
+            first = lines.readLine()
+        finally:
+            lines.close()
+        if first is not None:
+            found.setdefault(tuple(next(csv.reader([first.removeprefix("\ufeff")]))), []).append(f)
+    if len(found) > MAX_HEADERS:
+        raise ValueError(f"{path}: {len(found)} different headers")
+    return found
 
 
 def read_speeches_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """Scan raw speech CSV files by header name, every value as text.
 
     Columns beyond the speech columns are ignored, missing ones are null;
-    `columns` prunes the scan. Row order: the file's own `seq` column if it
-    has one, else (`source_file`, position in the file) — a multi-line CSV
-    file is never split, so positions follow the file."""
-    df = spark.read.options(**CSV_OPTIONS).csv(path)
-    have = set(df.columns)
+    `columns` prunes the scan. Files may order or leave out columns as they
+    like: files with the same header are one scan, mapped by name. Row order:
+    the file's own `seq` column if it has one, else (`source_file`, position in
+    the file) — a multi-line CSV file is never split, so positions follow it."""
     wanted = columns or SPEECH_COLUMNS + ["seq"]
+    out = None
+    for header, files in _headers(spark, path).items():
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        part = _named(spark.read.options(**CSV_OPTIONS).schema(schema).csv(files), wanted)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out if out is not None else _named(empty_like(spark, T.StructType([])), wanted)
+
+
+def _named(df: DataFrame, wanted: list[str]) -> DataFrame:
+    have = set(df.columns)
     out = []
     for c in wanted:
         if c == "seq":
@@ -70,7 +105,7 @@ def write_speeches_csv(df: DataFrame, path: str, num_files: int | None = None,
 
 _BASE_DATE = "1989-07-03"
 
-# Fixed values: (column, prefix, null when doc_id % a == 0, value doc_id % b)
+# (column, prefix, null when doc_id % a == 0, value doc_id % b)
 _ATTRIBUTE_PATTERN = [
     ("parliamentary_period", "period-", 7, 6),
     ("parliamentary_session", "session-", 4, 3),

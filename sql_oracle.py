@@ -165,14 +165,9 @@ FROM q_tf t JOIN vocab v ON t.term = v.term"""
 
 ORACLE["search_batch"] = search_sql("benchmark", "item_id", "text")
 
-ORACLE["search_topk"] = search_sql(
-    "(SELECT * FROM benchmark ORDER BY item_id LIMIT 1)", "item_id", "text")
+ORACLE["search_topk"] = search_sql("benchmark", "item_id", "text", k=3, floor=0.2)
 
-ORACLE["search_no_hit"] = """SELECT CAST(NULL AS BIGINT) AS query_id, CAST(NULL AS INTEGER) AS rank,
-       CAST(NULL AS BIGINT) AS doc_id, CAST(NULL AS VARCHAR) AS speech_start,
-       CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS political_party,
-       CAST(NULL AS VARCHAR) AS date, CAST(NULL AS DOUBLE) AS score
-WHERE false"""
+ORACLE["search_no_hit"] = """SELECT item_id AS query_id, CAST(0 AS BIGINT) AS n_hits FROM benchmark"""
 
 ORACLE["fetch_hits"] = f"""WITH hits AS ({search_sql('benchmark', 'item_id', 'text')}),
 {SPEECHES},
@@ -189,6 +184,9 @@ RAW_COLS = ("political_party, member_name, sitting_date, parliamentary_period, p
 ORACLE["scan_csv_roundtrip"] = f"""WITH {SPEECHES}
 SELECT {RAW_COLS} FROM speeches"""
 
+ORACLE["scan_csv_reordered"] = f"""WITH {SPEECHES}
+SELECT {RAW_COLS.replace('roles', "CASE WHEN seq % 2 = 0 THEN roles END AS roles")} FROM speeches"""
+
 ORACLE["scan_pruned"] = f"""WITH {SPEECHES}
 SELECT member_name, speech, seq FROM speeches"""
 
@@ -390,6 +388,12 @@ d AS (
 SELECT vec_id, CAST(label AS INTEGER) AS cluster_id, round(dist, {D}) AS distance
 FROM d QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY dist, label) = 1"""
 
+ORACLE["project_topics"] = f"""WITH {model_ctes()}
+SELECT d.doc_id, CAST(i AS INTEGER) AS topic_id,
+       round(coalesce(sum(w.weight * ((w.term_id * (i + 1)) % 7 - 3) / 10.0), 0.0), {D}) AS value
+FROM docs d CROSS JOIN range(3) r(i) LEFT JOIN weights w ON w.doc_id = d.doc_id
+GROUP BY d.doc_id, i"""
+
 ORACLE["search_stream"] = search_sql("benchmark", "item_id", "text")
 
 

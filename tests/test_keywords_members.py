@@ -131,4 +131,6 @@ def test_parameter_checks(spark):
         M.similar_pairs(M.member_vectors(w, d), k=0)
     with pytest.raises(ValueError):
         S.top_hits(spark.createDataFrame([(1, 1, 0.5)], "query_id long, doc_id long, score double"), k=0)
-    assert CL.clamp_k(25) == 20 and CL.clamp_k(-3) == 1
+    assert CL.checked_k(25) == 25
+    with pytest.raises(ValueError):
+        CL.checked_k(-3)

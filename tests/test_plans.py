@@ -34,17 +34,32 @@ def test_weights_norm_window_reuses_doc_partitioning(ws):
     assert "BroadcastHashJoin" in p
 
 
-def test_search_pushes_terms_and_ids_into_scans(spark, ws):
+def test_search_of_a_few_terms_pushes_them_into_the_postings_scan(spark, ws):
     m = ws.model()
-    q = ws.table("benchmark").select(F.col("item_id").alias("query_id"), "text").limit(1)
-    scores = S.score(m, q)
-    p = plan(scores)
-    scans = [l for l in p.splitlines() if "FileScan" in l and "term" in l]
+    words = [r["term"] for r in m.vocabulary.orderBy("term").limit(3).collect()]
+    q = spark.createDataFrame([(1, " ".join(words))], "query_id long, text string")
+    scans = [x for x in plan(S.score(m, q)).splitlines() if "FileScan" in x and "term" in x]
     assert scans and "PushedFilters: [In(term, [" in scans[0]
-    hits = S.top_hits(scores)
-    ph = plan(hits)
-    assert "WindowGroupLimit" in ph and "Partial" in ph
-    assert "CartesianProduct" not in ph and "BroadcastNestedLoopJoin" not in ph
+
+
+def test_batch_search_moves_no_scores_and_reads_no_speech(spark, ws):
+    m = ws.model()
+    q = ws.table("benchmark").select(F.col("item_id").alias("query_id"), "text")
+    p = plan(S.score(m, q))
+    assert "Exchange hashpartitioning(query_id" not in p and "BroadcastHashJoin" in p
+    hits = plan(S.top_hits(S.score(m, q)))
+    assert "WindowGroupLimit" in hits and "Partial" in hits
+    assert "CartesianProduct" not in hits and "BroadcastNestedLoopJoin" not in hits
+    whole = plan(S.search(m, ws.display(), q))
+    assert "speech#" not in whole
+
+
+def test_search_in_blocks_of_queries_equals_one(spark, ws, monkeypatch):
+    m = ws.model()
+    q = ws.table("benchmark").select(F.col("item_id").alias("query_id"), "text")
+    want = sorted(map(tuple, S.search(m, ws.display(), q).collect()))
+    monkeypatch.setattr(S, "BLOCK_ROWS", 20)
+    assert sorted(map(tuple, S.search(m, ws.docs(), q).collect())) == want
 
 
 def test_group_rankings_limit_before_shuffle(ws):

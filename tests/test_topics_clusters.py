@@ -70,7 +70,9 @@ def test_kmeans_more_clusters_than_points(spark):
     ex = CL.cluster_examples(assigned, docs, 5, n=2).collect()
     assert {r["cluster_id"] for r in ex} == set(range(5))       # empty clusters listed
     assert sum(1 for r in ex if r["size"] == 0) == 2
-    assert CL.clamp_k(50) == 20 and CL.clamp_k(0) == 1
+    assert CL.checked_k(50) == 50
+    with pytest.raises(ValueError):
+        CL.checked_k(0)
 
 
 def test_cluster_profile_cohesion(spark):
