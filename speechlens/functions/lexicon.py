@@ -98,6 +98,32 @@ def as_rule_list(rules: DataFrame | Sequence[tuple] | None) -> list[tuple[str, s
     return ordered
 
 
+# Short suffix rules of the same kind for the other languages (plurals and endings)
+RULES_BY_LANGUAGE = {
+    "en": S_STEMMER_RULES,
+    "de": [("ern", "", 3), ("en", "", 3), ("er", "", 3), ("es", "", 3), ("e", "", 3), ("n", "", 3)],
+    "fr": [("eaux", "eau", 1), ("aux", "al", 2), ("euses", "eux", 2), ("es", "", 3), ("s", "", 3), ("e", "", 3)],
+    "es": [("ces", "z", 2), ("iones", "ión", 1), ("es", "", 3), ("os", "o", 2), ("as", "a", 2), ("s", "", 3)],
+}
+
+
+def by_language_sql(lang: str, per_language: dict[str, str], otherwise: str) -> str:
+    """SQL text choosing among expressions by the value of the column `lang`."""
+    return "CASE " + " ".join(f"WHEN {lang} = {sql_literal(k)} THEN {v}" for k, v in per_language.items()) + f" ELSE {otherwise} END"
+
+
+def not_stop_word_of(column_name: str, lang_col: str, words: dict[str, Sequence[str]]) -> Column:
+    """Predicate: not a stop word of the row's own language; a row in another
+    language (or none) keeps all its words."""
+    return F.expr(by_language_sql(f"`{lang_col}`", {k: stop_sql(f"`{column_name}`", tuple(v)) for k, v in words.items()}, "true"))
+
+
+def stem_of(column_name: str, lang_col: str, rules: dict[str, Sequence[tuple[str, str, int]]]) -> Column:
+    """The stem by the rules of the row's own language; others stay as they are."""
+    return F.expr(by_language_sql(f"`{lang_col}`", {k: stem_sql(f"`{column_name}`", as_rule_list(v)) for k, v in rules.items()},
+                                  f"`{column_name}`"))
+
+
 def sql_literal(s: str) -> str:
     """A Spark SQL string literal (backslash escapes are on by default)."""
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -41,9 +41,12 @@ def consolidate(raw: DataFrame, order_cols: list[str] | None = None) -> DataFram
     ]
     sep = SEPARATOR.replace("'", "\\'")
     joined = F.expr(f"listagg(`{SPEECH}`, '{sep}') WITHIN GROUP (ORDER BY {order_key})")
-    grouped = raw.dropna(subset=GROUP_KEYS).groupBy(*GROUP_KEYS).agg(*firsts, joined.alias(SPEECH))
-    numbered = with_sequential_id(grouped, GROUP_KEYS, "doc_id")
-    return numbered.select("doc_id", *SPEECH_COLUMNS)
+    keyed = raw.dropna(subset=GROUP_KEYS)
+    grouped = keyed.groupBy(*GROUP_KEYS).agg(*firsts, joined.alias(SPEECH))
+    # only the keys are sorted and numbered; the texts meet their ids where the
+    # grouping has put them
+    ids = with_sequential_id(keyed.select(*GROUP_KEYS).distinct(), GROUP_KEYS, "doc_id")
+    return grouped.join(ids, GROUP_KEYS).select("doc_id", *SPEECH_COLUMNS)
 
 
 def consolidate_parts(raw: DataFrame, order_cols: list[str] | None = None

@@ -255,6 +255,17 @@ def conflate_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.filter(F.col("token") != F.col("term"))
 
 
+@register
+def conflate_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lang, token, term, n): every word that is no stop word of its document's
+    language, under that language's suffix rules, with its occurrences."""
+    docs = _ws(spark, sf_dir).table("documents")
+    t = docs.select("lang", F.explode(TX.tokens(F.col("text"))).alias("token"))
+    kept = t.filter(LX.not_stop_word_of("token", "lang", {k: LX.spark_stop_words(k) for k in LX.DEFAULT_LANGUAGES}))
+    counted = kept.groupBy("lang", "token").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("lang", "token", LX.stem_of("token", "lang", LX.RULES_BY_LANGUAGE).alias("term"), "n")
+
+
 @register
 def snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = _ws(spark, sf_dir)

@@ -52,8 +52,8 @@ def stop_list() -> str:
     return ", ".join(lit(w) for w in lexicon.default_stop_words(packaged=True))
 
 
-def stem_sql(tok: str) -> str:
-    rules = lexicon.as_rule_list(None)
+def stem_sql(tok: str, rules=None) -> str:
+    rules = lexicon.as_rule_list(rules)
     whens = []
     for suffix, repl, min_len in rules:
         n = len(suffix)
@@ -264,6 +264,15 @@ ORACLE["conflate_terms"] = f"""WITH {SPEECHES},
 kept AS (SELECT DISTINCT token FROM toks WHERE token NOT IN ({stop_list()}))
 SELECT token, {stem_sql('token')} AS term FROM kept WHERE token <> {stem_sql('token')}"""
 
+ORACLE["conflate_by_language"] = f"""WITH toks AS (
+  SELECT lang, unnest({tokens_sql('text')}) AS token FROM documents),
+kept AS (SELECT lang, token, count(*) AS n FROM toks WHERE NOT CASE {' '.join(
+    f"WHEN lang = '{k}' THEN token IN ({', '.join(lit(w) for w in lexicon.packaged_stop_words(k))})"
+    for k in lexicon.DEFAULT_LANGUAGES)} ELSE false END GROUP BY lang, token)
+SELECT lang, token, CASE {' '.join(
+    f"WHEN lang = '{k}' THEN {stem_sql('token', v)}" for k, v in lexicon.RULES_BY_LANGUAGE.items())} ELSE token END AS term,
+       n FROM kept"""
+
 ORACLE["snippet"] = f"""WITH {SPEECHES},
 {DOCS}
 SELECT doc_id, {snippet_sql('speech')} AS speech_start FROM docs"""
