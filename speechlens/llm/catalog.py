@@ -28,7 +28,7 @@ def _held_out(n: int, remainder: int):
 
 @register
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every (document, benchmark item) whose alignment reaches half of a perfect one."""
+    """Every (document, benchmark item) whose alignment reaches 0.4 of a perfect one."""
     found = decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", F.round("score", 6).alias("score"), "matches", "start", "end")
 

@@ -37,7 +37,7 @@ WIDTH = 3
 LEAST_SEEDS = 16
 SEED_HITS = 0.1  # of an item's kept seeds must occur near one another
 MATCH, MISMATCH, GAP = 2, -1, 1
-THRESHOLD = 0.5
+THRESHOLD = 0.4
 BLOCK_SEEDS = 2_000_000
 _MUL = U(0x9E3779B97F4A7C15)
 

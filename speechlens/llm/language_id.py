@@ -17,7 +17,6 @@ scored each; further columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -35,7 +34,6 @@ SAMPLE_BOUND = 4_000
 UNDETERMINED = "und"
 
 
-@functools.lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     """Lower-case code of every letter of the basic plane, 32 for the rest."""
     out = np.full(0x10000, 32, dtype=np.uint32)
@@ -47,12 +45,15 @@ def _letters() -> np.ndarray:
     return out
 
 
+_LETTERS = _letters()
+
+
 def codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Letter codes of a chunk of texts and their bounds, in code points."""
     raw = data[offsets[0]:offsets[-1]]
     chars = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), dtype=np.uint32)
     starts = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-    out = _letters()[np.minimum(chars, 0xFFFF)]
+    out = _LETTERS[np.minimum(chars, 0xFFFF)]
     far = np.flatnonzero(chars > 0xFFFF)
     if len(far):
         out = out.copy()
