@@ -29,6 +29,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def collected(df: DataFrame):
+    """A bounded result as a pandas frame, through Arrow whatever the session's settings."""
+    return df.toArrow().to_pandas()
+
+
 def sampled(df: DataFrame, id_col: str, bound: int, n: int | None = None, seed: int = 1) -> DataFrame:
     """All rows if there are at most `bound`, else about `bound` of them chosen by
     a hash of the id: the same rows for any partitioning."""
@@ -57,4 +62,4 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, *, id_col: str, tex
         F.col(id_col).alias("id"), "text", "y")
 
 
-__all__ = ["WORD", "crc_mod", "durable", "labelled", "sampled", "scratch_path", "table", "written"]
+__all__ = ["WORD", "collected", "crc_mod", "durable", "labelled", "sampled", "scratch_path", "table", "written"]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import sampled
+from .common import collected, sampled
 from .shingles import chunks, text_bytes
 
 BITS = 15
@@ -173,16 +173,16 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     from all of them, weights from at most about `bound`."""
     own = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     own = own.where(where) if where is not None else own
-    df = own.select(F.col(text_col).alias("text")).mapInArrow(_document_counts, "bucket int, df long").groupBy("bucket").agg(
-        F.sum("df").alias("df")).toPandas()  # at most BUCKETS + 1 rows
+    df = collected(own.select(F.col(text_col).alias("text")).mapInArrow(_document_counts, "bucket int, df long").groupBy("bucket").agg(
+        F.sum("df").alias("df")))  # at most BUCKETS + 1 rows
     count = np.zeros(BUCKETS)
     known = df["bucket"].to_numpy() >= 0
     count[df["bucket"].to_numpy()[known]] = df["df"].to_numpy()[known]
     total = int(df["df"].to_numpy()[~known].sum())
     id_type = dict(docs.dtypes)[id_col]
-    rows = sampled(own, id_col, bound, total).select(
+    rows = collected(sampled(own, id_col, bound, total).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).mapInArrow(
-        _features, f"id {id_type}, lang string, bucket array<int>, tf array<float>").toPandas()
+        _features, f"id {id_type}, lang string, bucket array<int>, tf array<float>"))
     rows = rows[rows["bucket"].map(len) > 0].sort_values("id", kind="stable")
     languages = tuple(sorted(rows["lang"].unique()))
     if not languages:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import sampled, written
+from .common import collected, sampled, written
 from .shingles import U, chunks, mix64, text_bytes, word_parts
 
 TOP_WORDS = 767
@@ -41,7 +41,7 @@ HEAD_WORDS = 1 << 16
 SAMPLE_TOKENS = 1_000_000
 WIDTH = 40
 EPOCHS = 3
-FLUSH = 1_000_000
+FLUSH = 400_000
 ADD = 0.1
 
 
@@ -124,14 +124,14 @@ def corpus_statistics(counts: DataFrame, texts: int) -> Corpus:
         if n + size > HEAD_WORDS:
             break
         least, n = at, n + size
-    rows = counts.where(level >= least).toPandas() if least is not None else counts.limit(0).toPandas()
+    rows = collected(counts.where(level >= least) if least is not None else counts.limit(0))
     rows = rows.assign(word=rows["word"].to_numpy(np.int64).view(U)).sort_values("word")
     head, head_count = rows["word"].to_numpy(U), rows["train"].to_numpy(np.int64)
     rank = np.lexsort((head, -head_count))
     top = rank[:TOP_WORDS][head_count[rank[:TOP_WORDS]] > 0]
     head_class = np.full(len(head), -1, dtype=np.int64)
     head_class[top] = 1 + np.arange(len(top))
-    sums = counts.groupBy("cls").agg(F.sum("train").alias("c"), F.sum((F.col("train") > 0).cast("long")).alias("v")).toPandas()
+    sums = collected(counts.groupBy("cls").agg(F.sum("train").alias("c"), F.sum((F.col("train") > 0).cast("long")).alias("v")))
     count, mass = np.zeros(CLASSES), np.zeros(CLASSES)
     count[1 + TOP_WORDS + sums["cls"].to_numpy(int)] = sums["c"].to_numpy(float)
     mass[1 + TOP_WORDS + sums["cls"].to_numpy(int)] = sums["c"].to_numpy(float) + ADD * sums["v"].to_numpy(float)
@@ -266,9 +266,9 @@ def fit(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str
     corpus = corpus_statistics(counts, texts)
     bound = texts if corpus.tokens <= sample_tokens else max(1, int(texts * sample_tokens / corpus.tokens))
     id_type = dict(docs.dtypes)[id_col]
-    rows = sampled(docs.where(learn), id_col, bound, texts).select(
+    rows = collected(sampled(docs.where(learn), id_col, bound, texts).select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(
-        lambda it: _sequences(corpus, it), f"id {id_type}, classes array<int>").toPandas()
+        lambda it: _sequences(corpus, it), f"id {id_type}, classes array<int>"))
     rows = rows.assign(key=rows["id"].astype(str)).sort_values("key", kind="stable")
     seqs = [np.asarray(c, dtype=np.int64) for c in rows["classes"]]
     bounds = np.cumsum([0] + [len(s) for s in seqs])
