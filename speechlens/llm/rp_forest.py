@@ -5,7 +5,8 @@ direction; points within a margin of the median go to both sides (spill). Two
 unit vectors at cosine 0.95 are at most 0.317 apart, so their projections differ
 by 0.317/sqrt(d) as a standard deviation; with the margin at half of that a pair
 is parted in about 2 % of the splits at worst, and `TREES` independent trees leave
-fewer than one in a million such pairs without a common leaf. Medians are fitted
+about one in 50,000 of the pairs right at 0.95, and far fewer of closer ones,
+without a common leaf. Medians are fitted
 on a sample of at most `SAMPLE` vectors, every vector is indexed.
 
 Equal vectors are one class first. Vectors are compared within leaves, in double
@@ -30,13 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, sampled, written
+from .common import collected, durable, sampled, written
 from .graph import connected_components
 
-TREES = 8
-LEAF = 256
+TREES = 6
+LEAF = 512
 BLOCK = 2_048
 SAMPLE = 40_000
+ROUTE_ROWS = 1_000
+#: a node where more than this share would go to both sides is a leaf
+MOST_SPILL = 0.35
 COSINE = 0.95
 #: large leaves up to this number are broadcast with their number of blocks
 BROADCAST_LEAVES = 200_000
@@ -55,7 +59,7 @@ class Tree:
             p = points[own] @ self.direction(node, points.shape[1])
             at = float(np.median(p))
             left, right = own[p <= at + margin], own[p >= at - margin]
-            if max(len(left), len(right)) > 0.9 * len(own):  # a clump that the margin covers
+            if len(left) + len(right) > (1 + MOST_SPILL) * len(own):  # a clump within the margin
                 continue
             self.median[node] = at
             stack += [(2 * node, left), (2 * node + 1, right)]
@@ -80,106 +84,159 @@ class Tree:
         return out
 
 
-def _unit(column: pa.Array) -> list[np.ndarray]:
-    rows = [np.asarray(v, dtype=float) for v in column.to_pylist()]
-    return [v / np.linalg.norm(v / np.abs(v).max()) / np.abs(v).max() for v in rows]
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one in double precision, without overflow."""
+    x = x.astype(float)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def fit_forest(sample: list[np.ndarray], total: int, *, trees: int = TREES, leaf: int = LEAF) -> dict[int, list[Tree]]:
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(values, bounds) of a list column, without Python objects."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    bounds = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))])
+    return column.flatten().to_numpy(zero_copy_only=False), bounds.astype(np.int64)
+
+
+def _by_length(column: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Vector length -> (rows, their vectors)."""
+    values, bounds = _lists(column)
+    lens, out = np.diff(bounds), {}
+    for d in np.unique(lens[lens > 0]).tolist():
+        rows = np.flatnonzero(lens == d)
+        out[d] = rows, values[bounds[rows][:, None] + np.arange(d)]
+    return out
+
+
+def fit_forest(sample: dict[int, tuple[np.ndarray, np.ndarray]], total: int, *, trees: int = TREES,
+               leaf: int = LEAF) -> dict[int, list[Tree]]:
     """A forest for each vector length in the sample."""
     out = {}
-    for d in sorted({len(v) for v in sample}):
-        points = np.array([v for v in sample if len(v) == d])
+    size = sum(len(rows) for rows, _ in sample.values())
+    for d, (_, points) in sample.items():
         margin = 0.5 * np.sqrt(2 - 2 * COSINE) / np.sqrt(d)
-        least = leaf * len(sample) / max(total, 1)
+        least = leaf * size / max(total, 1)
+        points = _unit(points)
         out[d] = [Tree(points, (d, t), least, margin) for t in range(trees)]
     return out
 
 
-def _route(forest: dict[int, list[Tree]], batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per vector and leaf: leaf, rep, mult, unit vector, all its leaves."""
+def _leaves_of(forest: dict[int, list[Tree]], d: int, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(leaf, row) of every leaf that the vectors of length d are in; a leaf is
+    tree << 25 | node. A length that the sample lacks is one leaf."""
+    points = _unit(raw)
+    found = [(t << 25 | node, inside) for t, tree in enumerate(forest.get(d, [None]))
+             for node, inside in (tree.leaves(points) if tree else [(1, np.arange(len(points)))])]
+    return (np.concatenate([np.full(len(i), k, dtype=np.int64) for k, i in found]),
+            np.concatenate([i for _, i in found]))
+
+
+def _leaf_sizes(forest: dict[int, list[Tree]], batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = _unit(batch.column(2))
-        own: list[list[int]] = [[] for _ in rows]
-        for d in sorted({len(v) for v in rows}):
-            some = [i for i, v in enumerate(rows) if len(v) == d]
-            points = np.array([rows[i] for i in some])
-            # a length that the sample lacks is one leaf
-            for t, tree in enumerate(forest.get(d, [None])):
-                for node, inside in (tree.leaves(points) if tree else [(1, np.arange(len(points)))]):
-                    for i in inside:
-                        own[some[i]].append((d & 0xFFFFFF) << 32 | t << 25 | node)
-        for i in own:
-            i.sort()
-        pick = np.repeat(np.arange(len(rows)), [len(i) for i in own])
-        yield pa.RecordBatch.from_arrays([
-            pa.array([x for i in own for x in i], pa.int64()), batch.column(0).take(pa.array(pick)),
-            batch.column(1).take(pa.array(pick)), pa.array([rows[i] for i in pick], pa.list_(pa.float64())),
-            pa.array([own[i] for i in pick], pa.list_(pa.int64()))], names=["leaf", "rep", "mult", "vec", "leaves"])
-
-
-def _first_shared(left: np.ndarray, right: np.ndarray, leaf: int) -> np.ndarray:
-    """Whether `leaf` is the smallest leaf in both rows of leaf lists (padded by -1)."""
-    out = np.ones(len(left), dtype=bool)
-    for a in range(0, len(left), 20_000):
-        x, y = left[a:a + 20_000], right[a:a + 20_000]
-        same = (x[:, :, None] == y[:, None, :]) & (x[:, :, None] >= 0) & (x[:, :, None] < leaf)
-        out[a:a + 20_000] = ~same.any(axis=(1, 2))
+        for d, (_, raw) in _by_length(batch.column(2)).items():
+            leaf, n = np.unique(_leaves_of(forest, d, raw)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(leaf), d, np.int32)), pa.array(leaf), pa.array(n)],
+                                             names=["d", "leaf", "n"])
+
+
+def _route(forest: dict[int, list[Tree]], batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per vector and leaf: length, leaf, rep, mult, vector, all its leaves."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROUTE_ROWS):
+            batch = whole.slice(at, ROUTE_ROWS)
+            for d, (rows, raw) in _by_length(batch.column(2)).items():
+                leaf, row = _leaves_of(forest, d, raw)
+                order = np.lexsort((leaf, row))
+                leaf, row = leaf[order], row[order]
+                count = np.bincount(row, minlength=len(raw))
+                ends = np.cumsum(count)
+                # each row carries all leaves of its vector
+                own, lens = np.repeat(ends - count, count), np.repeat(count, count)
+                inner = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
+                leaves = leaf[np.repeat(own, lens) + inner].astype(np.int32)
+                pick = pa.array(rows[row])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(row), d, np.int32)), pa.array(leaf), batch.column(0).take(pick), batch.column(1).take(pick),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1) * d, pa.int32()), pa.array(raw[row].ravel())),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]), pa.int32()), pa.array(leaves))],
+                    names=["d", "leaf", "rep", "mult", "vec", "leaves"])
+
+
+def _tables(column: pa.ChunkedArray) -> np.ndarray:
+    """[rows, trees, leaves of a tree], padded by -1."""
+    values, bounds = _lists(column)
+    values = values.astype(np.int64)
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    tree = (values >> 25) & 127
+    # values are sorted within a row, so a tree's leaves stand together
+    new = np.r_[True, (row[1:] != row[:-1]) | (tree[1:] != tree[:-1])]
+    first = np.flatnonzero(new)
+    place = np.arange(len(values)) - np.repeat(first, np.diff(np.append(first, len(values))))
+    out = np.full((len(bounds) - 1, int(tree.max()) + 1, int(place.max()) + 1), -1, dtype=np.int64)
+    out[row, tree, place] = values
+    return out
+
+
+def _first_shared(leaves: np.ndarray, i: np.ndarray, j: np.ndarray, leaf: int) -> np.ndarray:
+    """Whether `leaf` is the smallest leaf that vectors i and j share, tree by
+    tree; most pairs already share one in the first."""
+    out = np.ones(len(i), dtype=bool)
+    last = (leaf >> 25) & 127
+    for a in range(0, len(i), 20_000):
+        left = np.arange(a, min(a + 20_000, len(i)))
+        for t in range(last + 1):
+            x, y = leaves[i[left], t], leaves[j[left], t]
+            earlier = (x >= 0) & (x < leaf)
+            shared = ((x[:, :, None] == y[:, None, :]).any(axis=2) & earlier).any(axis=1)
+            out[left[shared]] = False
+            left = left[~shared]
+            if not len(left):
+                break
     return out
 
 
+def _unite(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Join the sets of i and j; every entry points to its set's smallest member."""
+    while True:
+        x, y = root[i], root[j]
+        apart = x != y
+        if not apart.any():
+            return root
+        np.minimum.at(root, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+        while (root[root] != root).any():
+            root = root[root]
+
+
 def _compare(table: pa.Table) -> pa.Table:
     """Links within one leaf, or between two of its blocks: for each vector that
     has any, the links first found here and the smallest vector it hangs with."""
-    order = np.argsort(table.column("rep").to_numpy(), kind="stable")
-    rep = table.column("rep").to_numpy()[order]
-    mult = table.column("mult").to_numpy()[order]
-    side = table.column("side").to_numpy()[order]
-    leaf = int(table.column("leaf")[0].as_py())
-    two = bool(table.column("cross")[0].as_py())
-    x = np.array(table.column("vec").to_pylist(), dtype=float)[order]
-    lists = table.column("leaves").to_pylist()
-    width = max(len(v) for v in lists)
-    lists = np.array([v + [-1] * (width - len(v)) for v in lists], dtype=np.int64)[order]
+    table = table.take(np.argsort(table.column("rep").to_numpy(), kind="stable"))
+    rep, mult, side = (table.column(c).to_numpy() for c in ("rep", "mult", "side"))
+    leaf, two = int(table.column("leaf")[0].as_py()), bool(table.column("cross")[0].as_py())
+    x = _unit(_lists(table.column("vec"))[0].reshape(len(rep), -1))
+    leaves = _tables(table.column("leaves"))
     links, root, any_link = np.zeros(len(rep), np.int64), np.arange(len(rep)), np.zeros(len(rep), bool)
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for a in range(0, len(rep), 1024):
-        i, j = np.nonzero(x[a:a + 1024] @ x.T >= COSINE)
+    for a in range(0, len(rep), 256):
+        i, j = np.nonzero(x[a:a + 256] @ x.T >= COSINE)
         i += a
         keep = (i < j) & (rep[i] != rep[j])
         if two:
             keep &= side[i] != side[j]
         i, j = i[keep], j[keep]
-        if not len(i):
-            continue
-        first = _first_shared(lists[i], lists[j], leaf)
-        np.add.at(links, i[first], mult[j[first]])
-        np.add.at(links, j[first], mult[i[first]])
-        any_link[i] = any_link[j] = True
-        # one step of label spreading does most of the work, the rest is union-find
-        least = np.arange(len(rep))
-        np.minimum.at(least, j, i)
-        for p, q in {*zip(i[least[j] == i].tolist(), j[least[j] == i].tolist(), strict=True)}:
-            p, q = find(p), find(q)
-            root[max(p, q)] = min(p, q)
-        for p, q in zip(i.tolist(), j.tolist(), strict=True):
-            if root[p] != root[q]:
-                p, q = find(p), find(q)
-                root[max(p, q)] = min(p, q)
+        if len(i):
+            first = _first_shared(leaves, i, j, leaf)
+            np.add.at(links, i[first], mult[j[first]])
+            np.add.at(links, j[first], mult[i[first]])
+            any_link[i] = any_link[j] = True
+            root = _unite(root, i, j)
     some = np.flatnonzero(any_link)
-    hang = np.array([find(i) for i in some], dtype=np.int64) if len(some) else some
-    return pa.table({"rep": rep[some], "links": links[some], "root": rep[hang] if len(some) else rep[:0]})
+    return pa.table({"rep": rep[some], "links": links[some], "root": rep[root[some]]})
 
 
 def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row per vector id: id, n_links, component_id, kept."""
-    v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    kind = "float" if dict(vectors.dtypes)[vector_col] == "array<float>" else "double"
+    v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(f"array<{kind}>").alias("v"))
     usable = F.col("id").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (
         F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     named = v.withColumn("ok", F.coalesce(usable, F.lit(False))).withColumns({
@@ -191,21 +248,22 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
         F.first("rep").alias("rep"), F.first("mult").alias("mult"), F.first("v").alias("v"))
     heads = written(heads, "forest-vectors")
     total = heads.count()
-    chosen = sampled(heads, "rep", SAMPLE, total).select("rep", "v").toPandas().sort_values("rep")
-    forest = fit_forest(_unit(pa.array(chosen["v"].tolist(), pa.list_(pa.float64()))) if len(chosen) else [], total)
-    routed = written(heads.select("rep", "mult", "v").mapInArrow(
-        lambda it: _route(forest, it), "leaf long, rep long, mult long, vec array<double>, leaves array<long>"), "forest-leaves")
-    large = durable(routed.groupBy("leaf").count().where(F.col("count") > BLOCK).select(
-        "leaf", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
+    chosen = collected(sampled(heads, "rep", SAMPLE, total).select("rep", "v")).sort_values("rep")
+    forest = fit_forest(_by_length(pa.array(chosen["v"].tolist(), pa.list_(pa.float64()))), total)
+    task = heads.select("rep", "mult", "v")
+    large = durable(task.mapInArrow(lambda it: _leaf_sizes(forest, it), "d int, leaf long, n long").groupBy("d", "leaf").agg(
+        F.sum("n").alias("n")).where(F.col("n") > BLOCK).select("d", "leaf", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
     if large.count() <= BROADCAST_LEAVES:
         large = F.broadcast(large)
+    routed = task.mapInArrow(lambda it: _route(forest, it),
+                             f"d int, leaf long, rep long, mult long, vec array<{kind}>, leaves array<int>")
     # a block meets every block of its leaf, itself included, in a task of its own
-    placed = routed.join(large, "leaf", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn(
+    placed = routed.join(large, ["d", "leaf"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn(
         "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({
             "x": F.least("block", "other"), "y": F.greatest("block", "other"),
             "side": F.col("block"), "cross": F.col("block") != F.col("other")})
-    found = durable(placed.groupBy("leaf", "x", "y").applyInArrow(_compare, "rep long, links long, root long"))
+    found = durable(placed.groupBy("d", "leaf", "x", "y").applyInArrow(_compare, "rep long, links long, root long"))
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     comp = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     per_class = classes.join(links, "rep", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
