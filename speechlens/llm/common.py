@@ -29,6 +29,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ARROW_ROWS = 512
+
+
+def lean(df: DataFrame) -> DataFrame:
+    """`df`, whose Arrow batches to Python hold at most ARROW_ROWS rows from now
+    on, so that a task has few texts in memory at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(name))
+    if not 0 < now <= ARROW_ROWS:
+        df.sparkSession.conf.set(name, str(ARROW_ROWS))
+    return df
+
+
 def collected(df: DataFrame):
     """A bounded result as a pandas frame, through Arrow whatever the session's settings."""
     return df.toArrow().to_pandas()
@@ -62,4 +75,4 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, *, id_col: str, tex
         F.col(id_col).alias("id"), "text", "y")
 
 
-__all__ = ["WORD", "collected", "crc_mod", "durable", "labelled", "sampled", "scratch_path", "table", "written"]
+__all__ = ["WORD", "collected", "crc_mod", "durable", "labelled", "lean", "sampled", "scratch_path", "table", "written"]

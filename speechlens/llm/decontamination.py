@@ -2,7 +2,7 @@
 
 Words are runs of letters and digits, A-Z lower-cased; seeds are the items'
 word 3-grams. One pass counts in how many documents each seed occurs; an item
-keeps its rarest half, and at least `LEAST_SEEDS`, so every item stays findable
+keeps the rarest half of those that occur, and at least `LEAST_SEEDS`, so every item stays findable
 even if its passage is in very many documents. A second pass finds the kept
 seeds in every text, aligns the item with the text around its seeds
 (match +2, other word or gap -1) and takes the item as leaked where the local
@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from .common import lean
 from .shingles import U, chunks, mix64, text_bytes, word_hashes
 
 WIDTH = 3
@@ -119,7 +120,7 @@ def _counted(docs: DataFrame, text_col: str, seeds: np.ndarray) -> dict[int, int
         some = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(df[some])], names=["seed", "df"])
 
-    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "seed long, df long").groupBy("seed").agg(
+    rows = lean(docs).select(F.col(text_col).alias("text")).mapInArrow(run, "seed long, df long").groupBy("seed").agg(
         F.sum("df").alias("df")).collect()  # at most BLOCK_SEEDS rows
     return {r["seed"]: r["df"] for r in rows}
 
@@ -146,7 +147,9 @@ def _select(docs: DataFrame, text_col: str, items: list[tuple]) -> Items:
     df = _counted(docs, text_col, every) if len(every) else {}
     owners, needed = defaultdict(list), []
     for j, (_, _, seeds) in enumerate(items):
-        rank = sorted(seeds.tolist(), key=lambda s: (df.get(int(np.searchsorted(every, U(s))), 0), s))
+        # a seed that occurs nowhere finds nothing, and is no choice
+        times = {s: df.get(int(np.searchsorted(every, U(s))), 0) for s in seeds.tolist()}
+        rank = sorted((s for s in times if times[s]), key=lambda s: (times[s], s))
         kept = rank[:max(LEAST_SEEDS, -(-len(rank) // 2))]
         needed.append(max(1, int(np.ceil(SEED_HITS * len(kept)))))
         for s in kept:
