@@ -111,8 +111,9 @@ def randomness(tokens: DataFrame, token_col: str = "token") -> DataFrame:
     df = df.withColumns({
         "_r_x2": k / n * squares - n,
         "_r_codes": F.transform(chars, lambda c: F.instr(F.col("_r_alphabet"), c).cast("double")),
-        "_r_switches": F.regexp_count(t, F.lit(
-            r"(?<=[a-z])[^a-z]|(?<=[A-Z])[^A-Z]|(?<=[0-9])[^0-9]|(?<=[+/_-])[A-Za-z0-9]")).cast("double")})
+        # separators between words are no change of class
+        "_r_switches": F.regexp_count(F.regexp_replace(t, "[+/_-]", ""), F.lit(
+            r"(?<=[a-z])[^a-z]|(?<=[A-Z])[^A-Z]|(?<=[0-9])[^0-9]")).cast("double")})
     excess = (n - 1) * (k * F.col("_r_kappa") - 1)
     mean = F.aggregate("_r_codes", F.lit(0.0), lambda acc, x: acc + x) / n
     df = df.withColumns({
