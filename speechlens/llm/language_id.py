@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import collected, sampled
+from .common import collected, lean, sampled
 from .shingles import chunks, text_bytes
 
 BITS = 15
@@ -171,7 +171,7 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
         where: Column | None = None, bound: int = SAMPLE_BOUND) -> LanguageModel:
     """Learn from the rows with a language (and `where`): document frequencies
     from all of them, weights from at most about `bound`."""
-    own = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    own = lean(docs).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     own = own.where(where) if where is not None else own
     df = collected(own.select(F.col(text_col).alias("text")).mapInArrow(_document_counts, "bucket int, df long").groupBy("bucket").agg(
         F.sum("df").alias("df")))  # at most BUCKETS + 1 rows
@@ -226,5 +226,5 @@ def predict(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", te
                     names=["id", "lang_pred", "score"])
 
     id_type = dict(docs.dtypes)[id_col]
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
+    return lean(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"id {id_type}, lang_pred string, score double").withColumnRenamed("id", id_col)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import collected, sampled, written
+from .common import collected, lean, sampled, written
 from .shingles import U, chunks, mix64, text_bytes, word_parts
 
 TOP_WORDS = 767
@@ -261,7 +261,7 @@ def _counts(docs: DataFrame, learn: Column, text_col: str) -> DataFrame:
 def fit(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text",
         sample_tokens: int = SAMPLE_TOKENS) -> tuple[LanguageModel, DataFrame]:
     """The model, and the table of word counts that scoring joins with."""
-    texts = docs.where(learn).count()
+    texts = lean(docs).where(learn).count()
     counts = _counts(docs, learn, text_col)
     corpus = corpus_statistics(counts, texts)
     bound = texts if corpus.tokens <= sample_tokens else max(1, int(texts * sample_tokens / corpus.tokens))
@@ -325,7 +325,7 @@ def score(docs: DataFrame, model: LanguageModel, counts: DataFrame, *, id_col: s
           text_col: str = "text") -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) for every row."""
     id_type = dict(docs.dtypes)[id_col]
-    parts = written(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
+    parts = written(lean(docs).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
                                 F.col(text_col).alias("text")).mapInArrow(
         lambda it: _score(model, it),
         f"row long, id {id_type}, word long, n long, known long, base double, model double"), "lm-parts")

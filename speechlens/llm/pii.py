@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import lean, written
 from .shingles import chunks, text_bytes
 
 KINDS = ("email", "ip", "card", "phone", "ident")
@@ -241,7 +241,7 @@ def _join(spans: list[tuple[int, int, int]]) -> str:
 
 def _candidate_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     kind = dict(docs.dtypes)[id_col]
-    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
+    found = lean(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         _search, f"id {kind}, found array<struct<kind:int,start:bigint,end:bigint,base:boolean,pattern:string>>")
     return written(found, "pii-candidates")
 
@@ -304,4 +304,4 @@ def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
             columns[place] = pa.array(texts, batch.column(place).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return docs.mapInArrow(replace, docs.schema)
+    return lean(docs).mapInArrow(replace, docs.schema)

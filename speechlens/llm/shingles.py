@@ -19,7 +19,7 @@ _BYTES[65:91] = _BYTES[97:123]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _BASE = U(0x9E3779B97F4A7C15)
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled
+from .common import labelled, lean
 from .shingles import chunks, text_bytes, word_parts
 
 DECAY = 0.5
@@ -241,7 +241,7 @@ def _platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic",
         where: Column | None = None, bound: int = LABELLED_BOUND) -> ToxicityModel | None:
     """Learn from at most about `bound` labelled texts of each class."""
-    rows = labelled(docs, labels, label, id_col=id_col, text_col=text_col, bound=bound, where=where).collect()
+    rows = labelled(lean(docs), labels, label, id_col=id_col, text_col=text_col, bound=bound, where=where).collect()
     rows = sorted(rows, key=lambda r: (str(r["id"]), r["text"] or ""))
     return fit_words([((r["text"] or "").encode(), r["y"]) for r in rows])
 
@@ -249,7 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 class _Scorer:
     """Highest word margin per text; remembers the words a task has seen."""
 
-    REMEMBER = 1_000_000
+    REMEMBER = 400_000
 
     def __init__(self, model: ToxicityModel):
         self.model = model
@@ -310,7 +310,7 @@ def score(docs: DataFrame, model: ToxicityModel | None, *, id_col: str = "doc_id
                                              names=["id", "score", "predicted"])
 
     id_type = dict(docs.dtypes)[id_col]
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
+    return lean(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"id {id_type}, score double, predicted int").withColumnRenamed("id", id_col)
 
 
@@ -322,4 +322,4 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel | None, *, text_col: str =
         for part, p in _score_chunks(model, place, batches):
             yield part.filter(pa.array(p < CUT))
 
-    return docs.mapInArrow(run, docs.schema)
+    return lean(docs).mapInArrow(run, docs.schema)
