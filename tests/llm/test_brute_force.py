@@ -235,13 +235,13 @@ def test_toxicity_query_and_tolerance(spark):
 def test_decontamination_finds_edited_copies(spark):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(300)]
-    items = [(i, " ".join(rng.choices(words, k=rng.randint(12, 50)))) for i in range(30)]
+    items = [(i, " ".join(rng.choices(words, k=rng.randint(20, 50)))) for i in range(30)]
     rows, leaked = [], set()
     for d in range(200):
         body = rng.choices(words, k=200)
         if d % 4 == 0:
             i, t = items[d % 30]
-            edited = [rng.choice(words) if rng.random() < 0.15 else w for w in t.split()]
+            edited = [rng.choice(words) if rng.random() < 0.1 else w for w in t.split()]
             del edited[len(edited) // 2]
             body[100:100] = edited
             leaked.add((d, i))
