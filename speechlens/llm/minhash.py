@@ -12,10 +12,14 @@ From candidates to components, whole but without all pairs of a bucket:
 1. texts with equal shingle sets are one class (partial minimum);
 2. in each bucket the member that shares most buckets with others (an original
    among its copies) is the leader; members are verified against leaders;
-3. members that are not in their leader's component are then compared with all
-   other members of their buckets that are in other components. Only a pair whose
-   packed sketches (two bits a bin) agree as 0.75 allows, within five standard
-   errors, is passed on, and it is verified on the full sets.
+3. members that are not in their leader's component are verified against random
+   members of their buckets, which differ from bucket to bucket;
+4. those that still stand apart are compared with all other members of their
+   buckets that are in other components. Shingles that no
+   other such document has bound a pair's similarity from above, which rules out
+   heavily edited copies exactly; of the rest only a pair whose packed sketches
+   (two bits a bin) agree as 0.75 allows, within five standard errors, is passed
+   on, and it is verified on the full sets.
 
 Sets are built again from the texts of candidates only; they never travel for
 the rest. Hot buckets are plain joins which Spark splits.
@@ -35,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, written
+from .common import durable, lean, written
 from .graph import connected_components
 from .shingles import U, chunks, mix64, shingle_sets, text_bytes, word_hashes
 
@@ -46,6 +50,8 @@ WIDTH, SIMILARITY_PERCENT = 5, 75
 AGREE_LEAST = 177
 #: ids below this many rows are broadcast to the second reading of the texts
 BROADCAST_IDS = 1_000_000
+#: random members of a bucket that its unlinked members are verified against
+RANDOM = 2
 _ROUND_KEYS = mix64(np.arange(1, 2 * BINS + 1, dtype=U) * U(0x9E3779B97F4A7C15))
 _EMPTY = U(0xFFFFFFFFFFFFFFFF)
 
@@ -126,6 +132,31 @@ def _near(x: str, y: str) -> Column:
     return (least * 100 >= most * SIMILARITY_PERCENT) & (_agree(f"{x}.bits", f"{y}.bits") >= AGREE_LEAST)
 
 
+def _private(sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc, private): how many of a document's shingles no other of `docs` has."""
+    alone = sets.join(docs, "doc", "left_semi").select("doc", F.explode("members").alias("g")).groupBy("g").agg(
+        F.min("doc").alias("doc"), F.max("doc").alias("last")).where("doc = last")
+    return alone.groupBy("doc").agg(F.count(F.lit(1)).alias("private"))
+
+
+def _possible(x: str, y: str) -> Column:
+    """Shared shingles are at most those that each side has in common with any
+    other: an exact upper bound of the similarity reaches the threshold."""
+    common = F.least(F.col(f"{x}.shared"), F.col(f"{y}.shared"))
+    return common * 100 >= (F.col(f"{x}.n") + F.col(f"{y}.n") - common) * SIMILARITY_PERCENT
+
+
+def _open_members(joint: DataFrame, leaders: DataFrame, comp: DataFrame) -> DataFrame:
+    """The members of the buckets that hold more than their leader's component."""
+    known = durable(joint.join(comp.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
+        "component", F.coalesce("component", "doc")))
+    lead = leaders.select("key", F.col("leader.doc").alias("doc")).join(
+        known.select("key", "doc", F.col("component").alias("lead_component")), ["key", "doc"]).select(
+        "key", F.col("doc").alias("lead_doc"), "lead_component")
+    left = known.join(lead, "key").where("component != lead_component").select("key").distinct()
+    return durable(known.join(left, "key", "left_semi").join(lead, "key"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (member, other) whose full sets reach the similarity, as links a, b."""
     one = sets.select(F.col("doc").alias("member"), F.col("members").alias("x"))
@@ -138,7 +169,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: its id, n_shingles, component_id, kept."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    texts = lean(docs).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     signed = written(texts.mapInArrow(
         _signatures, "doc long, n long, s1 long, s2 long, bands array<long>, bits array<long>"), "minhash-signatures")
     linkable = signed.where("doc IS NOT NULL AND n > 0")
@@ -166,15 +197,24 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     member = joint.alias("u").join(leaders, "key").where("u.doc != leader.doc").where(_near("u", "leader"))
     first = durable(_verified(member.select(
         F.col("u.doc").alias("member"), F.col("leader.doc").alias("other")).distinct(), sets))
-    comp = connected_components(first)
-    known = durable(joint.join(comp.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
-        "component", F.coalesce("component", "doc")))
-    lead = leaders.select("key", F.col("leader.doc").alias("doc")).join(
-        known.select("key", "doc", F.col("component").alias("lead_component")), ["key", "doc"]).select(
-        "key", F.col("doc").alias("lead_doc"), "lead_component")
-    rest = known.join(lead, "key").where("component != lead_component")
-    second = rest.alias("u").join(known.alias("v"), F.col("u.key") == F.col("v.key")).where(
-        (F.col("u.component") != F.col("v.component")) & (F.col("v.doc") != F.col("u.lead_doc"))).where(_near("u", "v"))
+    # random members of a bucket differ from bucket to bucket, so a copy that the
+    # leader does not link meets many others here at one row a bucket each
+    some = _open_members(joint, leaders, connected_components(first))
+    pick = some.groupBy("key").agg(*(F.min_by(
+        F.struct("doc", "n", "bits", "component"), F.xxhash64("doc", "key", F.lit(i))).alias(f"p{i}") for i in range(RANDOM)))
+    pick = pick.select("key", F.explode(F.array_distinct(F.array(*(f"p{i}" for i in range(RANDOM))))).alias("peer"))
+    tried = some.where("component != lead_component").alias("u").join(pick, "key").where(
+        "u.component != peer.component AND peer.doc != u.lead_doc").where(_near("u", "peer"))
+    first = durable(first.union(_verified(tried.select(
+        F.col("u.doc").alias("member"), F.col("peer.doc").alias("other")).distinct(), sets)))
+    open_members = _open_members(joint, leaders, connected_components(first))
+    members = durable(open_members.join(
+        _private(sets, open_members.select("doc").distinct()), "doc", "left").withColumn(
+        "shared", F.col("n") - F.coalesce("private", F.lit(0))))
+    second = members.where("component != lead_component").alias("u").join(
+        members.alias("v"), F.col("u.key") == F.col("v.key")).where(
+        (F.col("u.component") != F.col("v.component")) & (F.col("v.doc") != F.col("u.lead_doc")) & _possible("u", "v")).where(
+        _near("u", "v"))
     more = _verified(second.select(
         F.least("u.doc", "v.doc").alias("other"), F.greatest("u.doc", "v.doc").alias("member")).distinct(), sets)
 
