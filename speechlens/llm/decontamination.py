@@ -1,15 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Words are runs of letters and digits, A-Z lower-cased; seeds are the items'
-word 3-grams. One pass counts in how many documents each seed occurs; an item
-keeps the rarest half of those that occur, and at least `LEAST_SEEDS`, so every item stays findable
-even if its passage is in very many documents. A second pass finds the kept
-seeds in every text, aligns the item with the text around its seeds
-(match +2, other word or gap -1) and takes the item as leaked where the local
-alignment reaches `threshold` of a perfect one, which paraphrased or edited
-copies do and chance does not.
-
-Both passes are scans without a shuffle of texts. Items are dealt into blocks of
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+Words are runs of letters and digits, A-Z lower-cased; seeds are all word
+3-grams of the items, whether rare or common in the documents, so what a
+document is found to leak does not depend on other documents. The item is
+aligned with the text around each of its seeds (match +2, other word or gap -1)
+and taken as leaked where the local alignment reaches `threshold` of a perfect
+one, which paraphrased or edited copies do and chance does not. One seed is
+enough; a stretch is left unaligned only if the item's words in it, each as
+often as it stands in both, could not reach the threshold in any order. A copy
+edited so that no three consecutive words of the item are left is not found.
+
+This is one scan without a shuffle of texts. Items are dealt into blocks of
 at most `BLOCK_SEEDS` seeds, whose tables go to the tasks; a larger benchmark
 takes more blocks, never fewer items.
 
@@ -21,7 +22,6 @@ found only in texts as short; repeated items or rows are reported each; further
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -35,8 +35,6 @@ from .common import lean
 from .shingles import U, chunks, mix64, text_bytes, word_hashes
 
 WIDTH = 3
-LEAST_SEEDS = 16
-SEED_HITS = 0.1  # of an item's kept seeds must occur near one another
 MATCH, MISMATCH, GAP = 2, -1, 1
 THRESHOLD = 0.4
 BLOCK_SEEDS = 2_000_000
@@ -49,13 +47,15 @@ _BREAKS[128:] = False
 
 @dataclass(frozen=True)
 class Items:
-    """Items of one block: their ids, words (hashes), and kept seeds."""
+    """Items of one block: their ids, words (hashes), and seeds; the items with
+    seed k are owners[starts[k]:starts[k + 1]]."""
 
     ids: list
     words: list
+    counts: list  # (different words, how often) of each item
     seeds: np.ndarray  # sorted
-    owners: dict  # seed -> item numbers
-    needed: list
+    starts: np.ndarray
+    owners: np.ndarray
 
 
 def _grams(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,28 +103,6 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[t
         yield _read_items(sorted(((r["i"], r["t"]) for r in own.collect()), key=lambda r: (str(r[0]), r[1] or "")))
 
 
-def _counted(docs: DataFrame, text_col: str, seeds: np.ndarray) -> dict[int, int]:
-    """In how many rows of `docs` each seed occurs."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df = np.zeros(len(seeds), dtype=np.int64)
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(0))
-            for a, b in chunks(offsets):
-                words, bounds = _hashed(data, offsets[a:b + 1])
-                gram, ok = _grams(words, bounds)
-                at, where = _found(gram, ok, seeds)
-                if len(at):
-                    row = np.searchsorted(bounds, where, side="right") - 1
-                    df += np.bincount(np.unique(row * len(seeds) + at) % len(seeds), minlength=len(seeds))
-        some = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(df[some])], names=["seed", "df"])
-
-    rows = lean(docs).select(F.col(text_col).alias("text")).mapInArrow(run, "seed long, df long").groupBy("seed").agg(
-        F.sum("df").alias("df")).collect()  # at most BLOCK_SEEDS rows
-    return {r["seed"]: r["df"] for r in rows}
-
-
 _LOW = (1 << 20) - 1
 
 
@@ -142,19 +120,13 @@ def _found(gram: np.ndarray, ok: np.ndarray, seeds: np.ndarray) -> tuple[np.ndar
     return at[hit], where[hit]
 
 
-def _select(docs: DataFrame, text_col: str, items: list[tuple]) -> Items:
-    every = np.unique(np.concatenate([s for _, _, s in items])) if items else np.zeros(0, dtype=U)
-    df = _counted(docs, text_col, every) if len(every) else {}
-    owners, needed = defaultdict(list), []
-    for j, (_, _, seeds) in enumerate(items):
-        # a seed that occurs nowhere finds nothing, and is no choice
-        times = {s: df.get(int(np.searchsorted(every, U(s))), 0) for s in seeds.tolist()}
-        rank = sorted((s for s in times if times[s]), key=lambda s: (times[s], s))
-        kept = rank[:max(LEAST_SEEDS, -(-len(rank) // 2))]
-        needed.append(max(1, int(np.ceil(SEED_HITS * len(kept)))))
-        for s in kept:
-            owners[s].append(j)
-    return Items([i for i, _, _ in items], [w for _, w, _ in items], np.array(sorted(owners), dtype=U), dict(owners), needed)
+def _seeded(items: list[tuple]) -> Items:
+    lens = [len(s) for _, _, s in items]
+    every = np.concatenate([np.zeros(0, dtype=U), *(s for _, _, s in items)])
+    order = np.argsort(every, kind="stable")
+    seeds, first = np.unique(every[order], return_index=True)
+    return Items([i for i, _, _ in items], [w for _, w, _ in items], [np.unique(w, return_counts=True) for _, w, _ in items],
+                 seeds, np.append(first, len(every)), np.repeat(np.arange(len(items)), lens)[order])
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
@@ -180,46 +152,54 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
     return score, matches, int(j), end
 
 
-def _leaks_of(words: np.ndarray, gram: np.ndarray, ok: np.ndarray, items: Items, threshold: float) -> list[tuple]:
-    """(item number, score, matches, start, end) of the best alignment of each leaked item."""
-    at, where = _found(gram, ok, items.seeds)
-    hits = defaultdict(list)
-    for s, p in zip(at.tolist(), where.tolist(), strict=True):
-        for j in items.owners[int(items.seeds[s])]:
-            hits[j].append(p)
+def _most(counts: tuple[np.ndarray, np.ndarray], text: np.ndarray) -> int:
+    """No alignment of the item with `text` scores more: its words that `text` holds, all matched."""
+    own, times = counts
+    at = np.minimum(np.searchsorted(own, text), len(own) - 1)
+    return MATCH * int(np.minimum(np.bincount(at[own[at] == text], minlength=len(own)), times).sum())
+
+
+def _leaks_of(words: np.ndarray, at: np.ndarray, where: np.ndarray, items: Items, threshold: float) -> list[tuple]:
+    """(item number, score, matches, start, end) of the best alignment of each
+    leaked item with a text that holds the seeds `at` at the places `where`."""
+    # a row for every hit and item with that seed, by item and place
+    n = items.starts[at + 1] - items.starts[at]
+    inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    owner, place = items.owners[np.repeat(items.starts[at], n) + inner], np.repeat(where, n)
+    order = np.argsort(owner, kind="stable")
+    owner, place = owner[order], place[order]
+    firsts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else owner
     out = []
-    for j, places in hits.items():
+    for j, places in zip(owner[firsts].tolist(), np.split(place, firsts[1:]), strict=False):
         item, best = items.words[j], None
-        reach = len(item) + 4
-        group: list[int] = []
-        for p in [*places, None]:
-            if group and (p is None or p - group[-1] > reach):
-                if len(group) >= items.needed[j]:
-                    lo, hi = max(0, group[0] - reach), min(len(words), group[-1] + WIDTH + reach)
-                    # a long stretch of hits is aligned in overlapping pieces
-                    size = 8 * reach
-                    for a in range(lo, max(lo + 1, hi - 2 * reach), size - 2 * reach):
-                        score, matches, start, end = align(item, words[a:min(hi, a + size)])
-                        if best is None or score > best[0]:
-                            best = (score, matches, a + start, a + end)
-                group = []
-            if p is not None:
-                group.append(p)
-        if best is not None and best[0] >= threshold * MATCH * len(item):
+        reach, least = len(item) + 4, threshold * MATCH * len(item)
+        for group in np.split(places, np.flatnonzero(np.diff(places) > reach) + 1):
+            lo, hi = max(0, int(group[0]) - reach), min(len(words), int(group[-1]) + WIDTH + reach)
+            # a long stretch of hits is aligned in overlapping pieces
+            size = 8 * reach
+            for a in range(lo, max(lo + 1, hi - 2 * reach), size - 2 * reach):
+                text = words[a:min(hi, a + size)]
+                if _most(items.counts[j], text) < least:
+                    continue
+                score, matches, start, end = align(item, text)
+                if best is None or score > best[0]:
+                    best = (score, matches, a + start, a + end)
+        if best is not None and best[0] >= least:
             out.append((j, best[0] / (MATCH * len(item)), *best[1:]))
     return out
 
 
 def _texts(batch: pa.RecordBatch, column: int, items: Items) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(row, words, grams, ok) of the rows that hold a kept seed."""
+    """(row, words, seeds, their places) of the rows that hold a seed."""
     data, offsets = text_bytes(batch.column(column))
     for a, b in chunks(offsets):
         words, bounds = _hashed(data, offsets[a:b + 1])
         gram, ok = _grams(words, bounds)
-        _, where = _found(gram, ok, items.seeds)
-        for i in np.unique(np.searchsorted(bounds, where, side="right") - 1):
-            s, e = bounds[i], bounds[i + 1]
-            yield a + int(i), words[s:e], gram[s:e], ok[s:e]
+        at, where = _found(gram, ok, items.seeds)
+        row = np.searchsorted(bounds, where, side="right") - 1
+        rows, first = np.unique(row, return_index=True)
+        for i, f, e in zip(rows.tolist(), first.tolist(), np.append(first, len(row))[1:].tolist(), strict=True):
+            yield a + i, words[bounds[i]:bounds[i + 1]], at[f:e], where[f:e] - bounds[i]
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -232,13 +212,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
     item_arrow = to_arrow_type(benchmark.schema[item_col].dataType)
     found = None
     for rows in _blocks(benchmark, item_col, item_text_col):
-        items = _select(docs, text_col, rows)
+        items = _seeded(rows)
 
         def run(batches: Iterable[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 place, out = [], []
-                for i, words, gram, ok in _texts(batch, 1, items):
-                    for leak in _leaks_of(words, gram, ok, items, threshold):
+                for i, words, at, where in _texts(batch, 1, items):
+                    for leak in _leaks_of(words, at, where, items, threshold):
                         place.append(i)
                         out.append(leak)
                 cols = list(zip(*out, strict=True)) if out else [()] * 5
@@ -248,7 +228,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
                     *(pa.array(c, pa.int64()) for c in cols[2:])],
                     names=["id", "item", "score", "matches", "start", "end"])
 
-        part = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+        part = lean(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
         found = part if found is None else found.union(part)
     return found.withColumnsRenamed({"id": id_col, "item": item_col})
 
@@ -257,15 +237,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
                   item_text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of `docs` that leak no item."""
     place = docs.columns.index(text_col)
-    out = docs
+    out = lean(docs)
     for rows in _blocks(benchmark, item_col, item_text_col):
-        items = _select(docs, text_col, rows)
+        items = _seeded(rows)
 
         def run(batches: Iterable[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 clean = np.ones(batch.num_rows, dtype=bool)
-                for i, words, gram, ok in _texts(batch, place, items):
-                    clean[i] = not _leaks_of(words, gram, ok, items, threshold)
+                for i, words, at, where in _texts(batch, place, items):
+                    clean[i] = not _leaks_of(words, at, where, items, threshold)
                 yield batch.filter(pa.array(clean))
 
         out = out.mapInArrow(run, docs.schema)

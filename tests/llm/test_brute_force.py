@@ -252,6 +252,38 @@ def test_decontamination_finds_edited_copies(spark):
     assert got == leaked
 
 
+def smith_waterman(item, text):
+    best, row = 0, [0] * (len(text) + 1)
+    for w in item:
+        above, row = row, [0]
+        for j, v in enumerate(text):
+            row.append(max(0, above[j] + (2 if v == w else -1), above[j + 1] - 1, row[j] - 1))
+        best = max(best, *row)
+    return best
+
+
+def test_decontamination_with_a_common_half(spark):
+    """One half of an item stands in most documents and the other in a few, and
+    one document keeps two of three words: each is found for itself."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(2000)]
+    items = [(i, rng.sample(words, 60)) for i in range(3)]
+    rows = []
+    for d in range(150):
+        body, item = rng.choices(words, k=40), items[d % 3][1]
+        part = item[30:] if d < 6 else item[:30] if d < 120 else []
+        part = [w for k, w in enumerate(item) if k % 12 != 11] if d == 140 else part
+        part = [w if k % 6 < 3 else rng.choice(words) for k, w in enumerate(item[:20])] + item[20:40] if d == 141 else part
+        body[20:20] = part
+        rows.append((d, body))
+    want = {(d, i) for d, t in rows for i, item in items if smith_waterman(item, t) >= 0.4 * 2 * len(item)}
+    assert len(want) == 122 and {(d, d % 3) for d in range(120)} <= want
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in rows], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs, bench).collect()} == want
+    assert {r["doc_id"] for r in decontamination.decontaminate(docs, bench).collect()} == {d for d, _ in rows} - {d for d, _ in want}
+
+
 def test_decontamination_query(spark, texts):
     norm = lambda t: b" " + b" ".join(re.findall(rb"[a-z0-9\x80-\xff]+", t.encode().lower())) + b" "
     own = {i: norm(t) for i, t in texts.items()}
