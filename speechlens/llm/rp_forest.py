@@ -3,11 +3,16 @@
 Trees: a node splits at the median of its points' projections on a random
 direction; points within a margin of the median go to both sides (spill). Two
 unit vectors at cosine 0.95 are at most 0.317 apart, so their projections differ
-by 0.317/sqrt(d) as a standard deviation; with the margin at half of that a pair
-is parted in about 2 % of the splits at worst, and `TREES` independent trees leave
-about one in 50,000 of the pairs right at 0.95, and far fewer of closer ones,
-without a common leaf. Medians are fitted
-on a sample of at most `SAMPLE` vectors, every vector is indexed.
+by 0.317/sqrt(d) as a standard deviation; the margin is half of that. How often a
+split parts such a pair follows from where the node's points lie about the
+median: about 0.167 x the share that spills, 2 % at a share of 0.126 and 5.8 %
+at `MOST_SPILL`. The splits on the worst way to a leaf add up to a tree's miss,
+and as trees are independent, there are as many (`TREES` at least) as bring the
+product of their misses below `MISS`, whatever the depth: that bounds how often a
+pair at 0.95, lying as the points of its nodes do, shares no leaf; closer ones
+are missed far less. A node where the miss would pass `MOST_MISS` is a leaf, so
+that 20 trees suffice at any size. Medians are fitted on a sample of at most
+`SAMPLE` vectors, every vector is indexed.
 
 Equal vectors are one class first. Vectors are compared within leaves, in double
 precision; a pair is counted only in the first leaf that both share, which their
@@ -34,8 +39,12 @@ from pyspark.sql import functions as F
 from .common import collected, durable, sampled, written
 from .graph import connected_components
 
-TREES = 6
-LEAF = 512
+TREES = 8
+LEAF = 1024
+#: a pair at COSINE shares no leaf with at most this probability
+MISS = 1e-6
+#: a node is a leaf where a pair would be parted on the way down more often
+MOST_MISS = 0.5
 BLOCK = 2_048
 SAMPLE = 40_000
 ROUTE_ROWS = 1_000
@@ -46,14 +55,24 @@ COSINE = 0.95
 BROADCAST_LEAVES = 200_000
 
 
+def _gaps(d: int, n: int = 100_000) -> np.ndarray:
+    """How far the projections of a pair at COSINE lie apart on random
+    directions of d dimensions: n draws, sorted."""
+    rng = np.random.default_rng(d)
+    one, rest = rng.normal(size=n) ** 2, rng.chisquare(d - 1, n) if d > 1 else np.zeros(n)
+    return np.sort(np.sqrt((2 - 2 * COSINE) * one / (one + rest)))
+
+
 class Tree:
-    """Directions (from a seed) and medians of one tree's inner nodes."""
+    """Directions (from a seed) and medians of one tree's inner nodes; `miss` is
+    how often a pair at COSINE is parted on the worst way down."""
 
-    def __init__(self, points: np.ndarray, seed: tuple, least: float, margin: float):
-        self.seed, self.margin, self.median = seed, margin, {}
-        stack = [(1, np.arange(len(points)))]
+    def __init__(self, points: np.ndarray, seed: tuple, least: float, margin: float, gaps: np.ndarray):
+        self.seed, self.margin, self.median, self.miss = seed, margin, {}, 0.0
+        stack = [(1, np.arange(len(points)), 0.0)]
         while stack:
-            node, own = stack.pop()
+            node, own, miss = stack.pop()
+            self.miss = max(self.miss, float(miss))
             if len(own) <= max(least, 8) or node >= 1 << 24:
                 continue
             p = points[own] @ self.direction(node, points.shape[1])
@@ -61,8 +80,12 @@ class Tree:
             left, right = own[p <= at + margin], own[p >= at - margin]
             if len(left) + len(right) > (1 + MOST_SPILL) * len(own):  # a clump within the margin
                 continue
+            # a pair about a point is parted if its projections reach beyond the margin on both sides
+            miss += 1 - np.searchsorted(gaps, 2 * (margin + np.abs(p - at)), side="right").mean() / len(gaps)
+            if miss > MOST_MISS:
+                continue
             self.median[node] = at
-            stack += [(2 * node, left), (2 * node + 1, right)]
+            stack += [(2 * node, left, miss), (2 * node + 1, right, miss)]
 
     def direction(self, node: int, d: int) -> np.ndarray:
         r = np.random.default_rng([*self.seed, node]).normal(size=d)
@@ -110,14 +133,18 @@ def _by_length(column: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
 
 def fit_forest(sample: dict[int, tuple[np.ndarray, np.ndarray]], total: int, *, trees: int = TREES,
                leaf: int = LEAF) -> dict[int, list[Tree]]:
-    """A forest for each vector length in the sample."""
+    """A forest for each vector length in the sample: `trees` trees, and more until
+    their misses multiply to MISS at most."""
     out = {}
     size = sum(len(rows) for rows, _ in sample.values())
     for d, (_, points) in sample.items():
         margin = 0.5 * np.sqrt(2 - 2 * COSINE) / np.sqrt(d)
         least = leaf * size / max(total, 1)
-        points = _unit(points)
-        out[d] = [Tree(points, (d, t), least, margin) for t in range(trees)]
+        points, gaps = _unit(points), _gaps(d)
+        out[d], miss = [], 1.0
+        while len(out[d]) < trees or miss > MISS:
+            out[d].append(Tree(points, (d, len(out[d])), least, margin, gaps))
+            miss *= out[d][-1].miss
     return out
 
 
@@ -140,7 +167,7 @@ def _leaf_sizes(forest: dict[int, list[Tree]], batches: Iterable[pa.RecordBatch]
 
 
 def _route(forest: dict[int, list[Tree]], batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per vector and leaf: length, leaf, rep, mult, vector, all its leaves."""
+    """One row per vector and leaf: length, leaf, rep, mult, vector, its leaves up to this one."""
     for whole in batches:
         for at in range(0, whole.num_rows, ROUTE_ROWS):
             batch = whole.slice(at, ROUTE_ROWS)
@@ -150,8 +177,9 @@ def _route(forest: dict[int, list[Tree]], batches: Iterable[pa.RecordBatch]) ->
                 leaf, row = leaf[order], row[order]
                 count = np.bincount(row, minlength=len(raw))
                 ends = np.cumsum(count)
-                # each row carries all leaves of its vector
-                own, lens = np.repeat(ends - count, count), np.repeat(count, count)
+                # each row carries the leaves of its vector up to its own
+                own = np.repeat(ends - count, count)
+                lens = np.arange(len(row)) - own + 1
                 inner = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
                 leaves = leaf[np.repeat(own, lens) + inner].astype(np.int32)
                 pick = pa.array(rows[row])

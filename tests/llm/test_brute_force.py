@@ -120,6 +120,28 @@ def test_forest_query_and_clusters(spark):
     assert len(rows_of(spark, "op2_embedding_neardup")) == 500
 
 
+def test_forest_is_deep_in_a_dense_cluster():
+    """Pairs right at 0.95 in one cluster whose splits nearly all spill a third."""
+    rng = np.random.default_rng(8)
+    n, d = 6000, 48
+    x = rng.normal(size=d) + rng.normal(size=(n, d)) * 0.45
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.normal(size=(n, d))
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    points = np.vstack([x, 0.9501 * x + np.sqrt(1 - 0.9501 ** 2) * side])
+    forest = rp_forest.fit_forest({d: (np.arange(2 * n), points)}, 2 * n, leaf=16)
+    assert min(len(tree.median) for tree in forest[d]) > 30
+    leaf, row = rp_forest._leaves_of(forest, d, points)
+    held = collections.defaultdict(set)
+    for k, i in zip(leaf.tolist(), row.tolist()):
+        held[i].add(k)
+    near = [(int(i), int(j)) for i, j in zip(*np.nonzero(np.triu(points @ points.T >= 0.95, 1)))]
+    assert len(near) >= n
+    assert [p for p in near if not held[p[0]] & held[p[1]]] == []
+    assert np.prod([tree.miss for tree in forest[d]]) <= 1e-6
+
+
 def test_pii_query(spark, texts):
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
     ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
