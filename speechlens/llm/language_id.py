@@ -6,7 +6,11 @@ a space), tf relative to the text's n-grams. Document frequencies come from all
 training texts: a task marks its documents' buckets and Spark adds the counts.
 The weights are fitted by FTRL-proximal with elastic-net penalties (L1 leaves
 most buckets at zero) on a bounded sample of labelled texts, and a temperature
-fitted on a part kept apart calibrates the probabilities. Since tf is relative,
+fitted on a part kept apart calibrates the probabilities. The languages are those
+of all training texts, and the sample is bounded for each: of a rare language it
+takes every text, of a frequent one so many that about `SAMPLE_BOUND` result (at
+least `LEAST` each, however many languages there are). The biases weigh the
+languages by their shares of all training texts. Since tf is relative,
 a text's logits are sums of table look-ups over its n-grams: scoring is one pass
 over whole texts, without a shuffle.
 
@@ -25,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import collected, lean, sampled
+from .common import collected, durable, lean
 from .shingles import chunks, text_bytes
 
 BITS = 15
 BUCKETS = 1 << BITS
 SAMPLE_BOUND = 4_000
+LEAST = 50
 UNDETERMINED = "und"
 
 
@@ -167,10 +172,22 @@ def _temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(np.exp((lo + hi) / 2))
 
 
+def _quota(counts: list[int], bound: int) -> int:
+    """The most texts of a language such that all languages give at most `bound`, or LEAST."""
+    left, quota = bound, 0
+    for k, n in enumerate(sorted(counts)):
+        quota = left // (len(counts) - k)
+        if n > quota:
+            return max(quota, LEAST)
+        left -= n
+    return max(counts, default=0)
+
+
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         where: Column | None = None, bound: int = SAMPLE_BOUND) -> LanguageModel:
     """Learn from the rows with a language (and `where`): document frequencies
-    from all of them, weights from at most about `bound`."""
+    and shares of the languages from all of them, weights from at most about
+    `bound`, or LEAST of each language."""
     own = lean(docs).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     own = own.where(where) if where is not None else own
     df = collected(own.select(F.col(text_col).alias("text")).mapInArrow(_document_counts, "bucket int, df long").groupBy("bucket").agg(
@@ -180,22 +197,31 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     count[df["bucket"].to_numpy()[known]] = df["df"].to_numpy()[known]
     total = int(df["df"].to_numpy()[~known].sum())
     id_type = dict(docs.dtypes)[id_col]
-    rows = collected(sampled(own, id_col, bound, total).select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).mapInArrow(
-        _features, f"id {id_type}, lang string, bucket array<int>, tf array<float>"))
-    rows = rows[rows["bucket"].map(len) > 0].sort_values("id", kind="stable")
-    languages = tuple(sorted(rows["lang"].unique()))
+    legible = own.where(F.col(text_col).rlike(r"\p{L}")).select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    per = durable(legible.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    of = {r["lang"]: r["n"] for r in per.collect()}  # a row for each language
+    languages = tuple(sorted(of))
     if not languages:
         return LanguageModel((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
+    parts, quota = 1 << 30, _quota(list(of.values()), bound)
+    draw = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.col("text")), F.lit(1)), F.lit(parts))
+    picked = legible.join(F.broadcast(per), "lang").where((F.col("n") <= quota) | (draw < F.lit(float(parts * quota)) / F.col("n")))
+    rows = collected(picked.select("id", "text", "lang").mapInArrow(
+        _features, f"id {id_type}, lang string, bucket array<int>, tf array<float>"))
+    rows = rows[rows["bucket"].map(len) > 0].sort_values("id", kind="stable")
     idf = np.log((1 + total) / (1 + count)) + 1
-    y = np.array([languages.index(v) for v in rows["lang"]])
+    y = np.array([languages.index(v) for v in rows["lang"]], dtype=np.int64)
     x = [(b.astype(np.int64), t.astype(float)) for b, t in zip(rows["bucket"], rows["tf"], strict=True)]
-    apart = np.arange(len(x)) % 5 == 0 if len(x) >= 20 else np.zeros(len(x), bool)
+    # every fifth text of a language is kept apart, its first ones are not
+    apart = rows.groupby("lang").cumcount().to_numpy() % 5 == 4 if len(x) >= 20 else np.zeros(len(x), bool)
     learn = np.flatnonzero(~apart)
     w, bias = fit_ftrl([x[i] for i in learn], y[learn], len(languages), idf)
     logits = np.array([t @ w[b] + bias for b, t in (x[i] for i in np.flatnonzero(apart))]).reshape(-1, len(languages))
     heat = _temperature(logits, y[apart])
-    return LanguageModel(languages, (w / heat).astype(np.float32), bias / heat, int((w != 0).any(axis=1).sum()), heat)
+    true, own_share = np.array([of[v] for v in languages], float), np.maximum(np.bincount(y, minlength=len(languages)), 1.0)
+    prior = np.log(true / true.sum()) - np.log(own_share / own_share.sum())
+    return LanguageModel(languages, (w / heat).astype(np.float32), bias / heat + prior, int((w != 0).any(axis=1).sum()), heat)
 
 
 def predict(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

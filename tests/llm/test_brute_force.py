@@ -14,7 +14,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from speechlens.llm import decontamination, minhash, rp_forest, secret_scan, toxicity
+from speechlens.llm import decontamination, language_id, minhash, rp_forest, secret_scan, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -239,6 +239,21 @@ def test_language_query(spark):
     assert np.mean([lang[r["doc_id"]] == r["lang_pred"] for r in rows if r["held_out"]]) >= 0.98
 
 
+def test_rare_languages_are_learned(spark):
+    rng = random.Random(9)
+    alphabet = {"aa": "abcdefgh", "bb": "fghijklm", "rare": "mnopqrst", "once": "uvwxyz"}
+    text = lambda v: " ".join("".join(rng.choices(alphabet[v], k=5)) for _ in range(20))
+    names = ["once"] + ["rare"] * 8 + ["aa", "bb"] * 1500
+    train = spark.createDataFrame([(i, text(v), v) for i, v in enumerate(names)], "doc_id long, text string, lang string").repartition(3)
+    tests = [(i, text(v), v) for i, v in enumerate(["aa", "bb", "rare", "once"] * 10)]
+    for rows, bound in ((train, 300), (train.where("doc_id < 40"), 300)):
+        model = language_id.fit(rows, bound=bound)
+        assert model.languages == ("aa", "bb", "once", "rare")
+        got = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(spark.createDataFrame(tests, "doc_id long, text string, lang string"), model).collect()}
+        assert got == {i: v for i, _, v in tests}
+    assert language_id._quota([1, 8, 1500, 1500], 300) == 145 and language_id._quota([3, 4], 300) == 4
+
+
 def test_toxicity_query_and_tolerance(spark):
     assert len(rows_of(spark, "op5_toxicity")) == 1000
     rng = random.Random(3)
