@@ -6,8 +6,10 @@ frequent words and the end of a text are classes of their own, all other words
 fall into classes by their last three bytes. The log-bilinear model predicts a
 token's class from the two classes before it: context vectors times position
 matrices, dotted with the class's own vector, plus a bias. It is trained in
-numpy on a bounded sample of training texts by NCE, the noise being the class
-frequencies of the whole corpus. Its probabilities are normalised exactly: with
+numpy by NCE, the noise being the class frequencies of the whole corpus: at first
+on a sample of about `SAMPLE_TOKENS` tokens, which is all of a small corpus. In a
+larger one this is only the start: every task goes on from there over all
+training texts of its partition, and the parameters are averaged by tokens. Its probabilities are normalised exactly: with
 two context positions, the sum over classes for every pair of contexts is one
 matrix product. Inside a class of rare words a word has its base share
 (c + 0.1) / (sum of c + 0.1 over the class + 0.1), the last 0.1 for a word never seen,
@@ -42,6 +44,8 @@ SAMPLE_TOKENS = 1_000_000
 WIDTH = 40
 EPOCHS = 3
 FLUSH = 400_000
+SHARED = 64  # noise words of a batch in the pass over all texts
+SUMS = 16  # rows of added-up parameters that the driver gets
 ADD = 0.1
 
 
@@ -201,51 +205,116 @@ def contexts(classes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return out, one, two, new
 
 
-def train_nce(tokens: np.ndarray, one: np.ndarray, two: np.ndarray, noise: np.ndarray, *, width: int = WIDTH,
-              epochs: int = EPOCHS, batch: int = 2048, shared: int = 256, rate: float = 0.15, seed: int = 9) -> LogBilinear:
-    """Noise-contrastive estimation by AdaGrad; the noise words are drawn anew
-    and shared by the tokens of a batch."""
-    rng = np.random.default_rng(seed)
+Parameters = list[np.ndarray]
+
+
+def _pass(parts: Parameters, grown: Parameters, tokens: np.ndarray, one: np.ndarray, two: np.ndarray, noise: np.ndarray,
+          rng: np.random.Generator, *, batch: int, shared: int, rate: float) -> None:
+    """One pass of AdaGrad steps over the tokens, in place; the noise words are
+    drawn anew and shared by the tokens of a batch."""
     n = len(noise)
-    noise = (noise + 0.5) / (noise + 0.5).sum()
-    context = rng.normal(0, 0.1, (n, width))
-    target = rng.normal(0, 0.1, (n, width))
-    position = np.stack([np.eye(width), 0.5 * np.eye(width)])
-    bias = np.log(noise)
-    parts = [context, target, position, bias]
-    grown = [np.full_like(p, 1e-3) for p in parts]
-    log_kn = np.log(shared * noise)
+    context, target, position, bias = parts
+    log_kn = np.log(shared * noise).astype(bias.dtype)
     cumulative = np.cumsum(noise)
 
     def one_hot(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
         order = np.argsort(ids, kind="stable")
         first = np.flatnonzero(np.r_[True, ids[order][1:] != ids[order][:-1]])
-        out = np.zeros((n, rows.shape[1]))
+        out = np.zeros((n, rows.shape[1]), dtype=rows.dtype)
         out[ids[order][first]] = np.add.reduceat(rows[order], first, axis=0)
         return out
 
-    for _ in range(epochs):
-        shuffled = rng.permutation(len(tokens))
-        for a in range(0, len(tokens), batch):
-            i = shuffled[a:a + batch]
-            w, c1, c2 = tokens[i], one[i], two[i]
-            r1, r2 = context[c1], context[c2]
-            h = r1 @ position[0] + r2 @ position[1]
-            s = np.minimum(np.searchsorted(cumulative, rng.random(shared)), n - 1)
-            yes = 1 / (1 + np.exp(-np.clip((h * target[w]).sum(axis=1) + bias[w] - log_kn[w], -30, 30))) - 1
-            no = 1 / (1 + np.exp(-np.clip(h @ target[s].T + bias[s] - log_kn[s], -30, 30)))
-            scale = 1 / len(i)
-            gh = (yes[:, None] * target[w] + no @ target[s]) * scale
-            g_target = one_hot(np.r_[w, s], np.vstack([yes[:, None] * h, no.T @ h]) * scale)
-            g_bias = (np.bincount(w, yes, n) + np.bincount(s, no.sum(axis=0), n)) * scale
-            g_context = one_hot(np.r_[c1, c2], np.vstack([gh @ position[0].T, gh @ position[1].T]))
-            g_position = np.stack([r1.T @ gh, r2.T @ gh])
-            for p, q, g in zip(parts, grown, (g_context, g_target, g_position, g_bias), strict=True):
-                q += g * g
-                p -= rate * g / np.sqrt(q)
+    shuffled = rng.permutation(len(tokens))
+    for a in range(0, len(tokens), batch):
+        i = shuffled[a:a + batch]
+        w, c1, c2 = tokens[i], one[i], two[i]
+        r1, r2 = context[c1], context[c2]
+        h = r1 @ position[0] + r2 @ position[1]
+        s = np.minimum(np.searchsorted(cumulative, rng.random(shared)), n - 1)
+        yes = 1 / (1 + np.exp(-np.clip((h * target[w]).sum(axis=1) + bias[w] - log_kn[w], -30, 30))) - 1
+        no = 1 / (1 + np.exp(-np.clip(h @ target[s].T + bias[s] - log_kn[s], -30, 30)))
+        scale = 1 / len(i)
+        gh = (yes[:, None] * target[w] + no @ target[s]) * scale
+        g_target = one_hot(np.r_[w, s], np.vstack([yes[:, None] * h, no.T @ h]) * scale)
+        g_bias = (np.bincount(w, yes, n) + np.bincount(s, no.sum(axis=0), n)) * scale
+        g_context = one_hot(np.r_[c1, c2], np.vstack([gh @ position[0].T, gh @ position[1].T]))
+        g_position = np.stack([r1.T @ gh, r2.T @ gh])
+        for p, q, g in zip(parts, grown, (g_context, g_target, g_position, g_bias), strict=True):
+            q += g * g
+            p -= rate * g / np.sqrt(q)
+
+
+def _smooth(noise: np.ndarray) -> np.ndarray:
+    return (noise + 0.5) / (noise + 0.5).sum()
+
+
+def train_nce(tokens: np.ndarray, one: np.ndarray, two: np.ndarray, noise: np.ndarray, *, width: int = WIDTH,
+              epochs: int = EPOCHS, batch: int = 2048, shared: int = 256, rate: float = 0.15, seed: int = 9) -> LogBilinear:
+    """Noise-contrastive estimation by AdaGrad."""
+    return _model(_start(tokens, one, two, noise, width=width, epochs=epochs, batch=batch, shared=shared, rate=rate, seed=seed)[0])
+
+
+def _model(parts: Parameters) -> LogBilinear:
+    context, target, position, bias = parts
     return LogBilinear(context, position, target, bias)
 
 
+def _start(tokens: np.ndarray, one: np.ndarray, two: np.ndarray, noise: np.ndarray, *, width: int = WIDTH,
+           epochs: int = EPOCHS, batch: int = 2048, shared: int = 256, rate: float = 0.15, seed: int = 9) -> tuple[Parameters, Parameters]:
+    """Parameters (context, target, position, bias) trained from random ones, and AdaGrad's sums."""
+    rng = np.random.default_rng(seed)
+    n = len(noise)
+    noise = _smooth(noise)
+    context = rng.normal(0, 0.1, (n, width))
+    target = rng.normal(0, 0.1, (n, width))
+    position = np.stack([np.eye(width), 0.5 * np.eye(width)])
+    parts = [context, target, position, np.log(noise)]
+    grown = [np.full_like(p, 1e-3) for p in parts]
+    for _ in range(epochs):
+        _pass(parts, grown, tokens, one, two, noise, rng, batch=batch, shared=shared, rate=rate)
+    return parts, grown
+
+
+def _trained(corpus: Corpus, start: tuple[Parameters, Parameters], batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(tokens, parameters times tokens) after a pass over all texts of the task."""
+    parts, grown = ([p.astype(np.float32) for p in own] for own in start)
+    noise, seen = _smooth(corpus.class_count), 0
+    for batch in batches:
+        data, offsets = text_bytes(batch.column(0))
+        for a, b in chunks(offsets):
+            hashes, bounds, rest = _words(data, offsets[a:b + 1])
+            tokens, one, two, _ = contexts(_classes(corpus, hashes, rest)[0], bounds)
+            _pass(parts, grown, tokens, one, two, noise, np.random.default_rng([9, len(tokens)]),
+                  batch=2048, shared=SHARED, rate=0.15)
+            seen += len(tokens)
+    if seen:
+        yield _packed(seen, seen * np.concatenate([p.ravel() for p in parts]).astype(float))
+
+
+def _packed(seen: int, total: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["tokens", "total"])
+
+
+def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen, total = 0, None
+    for batch in batches:
+        for n, v in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            own = np.frombuffer(v.as_buffer(), dtype=np.float64)
+            seen, total = seen + n, own if total is None else total + own
+    if total is not None:
+        yield _packed(seen, total)
+
+
+def train_over(texts: DataFrame, corpus: Corpus, start: tuple[Parameters, Parameters]) -> Parameters:
+    """Parameters after a pass over all `texts` (one column): the average, by
+    tokens, of what the tasks reach on their own texts from `start`."""
+    schema = "tokens long, total binary"
+    sums = texts.mapInArrow(lambda it: _trained(corpus, start, it), schema).repartition(SUMS).mapInArrow(_added, schema).collect()
+    total = sum((np.frombuffer(r["total"], dtype=np.float64) for r in sums), np.zeros(sum(p.size for p in start[0])))
+    mean = np.split(total / max(sum(r["tokens"] for r in sums), 1), np.cumsum([p.size for p in start[0]])[:-1])
+    return [m.reshape(p.shape) for m, p in zip(mean, start[0], strict=True)]
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     corpus: Corpus
@@ -273,7 +342,11 @@ def fit(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str
     seqs = [np.asarray(c, dtype=np.int64) for c in rows["classes"]]
     bounds = np.cumsum([0] + [len(s) for s in seqs])
     tokens, one, two, _ = contexts(np.concatenate(seqs) if seqs else np.zeros(0, np.int64), bounds)
-    return LanguageModel(corpus, train_nce(tokens, one, two, corpus.class_count)), counts
+    start = _start(tokens, one, two, corpus.class_count)
+    parts = start[0]
+    if bound < texts:  # the sample is not all
+        parts = train_over(docs.where(learn).select(F.coalesce(F.col(text_col), F.lit("")).alias("text")), corpus, start)
+    return LanguageModel(corpus, _model(parts)), counts
 
 
 def _score(model: LanguageModel, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -224,6 +224,19 @@ def test_log_bilinear_is_normalised():
     assert np.exp(a[1, 2] + b[0, 2] - z[1, 0]) > 0.5  # after 0 1 comes 2
 
 
+def test_log_bilinear_learns_from_all_texts(spark):
+    """What follows what is in every text, and the first sample is ten of 1,500."""
+    from pyspark.sql import functions as F
+
+    from speechlens.llm import lbl_lm
+
+    rows = [(i, " ".join("abcd"[(i + k) % 4] for k in range(200))) for i in range(1600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    model, counts = lbl_lm.fit(docs, F.col("doc_id") < 1500, sample_tokens=2_000)
+    out = lbl_lm.score(docs.where("doc_id >= 1500"), model, counts).collect()
+    assert len(out) == 100 and sum(r["score"] for r in out) > 0.5 * sum(r["base_score"] for r in out)
+
+
 @pytest.mark.parametrize("name, label, n, held, least", [("op9_quality", "quality", 5, 0, 0.95)])
 def test_quality_query(spark, name, label, n, held, least):
     labels = dict(read("labels", f"doc_id, {label}"))
