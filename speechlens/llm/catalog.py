@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontamination, language_id, lbl_lm, minhash, mixing, pii, quality, rp_forest,
-               secret_scan, toxicity)
+from . import (decontamination, filter_audit, importance, language_id, lbl_lm, license_scan, minhash, mixing, pii,
+               quality, rp_forest, secret_scan, toxicity)
 from .common import crc_mod, table
 
 MIX_TARGET = mixing.Target(max_repetition=1.2)
@@ -101,6 +101,26 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round("weight", 6).alias("weight"), "epoch", "block", "position", "draw_key")
 
 
+@register
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders over all documents, by source."""
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@register
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of all documents towards the benchmark's distribution, and the draw."""
+    docs = table(spark, sf_dir, "documents")
+    model = importance.fit(docs, table(spark, sf_dir, "benchmark"))
+    return importance.draw(importance.weigh(docs, model)).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def oracle_sql() -> dict[str, str]:
     from . import oracle
 
