@@ -16,12 +16,14 @@ from ..functions import text as TX
 from ..operators import clusters as CL
 from ..operators import consolidate as C
 from ..operators import keywords as K
+from ..operators import postings as PO
 from ..operators import search as S
 from ..operators import similarity as M
 from ..operators import tfidf as T
 from ..operators import topics as TP
 from ..schema import SCORE_DIGITS
 from ..session import scratch_path
+from ..sources import csv_split as CSV
 from ..sources import speeches as SP
 from ..streaming import search_stream as ST
 from .workspace import Workspace
@@ -117,6 +119,21 @@ def search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.search(ws.model(), ws.display(), _benchmark_queries(ws), k=3, floor=0.2)
 
 
+@register
+def search_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch search through block-max postings: equal hits, fewer blocks."""
+    ws = _ws(spark, sf_dir)
+    return PO.search_pruned(ws.model(), ws.block_index(), ws.display(), _benchmark_queries(ws))
+
+
+@register
+def search_pruned_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five words of every benchmark passage, through block-max postings."""
+    ws = _ws(spark, sf_dir)
+    q = _benchmark_queries(ws).select("query_id", F.array_join(F.slice(F.split("text", " "), 1, 5), " ").alias("text"))
+    return PO.search_pruned(ws.model(), ws.block_index(), ws.display(), q)
+
+
 @register
 def search_no_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every benchmark passage without its words (punctuation
@@ -177,6 +194,15 @@ def scan_csv_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SP.read_speeches_csv(spark, f"{path}/*")
 
 
+@register
+def scan_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw speeches written as one CSV file and read back in chunks of 256 KB, a
+    task each, whose borders cut through quoted texts."""
+    path = scratch_path(spark, "speeches-one-csv")
+    SP.write_speeches_csv(_raw(_ws(spark, sf_dir)), path, num_files=1)
+    return CSV.read_speeches_csv_split(spark, path, chunk_bytes=256 * 1024)
+
+
 @register
 def scan_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column-pruned CSV scan: only member, speech and order are parsed into

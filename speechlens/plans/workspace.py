@@ -103,6 +103,12 @@ class Workspace:
             S.display_fields(self.docs()).write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def block_index(self):
+        """Block-max postings of the default model, written once."""
+        from ..operators import postings as PO
+
+        return PO.build_index(self.model(), self.artifact_path("blocks", range_docs=PO.RANGE_DOCS))
+
     def doc_topics(self, k: int = 10) -> DataFrame:
         from ..operators import topics as TP
 

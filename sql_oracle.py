@@ -167,7 +167,14 @@ ORACLE["search_batch"] = search_sql("benchmark", "item_id", "text")
 
 ORACLE["search_topk"] = search_sql("benchmark", "item_id", "text", k=3, floor=0.2)
 
-ORACLE["search_no_hit"] = """SELECT item_id AS query_id, CAST(0 AS BIGINT) AS n_hits FROM benchmark"""
+ORACLE["search_pruned"] = ORACLE["search_batch"]
+
+ORACLE["search_pruned_short"] = search_sql(
+    "(SELECT item_id, array_to_string(list_slice(string_split(text, ' '), 1, 5), ' ') AS text FROM benchmark)", "item_id", "text")
+
+_BARE = search_sql(r"(SELECT item_id, regexp_replace(text, '[\p{L}\p{N}]+', ' ', 'g') AS text FROM benchmark)", "item_id", "text")
+ORACLE["search_no_hit"] = f"""SELECT item_id AS query_id, count(h.doc_id) AS n_hits
+FROM benchmark LEFT JOIN ({_BARE}) h ON h.query_id = item_id GROUP BY item_id"""
 
 ORACLE["fetch_hits"] = f"""WITH hits AS ({search_sql('benchmark', 'item_id', 'text')}),
 {SPEECHES},
@@ -187,6 +194,8 @@ SELECT {RAW_COLS} FROM speeches"""
 ORACLE["scan_csv_reordered"] = f"""WITH {SPEECHES}
 SELECT {RAW_COLS.replace('roles', "CASE WHEN seq % 2 = 0 THEN roles END AS roles")} FROM speeches"""
 
+ORACLE["scan_csv_split"] = ORACLE["scan_csv_roundtrip"]
+
 ORACLE["scan_pruned"] = f"""WITH {SPEECHES}
 SELECT member_name, speech, seq FROM speeches"""
 

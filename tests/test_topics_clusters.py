@@ -83,14 +83,3 @@ def test_cluster_profile_cohesion(spark):
     # centroid (0.5, 0.5): cos with each doc = 1/sqrt(2); doc 3 has no terms
     assert prof[0] == (2, pytest.approx(round(1 / np.sqrt(2), 6)))
     assert prof[1] == (1, 0.0)
-
-
-def test_aggregated_partials_path_matches(spark, monkeypatch):
-    rng = np.random.default_rng(5)
-    a = rng.random((30, 12)) * (rng.random((30, 12)) < 0.4)
-    w = matrix_weights(spark, a).repartition(3)
-    direct = TP.fit_lsa(w, 12, k=4)
-    monkeypatch.setattr(TP, "DIRECT_SUM_ROWS", 0)
-    grouped = TP.fit_lsa(w, 12, k=4)
-    assert np.allclose(direct.singular_values, grouped.singular_values, atol=1e-10)
-    assert np.allclose(direct.components, grouped.components, atol=1e-8)
