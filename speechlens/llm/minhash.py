@@ -14,12 +14,12 @@ From candidates to components, whole but without all pairs of a bucket:
    among its copies) is the leader; members are verified against leaders;
 3. members that are not in their leader's component are verified against random
    members of their buckets, which differ from bucket to bucket;
-4. those that still stand apart are compared with all other members of their
-   buckets that are in other components. Shingles that no
-   other such document has bound a pair's similarity from above, which rules out
-   heavily edited copies exactly; of the rest only a pair whose packed sketches
-   (two bits a bin) agree as 0.75 allows, within five standard errors, is passed
-   on, and it is verified on the full sets.
+4. those that still stand apart are compared with the members of their buckets in
+   other components: pair by pair in buckets of at most `PAIR_BUCKET` of them,
+   and by an exact prefix filter with positions among all members of larger ones.
+   Pairs of steps 2 to 4 whose packed sketches (two bits a bin, fetched by id for
+   distinct pairs) agree as 0.75 allows, within five standard errors, and all of the
+   prefix filter's, are verified on the full sets.
 
 Sets are built again from the texts of candidates only; they never travel for
 the rest. Hot buckets are plain joins which Spark splits.
@@ -50,6 +50,8 @@ WIDTH, SIMILARITY_PERCENT = 5, 75
 AGREE_LEAST = 177
 #: ids below this many rows are broadcast to the second reading of the texts
 BROADCAST_IDS = 1_000_000
+#: open members of a bucket up to which its pairs are formed one by one
+PAIR_BUCKET = 32
 #: random members of a bucket that its unlinked members are verified against
 RANDOM = 2
 _ROUND_KEYS = mix64(np.arange(1, 2 * BINS + 1, dtype=U) * U(0x9E3779B97F4A7C15))
@@ -126,35 +128,56 @@ def _agree(x: str, y: str) -> Column:
     return F.lit(BINS) - differ
 
 
-def _near(x: str, y: str) -> Column:
-    """Sizes allow the similarity and the sketches agree well enough."""
-    least, most = F.least(F.col(f"{x}.n"), F.col(f"{y}.n")), F.greatest(F.col(f"{x}.n"), F.col(f"{y}.n"))
-    return (least * 100 >= most * SIMILARITY_PERCENT) & (_agree(f"{x}.bits", f"{y}.bits") >= AGREE_LEAST)
-
-
-def _private(sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc, private): how many of a document's shingles no other of `docs` has."""
-    alone = sets.join(docs, "doc", "left_semi").select("doc", F.explode("members").alias("g")).groupBy("g").agg(
-        F.min("doc").alias("doc"), F.max("doc").alias("last")).where("doc = last")
-    return alone.groupBy("doc").agg(F.count(F.lit(1)).alias("private"))
-
-
-def _possible(x: str, y: str) -> Column:
-    """Shared shingles are at most those that each side has in common with any
-    other: an exact upper bound of the similarity reaches the threshold."""
-    common = F.least(F.col(f"{x}.shared"), F.col(f"{y}.shared"))
-    return common * 100 >= (F.col(f"{x}.n") + F.col(f"{y}.n") - common) * SIMILARITY_PERCENT
+def _near(pairs: DataFrame, about: DataFrame) -> DataFrame:
+    """The distinct (member, other) whose sizes allow the similarity and whose
+    sketches, fetched by id, agree well enough."""
+    one = about.select(F.col("doc").alias("member"), F.col("n").alias("x_n"), F.col("bits").alias("x"))
+    two = about.select(F.col("doc").alias("other"), F.col("n").alias("y_n"), F.col("bits").alias("y"))
+    return pairs.distinct().join(one, "member").join(two, "other").where(
+        (F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * SIMILARITY_PERCENT) & (_agree("x", "y") >= AGREE_LEAST)).select(
+        "member", "other").distinct()
 
 
 def _open_members(joint: DataFrame, leaders: DataFrame, comp: DataFrame) -> DataFrame:
-    """The members of the buckets that hold more than their leader's component."""
-    known = durable(joint.join(comp.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
-        "component", F.coalesce("component", "doc")))
-    lead = leaders.select("key", F.col("leader.doc").alias("doc")).join(
-        known.select("key", "doc", F.col("component").alias("lead_component")), ["key", "doc"]).select(
-        "key", F.col("doc").alias("lead_doc"), "lead_component")
-    left = known.join(lead, "key").where("component != lead_component").select("key").distinct()
-    return durable(known.join(left, "key", "left_semi").join(lead, "key"))
+    """(key, doc, component, lead_component) of the buckets that hold more than
+    their leader's component."""
+    known = joint.select("key", "doc").distinct().join(comp.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
+        "component", F.coalesce("component", "doc"))
+    lead = leaders.join(comp.withColumnRenamed("node", "leader"), "leader", "left").select(
+        "key", F.coalesce("component", "leader").alias("lead_component"))
+    both = known.join(lead, "key")
+    left = both.where("component != lead_component").select("key").distinct()
+    return durable(both.join(left, "key", "left_semi"))
+
+
+def _prefix_pairs(sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """(member, other) of all pairs of `docs` (doc, component, unlinked) that may
+    reach the similarity, of different components, one of them unlinked.
+
+    An exact prefix filter: shingles are ordered by the number of sets that hold
+    them, rare ones first, and two sets are similar enough only if they share one
+    so early in both that what follows can still make up the overlap. Copies
+    edited beyond the threshold begin with their own edits, so they meet nobody
+    through the shingles that all copies share."""
+    own = durable(sets.join(docs, "doc").select(
+        "doc", "component", "unlinked", "members", F.size("members").alias("n"), F.monotonically_increasing_id().alias("row")))
+    held = own.select("row", F.explode("members").alias("g"))
+    common = held.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # shingles of one set only come first in the order and need no entry
+    ordered = held.join(common, "g").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("held"))
+    # a set shares at least 75/100 of its own size, so its first common shingle is among these
+    last = F.col("n") - F.ceil(F.col("n") * SIMILARITY_PERCENT / 100) + 1
+    first = own.drop("members").join(ordered, "row").withColumn("alone", F.col("n") - F.size("held")).withColumn(
+        "held", F.slice("held", 1, F.greatest(last - F.col("alone"), F.lit(0)).cast("int")))
+    entries = durable(first.select("doc", "component", "unlinked", "n", "alone", F.posexplode("held").alias("i", "h")).select(
+        "doc", "component", "unlinked", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("rest"), F.col("h.g").alias("g")))
+    u, v = entries.where("unlinked").alias("u"), entries.alias("v")
+    # of the sets from this shingle on, the smaller rest bounds the overlap
+    overlap = F.ceil((F.col("u.n") + F.col("v.n")) * SIMILARITY_PERCENT / (100 + SIMILARITY_PERCENT))
+    return u.join(v, (F.col("u.g") == F.col("v.g")) & (F.col("u.component") != F.col("v.component"))
+                  & (~F.col("v.unlinked") | (F.col("u.doc") < F.col("v.doc")))
+                  & (F.least("u.rest", "v.rest") >= overlap)).select(
+        F.col("u.doc").alias("member"), F.col("v.doc").alias("other")).distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -183,40 +206,43 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     shared = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     joint = durable(dealt.join(shared, "key"))
     weight = joint.groupBy("doc").agg(F.sum("size").alias("weight"))
-    about = heads.select("doc", "n", "bits").join(weight, "doc")
-    joint = durable(joint.join(about, "doc"))
-    leaders = durable(joint.groupBy("key").agg(F.max_by(
-        F.struct("doc", "n", "bits"), F.struct("weight", -F.col("doc"))).alias("leader")))
-
+    leaders = durable(joint.join(weight, "doc").groupBy("key").agg(
+        F.max_by("doc", F.struct("weight", -F.col("doc"))).alias("leader")))
     ids = durable(weight.select("doc"))
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
+    about = durable(heads.select("doc", "n", "bits").join(ids, "doc", "left_semi"))
     sets = written(texts.join(ids, "doc", "left_semi").mapInArrow(
         _full_sets, "doc long, members array<long>"), "minhash-sets")
 
-    member = joint.alias("u").join(leaders, "key").where("u.doc != leader.doc").where(_near("u", "leader"))
-    first = durable(_verified(member.select(
-        F.col("u.doc").alias("member"), F.col("leader.doc").alias("other")).distinct(), sets))
+    met = joint.join(leaders, "key").where("doc != leader").select(F.col("doc").alias("member"), F.col("leader").alias("other"))
+    first = durable(_verified(_near(met, about), sets))
     # random members of a bucket differ from bucket to bucket, so a copy that the
     # leader does not link meets many others here at one row a bucket each
     some = _open_members(joint, leaders, connected_components(first))
     pick = some.groupBy("key").agg(*(F.min_by(
-        F.struct("doc", "n", "bits", "component"), F.xxhash64("doc", "key", F.lit(i))).alias(f"p{i}") for i in range(RANDOM)))
+        F.struct("doc", "component"), F.xxhash64("doc", "key", F.lit(i))).alias(f"p{i}") for i in range(RANDOM)))
     pick = pick.select("key", F.explode(F.array_distinct(F.array(*(f"p{i}" for i in range(RANDOM))))).alias("peer"))
-    tried = some.where("component != lead_component").alias("u").join(pick, "key").where(
-        "u.component != peer.component AND peer.doc != u.lead_doc").where(_near("u", "peer"))
-    first = durable(first.union(_verified(tried.select(
-        F.col("u.doc").alias("member"), F.col("peer.doc").alias("other")).distinct(), sets)))
-    open_members = _open_members(joint, leaders, connected_components(first))
-    members = durable(open_members.join(
-        _private(sets, open_members.select("doc").distinct()), "doc", "left").withColumn(
-        "shared", F.col("n") - F.coalesce("private", F.lit(0))))
-    second = members.where("component != lead_component").alias("u").join(
-        members.alias("v"), F.col("u.key") == F.col("v.key")).where(
-        (F.col("u.component") != F.col("v.component")) & (F.col("v.doc") != F.col("u.lead_doc")) & _possible("u", "v")).where(
-        _near("u", "v"))
-    more = _verified(second.select(
-        F.least("u.doc", "v.doc").alias("other"), F.greatest("u.doc", "v.doc").alias("member")).distinct(), sets)
+    tried = some.where("component != lead_component").join(pick, "key").where("component != peer.component")
+    first = durable(first.union(_verified(_near(tried.select(
+        F.col("doc").alias("member"), F.col("peer.doc").alias("other")), about), sets)))
+
+    # what still stands apart: all pairs of a small bucket, an exact filter for large ones
+    some = _open_members(joint, leaders, connected_components(first))
+    large = some.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > PAIR_BUCKET).select("key")
+    crowded = durable(some.join(large, "key", "left_semi").select("doc").distinct())
+    if crowded.count() <= BROADCAST_IDS:
+        crowded = F.broadcast(crowded)
+    lone = F.max(F.col("component") != F.col("lead_component")).alias("unlinked")
+    crowd = durable(some.join(crowded, "doc", "left_semi").groupBy("doc", "component").agg(lone))
+    few = durable(some.join(large, "key", "left_anti").join(
+        crowded.withColumn("crowded", F.lit(True)), "doc", "left").fillna(False, ["crowded"]))
+    u, v = few.where("component != lead_component").alias("u"), few.alias("v")
+    rest = u.join(v, (F.col("u.key") == F.col("v.key")) & (F.col("u.component") != F.col("v.component"))
+                  & ~(F.col("u.crowded") & F.col("v.crowded"))).select(
+        F.least("u.doc", "v.doc").alias("member"), F.greatest("u.doc", "v.doc").alias("other"))
+    more = _verified(_near(rest, about), sets).union(_verified(
+        _prefix_pairs(sets.join(crowded, "doc", "left_semi"), crowd), sets))
 
     final = connected_components(first.union(more).union(same_id))
     of_doc = member_of.join(final.withColumnRenamed("node", "rep"), "rep", "left").groupBy("doc").agg(

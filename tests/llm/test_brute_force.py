@@ -92,6 +92,42 @@ def test_minhash_of_edited_copies(spark):
     assert got == want and len(set(want.values())) > 55
 
 
+def test_minhash_of_a_large_group_about_the_threshold(spark):
+    """2,000 copies of one text, most of them edited close to 0.75 or beyond: they
+    share large buckets, so the exact prefix filter must find their links."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(4000)]
+    base, edits = rng.choices(words, k=120), rng.choices(words, k=25)
+    rows = []
+    for i in range(2000):
+        copy = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 5, 6, 7])):
+            # some edits are common to many copies, so difference sets overlap too
+            k = rng.randrange(120) if rng.random() < 0.5 else rng.choice([7, 31, 55, 90])
+            copy[k] = rng.choice(edits)
+        rows.append((i, " ".join(copy)))
+    sets = {i: shingles(t) for i, t in rows}
+    want = components(sets, near_links(sets))
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert got == want and 20 < len(set(want.values())) < 1500
+
+
+def test_prefix_filter_is_exact(spark):
+    """All pairs about the threshold, of sizes that differ, from the filter alone."""
+    rng = random.Random(12)
+    sets = {}
+    for i in range(300):
+        of = set(range(i % 5 * 1000, i % 5 * 1000 + rng.randrange(30, 60)))
+        sets[i] = {x for x in of if rng.random() < 0.9} | {rng.randrange(10_000, 10_050) for _ in range(rng.randrange(8))}
+    rows = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "doc long, members array<long>")
+    docs = spark.createDataFrame([(i, i, i % 3 == 0) for i in sets], "doc long, component long, unlinked boolean")
+    pairs = {(min(r), max(r)) for r in minhash._prefix_pairs(rows, docs).collect()}
+    want = {(a, b) for a in sets for b in sets if a < b and (a % 3 == 0 or b % 3 == 0)
+            and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert want <= pairs and len(want) > 100 and len(pairs) < 300 * 299 / 4
+
+
 def test_sketch_estimates_similarity():
     rng = np.random.default_rng(1)
     for n in (1, 3, 40, 1000, 20_000):
