@@ -7,22 +7,22 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _name(path: str) -> str:
+def bucketed_name(path: str) -> str:
     return "speechlens_bucketed_" + hashlib.sha1(path.encode()).hexdigest()[:16]
 
 
 def write_bucketed(df: DataFrame, path: str, n: int, column: str, sort: list[str]) -> DataFrame:
     """Write `df` to `path` in `n` buckets of `column`, one file each, sorted inside."""
     df.repartition(n, column).write.mode("overwrite").format("parquet").bucketBy(n, column).sortBy(*sort).option(
-        "path", path).saveAsTable(_name(path))
-    return df.sparkSession.table(_name(path))
+        "path", path).saveAsTable(bucketed_name(path))
+    return df.sparkSession.table(bucketed_name(path))
 
 
 def bucketed_table(spark: SparkSession, path: str, ddl: str, n: int, column: str, sort: list[str]) -> DataFrame:
     """The table written to `path`, registered again where the session does not
     know it (its files carry the bucket ids)."""
-    if not spark.catalog.tableExists(_name(path)):
+    if not spark.catalog.tableExists(bucketed_name(path)):
         place = path.replace("'", "\\'")
-        spark.sql(f"CREATE TABLE {_name(path)} ({ddl}) USING parquet CLUSTERED BY ({column}) SORTED BY ({', '.join(sort)}) "
+        spark.sql(f"CREATE TABLE {bucketed_name(path)} ({ddl}) USING parquet CLUSTERED BY ({column}) SORTED BY ({', '.join(sort)}) "
                   f"INTO {int(n)} BUCKETS LOCATION '{place}'")
-    return spark.table(_name(path))
+    return spark.table(bucketed_name(path))

@@ -12,12 +12,13 @@ definition one value per group, so its size follows the group's text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.ids import smallest_by_hash, with_sequential_id
+from ..functions.ids import md5_key, smallest_by_hash, with_sequential_id
 from ..functions.sizing import maybe_broadcast
 from ..schema import ATTRIBUTES, GROUP_KEYS, SPEECH, SPEECH_COLUMNS
+from ..session import durable
 
 SEPARATOR = " | "
 SAMPLE_FRACTION = 0.1
@@ -83,6 +84,37 @@ def sample_exact(df: DataFrame, fraction: float = SAMPLE_FRACTION, id_col: str =
     return smallest_by_hash(df, id_col, k)
 
 
+#: standard errors by which the first cut of `sample_one_pass` lies above the fraction
+CUT_ERRORS = 6.0
+
+
+def sample_one_pass(df: DataFrame, fraction: float = SAMPLE_FRACTION, id_col: str = "doc_id",
+                    expected_rows: int = 1_000_000) -> DataFrame:
+    """Exactly round(fraction * n) rows, those of `sample_exact`, from one scan.
+
+    The scan keeps the rows whose md5 lies below the fraction and a margin of
+    CUT_ERRORS standard errors at `expected_rows` (more rows need less), and
+    counts all rows as it goes; only what it kept is then ranked. Rows that
+    repeat an id are ranked one after another, so their number is exact too. If
+    the cut was too low (fewer rows than expected, or a hot id), it is raised and
+    the scan repeated."""
+    if not 0 <= fraction <= 1:
+        raise ValueError("fraction lies between 0 and 1")
+    spread = CUT_ERRORS * (max(fraction * (1 - fraction), 1e-12) / max(expected_rows, 1)) ** 0.5
+    keyed = df.withColumn("_s_hash", md5_key(F.col(id_col)))
+    while True:
+        cut = min(1.0, fraction + spread)
+        seen = Observation()
+        counted = keyed.observe(seen, F.count(F.lit(1)).alias("n"))
+        first = f"{min(int(cut * 16 ** 12), 16 ** 12 - 1):012x}"
+        kept = durable(counted if cut >= 1 else counted.where(F.substring("_s_hash", 1, 12) <= F.lit(first)))
+        k = int(round(fraction * seen.get["n"]))
+        if cut >= 1 or kept.count() >= k:
+            ranked = with_sequential_id(kept, [F.asc_nulls_last("_s_hash"), F.asc_nulls_last(id_col)], "_s_rank")
+            return ranked.where(F.col("_s_rank") < k).select(*df.columns)
+        spread *= 4
+
+
 def sample_approx(df: DataFrame, fraction: float = SAMPLE_FRACTION, seed: int = 42) -> DataFrame:
     """Bernoulli sample: about fraction * n rows, one pass, no count."""
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)

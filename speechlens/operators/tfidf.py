@@ -205,7 +205,19 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
     n_text = num_partitions or partitions_for(src)
     tf = term_frequencies(src, opts, num_partitions=n_text, parts=parts).persist(
         StorageLevel.MEMORY_AND_DISK)
-    vocab = select_vocabulary(term_statistics(tf), n_docs, max_df, max_features)
+    return fit_from_counts(tf, term_statistics(tf), n_docs, max_df=max_df, max_features=max_features, options=opts,
+                           path=path, num_partitions=num_partitions, n_buckets=0 if parts else n_text, parts=parts)
+
+
+def fit_from_counts(tf: DataFrame, stats: DataFrame, n_docs: int, *, max_df: float | int = 0.9,
+                    max_features: int | None = 6000, options: TextOptions | None = None, path: str | None = None,
+                    num_partitions: int | None = None, n_buckets: int = 0, parts: bool = False) -> TfidfModel:
+    """The model of given term counts (doc_id, term, tf), a document's rows in one
+    partition, and of their statistics (term, df, cf). `n_buckets` is their
+    number of hash partitions by doc_id, 0 if they are not dealt so."""
+    spark = tf.sparkSession
+    opts = options or default_options()
+    vocab = select_vocabulary(stats, n_docs, max_df, max_features)
     if path:
         vocab.write.mode("overwrite").parquet(f"{path}/model")
         vocab = spark.read.parquet(f"{path}/model")
@@ -216,7 +228,6 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
         # the weights are already hash-partitioned by doc_id: written as a table
         # bucketed on doc_id, later per-document joins, windows and groupings
         # read them without a shuffle
-        n_buckets = 0 if parts else n_text
         weights, n_buckets = _write_weights(spark, weights, path, n_buckets)
         tf.unpersist()
         # sized from the written files (a plan estimate of a join is not a size)

@@ -17,6 +17,7 @@ from ..operators import clusters as CL
 from ..operators import consolidate as C
 from ..operators import keywords as K
 from ..operators import postings as PO
+from ..operators import refresh as R
 from ..operators import search as S
 from ..operators import similarity as M
 from ..operators import tfidf as T
@@ -24,6 +25,7 @@ from ..operators import topics as TP
 from ..schema import SCORE_DIGITS
 from ..session import scratch_path
 from ..sources import csv_split as CSV
+from ..sources import docstore as DS
 from ..sources import speeches as SP
 from ..streaming import search_stream as ST
 from .workspace import Workspace
@@ -154,6 +156,13 @@ def fetch_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.fetch_hits(hits, ws.docs())
 
 
+@register
+def fetch_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents from a store bucketed by id: only their buckets are opened."""
+    ws = _ws(spark, sf_dir)
+    return DS.fetch(ws.store(), S.top_hits(S.score(ws.model(), _benchmark_queries(ws))))
+
+
 @register
 def suggest_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vocabulary terms containing 'er', most frequent in documents first (20)."""
@@ -233,6 +242,12 @@ def sample_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.sample_exact(_ws(spark, sf_dir).docs(), 0.1)
 
 
+@register
+def sample_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents as `sample_exact`, from one scan."""
+    return C.sample_one_pass(_ws(spark, sf_dir).docs(), 0.1, expected_rows=1_000)
+
+
 @register
 def sample_bernoulli(spark: SparkSession, sf_dir: str) -> DataFrame:
     """About 10 % of the documents, Bernoulli sampling with seed 42 (one
@@ -491,6 +506,20 @@ def tfidf_consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.rounded_weights(m.weights).select("doc_id", "term", "term_id", "tf", "weight")
 
 
+@register
+def tfidf_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of a corpus that arrived in three batches: half of the documents
+    (every fifth of them cut short), the other half, then the cut ones as they
+    are now; equal to a fit on all documents."""
+    docs = _ws(spark, sf_dir).docs()
+    corpus = R.open_corpus(spark, scratch_path(spark, "corpus"))
+    short = F.when(F.col("doc_id") % 10 == 0, F.expr("substring(speech, 1, length(speech) div 2)")).otherwise(F.col("speech"))
+    R.append(corpus, docs.where("doc_id % 2 = 0").withColumn("speech", short), "first")
+    R.append(corpus, docs.where("doc_id % 2 = 1"), "second")
+    R.append(corpus, docs.where("doc_id % 10 = 0"), "corrected", replace=True)
+    return T.rounded_weights(R.refreshed_model(corpus).weights).select("doc_id", "term", "term_id", "tf", "weight")
+
+
 @register
 def pair_graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adjacency of the graph of the 10 most similar pairs, both directions."""

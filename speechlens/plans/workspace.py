@@ -103,6 +103,12 @@ class Workspace:
             S.display_fields(self.docs()).write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def store(self) -> DataFrame:
+        """The documents bucketed by id, written once."""
+        from ..sources import docstore as DS
+
+        return DS.write_store(self.docs(), self.artifact_path("store"), n_buckets=32)
+
     def block_index(self):
         """Block-max postings of the default model, written once."""
         from ..operators import postings as PO

@@ -151,6 +151,8 @@ SELECT term, round(idf, {D}) AS idf FROM vocab"""
 ORACLE["tfidf_weights"] = f"""WITH {model_ctes()}
 SELECT doc_id, term, term_id, tf, round(weight, {D}) AS weight FROM weights"""
 
+ORACLE["tfidf_refreshed"] = ORACLE["tfidf_weights"]
+
 ORACLE["vocabulary_small"] = f"""WITH {model_ctes(0.3, 500)}
 SELECT term, term_id, df, cf FROM vocab"""
 
@@ -181,6 +183,8 @@ ORACLE["fetch_hits"] = f"""WITH hits AS ({search_sql('benchmark', 'item_id', 'te
 {DOCS}
 SELECT * FROM docs WHERE doc_id IN (SELECT doc_id FROM hits)"""
 
+ORACLE["fetch_pruned"] = ORACLE["fetch_hits"]
+
 ORACLE["suggest_terms"] = f"""WITH {model_ctes()}
 SELECT term, df FROM vocab WHERE contains(lower(term), 'er')
 ORDER BY df DESC, term LIMIT 20"""
@@ -237,6 +241,8 @@ ORACLE["sample_exact"] = f"""WITH {SPEECHES},
 {DOCS}
 SELECT * FROM {SAMPLE}"""
 
+ORACLE["sample_one_pass"] = ORACLE["sample_exact"]
+
 ORACLE["choose_input"] = f"""WITH {SPEECHES},
 {DOCS}
 SELECT * FROM docs WHERE (SELECT count(*) FROM docs) <= 1000
