@@ -3,7 +3,8 @@
 Alternating large-star and small-star steps: every step links neighbours to the
 smallest one known, so chains shrink by a constant factor and stars stay stars.
 No group is gathered: a step is a partially aggregated minimum and a join, which
-Spark's adaptive execution splits where a node has very many links.
+Spark's adaptive execution splits where a node has very many links. Steps run in as
+many tasks as their links need, so a small graph leaves few shuffle files.
 """
 
 from __future__ import annotations
@@ -14,19 +15,23 @@ from pyspark.sql import functions as F
 from .common import durable
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+#: links that one task takes in a step
+TASK_LINKS = 250_000
+
+
+def _large_star(edges: DataFrame, tasks: int) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
     return both.where("b > a").join(least, "a").select(
-        F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+        F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").coalesce(tasks)
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, tasks: int) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    joined = down.join(least, "a")
-    return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-        least.select("a", F.col("m").alias("b"))).where("a != b").distinct()
+    joined = down.join(least, "a").coalesce(tasks)
+    ends = F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))
+    return joined.select(F.inline(ends)).where("a != b").distinct().coalesce(tasks)
 
 
 def connected_components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame:
@@ -34,10 +39,12 @@ def connected_components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame
     type): the component is the smallest node reachable. Self links and repeated
     or reversed links do no harm; null ends are ignored."""
     now = durable(edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL AND a != b").distinct())
+    tasks = 1 + now.count() // TASK_LINKS
+    now = now.coalesce(tasks)
     nodes = now.select(F.col("a").alias("node")).union(now.select(F.col("b").alias("node"))).distinct()
     seen = None
     for _ in range(max_rounds):
-        now = durable(_small_star(_large_star(now)))
+        now = durable(_small_star(_large_star(now, tasks), tasks))
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == seen:
             return nodes.join(now.select(F.col("a").alias("node"), F.col("b").alias("component")), "node", "left").select(

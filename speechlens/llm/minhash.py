@@ -52,6 +52,8 @@ AGREE_LEAST = 177
 BROADCAST_IDS = 1_000_000
 #: open members of a bucket up to which its pairs are formed one by one
 PAIR_BUCKET = 32
+#: shingles that one task of the prefix filter takes
+TASK_SHINGLES = 100_000
 #: random members of a bucket that its unlinked members are verified against
 RANDOM = 2
 _ROUND_KEYS = mix64(np.arange(1, 2 * BINS + 1, dtype=U) * U(0x9E3779B97F4A7C15))
@@ -159,8 +161,10 @@ def _prefix_pairs(sets: DataFrame, docs: DataFrame) -> DataFrame:
     so early in both that what follows can still make up the overlap. Copies
     edited beyond the threshold begin with their own edits, so they meet nobody
     through the shingles that all copies share."""
-    own = durable(sets.join(docs, "doc").select(
-        "doc", "component", "unlinked", "members", F.size("members").alias("n"), F.monotonically_increasing_id().alias("row")))
+    # tasks by what their sets hold, which is dealt out evenly
+    own = sets.join(docs, "doc").select("doc", "component", "unlinked", "members", F.size("members").alias("n"))
+    held = own.agg(F.sum("n")).first()[0] or 0
+    own = durable(own.repartition(1 + held // TASK_SHINGLES).withColumn("row", F.monotonically_increasing_id()))
     held = own.select("row", F.explode("members").alias("g"))
     common = held.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     # shingles of one set only come first in the order and need no entry
