@@ -15,6 +15,7 @@ from ..functions import lexicon as LX
 from ..functions import text as TX
 from ..operators import clusters as CL
 from ..operators import consolidate as C
+from ..operators import fuzzy as FZ
 from ..operators import keywords as K
 from ..operators import postings as PO
 from ..operators import refresh as R
@@ -169,6 +170,17 @@ def suggest_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.suggest_terms(_ws(spark, sf_dir).model(), "ER", limit=20)
 
 
+@register
+def suggest_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every word of the benchmark passages, typed without its second letter,
+    the five best of all terms of the documents within one edit."""
+    ws = _ws(spark, sf_dir)
+    index = FZ.build_index(document_frequency(spark, sf_dir))
+    word = F.concat(F.substring("token", 1, 1), F.expr("substring(token, 3)"))
+    typed = ws.table("benchmark").select(F.explode(TX.tokens(F.col("text"))).alias("token")).select(word.alias("word"))
+    return FZ.suggest_fuzzy(index, typed, 1, 5)
+
+
 # ------------------------------------------------------- scans and sinks
 
 

@@ -8,6 +8,7 @@ folder when the session has none, which is the case in local tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -94,7 +95,7 @@ def files_identity(spark: SparkSession, path: str) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem (works for any scheme)."""
-    if "://" not in path and not path.startswith("/"):
+    if not re.match(r"/|[A-Za-z][A-Za-z0-9+.-]*:", path):
         return os.path.exists(path)
     jvm = spark.sparkContext._jvm
     hconf = spark.sparkContext._jsc.hadoopConfiguration()

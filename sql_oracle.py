@@ -189,6 +189,33 @@ ORACLE["suggest_terms"] = f"""WITH {model_ctes()}
 SELECT term, df FROM vocab WHERE contains(lower(term), 'er')
 ORDER BY df DESC, term LIMIT 20"""
 
+
+def _left_out(word: str) -> str:
+    """The word and what is left of it without one character."""
+    return (f"list_distinct(list_append(list_transform(range(1, CAST(length({word}) AS BIGINT) + 1), "
+            f"lambda i: substring({word}, 1, i - 1) || substring({word}, i + 1)), {word}))")
+
+
+# two words within one edit share what is left of them; of equal length they must differ in one place
+ORACLE["suggest_fuzzy"] = f"""WITH {SPEECHES},
+{DOCS},
+{terms_cte('d', 'docs', 'doc_id', 'speech')},
+terms AS (SELECT term, CAST(count(*) AS BIGINT) AS df FROM d_tf GROUP BY term),
+typed AS (SELECT DISTINCT substring(t, 1, 1) || substring(t, 3) AS word
+          FROM (SELECT unnest({tokens_sql('text')}) AS t FROM benchmark)),
+typed_left AS (SELECT word, unnest({_left_out('word')}) AS v FROM typed),
+terms_left AS (SELECT term, unnest({_left_out('term')}) AS v FROM terms),
+pairs AS (SELECT DISTINCT word, term FROM typed_left JOIN terms_left USING (v)),
+near AS (
+  SELECT word, term, CASE WHEN word = term THEN 0 ELSE 1 END AS edits FROM pairs
+  WHERE length(word) <> length(term) OR len(list_filter(range(1, CAST(length(word) AS BIGINT) + 1),
+        lambda i: substring(word, i, 1) <> substring(term, i, 1))) <= 1),
+ranked AS (
+  SELECT word, CAST(row_number() OVER (PARTITION BY word ORDER BY edits, df DESC, term) AS INTEGER) AS rank, term, df, edits
+  FROM near JOIN terms USING (term))
+SELECT word, rank, term, df, edits FROM ranked WHERE rank <= 5"""
+
+
 RAW_COLS = ("political_party, member_name, sitting_date, parliamentary_period, parliamentary_session, "
             "parliamentary_sitting, government, member_region, roles, member_gender, speech, seq")
 
