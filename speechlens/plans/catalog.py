@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as LX
 from ..functions import text as TX
+from ..operators import bursts as BU
 from ..operators import clusters as CL
 from ..operators import consolidate as C
 from ..operators import fuzzy as FZ
 from ..operators import keywords as K
 from ..operators import postings as PO
+from ..operators import prefix_pairs as PP
 from ..operators import refresh as R
 from ..operators import search as S
 from ..operators import similarity as M
@@ -381,6 +383,14 @@ def keyword_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.keyword_trend(_per_doc(ws), ws.docs())
 
 
+@register
+def keyword_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When a party's speeches turn to a word: its bursts among their top keywords,
+    with a low price (0.2) for going up."""
+    ws = _ws(spark, sf_dir)
+    return BU.keyword_bursts(_per_doc(ws), ws.docs(), gamma=0.2)
+
+
 # ---------------------------------------------------------------- members
 
 def _member_vectors(ws: Workspace) -> DataFrame:
@@ -399,6 +409,12 @@ def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.similar_pairs(_member_vectors(_ws(spark, sf_dir)), 10, 0.6)
 
 
+@register
+def similar_pairs_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pairs by an exact prefix index, without copies of every vector."""
+    return PP.similar_pairs_prefix(_member_vectors(_ws(spark, sf_dir)), 10, 0.6)
+
+
 @register
 def similar_pairs_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every member pair with cosine >= 0.6 (no top-k cut)."""

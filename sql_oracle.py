@@ -368,6 +368,44 @@ SELECT d.political_party, CAST(year(CAST(try_strptime(k.date, '%d/%m/%Y') AS DAT
 FROM kw_doc k JOIN docs d ON d.doc_id = k.doc_id
 GROUP BY ALL"""
 
+def _burst_cost(p: str, r: str, d: str) -> str:
+    return f"-({r} * ln({p}) + ({d} - {r}) * ln(1.0 - {p}))"
+
+
+# the automaton step by step: forward and backward costs by recursion over each series
+ORACLE["keyword_bursts"] = f"""WITH RECURSIVE {KW_ALL},
+dated AS (SELECT doc_id, political_party AS series, CAST(try_strptime(sitting_date, '%d/%m/%Y') AS DATE) AS t FROM docs),
+totals AS (SELECT series, t, CAST(count(*) AS DOUBLE) AS d FROM dated WHERE series IS NOT NULL AND t IS NOT NULL GROUP BY series, t),
+told AS (SELECT *, sum(d) OVER (PARTITION BY series ORDER BY t) AS until, sum(d) OVER (PARTITION BY series) AS speeches,
+                count(*) OVER (PARTITION BY series) AS steps FROM totals),
+occ AS (SELECT d.series, k.word, d.t, CAST(count(*) AS DOUBLE) AS r FROM kw_doc k JOIN dated d USING (doc_id) GROUP BY ALL),
+p AS (SELECT o.*, d, until, steps, least(sum(r) OVER (PARTITION BY series, word) / speeches, 0.9998) AS p0,
+             row_number() OVER line AS k, until - d - coalesce(lag(until) OVER line, 0.0) AS gap
+      FROM occ o JOIN told USING (series, t) WINDOW line AS (PARTITION BY series, word ORDER BY t)),
+q AS (SELECT *, least(2.0 * p0, 0.9999) AS p1, 0.2 * ln(steps) AS up FROM p),
+c AS (SELECT *, {_burst_cost('p0', 'r', 'd')} AS low, {_burst_cost('p1', 'r', 'd')} AS high,
+             {_burst_cost('p0', '0.0', 'gap')} AS g0, {_burst_cost('p1', '0.0', 'gap')} AS g1,
+             max(k) OVER (PARTITION BY series, word) AS n FROM q),
+fw AS (
+  SELECT series, word, k, g0 + low AS f0, g0 + up + high AS f1 FROM c WHERE k = 1
+  UNION ALL
+  SELECT c.series, c.word, c.k, least(f0 + g0 + low, f1 + g0 + low), least(f0 + g0 + up + high, f1 + least(g1, g0 + up) + high)
+  FROM fw JOIN c ON c.series = fw.series AND c.word = fw.word AND c.k = fw.k + 1),
+bw AS (
+  SELECT series, word, k, CAST(0 AS DOUBLE) AS b0, CAST(0 AS DOUBLE) AS b1 FROM c WHERE k = n
+  UNION ALL
+  SELECT c.series, c.word, c.k - 1, least(g0 + low + b0, g0 + up + high + b1), least(g0 + low + b0, least(g1, g0 + up) + high + b1)
+  FROM bw JOIN c ON c.series = bw.series AND c.word = bw.word AND c.k = bw.k AND c.k > 1),
+high AS (SELECT c.* FROM c JOIN fw USING (series, word, k) JOIN bw USING (series, word, k) WHERE f1 + b1 < f0 + b0 - 1e-9),
+parted AS (
+  SELECT *, coalesce(lag(k) OVER line = k - 1 AND (gap = 0 OR g0 - g1 + up > 1e-9), false) AS goes_on
+  FROM high WINDOW line AS (PARTITION BY series, word ORDER BY k)),
+numbered AS (SELECT *, sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (PARTITION BY series, word ORDER BY k) AS burst FROM parted)
+SELECT series, word, CAST(burst AS INTEGER) AS burst, min(t) AS first_t, max(t) AS last_t, count(*) AS steps,
+       CAST(sum(r) AS BIGINT) AS speeches,
+       round(sum(low - high + CASE WHEN goes_on THEN g0 - g1 ELSE 0.0 END), {D}) AS weight
+FROM numbered GROUP BY series, word, burst"""
+
 MEMBER_CTES = f"""{model_ctes()},
 mcount AS (SELECT member_name, count(*) AS n FROM docs GROUP BY member_name),
 mv AS (
@@ -391,6 +429,8 @@ SELECT member_name, term, round(weight, {D}) AS weight FROM mv"""
 ORACLE["similar_pairs"] = f"""WITH {MEMBER_CTES}
 SELECT member_a, member_b, similarity FROM top_pairs"""
 
+ORACLE["similar_pairs_prefix"] = ORACLE["similar_pairs"]
+
 ORACLE["similar_pairs_all"] = f"""WITH {MEMBER_CTES}
 SELECT member_a, member_b, similarity FROM sims WHERE similarity >= 0.6"""
 
