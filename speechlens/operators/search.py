@@ -19,13 +19,14 @@ where there is one (`display_fields`), so no speech is read for a hit.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.lexicon import in_list
-from ..functions.sizing import maybe_broadcast
+from ..functions.sizing import BROADCAST_ROWS, local_frame, maybe_broadcast
 from ..functions.text import snippet
 from ..schema import DATE, HITS, MEMBER, PARTY, SCORE_DIGITS, SPEECH
 from ..session import durable
@@ -35,6 +36,8 @@ SEARCH_SIZE = 10
 SCORE_FLOOR = 0.001
 # query-term rows per broadcast block (some 50 bytes each)
 BLOCK_ROWS = 500_000
+# query-term rows read by the driver and inlined (some 50 bytes each)
+INLINE_ROWS = 20_000
 # up to so many different terms (Parquet pushes an IN list of ten values as
 # such, a longer one as a range) the sorted postings are read instead
 POINT_TERMS = 10
@@ -46,21 +49,43 @@ def query_weights(model: TfidfModel, queries: DataFrame, id_col: str = "query_id
         F.col(id_col).cast("long").alias("query_id"), "term", F.col("weight").alias("qw"))
 
 
-def score(model: TfidfModel, queries: DataFrame, id_col: str = "query_id",
-          text_col: str = "text") -> DataFrame:
-    """(query_id, doc_id, score) for every document sharing a term with a query."""
-    q = durable(query_weights(model, queries, id_col, text_col))
-    n = q.count()
-    terms = [r[0] for r in q.select("term").distinct().limit(POINT_TERMS + 1).collect()] if n <= BLOCK_ROWS else None
-    if terms is not None and len(terms) <= POINT_TERMS:
-        docs = model.postings.select("term", "doc_id", "weight").filter(in_list("term", sorted(terms)))
+@dataclass(frozen=True)
+class _Weighed:
+    """Query weights in broadcast blocks, the different terms if they are few, and
+    the number of queries if it is known."""
+
+    blocks: list
+    terms: list | None
+    n_queries: int | None
+
+
+def _weighed(model: TfidfModel, queries: DataFrame, id_col: str, text_col: str) -> _Weighed:
+    q = query_weights(model, queries, id_col, text_col)
+    # the weights of few queries are read once and inlined: one job, no files
+    few = q.limit(INLINE_ROWS + 1).collect()
+    if len(few) <= INLINE_ROWS:
+        own = local_frame(q.sparkSession, [tuple(r) for r in few], "query_id long, term string, qw double")
+        terms = sorted({r["term"] for r in few})
+        return _Weighed([own], terms if len(terms) <= POINT_TERMS else None, len({r["query_id"] for r in few}))
+    q = durable(q)
+    blocks = max(1, -(-q.count() // BLOCK_ROWS))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    return _Weighed([q if blocks == 1 else q.where(block == i) for i in range(blocks)], None, None)
+
+
+def _scores(model: TfidfModel, weighed: _Weighed) -> DataFrame:
+    if weighed.terms is not None:
+        docs = model.postings.select("term", "doc_id", "weight").filter(in_list("term", weighed.terms))
     else:
         docs = model.weights.select("term", "doc_id", "weight")
-    blocks = max(1, -(-n // BLOCK_ROWS))
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    parts = [q if blocks == 1 else q.where(block == i) for i in range(blocks)]
     return reduce(DataFrame.union, [docs.join(F.broadcast(p), "term").groupBy("query_id", "doc_id").agg(
-        F.sum(F.col("weight") * F.col("qw")).alias("score")) for p in parts])
+        F.sum(F.col("weight") * F.col("qw")).alias("score")) for p in weighed.blocks])
+
+
+def score(model: TfidfModel, queries: DataFrame, id_col: str = "query_id",
+          text_col: str = "text") -> DataFrame:
+    """(query_id, doc_id, score) for every document sharing a term with a query."""
+    return _scores(model, _weighed(model, queries, id_col, text_col))
 
 
 def top_hits(scores: DataFrame, k: int = SEARCH_SIZE, floor: float = SCORE_FLOOR) -> DataFrame:
@@ -81,11 +106,15 @@ def display_fields(docs: DataFrame) -> DataFrame:
                        F.col(PARTY), F.col(DATE).alias("date"))
 
 
-def attach_display(hits: DataFrame, docs: DataFrame) -> DataFrame:
+def attach_display(hits: DataFrame, docs: DataFrame, most_hits: int | None = None) -> DataFrame:
     """Join hits with snippet, name, party and date, ordered by (query_id, rank).
-    `docs` is either the documents or their `display_fields`."""
+    `docs` is either the documents or their `display_fields`; `most_hits` bounds
+    the hits, where that is known, and spares counting them."""
     fields = docs if "speech_start" in docs.columns else display_fields(docs)
-    side, _ = maybe_broadcast(hits)
+    if most_hits is not None and most_hits <= BROADCAST_ROWS:
+        side = F.broadcast(hits)
+    else:
+        side, _ = maybe_broadcast(hits)
     return fields.join(side, "doc_id").select(
         F.col("query_id").cast("long").alias("query_id"), "rank", F.col("doc_id").cast("long"),
         "speech_start", "name", F.col(PARTY), "date", F.col("score").cast("double")).orderBy("query_id", "rank")
@@ -95,8 +124,9 @@ def search(model: TfidfModel, docs: DataFrame, queries: DataFrame, k: int = SEAR
            floor: float = SCORE_FLOOR, id_col: str = "query_id",
            text_col: str = "text") -> DataFrame:
     """Ranked hits of each query with snippets: the HITS schema."""
-    hits = top_hits(score(model, queries, id_col, text_col), k, floor)
-    return attach_display(hits, docs)
+    weighed = _weighed(model, queries, id_col, text_col)
+    hits = top_hits(_scores(model, weighed), k, floor)
+    return attach_display(hits, docs, None if weighed.n_queries is None else weighed.n_queries * int(k))
 
 
 def search_text(spark: SparkSession, model: TfidfModel, docs: DataFrame, text: str | None,

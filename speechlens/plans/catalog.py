@@ -15,6 +15,7 @@ from ..functions import lexicon as LX
 from ..functions import text as TX
 from ..operators import bursts as BU
 from ..operators import clusters as CL
+from ..operators import conflation as CF
 from ..operators import consolidate as C
 from ..operators import fuzzy as FZ
 from ..operators import keywords as K
@@ -321,6 +322,14 @@ def conflate_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("lang", "token", LX.stem_of("token", "lang", LX.RULES_BY_LANGUAGE).alias("term"), "n")
 
 
+@register
+def conflate_learned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lang, word, term, df): the word forms of every language that endings and
+    documents show to be one term, learned without any list of suffixes."""
+    docs = _ws(spark, sf_dir).table("documents")
+    return CF.learn_terms(docs.select("lang", "doc_id", F.explode(TX.tokens(F.col("text"))).alias("word")))
+
+
 @register
 def snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = _ws(spark, sf_dir)

@@ -315,6 +315,37 @@ SELECT lang, token, CASE {' '.join(
     f"WHEN lang = '{k}' THEN {stem_sql('token', v)}" for k, v in lexicon.RULES_BY_LANGUAGE.items())} ELSE token END AS term,
        n FROM kept"""
 
+ORACLE["conflate_learned"] = f"""WITH RECURSIVE tok AS (
+  SELECT DISTINCT lang, doc_id, word FROM (SELECT lang, doc_id, unnest({tokens_sql('text')}) AS word FROM documents)
+  WHERE lang IS NOT NULL AND doc_id IS NOT NULL),
+nd AS (SELECT lang, count(DISTINCT doc_id) AS docs FROM tok GROUP BY lang),
+words AS (SELECT lang, word, count(*) AS df FROM tok GROUP BY lang, word),
+cuts AS (
+  SELECT lang, word, substring(word, 1, length(word) - cut) AS stem, substring(word, length(word) - cut + 1) AS ending
+  FROM words, (SELECT unnest(range(4)) AS cut) WHERE length(word) - cut >= 4),
+kept AS (
+  SELECT lang, ending FROM (SELECT lang, ending, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, ending) AS r
+                            FROM cuts GROUP BY lang, ending) WHERE r <= 30),
+c AS (SELECT cuts.* FROM cuts JOIN kept USING (lang, ending)),
+pairs AS (SELECT x.lang, x.ending AS xe, y.ending AS ye, x.word AS a, y.word AS b
+          FROM c x JOIN c y ON x.lang = y.lang AND x.stem = y.stem AND x.ending < y.ending),
+classes AS (SELECT lang, xe, ye FROM pairs GROUP BY lang, xe, ye HAVING count(*) >= 10),
+asked AS (SELECT DISTINCT lang, a, b FROM pairs JOIN classes USING (lang, xe, ye)),
+together AS (
+  SELECT s.lang, s.a, s.b, count(*) AS n FROM asked s JOIN tok p ON p.lang = s.lang AND p.word = s.a
+  JOIN tok q ON q.lang = s.lang AND q.word = s.b AND q.doc_id = p.doc_id GROUP BY ALL),
+links AS (
+  SELECT t.lang, a, b FROM together t JOIN nd ON nd.lang = t.lang
+  JOIN words x ON x.lang = t.lang AND x.word = a JOIN words y ON y.lang = t.lang AND y.word = b
+  WHERE n >= 3 AND n * docs >= 2.0 * x.df * y.df),
+ends AS (SELECT lang, a, b FROM links UNION SELECT lang, b, a FROM links),
+reach(lang, word, met) AS (
+  SELECT DISTINCT lang, a, a FROM ends
+  UNION SELECT r.lang, r.word, e.b FROM reach r JOIN ends e ON e.lang = r.lang AND e.a = r.met),
+comp AS (SELECT lang, word, min(met) AS least FROM reach GROUP BY lang, word),
+own AS (SELECT c.lang, c.word, least, df FROM comp c JOIN words w ON w.lang = c.lang AND w.word = c.word)
+SELECT lang, word, first_value(word) OVER (PARTITION BY lang, least ORDER BY df DESC, word) AS term, df FROM own"""
+
 ORACLE["snippet"] = f"""WITH {SPEECHES},
 {DOCS}
 SELECT doc_id, {snippet_sql('speech')} AS speech_start FROM docs"""
