@@ -40,7 +40,7 @@ N_ITER = 100
 OVERSAMPLES = 10
 SEED = 42
 TOL = 1e-10
-# the driver holds (terms x l) matrices; refuse vocabularies beyond this
+# the driver holds (terms x l) matrices; wider vocabularies are fitted by `wide_topics`
 MAX_TERMS = 200_000
 
 
@@ -132,7 +132,9 @@ def fit_lsa(weights: DataFrame, n_terms: int, k: int = N_COMPONENTS, n_iter: int
     Ritz vectors.
     """
     if n_terms > MAX_TERMS:
-        raise ValueError(f"vocabulary of {n_terms} terms is too wide for the driver-side basis")
+        from .wide_topics import fit_lsa_wide
+
+        return fit_lsa_wide(weights, k, n_iter, seed, oversamples, tol, max_blocks)
     rows = rows if rows is not None else packed_rows(weights)
     b = min(n_terms, k + oversamples)
     rng = np.random.default_rng(seed)
@@ -193,7 +195,8 @@ def topics(model: LsaModel, vocabulary: DataFrame, n_terms: int = 10) -> DataFra
     spark = vocabulary.sparkSession
     comp = model.components_frame(spark)
     long = comp.select("term_id", F.posexplode("loadings").alias("topic_id", "loading"))
-    named = long.join(F.broadcast(vocabulary.select("term_id", "term")), "term_id")
+    names = vocabulary.select("term_id", "term")
+    named = long.join(names if getattr(model, "wide", False) else F.broadcast(names), "term_id")
     order = Window.partitionBy("topic_id").orderBy(F.desc(F.round("loading", SCORE_DIGITS)),
                                                    F.asc("term"))
     top = named.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n_terms)
@@ -206,7 +209,9 @@ def doc_topics(model: LsaModel, weights: DataFrame, docs: DataFrame | None = Non
     array<double>; documents without vocabulary terms get a zero vector."""
     spark = weights.sparkSession
     k = len(model.singular_values)
-    comp = F.broadcast(model.components_frame(spark))   # bounded: vocabulary x k
+    comp = model.components_frame(spark)
+    if not getattr(model, "wide", False):
+        comp = F.broadcast(comp)   # bounded: vocabulary x k
     j = weights.select("doc_id", "term_id", "weight").join(comp, "term_id")
     sums = j.groupBy("doc_id").agg(
         *[F.sum(F.col("weight") * F.col("loadings")[i]).alias(f"t{i}") for i in range(k)])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as LX
 from ..functions import text as TX
+from ..functions.sizing import local_frame
 from ..operators import bursts as BU
 from ..operators import clusters as CL
 from ..operators import conflation as CF
@@ -26,6 +27,7 @@ from ..operators import search as S
 from ..operators import similarity as M
 from ..operators import tfidf as T
 from ..operators import topics as TP
+from ..operators import wide_topics as WT
 from ..schema import SCORE_DIGITS
 from ..session import scratch_path
 from ..sources import csv_split as CSV
@@ -74,6 +76,15 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.vocabulary.select("term", "term_id", "df", "cf")
 
 
+@register
+def build_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabulary of a model that is there already: a second fit to its path
+    reads it back and does not look at the documents, of which it is given none."""
+    docs, path = _ws(spark, sf_dir).docs(), scratch_path(spark, "model")
+    T.fit_tfidf(docs, path=path)
+    return T.fit_tfidf(docs.limit(0), path=path).vocabulary.select("term", "term_id", "df", "cf")
+
+
 @register
 def idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _ws(spark, sf_dir).model()
@@ -484,6 +495,61 @@ def kmeans_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CL.cluster_profile(ws.model().weights, ws.clusters(10))
 
 
+@register
+def singular_values_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 largest singular values of the matrix of all terms, no vocabulary cut,
+    with the basis kept in Spark."""
+    m = _ws(spark, sf_dir).model(max_features=None)
+    return TP.singular_values_frame(spark, WT.fit_lsa_wide(m.weights, 10))
+
+
+@register
+def topic_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What makes topics a truncated SVD: (kind, i, j, value) of the components' inner
+    products (`component`: the identity), of the documents' topic columns' inner
+    products over the squared singular values (`document`: the identity too), and of
+    A^T A v - s^2 v (`residual`: the largest entry, 0)."""
+    ws = _ws(spark, sf_dir)
+    m, lsa = ws.model(), ws.lsa()
+    k = len(lsa.singular_values)
+    comp = lsa.components_frame(spark)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+
+    def products(rows: DataFrame, col: str, kind: str, scale) -> DataFrame:
+        sums = rows.agg(*(F.sum(F.col(col)[i] * F.col(col)[j]).alias(f"p{n}") for n, (i, j) in enumerate(pairs)))
+        return sums.select(F.inline(F.array(*(F.struct(
+            F.lit(kind).alias("kind"), F.lit(i).alias("i"), F.lit(j).alias("j"),
+            (F.col(f"p{n}") / F.lit(scale(i, j))).alias("value")) for n, (i, j) in enumerate(pairs)))))
+
+    s = lsa.singular_values
+    docs = TP.doc_topics(lsa, m.weights)
+    entries = m.weights.select("doc_id", "term_id", "weight")
+    back = entries.join(docs, "doc_id").groupBy("term_id").agg(
+        *(F.sum(F.col("weight") * F.col("topic")[i]).alias(f"z{i}") for i in range(k))).join(F.broadcast(comp), "term_id")
+    worst = back.agg(*(F.max(F.abs(F.col(f"z{i}") - F.col("loadings")[i] * F.lit(float(s[i] ** 2)))).alias(f"r{i}") for i in range(k)))
+    residual = worst.select(F.inline(F.array(*(F.struct(F.lit("residual").alias("kind"), F.lit(i).alias("i"), F.lit(i).alias("j"),
+                                                        F.col(f"r{i}").alias("value")) for i in range(k)))))
+    out = products(comp, "loadings", "component", lambda i, j: 1.0).unionByName(
+        products(docs, "topic", "document", lambda i, j: float(s[i] * s[j]))).unionByName(residual)
+    return out.withColumn("value", F.round("value", SCORE_DIGITS) + F.lit(0.0))
+
+
+@register
+def cluster_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What makes the clusters k-means: documents, clusters, documents whose centre is
+    not the nearest one, and distances that are not those to it (both 0)."""
+    vectors = _ws(spark, sf_dir).doc_topics()
+    found, centres = CL.fit_clusters(vectors, 10)
+    cells = local_frame(spark, [(c, i, float(x)) for c, v in enumerate(centres) for i, x in enumerate(v)], "c int, i int, x double")
+    own = vectors.select("doc_id", F.posexplode("topic").alias("i", "y"))
+    far = own.join(F.broadcast(cells), "i").groupBy("doc_id", "c").agg(F.sqrt(F.sum((F.col("x") - F.col("y")) ** 2)).alias("d"))
+    best = far.groupBy("doc_id").agg(F.min("d").alias("least")).join(found, "doc_id").join(
+        far.withColumnRenamed("c", "cluster_id"), ["doc_id", "cluster_id"])
+    return best.agg(F.count(F.lit(1)).alias("n_docs"), F.lit(len(centres)).cast("long").alias("n_clusters"),
+                    F.count(F.when(F.col("d") > F.col("least") + 1e-6, F.lit(1))).alias("n_misplaced"),
+                    F.count(F.when(F.abs(F.col("d") - F.col("distance")) > 1e-6, F.lit(1))).alias("n_wrong"))
+
+
 def _label_assignment(ws: Workspace) -> DataFrame:
     lab = ws.table("labels")
     return lab.select("doc_id", (F.col("quality") * 2 + F.col("toxic")).cast("int").alias("cluster_id"))

@@ -529,3 +529,15 @@ SELECT member_b, member_a, similarity FROM top_pairs"""
 
 ORACLE["vocabulary_unbounded"] = f"""WITH {model_ctes(0.9, None)}
 SELECT term, term_id, df, cf, round(idf, {D}) AS idf FROM vocab"""
+
+ORACLE["build_if_absent"] = ORACLE["vocabulary"]
+
+# invariants: what the values must be, whatever the fit found
+ORACLE["topic_invariants"] = """WITH n AS (SELECT unnest(range(10)) AS i),
+pairs AS (SELECT a.i, b.i AS j FROM n a, n b WHERE a.i <= b.i)
+SELECT kind, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS value
+FROM pairs, (VALUES ('component'), ('document')) k(kind)
+UNION ALL SELECT 'residual', CAST(i AS INTEGER), CAST(i AS INTEGER), 0.0::DOUBLE FROM n"""
+
+ORACLE["cluster_invariants"] = """SELECT count(*) AS n_docs, CAST(10 AS BIGINT) AS n_clusters,
+       CAST(0 AS BIGINT) AS n_misplaced, CAST(0 AS BIGINT) AS n_wrong FROM documents"""
