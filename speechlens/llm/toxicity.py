@@ -49,6 +49,8 @@ LABELLED_BOUND = 1_500  # labelled texts of each class
 CUT = 0.3
 NONE = -2.0  # margin of a text without words
 SIZE = 1 << 18
+#: triples of characters held at a time; a long word has some two thousand
+TRIPLES = 1 << 18
 
 # six bits a byte: letters, digits, punctuation, and five bits of bytes beyond ASCII
 _CODE = np.full(256, 28, dtype=np.int32)
@@ -84,9 +86,9 @@ def margins(chars: list[bytes] | np.ndarray, table: np.ndarray, bias: float) ->
     out = np.full(len(chars), NONE)
     lens = np.array([len(w) for w in chars])
     for n in np.unique(lens[(lens >= ORDER) & (lens <= LONGEST)]):
-        own = np.flatnonzero(lens == n)
-        for k in range(0, len(own), 4096):
-            part = own[k:k + 4096]
+        own, step = np.flatnonzero(lens == n), max(1, TRIPLES // len(_TRIPLES[n]))
+        for k in range(0, len(own), step):
+            part = own[k:k + step]
             x = _CODE[np.frombuffer(b"".join(chars[i] for i in part), dtype=np.uint8)].reshape(len(part), n)
             row, code, weight = subsequences(x)
             out[part] = np.bincount(row, weight * table[code], minlength=len(part)) + bias
@@ -141,9 +143,10 @@ def _kernel(words: list[bytes], column: np.ndarray, m: np.ndarray) -> np.ndarray
     out = np.zeros((len(words), m.shape[1]), dtype=np.float32)
     lens = np.array([len(w) for w in words])
     for n in np.unique(lens):
-        own = np.flatnonzero(lens == n)
-        for k in range(0, len(own), 256):
-            part = own[k:k + 256]
+        # a triple takes a row of the landmark matrix
+        own, step = np.flatnonzero(lens == n), max(1, TRIPLES // (16 * len(_TRIPLES[n])))
+        for k in range(0, len(own), step):
+            part = own[k:k + step]
             x = _CODE[np.frombuffer(b"".join(words[i] for i in part), dtype=np.uint8)].reshape(len(part), n)
             row, code, weight = subsequences(x)
             c = column[code]
