@@ -51,20 +51,23 @@ def source_tokens(counted: DataFrame) -> DataFrame:
     return counted.groupBy("_m_key").agg(F.sum("n_tokens").alias("src_tokens")).where("src_tokens > 0")
 
 
-def solve_exponent(shares: DataFrame, target: Target) -> float:
+def solve_exponent(shares: DataFrame, target: Target, size: float = 1.0) -> float:
     """The smallest exponent in [0, 1] (to 6 decimals) that keeps the repetition
-    limit, or whose entropy is at most the target; 1.0 if none does.
+    limit and whose entropy is at most the target; an error if none does.
+
+    `size` is that of the mix in corpora: a source is drawn `size` times its
+    weight over its share.
 
     Repetition falls and entropy falls as the exponent grows, so both conditions
     turn from false to true once and can be bisected together.
     """
-    least, n = shares.agg(F.min("share"), F.count(F.lit(1))).first()
+    least, n, natural = shares.agg(F.min("share"), F.count(F.lit(1)), F.sum(F.col("share") * F.log("share"))).first()
     if not n:
         return 1.0
     def meets(a: float, z: float, e: float) -> bool:
         ok = True
         if target.max_repetition is not None:
-            ok = ok and least ** (a - 1) / z <= target.max_repetition
+            ok = ok and size * least ** (a - 1) / z <= target.max_repetition
         if target.entropy is not None:
             ok = ok and math.log(z) - a * e / z <= target.entropy * math.log(n) + 1e-12
         return ok
@@ -78,6 +81,8 @@ def solve_exponent(shares: DataFrame, target: Target) -> float:
         good = [meets(a, row[2 * i], row[2 * i + 1]) for i, a in enumerate(grid)]
         if good[0] and k == 0:
             return 0.0
+        if k == 0 and not meets(1.0, 1.0, natural):
+            raise ValueError(f"no exponent from 0 to 1 meets {target} in a mix of {size:.6g} times the corpus")
         first = next((i for i, g in enumerate(good) if g), len(grid))
         lo, hi = (grid[first - 1] if first else lo), (grid[first] if first < len(grid) else hi)
     return round(hi, 6)
@@ -109,7 +114,7 @@ def mix(docs: DataFrame, *, target: Target = Target(), id_col: str = "doc_id", t
     shares = durable(source_tokens(counted))
     all_tokens, n_sources = shares.agg(F.sum("src_tokens"), F.count(F.lit(1))).first()
     shares = shares.withColumn("share", F.col("src_tokens") / F.lit(all_tokens or 1))
-    alpha = solve_exponent(shares, target)
+    alpha = solve_exponent(shares, target, (total_tokens / all_tokens) if total_tokens and all_tokens else 1.0)
     z = shares.agg(F.sum(F.pow("share", F.lit(alpha)))).first()[0] or 1.0
     size = F.lit(float(total_tokens if total_tokens is not None else all_tokens or 0))
     plan = shares.select(
