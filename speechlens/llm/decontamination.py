@@ -6,8 +6,9 @@ document is found to leak does not depend on other documents. The item is
 aligned with the text around each of its seeds (match +2, other word or gap -1)
 and taken as leaked where the local alignment reaches `threshold` of a perfect
 one, which paraphrased or edited copies do and chance does not. One seed is
-enough; a stretch is left unaligned only if the item's words in it, each as
-often as it stands in both, could not reach the threshold in any order. A copy
+enough; the text around it is aligned as far as an alignment of that score can
+span, and a stretch, or a whole text, is left unaligned only if the item's words in
+it, each as often as it stands in both, could not reach the threshold in any order. A copy
 edited so that no three consecutive words of the item are left is not found.
 
 This is one scan without a shuffle of texts. Items are dealt into blocks of
@@ -53,6 +54,11 @@ class Items:
     ids: list
     words: list
     counts: list  # (different words, how often) of each item
+    own_seeds: list  # of each item, sorted
+    flat: np.ndarray  # the different words of all items; item j has bounds[j]:bounds[j + 1]
+    often: np.ndarray
+    bounds: np.ndarray
+    lens: np.ndarray
     seeds: np.ndarray  # sorted
     starts: np.ndarray
     owners: np.ndarray
@@ -125,8 +131,12 @@ def _seeded(items: list[tuple]) -> Items:
     every = np.concatenate([np.zeros(0, dtype=U), *(s for _, _, s in items)])
     order = np.argsort(every, kind="stable")
     seeds, first = np.unique(every[order], return_index=True)
-    return Items([i for i, _, _ in items], [w for _, w, _ in items], [np.unique(w, return_counts=True) for _, w, _ in items],
-                 seeds, np.append(first, len(every)), np.repeat(np.arange(len(items)), lens)[order])
+    counts = [np.unique(w, return_counts=True) for _, w, _ in items]
+    none = np.zeros(0, dtype=np.int64)
+    return Items([i for i, _, _ in items], [w for _, w, _ in items], counts, [s for _, _, s in items],
+                 np.concatenate([none.astype(U), *(c[0] for c in counts)]), np.concatenate([none, *(c[1] for c in counts)]),
+                 np.concatenate([[0], np.cumsum([len(c[0]) for c in counts], dtype=np.int64)]),
+                 np.array([len(w) for _, w, _ in items], dtype=np.int64), seeds, np.append(first, len(every)), np.repeat(np.arange(len(items)), lens)[order])
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
@@ -152,6 +162,26 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
     return score, matches, int(j), end
 
 
+def _ranges(values: np.ndarray, starts: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """values[starts[i]:starts[i + 1]] of all `which` i, one after another."""
+    n = starts[which + 1] - starts[which]
+    return values[np.repeat(starts[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+
+def _possible(some: np.ndarray, text: np.ndarray, items: Items, threshold: float) -> np.ndarray:
+    """Those of `some` items whose words in the whole text could reach the threshold in
+    any order; for all of them at once, since very many may share a seed."""
+    if not len(some):
+        return some
+    have, often = np.unique(text, return_counts=True)
+    own, times = _ranges(items.flat, items.bounds, some), _ranges(items.often, items.bounds, some)
+    at = np.minimum(np.searchsorted(have, own), len(have) - 1)
+    shared = np.where(have[at] == own, np.minimum(often[at], times), 0)
+    ends = np.cumsum(items.bounds[some + 1] - items.bounds[some])
+    total = np.diff(np.concatenate([[0], np.cumsum(shared)[ends - 1]]))
+    return some[total >= threshold * items.lens[some]]
+
+
 def _most(counts: tuple[np.ndarray, np.ndarray], text: np.ndarray) -> int:
     """No alignment of the item with `text` scores more: its words that `text` holds, all matched."""
     own, times = counts
@@ -162,17 +192,14 @@ def _most(counts: tuple[np.ndarray, np.ndarray], text: np.ndarray) -> int:
 def _leaks_of(words: np.ndarray, at: np.ndarray, where: np.ndarray, items: Items, threshold: float) -> list[tuple]:
     """(item number, score, matches, start, end) of the best alignment of each
     leaked item with a text that holds the seeds `at` at the places `where`."""
-    # a row for every hit and item with that seed, by item and place
-    n = items.starts[at + 1] - items.starts[at]
-    inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    owner, place = items.owners[np.repeat(items.starts[at], n) + inner], np.repeat(where, n)
-    order = np.argsort(owner, kind="stable")
-    owner, place = owner[order], place[order]
-    firsts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else owner
+    owners = _ranges(items.owners, items.starts, np.unique(at))
     out = []
-    for j, places in zip(owner[firsts].tolist(), np.split(place, firsts[1:]), strict=False):
+    for j in _possible(np.unique(owners), words, items, threshold).tolist():
+        places = where[np.isin(items.seeds[at], items.own_seeds[j])]
         item, best = items.words[j], None
-        reach, least = len(item) + 4, threshold * MATCH * len(item)
+        # a match scores 2 and a word left out or put in costs 1, so an alignment that
+        # reaches the threshold spans at most so many words of the text
+        reach, least = WIDTH + int(np.ceil(len(item) * (1 + MATCH * (1 - threshold) / GAP))), threshold * MATCH * len(item)
         for group in np.split(places, np.flatnonzero(np.diff(places) > reach) + 1):
             lo, hi = max(0, int(group[0]) - reach), min(len(words), int(group[-1]) + WIDTH + reach)
             # a long stretch of hits is aligned in overlapping pieces

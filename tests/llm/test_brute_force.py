@@ -14,7 +14,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from speechlens.llm import decontamination, language_id, minhash, rp_forest, secret_scan, toxicity
+from speechlens.llm import decontamination, language_id, minhash, mixing, rp_forest, secret_scan, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -370,6 +370,62 @@ def test_decontamination_with_a_common_half(spark):
     assert {r["doc_id"] for r in decontamination.decontaminate(docs, bench).collect()} == {d for d, _ in rows} - {d for d, _ in want}
 
 
+def test_spread_out_copies_are_found_whole(spark):
+    """One word put in after each word but the first three: the alignment spans
+    twice the item, and its score is the whole Smith-Waterman score."""
+    rng = random.Random(21)
+    items = [[f"i{n}w{rng.randrange(10**6)}" for _ in range(n)] for n in (30, 60, 100, 200)]
+    texts = []
+    for w in items:
+        spread = w[:3] + [x for y in w[3:] for x in (y, f"x{rng.randrange(10**6)}")]
+        texts.append(" ".join([f"a{rng.randrange(10**6)}" for _ in range(300)] + spread + [f"b{rng.randrange(10**6)}" for _ in range(300)]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontamination.leaks(docs, bench).collect()}
+    want = {(i, i): smith_waterman(w, texts[i].split()) / (2 * len(w)) for i, w in enumerate(items)}
+    assert all(v >= 0.5 for v in want.values()) and got == pytest.approx(want)
+
+
+def test_random_edits_score_as_brute_force(spark):
+    rng = random.Random(22)
+    items = [[f"w{rng.randrange(300)}" for _ in range(rng.randrange(8, 50))] for _ in range(25)]
+    texts = []
+    for w in items * 3:
+        copy = []
+        for x in w:
+            copy += rng.choice([[x]] * 6 + [[], [f"w{rng.randrange(300)}"], [x, f"w{rng.randrange(300)}"]])
+        texts.append([f"w{rng.randrange(300)}" for _ in range(60)] + copy + [f"w{rng.randrange(300)}" for _ in range(60)])
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontamination.leaks(docs, bench).collect()}
+    seeds = [{tuple(w[k:k + 3]) for k in range(len(w) - 2)} for w in items]
+    want = {}
+    for i, t in enumerate(texts):
+        held = {tuple(t[k:k + 3]) for k in range(len(t) - 2)}
+        for j, w in enumerate(items):
+            if held & seeds[j] and (score := smith_waterman(w, t) / (2 * len(w))) >= 0.4:
+                want[i, j] = score
+    assert got == pytest.approx(want) and len(want) > 50
+
+
+def test_a_seed_that_all_items_share():
+    """Templated items: a text that repeats their opening is turned away for all of
+    them at once, in time that grows with items and places, not their product."""
+    import time
+
+    opening, took = "which of the following is".split(), []
+    for n in (2000, 8000):
+        rows = [(i, " ".join(opening + [f"q{i}x{k}" for k in range(15)])) for i in range(n)]
+        items = decontamination._seeded(decontamination._read_items(rows))
+        column = decontamination.pa.array([" ".join(opening * (n // 10) + ["end"])])
+        batch = decontamination.pa.RecordBatch.from_arrays([column], names=["text"])
+        began = time.perf_counter()
+        for _, words, at, where in decontamination._texts(batch, 0, items):
+            assert decontamination._leaks_of(words, at, where, items, 0.4) == []
+        took.append(time.perf_counter() - began)
+    assert took[1] < 2
+
+
 def test_decontamination_query(spark, texts):
     norm = lambda t: b" " + b" ".join(re.findall(rb"[a-z0-9\x80-\xff]+", t.encode().lower())) + b" "
     own = {i: norm(t) for i, t in texts.items()}
@@ -384,6 +440,31 @@ def test_mixing_query(spark):
     assert rows == sorted(con.execute(entry.oracle_sql()["op10_mixing"]).fetchall())
 
 
+def test_mixing_keeps_its_limit_in_a_mix_of_any_size(spark):
+    rows = [(i, "w " * (1 + i % 3), "abc"[min(i % 10, 2)]) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    tokens = collections.Counter()
+    for _, t, src in rows:
+        tokens[src] += len(t.split())
+    corpus = sum(tokens.values())
+    for times, limit in ((0.5, 1.2), (1, 1.2), (3, 3.3), (3, 3.0)):
+        out = mixing.mix(docs, target=mixing.Target(max_repetition=limit), total_tokens=int(times * corpus), block_tokens=200).collect()
+        drawn = collections.Counter()
+        for r in out:
+            drawn[r["source"]] += r["n_tokens"]
+        assert all(drawn[src] <= limit * tokens[src] + 60 for src in tokens)
+        assert abs(sum(drawn.values()) - times * corpus) < 0.05 * corpus + 60
+    with pytest.raises(ValueError, match="no exponent"):
+        mixing.mix(docs, target=mixing.Target(max_repetition=1.2), total_tokens=3 * corpus)
+    flat = mixing.mix(docs, target=mixing.Target(max_repetition=None, entropy=0.6)).first()
+    share = [n / corpus for n in tokens.values()]
+    weights = [x ** flat["alpha"] for x in share]
+    weights = [w / sum(weights) for w in weights]
+    assert -sum(w * math.log(w) for w in weights) <= 0.6 * math.log(3) + 1e-4
+    with pytest.raises(ValueError, match="no exponent"):
+        mixing.mix(docs, target=mixing.Target(max_repetition=None, entropy=0.01))
+
+
 def test_pipeline_by_stages(spark, texts):
     """Each stage against plain Python on what its predecessor kept."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
