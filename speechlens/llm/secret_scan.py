@@ -19,7 +19,8 @@ The two p-values are combined by Fisher's method; Benjamini-Hochberg at rate
 (weakly tested, many) runs do not spend the error budget of the long ones.
 
 Positions without user code: the pieces between matches and the matches
-alternate, so running sums of their lengths are the spans.
+alternate, so running sums of their lengths are the spans. Matches are rows, and sums
+and overlaps are windows over a text's rows, so a text's work is in proportion to it.
 
 Defined cases: null texts count as empty (no spans, the digest of the empty
 text); repeated rows are scanned each; an empty table gives an empty result.
@@ -27,10 +28,10 @@ text); repeated rows are scanned each; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import durable, written
 
 # The three base patterns, their kinds in order and least lengths.
 ASSIGN = (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -54,29 +55,40 @@ STRATA = (24, 32, 48, 96)
 SCALE, TOP = 10, 300  # histogram of -log10 p: ten bins a decade, 30 decades
 
 
-def _spans(text: Column, pattern: str, kind: str, ok=None, group: int | None = None) -> Column:
-    """array<struct<start, kind_no, end, token>> of the matches of `pattern`."""
+def _matches(text: Column, pattern: str, kind: str, group: int | None = None) -> Column:
+    """array<struct<kind_no, place, gap, token, value>> of the matches of `pattern` in
+    order, each with the length of the text between it and the one before; a last
+    element, without token, is what follows them."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = found if group is None else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x).cast("long"))
-    lens = F.transform(found, lambda x: F.length(x).cast("long"))
-    # start of match i: all gaps up to i and all matches before it
-    starts = F.aggregate(
-        F.sequence(F.lit(0), F.size(lens) - 1),
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("out")),
-        lambda acc, i: F.struct(
-            (acc["at"] + F.get(gaps, i) + F.get(lens, i)).alias("at"),
-            F.concat(acc["out"], F.array(acc["at"] + F.get(gaps, i))).alias("out")),
-        lambda acc: acc["out"])
-    rows = F.zip_with(F.arrays_zip(starts.alias("s"), lens.alias("n")), F.arrays_zip(found.alias("t"), value.alias("v")),
-                      lambda a, b: F.struct(a["s"].alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"),
-                                            (a["s"] + a["n"]).alias("end"), b["t"].alias("token"),
-                                            b["v"].alias("value")))
-    rows = F.filter(rows, ok) if ok is not None else rows
-    none = F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint,token:string,value:string>>")
+    pieces = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("token"), value.alias("value"))
+    rows = F.transform(pieces, lambda x, i: F.struct(
+        F.lit(KINDS.index(kind)).alias("kind_no"), i.alias("place"), F.length(x["gap"]).cast("long").alias("gap"),
+        x["token"].alias("token"), x["value"].alias("value")))
+    none = F.array().cast("array<struct<kind_no:int,place:int,gap:bigint,token:string,value:string>>")
     return F.when(text.rlike(pattern), rows).otherwise(none)
 
 
+def _placed(matches: DataFrame) -> DataFrame:
+    """(row, start, kind_no, end, token, value) of all matches: running sums of the
+    lengths of gaps and matches are the places."""
+    n = F.length("token").cast("long")
+    run = Window.partitionBy("row", "kind_no").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    return matches.where("token IS NOT NULL").withColumn("end", F.sum(F.col("gap") + n).over(run)).select(
+        "row", (F.col("end") - n).alias("start"), "kind_no", "end", "token", "value")
+
+
+def _apart(spans: DataFrame) -> DataFrame:
+    """The random runs among the spans that touch no base span: none that starts
+    before or with the run reaches into it, and the next one starts after its end."""
+    base = F.col("kind_no") != KINDS.index("random")
+    line = Window.partitionBy("row").orderBy("start")
+    reach = F.max(F.when(base, F.col("end"))).over(line.rangeBetween(Window.unboundedPreceding, 0))
+    following = F.min(F.when(base, F.col("start"))).over(line.rangeBetween(1, Window.unboundedFollowing))
+    return spans.withColumn("_reach", reach).withColumn("_next", following).where(~base).where(
+        "coalesce(_reach <= start, true) AND coalesce(_next >= end, true)").drop("_reach", "_next")
+
+
 def _joined(spans: Column) -> Column:
     name = F.array(*(F.lit(k) for k in KINDS))
     return F.array_join(F.transform(F.array_sort(spans), lambda x: F.concat_ws(
@@ -156,28 +168,27 @@ def discoveries(tested: DataFrame, fdr: float) -> DataFrame:
 def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fdr: float = 0.01) -> DataFrame:
     """One row per row of `docs`: its id, n_assign, n_access, n_hex, n_random,
     base_sha256, spans (text) and found (array of start, end, kind, token)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("_s_id"), text.alias("_s_text"))
-    assign = _spans(F.col("_s_text"), ASSIGN, "assign", lambda x: F.length(x["value"]) >= ASSIGN_LEAST, 2)
-    access = _spans(F.col("_s_text"), ACCESS, "access", lambda x: F.length(x["token"]) >= ACCESS_LEAST)
-    hexes = _spans(F.col("_s_text"), HEX, "hex")
-    base = rows.select("_s_id", F.concat(assign, access, hexes).alias("_s_base"),
-                       _spans(F.col("_s_text"), RUN, "random").alias("_s_runs"))
-    base = base.withColumn("_s_runs", F.filter("_s_runs", lambda r: ~F.exists("_s_base", lambda b: (
-        b["start"] < r["end"]) & (r["start"] < b["end"]))))
-    # only spans are written, never texts
-    base = written(base.withColumn("_s_row", F.monotonically_increasing_id()), "secret-spans")
-    runs = base.where(F.size("_s_runs") > 0).select("_s_row", F.explode("_s_runs").alias("r")).select("_s_row", "r.*")
-    extra = discoveries(randomness(runs), fdr).groupBy("_s_row").agg(F.collect_list(
-        F.struct("start", "kind_no", "end", "token", "value")).alias("_s_extra"))
-    none = F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint,token:string,value:string>>")
-    out = base.drop("_s_runs").join(extra, "_s_row", "left")
-    every = F.array_sort(F.concat("_s_base", F.coalesce("_s_extra", none)))
-    count = lambda k: F.size(F.filter("_s_base", lambda x: x["kind_no"] == k)).cast("long")
+    text = F.col("text")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    every = F.concat(_matches(text, ASSIGN, "assign", 2), _matches(text, ACCESS, "access"), _matches(text, HEX, "hex"),
+                     _matches(text, RUN, "random"))
+    # only matches are written, never texts; a text without any has one line
+    cut = written(rows.select("row", "id", F.explode_outer(every).alias("m")).select("row", "id", "m.*"), "secret-spans")
+    long_enough = (F.col("kind_no") != 0) | (F.length("value") >= ASSIGN_LEAST)
+    long_enough = long_enough & ((F.col("kind_no") != 1) | (F.length("token") >= ACCESS_LEAST))
+    spans = durable(_placed(cut).where(long_enough))
+    found = spans.where(F.col("kind_no") != KINDS.index("random")).unionByName(
+        discoveries(randomness(_apart(spans)), fdr).select(*spans.columns))
+    per = found.groupBy("row").agg(F.array_sort(F.collect_list(
+        F.struct("start", "kind_no", "end", "token", "value"))).alias("found"))
+    out = cut.select("row", "id").distinct().join(per, "row", "left").withColumn(
+        "found", F.coalesce("found", F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint,token:string,value:string>>")))
+    base = F.filter("found", lambda x: x["kind_no"] != KINDS.index("random"))
+    count = lambda k: F.size(F.filter("found", lambda x: x["kind_no"] == k)).cast("long")
     name = F.array(*(F.lit(k) for k in KINDS))
     return out.select(
-        F.col("_s_id").alias(id_col), count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
-        F.size(F.coalesce("_s_extra", none)).cast("long").alias("n_random"),
-        F.sha2(_joined(F.col("_s_base")), 256).alias("base_sha256"), _joined(every).alias("spans"),
-        F.transform(every, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.get(
+        F.col("id").alias(id_col), count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        count(3).alias("n_random"), F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"),
+        F.transform("found", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.get(
             name, x["kind_no"]).alias("kind"), x["token"].alias("token"))).alias("found"))

@@ -215,6 +215,26 @@ def test_secrets_query(spark, texts):
         assert set(names) <= set(r["spans"].split(",")) | {""}
 
 
+def test_secrets_of_a_text_with_thousands_of_runs(spark):
+    """Spans of 8,000 runs and 2,000 assignments in one text, at their exact places."""
+    rng = random.Random(31)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    words, want, at = [], [], 0
+    for i in range(10_000):
+        if i % 5 == 0:
+            word = f"token={''.join(rng.choices(letters, k=30))}"
+            want.append(f"assign:{at}:{at + len(word)}")
+        else:
+            word = "".join(rng.choices(letters, k=26))
+        words.append(word)
+        at += len(word) + 1
+    row = secret_scan.scan_secrets(spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")).first()
+    assert row["n_assign"] == 2000 and row["n_random"] >= 7900
+    assert [x for x in row["spans"].split(",") if x.startswith("assign")] == want
+    text = " ".join(words)
+    assert all(text[x["start"]:x["end"]] == x["token"] for x in row["found"])
+
+
 def test_secret_battery_separates_random_from_ordinary(spark):
     rng = random.Random(7)
     chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
