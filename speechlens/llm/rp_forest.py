@@ -262,7 +262,8 @@ def _compare(table: pa.Table) -> pa.Table:
 
 
 def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """One row per vector id: id, n_links, component_id, kept."""
+    """One row per row of `vectors`: id, n_links, component_id, kept. Rows that share
+    an id are one vector, those without one link with nothing."""
     kind = "float" if dict(vectors.dtypes)[vector_col] == "array<float>" else "double"
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(f"array<{kind}>").alias("v"))
     usable = F.col("id").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (
@@ -293,12 +294,17 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
             "side": F.col("block"), "cross": F.col("block") != F.col("other")})
     found = durable(placed.groupBy("d", "leaf", "x", "y").applyInArrow(_compare, "rep long, links long, root long"))
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    comp = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    # different vectors of one id hang together
+    held = ids.where("ok").join(classes.select("k1", "k2", "rep"), ["k1", "k2"]).select("id", "rep")
+    several = held.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z").select("id", "a")
+    same_id = held.join(several, "id").select("a", F.col("rep").alias("b"))
+    comp = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")).union(same_id))
     per_class = classes.join(links, "rep", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
         "k1", "k2", (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         F.coalesce("component", "rep").alias("component_id"))
-    return ids.join(per_class, ["k1", "k2"], "left").groupBy("id").agg(
+    of_id = ids.where("id IS NOT NULL").join(per_class, ["k1", "k2"], "left").groupBy("id").agg(
         F.max(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"),
-        F.min(F.coalesce("component_id", "id")).alias("component_id")).select(
-        F.col("id").alias(id_col), "n_links", "component_id",
+        F.min(F.coalesce("component_id", "id")).alias("component_id"))
+    return v.select("id").join(of_id, "id", "left").select(
+        F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "component_id",
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -94,6 +94,15 @@ def test_forest(spark):
     for i in (3, 4, 5, 6, 7, 8, 10):
         assert out[i] == (0, i, True)
     assert out[None] == (0, None, True)
+    # a row for each row: repeated ids, and rows without one
+    more = rows + [(None, [0.0, 1.0], "l"), (9, [0.0, 1.0], "m"), (11, [0.0, 2.0], "n")]
+    again = [tuple(r) for r in rp_forest.near_duplicates(spark.createDataFrame(
+        more, "vec_id long, embedding array<double>, rep string")).collect()]
+    assert len(again) == len(more) and again.count((None, 0, None, True)) == 2
+    nine = [r for r in again if r[0] == 9]
+    assert len(nine) == 3 and len(set(nine)) == 1
+    # the second vector of 9 links 11, which so hangs with 1
+    assert (11, 1, 1, False) in again
     assert rp_forest.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
