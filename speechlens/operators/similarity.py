@@ -32,6 +32,8 @@ SIMILARITY_THRESHOLD = 0.6
 TOP_PAIRS = 10
 # dense cells (members x terms) of one block; two blocks per task
 BLOCK_CELLS = 4_000_000
+# members of a block below which more blocks only mean more copies of vectors
+LEAST_BLOCK = 64
 # slack kept around the k-th local score so rounding cannot change the top k
 _RANK_SLACK = 1e-6
 
@@ -102,9 +104,11 @@ def similar_pairs(vectors: DataFrame, k: int | None = TOP_PAIRS,
         return vectors.sparkSession.createDataFrame([], PAIR_SCHEMA)
     n_terms = int(stats["t"]) + 1
     per_block = max(1, min(n_members, BLOCK_CELLS // max(1, n_terms)))
-    # blocks that fit in memory, and at least as many block pairs as cores
+    # blocks that fit in memory, and as many block pairs as cores while a block has
+    # enough members to be worth its copies
     cores = vectors.sparkSession.sparkContext.defaultParallelism
-    n_blocks = n_blocks or max(int(math.ceil(n_members / per_block)), int(math.ceil(math.sqrt(2 * cores))))
+    wanted = min(int(math.ceil(math.sqrt(2 * cores))), int(math.ceil(n_members / LEAST_BLOCK)))
+    n_blocks = n_blocks or max(int(math.ceil(n_members / per_block)), wanted)
     # members are hashed into blocks; each unordered pair of members meets in
     # exactly one block pair (min(block), max(block))
     rows = unit.withColumn("block", F.pmod(F.xxhash64("member_name"), F.lit(n_blocks)).cast("int"))

@@ -12,7 +12,7 @@ in the reference's 100 power iterations). One pass is one Spark job:
 
 * rows of A are packed once per document (a bounded list: at most the
   vocabulary size) and checkpointed to the shared folder;
-* `mapInPandas` computes, per partition, ``sum_d a_d^T (a_d Q)`` — a
+* `mapInArrow` computes, per partition, ``sum_d a_d^T (a_d Q)`` — a
   (terms x l) partial — with numpy over Arrow batches;
 * partials are summed by a grouped aggregate on `term_id`; only
   (terms x l) numbers reach the driver, where the orthogonalisation and the
@@ -27,7 +27,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -75,31 +75,24 @@ def _gram_pass(rows: DataFrame, q: np.ndarray) -> np.ndarray:
         qm = bq.value
         acc = np.zeros_like(qm)
         touched = np.zeros(qm.shape[0], dtype=bool)
-        for pdf in batches:
-            if len(pdf) == 0:
+        for batch in batches:
+            # a document's entries are contiguous in the flat lists
+            lens = batch.column(1).value_lengths().fill_null(0).to_numpy()
+            if not lens.sum():
                 continue
-            lens = pdf["term_ids"].map(len).to_numpy()
-            if lens.sum() == 0:
-                continue
-            t = np.concatenate(pdf["term_ids"].to_numpy()).astype(np.int64)
-            w = np.concatenate(pdf["values"].to_numpy()).astype(np.float64)
-            doc = np.repeat(np.arange(len(pdf)), lens)
-            wq = w[:, None] * qm[t]                     # entries x l
-            # a document's entries are contiguous: segment sums give y_d = a_d Q
-            starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
-            nz = lens > 0
-            y = np.zeros((len(pdf), qm.shape[1]))
-            y[nz] = np.add.reduceat(wq, starts[nz], axis=0)
-            contrib = w[:, None] * y[doc]                # entries x l
+            t = batch.column(1).flatten().to_numpy().astype(np.int64)
+            w = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            starts = np.cumsum(lens)[lens > 0] - lens[lens > 0]
+            y = np.add.reduceat(w[:, None] * qm[t], starts, axis=0)      # y_d = a_d Q
+            contrib = w[:, None] * np.repeat(y, lens[lens > 0], axis=0)  # entries x l
             for j in range(qm.shape[1]):
                 acc[:, j] += np.bincount(t, weights=contrib[:, j], minlength=qm.shape[0])
             touched[t] = True
         idx = np.nonzero(touched)[0]
-        out = pd.DataFrame(acc[idx], columns=cols)
-        out.insert(0, "term_id", idx.astype(np.int32))
-        yield out
+        yield pa.RecordBatch.from_arrays([pa.array(idx.astype(np.int32)), *(pa.array(acc[idx, j]) for j in range(len(cols)))],
+                                         names=["term_id", *cols])
 
-    partial = rows.mapInPandas(part, schema)
+    partial = rows.mapInArrow(part, schema)
     z = np.zeros_like(q)
     summed = partial.groupBy("term_id").agg(*[F.sum(c).alias(c) for c in cols]).toPandas()
     z[summed["term_id"].to_numpy()] = summed[cols].to_numpy()
