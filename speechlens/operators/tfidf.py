@@ -89,18 +89,19 @@ def text_term_counts(texts: DataFrame, id_col: str, text_col: str,
 
 def term_frequencies(docs: DataFrame, opts: TextOptions | None = None, *,
                      id_col: str = "doc_id", text_col: str = "speech",
-                     num_partitions: int | None = None, parts: bool = False) -> DataFrame:
+                     num_partitions: int | None = None, parts: bool = False, clustered: bool = False) -> DataFrame:
     """(doc_id, term, tf) for every term of every document.
 
     One row per document: rows are hash-partitioned by doc_id before
-    tokenising, and everything after stays in place. Several rows per
+    tokenising, and everything after stays in place; documents that are read from
+    a store bucketed by doc_id (`clustered`) are so already, and no text moves. Several rows per
     document (`parts=True`, e.g. the speeches of a consolidated group):
     rows are tokenised where they are and the counts are combined by a
     partially aggregated shuffle on (doc_id, term), so a document holding a
     third of all text is still spread over all tasks."""
     opts = opts or default_options()
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    if not parts:
+    if not parts and not clustered:
         src = src.repartition(num_partitions or partitions_for(src), "doc_id")
     terms = doc_terms(src, "doc_id", "text", opts)
     return terms.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -180,7 +181,7 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
               max_df: float | int = 0.9, max_features: int | None = 6000,
               options: TextOptions | None = None, path: str | None = None,
               num_partitions: int | None = None, parts: bool = False,
-              n_docs: int | None = None) -> TfidfModel:
+              n_docs: int | None = None, clustered: int = 0) -> TfidfModel:
     """Fit the model on `docs` and weigh every document.
 
     With `path`, the model, the document weights and the postings are
@@ -188,7 +189,8 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
     persisted in executor memory/disk for this session. `parts=True` takes
     several text rows per document (see `term_frequencies`); `n_docs` then
     defaults to the number of distinct ids (pass the group count to include
-    groups without any text).
+    groups without any text). `clustered` is the number of buckets by doc_id that
+    `docs` is read from (a document store's), which spares the shuffle of texts.
     """
     spark = docs.sparkSession
     opts = options or default_options()
@@ -202,8 +204,8 @@ def fit_tfidf(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "speec
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("speech"))
     if n_docs is None:
         n_docs = src.select("doc_id").distinct().count() if parts else src.count()
-    n_text = num_partitions or partitions_for(src)
-    tf = term_frequencies(src, opts, num_partitions=n_text, parts=parts).persist(
+    n_text = clustered or num_partitions or partitions_for(src)
+    tf = term_frequencies(src, opts, num_partitions=n_text, parts=parts, clustered=bool(clustered)).persist(
         StorageLevel.MEMORY_AND_DISK)
     return fit_from_counts(tf, term_statistics(tf), n_docs, max_df=max_df, max_features=max_features, options=opts,
                            path=path, num_partitions=num_partitions, n_buckets=0 if parts else n_text, parts=parts)

@@ -623,6 +623,14 @@ def tfidf_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.rounded_weights(R.refreshed_model(corpus).weights).select("doc_id", "term", "term_id", "tf", "weight")
 
 
+@register
+def tfidf_from_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights fitted on a store of documents bucketed by id: texts are counted where they lie."""
+    ws = _ws(spark, sf_dir)
+    m = T.fit_tfidf(ws.store(), path=scratch_path(spark, "model"), clustered=DS.store_buckets(spark, ws.artifact_path("store")))
+    return T.rounded_weights(m.weights).select("doc_id", "term", "term_id", "tf", "weight")
+
+
 @register
 def pair_graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adjacency of the graph of the 10 most similar pairs, both directions."""

@@ -37,6 +37,11 @@ def write_store(docs: DataFrame, path: str, n_buckets: int | None = None) -> Dat
     return open_store(spark, path)
 
 
+def store_buckets(spark: SparkSession, path: str) -> int:
+    """The number of buckets of the store under `path`."""
+    return int(spark.read.parquet(f"{path}-meta").first()["n"])
+
+
 def open_store(spark: SparkSession, path: str) -> DataFrame:
     """The store under `path`, in any session."""
     import json

@@ -153,6 +153,8 @@ SELECT doc_id, term, term_id, tf, round(weight, {D}) AS weight FROM weights"""
 
 ORACLE["tfidf_refreshed"] = ORACLE["tfidf_weights"]
 
+ORACLE["tfidf_from_store"] = ORACLE["tfidf_weights"]
+
 ORACLE["vocabulary_small"] = f"""WITH {model_ctes(0.3, 500)}
 SELECT term, term_id, df, cf FROM vocab"""
 

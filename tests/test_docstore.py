@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from speechlens.operators import consolidate as C
+from speechlens.operators import tfidf as T
 from speechlens.sources import docstore as DS
 
 
@@ -65,6 +66,12 @@ def test_many_ids_do_not_move_the_texts(spark, store, monkeypatch):
     assert got.count() == 2500 and "Exchange hashpartitioning" not in plan(got)
 
 
+def test_a_fit_on_the_store_moves_no_text(spark, store):
+    tf = T.term_frequencies(store, num_partitions=64, clustered=True)
+    assert "Exchange" not in plan(tf)
+    assert "Exchange hashpartitioning(doc_id" in plan(T.term_frequencies(store.where("doc_id >= 0"), num_partitions=63))
+
+
 def test_opened_again_in_a_session_that_does_not_know_it(spark, docs, tmp_path):
     path = str(tmp_path / "store")
     DS.write_store(docs, path, n_buckets=8)
