@@ -175,21 +175,38 @@ def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, *, ridge: float = 1e-3,
     return w
 
 
+def _numbered(text: bytes, number: dict[bytes, int]) -> np.ndarray:
+    """The numbers of the different words of a text's sentences that can be scored."""
+    own = {w for s in re.split(rb"(?<=[.!?])\s+|\n+", text) for w in words_of(s) if ORDER <= len(w) <= LONGEST}
+    return np.array([number.setdefault(w, len(number)) for w in sorted(own)], dtype=np.int32)
+
+
+def _margins_of(bags: list[np.ndarray], words: list[bytes], table: np.ndarray, bias: float) -> np.ndarray:
+    """The margin of every word in the bags, by its number; NONE for the others."""
+    out, some = np.full(len(words), NONE), np.unique(np.concatenate([np.zeros(0, np.int32), *bags]))
+    out[some] = margins([words[i] for i in some], table, bias)
+    return out
+
+
 def fit_words(texts: list[tuple[bytes, int]], *, n_landmarks: int = 256, rounds: int = 4, seed: int = 11) -> ToxicityModel | None:
     """Fit on (text, toxic) pairs; None without texts of both classes."""
     rng = np.random.default_rng(seed)
-    bags = [[{w for w in words_of(s) if ORDER <= len(w) <= LONGEST} for s in re.split(rb"(?<=[.!?])\s+|\n+", t)] for t, _ in texts]
+    # a text is an array of the numbers of its different words, in the words' order
+    number: dict[bytes, int] = {}
+    bags = [_numbered(t, number) for t, _ in texts]
+    words = list(number)
     y = np.array([v for _, v in texts])
     apart = np.arange(len(texts)) % 4 == 3 if len(texts) >= 40 else np.zeros(len(texts), bool)
     toxic = [b for b, v, a in zip(bags, y, apart, strict=True) if v == 1 and not a]
-    clean = Counter(w for b, v, a in zip(bags, y, apart, strict=True) if v == 0 and not a for w in set().union(*b))
-    dirty = Counter(w for b in toxic for w in set().union(*b))
-    if not dirty or not clean:
+    count = lambda some: np.bincount(np.concatenate([np.zeros(0, np.int32), *some]), minlength=len(words))
+    clean = count([b for b, v, a in zip(bags, y, apart, strict=True) if v == 0 and not a])
+    dirty = count(toxic)
+    if not dirty.any() or not clean.any():
         return None
-    clean_words = sorted(clean)
+    clean_words = sorted(words[i] for i in np.flatnonzero(clean))
     # first witnesses: the word of each toxic text whose share of toxic texts is highest
-    odds = {w: (n / len(toxic)) / (clean[w] / max(sum((y == 0) & ~apart), 1) + 1 / len(texts)) for w, n in dirty.items()}
-    witness = [max(sorted(set().union(*b)), key=odds.get) for b in toxic if any(b)]
+    odds = (dirty / len(toxic)) / (clean / max(sum((y == 0) & ~apart), 1) + 1 / len(texts))
+    witness = [words[b[np.argmax(odds[b])]] for b in toxic if len(b)]
     hard = [clean_words[i] for i in rng.permutation(len(clean_words))[:3000]]
     model = None
     for k in range(rounds):
@@ -211,16 +228,17 @@ def fit_words(texts: list[tuple[bytes, int]], *, n_landmarks: int = 256, rounds:
         table[column >= 0] = (m @ (root @ w[:-1]).astype(np.float32))[column[column >= 0]]
         model = ToxicityModel(table, float(w[-1]), 1.0, 0.0, tuple(landmarks))
         if k + 1 < rounds:
-            every = sorted(dirty)
-            margin = dict(zip(every, margins(every, table, model.bias), strict=True))
-            # the sentence with the highest word carries a toxic text's label
-            witness = [max((max(sorted(s), key=margin.get) for s in b if s), key=margin.get) for b in toxic if any(b)]
+            # the highest word carries a toxic text's label
+            margin = _margins_of(toxic, words, table, model.bias)
+            witness = [words[b[np.argmax(margin[b])]] for b in toxic if len(b)]
             scores = margins(clean_words, table, model.bias)
             worst = [clean_words[i] for i in np.argsort(-scores, kind="stable")[:2500]]
             hard = list(dict.fromkeys(worst + hard))[:6000]
     assert model is not None
     used = apart if apart.any() else ~apart
-    top = np.array([max([NONE, *margins(sorted(set().union(*b)), model.table, model.bias)]) for b, u in zip(bags, used, strict=True) if u])
+    held = [b for b, u in zip(bags, used, strict=True) if u]
+    margin = _margins_of(held, words, model.table, model.bias)
+    top = np.array([max(NONE, margin[b].max(initial=NONE)) for b in held])
     slope, offset = _platt(top, y[used])
     return ToxicityModel(model.table, model.bias, slope, offset, model.landmarks)
 
