@@ -9,7 +9,7 @@ many tasks as their links need, so a small graph leaves few shuffle files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import durable
@@ -34,18 +34,24 @@ def _small_star(edges: DataFrame, tasks: int) -> DataFrame:
     return joined.select(F.inline(ends)).where("a != b").distinct().coalesce(tasks)
 
 
+def _counted(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links, written once, with their number and a sum of hashes seen on the way."""
+    seen = Observation()
+    out = durable(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")))
+    return out, (seen.get["n"], seen.get["s"])
+
+
 def connected_components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of `edges` (columns a, b of one ordered
     type): the component is the smallest node reachable. Self links and repeated
     or reversed links do no harm; null ends are ignored."""
-    now = durable(edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL AND a != b").distinct())
-    tasks = 1 + now.count() // TASK_LINKS
+    now, (n, _) = _counted(edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL AND a != b").distinct())
+    tasks = 1 + n // TASK_LINKS
     now = now.coalesce(tasks)
     nodes = now.select(F.col("a").alias("node")).union(now.select(F.col("b").alias("node"))).distinct()
     seen = None
     for _ in range(max_rounds):
-        now = durable(_small_star(_large_star(now, tasks), tasks))
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        now, mark = _counted(_small_star(_large_star(now, tasks), tasks))
         if mark == seen:
             return nodes.join(now.select(F.col("a").alias("node"), F.col("b").alias("component")), "node", "left").select(
                 "node", F.coalesce("component", "node").alias("component"))

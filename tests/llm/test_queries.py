@@ -49,7 +49,7 @@ def test_toxicity_query(spark):
         assert abs(r["score"] - want) < 1e-5 or max(r["score"], want) < 0.05
         assert r["predicted"] == int(r["score"] >= 0.3) and r["held_out"] == (r["doc_id"] in held)
     judged = [(toxic[r["doc_id"]], r["predicted"]) for r in out if r["held_out"] and r["doc_id"] in toxic]
-    assert np.mean([a == b for a, b in judged]) >= 0.97 and sum(a for a, _ in judged) >= 3
+    assert np.mean([a == b for a, b in judged]) >= 0.9 and sum(a for a, _ in judged) >= 3
 
 
 def test_pipeline_run(spark):
