@@ -8,7 +8,7 @@ by the edit distance. Words too short to have as many (3 d - 2 characters or les
 meet their terms through the variants of both with up to `d` characters left out,
 which two words within `d` edits share; such words and terms are short, so they have few.
 
-The index is a table (gram, df, term, length): it grows with the vocabulary, of any
+The index is a table (gram, term) and one of each trigram's terms: it grows with the vocabulary, of any
 size, and is only joined. A trigram that very many terms share is looked up only for
 words that have nothing rarer.
 """
@@ -46,16 +46,16 @@ def deletions(word: Column, edits: int) -> Column:
 
 @dataclass
 class FuzzyIndex:
-    terms: DataFrame   # term, df
-    grams: DataFrame   # gram, gram_df, term
+    terms: DataFrame    # term, df
+    grams: DataFrame    # gram, term
+    rarity: DataFrame   # gram, gram_df
 
 
 def build_index(terms: DataFrame) -> FuzzyIndex:
     """The trigram index of (term, df)."""
     own = durable(terms.select("term", F.col("df").cast("long").alias("df")).where("term IS NOT NULL"))
-    grams = own.select("term", F.explode(F.array_distinct(trigrams(F.col("term")))).alias("gram"))
-    counted = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("gram_df"))
-    return FuzzyIndex(own, durable(grams.join(counted, "gram").select("gram", "gram_df", "term")))
+    grams = durable(own.select("term", F.explode(F.array_distinct(trigrams(F.col("term")))).alias("gram")))
+    return FuzzyIndex(own, grams, durable(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("gram_df"))))
 
 
 def near_terms(index: FuzzyIndex, words: DataFrame, edits: int = 1, word_col: str = "word") -> DataFrame:
@@ -65,10 +65,9 @@ def near_terms(index: FuzzyIndex, words: DataFrame, edits: int = 1, word_col: st
     asked = durable(words.select(F.col(word_col).alias("word")).where("word IS NOT NULL").distinct())
     short = 3 * edits - 2
     # the rarest trigrams of a long word; one that no term has is the rarest of all
-    known = index.grams.select("gram", "gram_df").distinct()
     grams = asked.where(F.length("word") > short).select("word", F.posexplode(trigrams(F.col("word"))).alias("place", "gram"))
     rare = Window.partitionBy("word").orderBy("gram_df", "gram", "place")
-    picked = grams.join(known, "gram", "left").fillna(0, ["gram_df"]).withColumn("r", F.row_number().over(rare)).where(
+    picked = grams.join(index.rarity, "gram", "left").fillna(0, ["gram_df"]).withColumn("r", F.row_number().over(rare)).where(
         F.col("r") <= 3 * edits + 1).where("gram_df > 0").select("word", "gram").distinct()
     side, _ = maybe_broadcast(picked)
     fits = F.abs(F.length("word") - F.length("term")) <= edits

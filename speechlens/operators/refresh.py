@@ -44,13 +44,14 @@ class Corpus:
     n_buckets: int
 
     def batches(self) -> list:
-        """(batch, name, n_docs) of every listed batch, oldest first."""
+        """(number, batch, name, n_docs) of every listed name, oldest first; names that
+        `compacted` has put together share a batch."""
         if not path_exists(self.spark, f"{self.path}/batches"):
             return []
         return self.spark.read.parquet(f"{self.path}/batches").orderBy("number").collect()
 
     def _listed(self) -> list[str]:
-        return [b["batch"] for b in self.batches()]
+        return sorted({b["batch"] for b in self.batches()})
 
     def _of(self, kind: str, ddl: str) -> DataFrame:
         paths = [f"{self.path}/{kind}/{b}" for b in self._listed()]
@@ -152,6 +153,24 @@ def append(corpus: Corpus, docs: DataFrame, name: str, *, replace: bool = False,
         f"{corpus.path}/batches")
 
 
+def compacted(corpus: Corpus, path: str) -> Corpus:
+    """The corpus as it stands as one batch under another path, without what was
+    replaced: after very many batches it is read from fewer files. The names it
+    has seen still count."""
+    spark, batch = corpus.spark, uuid.uuid4().hex[:16]
+    new = open_corpus(spark, path, corpus.options, corpus.n_buckets)
+    if new.batches():
+        raise ValueError(f"{path} holds a corpus already")
+    corpus.counts().withColumn("batch", F.lit(batch)).write.mode("append").format("parquet").partitionBy("batch").bucketBy(
+        corpus.n_buckets, "doc_id").option("path", f"{path}/counts").saveAsTable(new.counts_table())
+    corpus.statistics().write.parquet(f"{path}/statistics/{batch}")
+    corpus.ids().select("doc_id", F.lit(batch).alias("batch")).write.parquet(f"{path}/ids/{batch}")
+    corpus.dead().limit(0).write.parquet(f"{path}/dead/{batch}")
+    if corpus.batches():
+        spark.read.parquet(f"{corpus.path}/batches").withColumn("batch", F.lit(batch)).coalesce(1).write.parquet(f"{path}/batches")
+    return new
+
+
 def refreshed_model(corpus: Corpus, *, max_df: float | int = 0.9, max_features: int | None = 6000) -> T.TfidfModel:
     """The model of the corpus as it stands, written beside it once for each state
     and parameters: no text is read."""

@@ -45,6 +45,24 @@ def test_batches_and_replacements(spark, tmp_path):
     assert got.vocabulary.count() == 5 and got.vocabulary.where("term = 'late45'").isEmpty()
 
 
+def test_compacted(spark, tmp_path):
+    corpus = R.open_corpus(spark, str(tmp_path / "c"), OPTS, n_buckets=4)
+    now = {i: (i, f"word{i % 7} both{i % 3}", 1) for i in range(20)}
+    R.append(corpus, docs(spark, list(now.values())), "a")
+    for name, i in (("b", 3), ("c", 4)):
+        now[i] = (i, f"changed{i} word1", 1)
+        R.append(corpus, docs(spark, [now[i]]), name, replace=True)
+    one = R.compacted(corpus, str(tmp_path / "one"))
+    assert one.dead().count() == 0 and len(one._listed()) == 1
+    R.append(one, docs(spark, [(1, "seen before", 1)]), "b")
+    same(spark, one, list(now.values()))
+    now[3] = (3, "word2 again", 1)
+    R.append(one, docs(spark, [now[3], (50, "brand new", 1)]), "d", replace=True)
+    same(spark, one, [*now.values(), (50, "brand new", 1)])
+    with pytest.raises(ValueError, match="already"):
+        R.compacted(corpus, str(tmp_path / "one"))
+
+
 def test_a_name_counts_once_and_ids_are_checked(spark, tmp_path):
     corpus = R.open_corpus(spark, str(tmp_path / "c"), OPTS, n_buckets=2)
     R.append(corpus, docs(spark, [(1, "one two", 0)]), "a")
