@@ -7,6 +7,8 @@ runs of two or more word characters.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,8 +26,8 @@ SNIPPET_WORDS = 10
 DATE_FORMAT = "dd/MM/yyyy"
 
 
-# the same 32 marks as plain characters, for a character-mapping delete
-PUNCTUATION_CHARS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+# the same marks as plain characters, for a character-mapping delete
+PUNCTUATION_CHARS = string.punctuation
 
 
 def clean_text(text: Column) -> Column:
@@ -57,7 +59,3 @@ def snippet(text: Column, n_words: int = SNIPPET_WORDS) -> Column:
 def parse_date(text: Column) -> Column:
     """`dd/MM/yyyy` text to DATE; bad text gives null instead of an error."""
     return F.try_to_date(text, DATE_FORMAT)
-
-
-def rounded(value: Column, digits: int) -> Column:
-    return F.round(value, digits)

@@ -24,11 +24,6 @@ GROUP_KEYS = [PARTY, MEMBER, DATE]
 # column order of a consolidated speech record
 SPEECH_COLUMNS = GROUP_KEYS + ATTRIBUTES + [SPEECH]
 
-RAW_SPEECH = T.StructType(
-    [T.StructField(c, T.StringType(), True) for c in SPEECH_COLUMNS]
-    + [T.StructField("seq", T.LongType(), True)]
-)
-
 QUERIES = T.StructType([
     T.StructField("query_id", T.LongType(), False),
     T.StructField("text", T.StringType(), True),
