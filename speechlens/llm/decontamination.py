@@ -17,7 +17,8 @@ takes more blocks, never fewer items.
 
 Defined cases: null or empty texts and items hold no words and match nothing;
 items of fewer than three words give their whole sequence as one seed and are
-found only in texts as short; repeated items or rows are reported each; further columns are ignored (`leaks`) or kept
+found only in texts as short; texts of any length are scanned whole; of
+alignments that score alike the first in the text is reported; repeated items or rows are reported each; further columns are ignored (`leaks`) or kept
 (`decontaminate`); empty tables give an empty result (or all documents).
 """
 

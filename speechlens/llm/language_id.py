@@ -16,7 +16,9 @@ over whole texts, without a shuffle.
 
 Defined cases: a null text or one without a letter is `und` with score 1;
 without any labelled text everything is `und` with score 0; repeated rows are
-scored each; further columns are ignored; an empty table gives an empty result.
+scored each; texts of any length are
+read whole, in pieces of a batch; of equally likely languages the first in the alphabet
+is predicted; further columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ joined by the word's hash, so the vocabulary is never gathered.
 
 Defined cases: a null text is empty (its end alone is scored); without training
 documents the base is 0 and classes are uniform; repeated rows count and are
-scored each; further columns are ignored; an empty table gives an empty result.
+scored each; texts of any length are scored whole; equally frequent words take
+their classes by hash; further columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -26,8 +26,8 @@ the rest. Hot buckets are plain joins which Spark splits.
 
 Defined cases: null texts count as empty, texts without words link with nothing;
 rows without an id link with nothing and are kept; rows that share an id are one
-document; repeated rows all get their document's result; further columns are
-ignored; an empty table gives an empty result.
+document; texts of any length are sketched whole; of documents that share as many buckets the
+smallest id leads; repeated rows all get their document's result; further columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -15,8 +15,9 @@ steps of the bisection.
 
 Defined cases: a null source is a source of its own (null); null or empty texts
 have no tokens, cost nothing and are drawn like their block; a source without
-tokens has weight 0 and is not drawn; rows repeated in the input are separate
-rows; further columns are kept; an empty table gives an empty result.
+tokens has weight 0 and is not drawn; texts of any length are counted
+whole; rows that tie in a permutation follow by id, then by tokens; rows repeated in the
+input are separate rows; a target that no exponent meets is an error; further columns are kept; an empty table gives an empty result.
 """
 
 from __future__ import annotations

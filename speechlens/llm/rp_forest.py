@@ -23,8 +23,8 @@ follow from these rows by joins.
 
 Defined cases: a vector that is null, empty, zero or holds null or non-finite
 components links with nothing; so do rows without an id, and vectors of
-different lengths with one another; repeated rows are one vector; further
-columns are ignored; an empty table gives an empty result.
+different lengths with one another; rows that share an id are one vector and get
+a row each; equal distances do not matter, links are by threshold; further columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

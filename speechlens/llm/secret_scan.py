@@ -23,7 +23,9 @@ alternate, so running sums of their lengths are the spans. Matches are rows, and
 and overlaps are windows over a text's rows, so a text's work is in proportion to it.
 
 Defined cases: null texts count as empty (no spans, the digest of the empty
-text); repeated rows are scanned each; an empty table gives an empty result.
+text); texts of any length are scanned whole; spans that start alike are listed by
+kind; repeated rows are scanned each; further columns are ignored, whatever their names;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations

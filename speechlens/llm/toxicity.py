@@ -22,8 +22,9 @@ are scored once per task where they repeat; texts are read whole, in tasks.
 
 Defined cases: null and empty texts have no words and get the least score;
 without toxic labels every score is 0; words over 24 bytes are scored by
-overlapping pieces; repeated rows are scored each; further columns are ignored;
-an empty table gives an empty result.
+overlapping pieces; texts of any length are scored whole; of words that tie as a
+text's witness the first in the alphabet is taken; repeated rows are scored each;
+further columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
