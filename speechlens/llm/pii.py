@@ -13,8 +13,8 @@ allowed), and its posteriors train the final span classifier, a logistic
 regression on votes and shape. Candidates that it accepts and that touch no base
 span are added.
 
-Defined cases: null texts count as empty; texts of any length are searched whole; spans that start
-alike are listed by kind; repeated rows are searched each;
+Defined cases: null texts count as empty; texts of any length are searched whole; spans are listed by
+kind, then by start; repeated rows are searched each;
 further columns are ignored (`find_pii`) or kept (`redact`); an empty table
 gives an empty result.
 """
