@@ -49,7 +49,9 @@ def words(text: Column) -> Column:
 
 def snippet(text: Column, n_words: int = SNIPPET_WORDS) -> Column:
     """First `n_words` words joined by blanks, with '...' if the text is longer."""
-    w = words(text)
+    # cut off behind the words that are shown: the last part is all the rest of the text
+    parts = F.split(F.coalesce(text, F.lit("")), WHITESPACE_CLASS + "+", n_words + 2)
+    w = F.filter(parts, lambda x: x != F.lit(""))
     return F.concat(
         F.array_join(F.slice(w, 1, n_words), " "),
         F.when(F.size(w) > n_words, F.lit("...")).otherwise(F.lit("")),
