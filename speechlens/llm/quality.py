@@ -1,16 +1,19 @@
 """Quality by Bradley-Terry ranking: scores learned from preference pairs.
 
 A document has a vector of text statistics (lengths, character classes,
-repetition of words, word runs and lines). A pair of a good and a bad
-labelled document is a preference, and `PAIRS` random ones of all such pairs are
-the sample for fitting; the probability that one is preferred is the
+repetition of words, word runs and lines). Every pair of a good and a bad
+labelled document is a preference; the probability that one is preferred is the
 logistic function of the score difference, so the weights come from a logistic
 loss on feature differences. The cut between good and bad is the quantile of the
 training scores that leaves out the labelled share of bad documents, and the
 published score maps that cut to 0.3.
 
-The fit uses at most about `bound` labelled documents of each class; every text
-is scored whole, in tasks, without a shuffle.
+The fit uses every labelled document, and all pairs without forming them: a pair
+counts by its score difference only, so a Newton step needs the documents' counts and
+moments by score, in bins of 1/`BINS` whose mean scores stand for their documents'
+(a gradient within some 1e-5 of that pair by pair). Tasks sum the bins; the driver
+gets one row a bin. The quantile is exact. Every text is scored whole, in tasks,
+without a shuffle.
 
 Defined cases: null and empty texts have all-zero statistics and still get a
 score; without labels of both classes the score is 0.5 everywhere; texts of any
@@ -28,11 +31,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import collected, labelled, lean
+from .common import durable, label_values, lean, written
 from .shingles import U, chunks, mix64, text_bytes, word_hashes
 
-LABELLED_BOUND = 6_000
-PAIRS = 60_000
+#: score bins a unit, in which the pairs of a Newton step are summed
+BINS = 64
+#: ids up to this number are broadcast, so that only labelled texts are measured; the statistics of all texts are joined with more
+BROADCAST_IDS = 1_000_000
+#: scores read at the quantile
+LAST_SCORES = 10_000
 CUT = 0.3
 
 _CLASS = np.zeros((256, 9), dtype=np.float32)
@@ -82,51 +89,151 @@ def _collect_statistics(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Record
         for a, b in chunks(offsets):
             x = statistics(data, offsets[a:b + 1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(list(x), pa.list_(pa.float64()))],
-                names=["id", "y", "x"])
+                [batch.column(0).slice(a, b - a), pa.array(list(x), pa.list_(pa.float64()))], names=["id", "x"])
 
 
-def fit_pairs(x: np.ndarray, y: np.ndarray, *, pairs: int = PAIRS, bad_share: float | None = None,
-              ridge: float = 1e-2, seed: int = 5) -> QualityModel:
-    """Bradley-Terry weights from sampled (good, bad) pairs of statistics."""
-    good, bad = x[y == 1], x[y == 0]
-    if not len(good) or not len(bad):
+def _bin_moments(w: np.ndarray, centre: np.ndarray, scale: np.ndarray):
+    """A task's rows (y, bin, moments): number, sum and sum of squares of the scaled
+    statistics of its documents in each score bin."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.clip((_matrix(batch.column(1)) - centre) / scale, -6, 6)
+            key = 2 * np.floor(x @ w * BINS).astype(np.int64) + batch.column(0).to_numpy()
+            order = np.argsort(key, kind="stable")
+            keys, firsts = np.unique(key[order], return_index=True)
+            for k, v in zip(keys.tolist(), np.split(x[order], firsts[1:]), strict=True):
+                own = np.concatenate([[len(v)], v.sum(axis=0), (v.T @ v).ravel()])
+                sums[k] = sums[k] + own if k in sums else own
+        yield _moment_rows(sums)
+
+    return run
+
+
+def _moment_rows(sums: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(list(sums.values()), pa.list_(pa.float64()))],
+                                      names=["bin", "moments"])
+
+
+def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums: dict = {}
+    for batch in batches:
+        for k, own in zip(batch.column(0).to_pylist(), _matrix(batch.column(1)), strict=True):
+            sums[k] = sums[k] + own if k in sums else own
+    yield _moment_rows(sums)
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """The rows of an Arrow list column as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+
+
+def _newton_step(moments: dict[int, np.ndarray], w: np.ndarray, ridge: float) -> np.ndarray:
+    """The step on the mean loss of all pairs, from the moments by bin."""
+    n = len(w)
+    good, bad = (np.array([m for k, m in sorted(moments.items()) if k % 2 == y]) for y in (1, 0))
+    ng, nb, sg, sb = good[:, 0], bad[:, 0], good[:, 1:n + 1], bad[:, 1:n + 1]
+    p = 1 / (1 + np.exp(-np.clip((sg @ w / ng)[:, None] - (sb @ w / nb)[None, :], -30, 30)))
+    pairs = ng.sum() * nb.sum()
+    grad = (((p - 1) @ nb) @ sg - (ng @ (p - 1)) @ sb) / pairs + ridge * w
+    k = p * (1 - p)
+    cross = sg.T @ k @ sb
+    square = (k @ nb) @ good[:, n + 1:] + (ng @ k) @ bad[:, n + 1:]
+    hessian = (square.reshape(n, n) - cross - cross.T) / pairs
+    return np.linalg.solve(hessian + (ridge + 1e-6) * np.eye(n), grad)
+
+
+def _quantile_cut(scores: DataFrame, share: float, mass: dict[int, float]) -> float:
+    """The cut of (y, s): the first score up to which the scores have `share` of the
+    mass, or midway to the next one if they have no more. Bins narrow until few scores
+    are left, so none but those around the cut are read."""
+    low, high = scores.agg(F.min("s"), F.max("s")).first()
+    left, below = scores, 0.0
+    while True:
+        some = left.groupBy("s", "y").agg(F.count(F.lit(1)).alias("n"))
+        last = some.limit(LAST_SCORES + 1).collect()
+        if len(last) <= LAST_SCORES:
+            break
+        at = F.least(F.floor((F.col("s") - F.lit(low)) / F.lit(high - low) * F.lit(1000)), F.lit(999))
+        bins = left.groupBy(at.alias("at"), "y").agg(F.count(F.lit(1)).alias("n")).collect()
+        per: dict = {}
+        for r in bins:
+            per[r["at"]] = per.get(r["at"], 0.0) + r["n"] * mass[r["y"]]
+        for k in sorted(per):
+            if below + per[k] >= share - 1e-12 or k == max(per):
+                break
+            below += per[k]
+        left = left.where(at == k)
+        low, high = left.agg(F.min("s"), F.max("s")).first()
+    for v in sorted({r["s"] for r in last}):
+        below += sum(r["n"] * mass[r["y"]] for r in last if r["s"] == v)
+        if below >= share - 1e-12:
+            break
+    least = min(mass[r["y"]] for r in last if r["s"] == v)
+    above = scores.where(F.col("s") > F.lit(v)).agg(F.min("s")).first()[0]
+    return v if above is None or below - share >= least * (1 - 1e-6) else (v + above) / 2
+
+
+def fit_pairs(rows: DataFrame, *, bad_share: float | None = None, ridge: float = 1e-2) -> QualityModel:
+    """Bradley-Terry weights from all (good, bad) pairs of the statistics (y, x)."""
+    by_class = {r["y"]: r for r in rows.groupBy("y").agg(
+        F.count(F.lit(1)).alias("n"), *(F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(N_FEATURES)),
+        *(F.stddev_pop(F.col("x")[i]).alias(f"d{i}") for i in range(N_FEATURES))).collect()}
+    if len(by_class) < 2:
         return QualityModel(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), -np.log((1 - CUT) / CUT), 1.0)
-    rng = np.random.default_rng(seed)
-    centre, scale = good.mean(axis=0), good.std(axis=0) + 1e-3 + 0.05 * bad.std(axis=0)
-    g, b = (np.clip((v - centre) / scale, -6, 6) for v in (good, bad))
-    d = g[rng.integers(0, len(g), pairs)] - b[rng.integers(0, len(b), pairs)]
-    w = np.zeros(x.shape[1])
+    # sums differ in their last digits with the order of the rows, the model does not
+    centre, good, bad = (np.round([by_class[y][f"{c}{i}"] for i in range(N_FEATURES)], 10) for y, c in ((1, "m"), (1, "d"), (0, "d")))
+    scale = good + 1e-3 + 0.05 * bad
+    w = np.zeros(N_FEATURES)
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(d @ w, -30, 30)))
-        grad = d.T @ (p - 1) / len(d) + ridge * w
-        step = np.linalg.solve((d.T * (p * (1 - p))) @ d / len(d) + (ridge + 1e-6) * np.eye(len(w)), grad)
-        w -= step
+        sums = rows.mapInArrow(_bin_moments(w, centre, scale), "bin long, moments array<double>")
+        moments = {r["bin"]: np.array(r["moments"]) for r in sums.repartition("bin").mapInArrow(_merged, sums.schema).collect()}
+        step = _newton_step(moments, w, ridge)
+        w = w - step
         if np.abs(step).max() < 1e-6:
             break
-    share = len(bad) / len(x) if bad_share is None else bad_share
-    sg, sb = np.sort(g @ w), np.sort(b @ w)
+    w = np.round(w, 9)
+
+    def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                s = np.round(np.clip((_matrix(batch.column(1)) - centre) / scale, -6, 6) @ w, 10)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], names=["y", "s"])
+
+    n = {y: by_class[y]["n"] for y in (0, 1)}
+    share = n[0] / (n[0] + n[1]) if bad_share is None else bad_share
     # quantile of the labelled scores, the classes weighted as they are labelled
-    scores = np.concatenate([sg, sb])
-    mass = np.concatenate([np.full(len(sg), (1 - share) / len(sg)), np.full(len(sb), share / len(sb))])
-    order = np.argsort(scores)
-    at = min(int(np.searchsorted(np.cumsum(mass[order]), share)), len(order) - 1)
-    cut = scores[order][at] if at + 1 >= len(order) else (scores[order][at] + scores[order][at + 1]) / 2
+    cut = _quantile_cut(written(rows.mapInArrow(scored, "y int, s double"), "quality-scores"), share,
+                        {0: share / n[0], 1: (1 - share) / n[1]})
     return QualityModel(centre, scale, w, float(cut), 1.0)
 
 
+def labelled_statistics(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label: str,
+                        where: Column | None = None) -> DataFrame:
+    """(y, x): the statistics of every labelled document, written once."""
+    own = durable(label_values(labels, label, id_col=id_col, where=where))
+    n = own.count()
+    texts = lean(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    own = own.withColumnRenamed(id_col, "id")
+    id_type = dict(docs.dtypes)[id_col]
+    few = n <= BROADCAST_IDS
+    if few:
+        texts = texts.join(F.broadcast(own.select("id")), "id", "left_semi")
+    x = texts.mapInArrow(_collect_statistics, f"id {id_type}, x array<double>")
+    rows = x.join(F.broadcast(own) if few else own, "id").select("y", "x")
+    return written(rows, "quality-statistics")
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label: str = "quality",
-        where: Column | None = None, bound: int = LABELLED_BOUND) -> QualityModel:
-    """Learn from the labelled documents; `where` selects rows of `labels`."""
+        where: Column | None = None) -> QualityModel:
+    """Learn from all labelled documents; `where` selects rows of `labels`."""
     some = labels.where(F.col(label).isNotNull())
     some = some.where(where) if where is not None else some
     share = some.agg(F.avg((F.col(label) == 0).cast("double"))).first()[0]
-    id_type = dict(docs.dtypes)[id_col]
-    rows = collected(labelled(lean(docs), labels, label, id_col=id_col, text_col=text_col, bound=bound, where=where).mapInArrow(
-        _collect_statistics, f"id {id_type}, y int, x array<double>"))
-    rows = rows.sort_values("id", kind="stable")
-    x = np.array(rows["x"].tolist(), dtype=float).reshape(len(rows), N_FEATURES)
-    return fit_pairs(x, rows["y"].to_numpy(), bad_share=share)
+    return fit_pairs(labelled_statistics(docs, labels, id_col=id_col, text_col=text_col, label=label, where=where), bad_share=share)
 
 
 def score(docs: DataFrame, model: QualityModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
