@@ -31,3 +31,17 @@ def test_large_tables_take_more_files_and_buckets(spark, tmp_path, monkeypatch):
         assert sorted(r["seq"] for r in catalog.QUERIES[name](spark, str(tmp_path)).collect()) == list(range(300))
     ws.store()
     assert DS.store_buckets(spark, ws.artifact_path("store")) == 40
+
+
+def test_partitions_stay_at_a_tasks_size(spark, tmp_path):
+    path = str(tmp_path / "documents.parquet")
+    spark.range(1_000_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text")).coalesce(1).write.option(
+        "compression", "none").parquet(path)
+    docs = spark.read.parquet(path)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        assert sizing.partitions_for(docs) == -(-sizing.estimated_bytes(docs) // sizing.TASK_BYTES) > 2
+        assert sizing.partitions_for(docs.limit(1)) >= 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
