@@ -1,10 +1,12 @@
 """Block-max search against the exhaustive search."""
 
+import glob
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from speechlens.functions import tables
 from speechlens.operators import postings as PO
 from speechlens.operators import search as S
 from speechlens.operators import tfidf as T
@@ -75,3 +77,17 @@ def test_an_empty_model(spark, tmp_path):
     index = PO.build_index(m, str(tmp_path / "b"))
     q = spark.createDataFrame([(1, "common rare")], "query_id long, text string")
     assert PO.pruned_scores(index, S.query_weights(m, q)).scores.count() == 0
+
+
+def test_blocks_are_made_in_one_shuffle_of_the_weights(spark, plain, tmp_path):
+    docs = spark.createDataFrame([(i, f"word{i % 7} word{i % 11} speech") for i in range(400)] + [(3, "word2 again"), (None, "none")],
+                                 "doc_id long, speech string")
+    weights = T.fit_tfidf(docs, options=plain, max_df=1.0, path=str(tmp_path / "model")).weights
+    dealt = PO.posting_blocks(weights, 32, 5)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    rows = lambda d: sorted((str(r) for r in d.collect()))
+    assert rows(dealt) == rows(PO.posting_blocks(weights, 32))
+    out = tables.write_bucketed(dealt, str(tmp_path / "blocks"), 5, "range_id", ["term", "range_id"], dealt=True)
+    files = glob.glob(str(tmp_path / "blocks") + "/*.parquet")
+    assert 0 < len(files) <= 5 and rows(out) == rows(dealt)
