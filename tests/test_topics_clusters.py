@@ -75,6 +75,21 @@ def test_kmeans_more_clusters_than_points(spark):
         CL.checked_k(0)
 
 
+def test_examples_do_not_move_speeches(spark, tmp_path):
+    spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.lit("speech "), F.col("id").cast("string")).alias("speech")).write.parquet(
+        str(tmp_path / "docs"))
+    assigned = spark.range(2000).select(F.col("id").alias("doc_id"), (F.col("id") % 3).cast("int").alias("cluster_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ex = CL.cluster_examples(assigned, spark.read.parquet(str(tmp_path / "docs")), 3, n=2)
+        joins = [x for x in ex._jdf.queryExecution().executedPlan().toString().splitlines() if "BroadcastHashJoin [doc_id" in x]
+        assert len(joins) == 1
+        assert {(r["cluster_id"], r["doc_id"], r["speech"]) for r in ex.collect()} == {
+            (i % 3, i, f"speech {i}") for i in range(6)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_cluster_profile_cohesion(spark):
     w = spark.createDataFrame([(1, "a", 0, 1, 1.0), (2, "b", 1, 1, 1.0)],
                               "doc_id long, term string, term_id int, tf long, weight double")
