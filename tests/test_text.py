@@ -70,3 +70,15 @@ def test_sql_literal_escaping(spark):
     df = spark.createDataFrame([(w,) for w in words + ["other"]], "t string")
     got = [r[0] for r in df.filter(lexicon.not_stop_word("t", words)).collect()]
     assert got == ["other"]
+
+
+def test_snippet_looks_at_the_head_of_a_text_only(spark):
+    long = "word " * 200_000
+    texts = [None, "", " ", "\n\n one", "a b", "　x y z ", long, " " * 50_000 + "late", "w" * 120_000, "w" * 100_000 + " end",
+             " ".join("abcdefghij"), " ".join("abcdefghij") + " \n", " ".join("abcdefghijk"), "\t" + "  ".join("abcdefghijkl") + "\t", "é ü ß 😀 ñ"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", TX.snippet(F.col("t")).alias("s"))
+    # what is split ends with the words: no list holds the rest of a text
+    assert "split(regexp_extract(" in df._jdf.queryExecution().optimizedPlan().toString()
+    for i, s in df.collect():
+        w = (texts[i] or "").split()
+        assert s == " ".join(w[:10]) + ("..." if len(w) > 10 else "")
