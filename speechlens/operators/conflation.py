@@ -11,9 +11,10 @@ No list of suffixes is given, so it works for any language the texts are in:
    they were independent;
 4. the connected components of the links are the terms, named by their most frequent form.
 
-Pairs are formed within a stem among kept endings only, so a stem has a bounded number
-of them, whatever the vocabulary; documents are counted by joins on the words of a
-pair. Nothing is collected.
+Classes are counted from each stem's list of kept endings, which is bounded. Documents
+are counted by the pairs that each holds: words of one document that start alike are
+put side by side there, so the work follows the documents' lengths, not the number of
+pairs in the vocabulary times the documents of their words. Nothing is collected.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.graph import components
-from ..session import durable
+from ..session import durable, scratch_path
 
 
 @dataclass(frozen=True)
@@ -48,57 +49,66 @@ def _cuts(words: DataFrame, e: Evidence) -> DataFrame:
         F.expr("substring(word, length(word) - cut + 1)").alias("ending"), "word")
 
 
-def ending_classes(cuts: DataFrame, e: Evidence) -> tuple[DataFrame, DataFrame]:
-    """The cuts with kept endings, and (lang, x, y, stems): pairs of endings x < y
-    that follow enough stems in common."""
+def ending_classes(cuts: DataFrame, e: Evidence) -> DataFrame:
+    """(lang, x, y): the pairs of kept endings x < y that follow enough stems in common."""
     best = Window.partitionBy("lang").orderBy(F.desc("n"), F.asc("ending"))
     kept = cuts.groupBy("lang", "ending").agg(F.count(F.lit(1)).alias("n")).withColumn(
         "r", F.row_number().over(best)).where(F.col("r") <= e.endings).select("lang", "ending")
-    # at most `endings` rows a language
-    own = durable(cuts.join(F.broadcast(kept), ["lang", "ending"]))
-    x, y = own.alias("x"), own.alias("y")
-    pairs = x.join(y, (F.col("x.lang") == F.col("y.lang")) & (F.col("x.stem") == F.col("y.stem")) & (
-        F.col("x.ending") < F.col("y.ending"))).select(
-        F.col("x.lang").alias("lang"), F.col("x.ending").alias("x"), F.col("y.ending").alias("y"),
-        F.col("x.word").alias("a"), F.col("y.word").alias("b"))
-    pairs = durable(pairs)
-    classes = pairs.groupBy("lang", "x", "y").agg(F.count(F.lit(1)).alias("stems")).where(F.col("stems") >= e.least_stems)
-    return pairs, classes
-
-
-def word_links(held: DataFrame, e: Evidence = Evidence()) -> DataFrame:
-    """(lang, a, b, together) of the linked word forms, from the distinct words
-    (lang, doc_id, word) of all documents."""
-    docs = held.groupBy("lang").agg(F.countDistinct("doc_id").alias("docs"))
-    words = durable(held.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("df")))
-    pairs, classes = ending_classes(_cuts(words.select("lang", "word"), e), e)
-    asked = pairs.join(F.broadcast(classes), ["lang", "x", "y"]).select("lang", "a", "b").distinct()
+    # at most `endings` rows a language, and so at most as many in a stem's list
+    own = cuts.join(F.broadcast(kept), ["lang", "ending"]).groupBy("lang", "stem").agg(F.collect_list("ending").alias("all"))
+    x = own.where(F.size("all") > 1).select("lang", "all", F.explode("all").alias("x"))
+    pairs = x.select("lang", "x", F.explode("all").alias("y")).where("x < y")
+    return pairs.groupBy("lang", "x", "y").agg(F.count(F.lit(1)).alias("stems")).where(
+        F.col("stems") >= e.least_stems).select("lang", "x", "y")
+
+
+def document_words(held: DataFrame, e: Evidence) -> DataFrame:
+    """(lang, doc_id, head, words): the distinct words of every document by their first
+    characters, written once. Rows that are dealt by doc_id are not shuffled."""
+    rows = held.select("lang", "doc_id", "word").where("lang IS NOT NULL AND doc_id IS NOT NULL AND word IS NOT NULL").distinct()
+    path = scratch_path(held.sparkSession, "words")
+    rows.groupBy("lang", "doc_id", F.expr(f"left(word, {int(e.least_stem)})").alias("head")).agg(
+        F.collect_list("word").alias("words")).write.parquet(path)
+    return held.sparkSession.read.parquet(path)
+
+
+def _pairs_together(own: DataFrame, e: Evidence) -> DataFrame:
+    """(lang, a, b, together): words a < b that a common stem and endings of at most
+    `most_ending` characters make, in at least `least_together` documents at once."""
+    a = own.where((F.size("words") > 1) & (F.length("head") >= e.least_stem)).select("lang", "words", F.explode("words").alias("a"))
+    pairs = a.select("lang", "a", F.explode("words").alias("b")).where("a < b")
+    shortest = f"greatest({int(e.least_stem)}, length(a) - {int(e.most_ending)}, length(b) - {int(e.most_ending)})"
+    alike = pairs.where(F.expr(f"least(length(a), length(b)) >= {shortest} AND left(a, {shortest}) = left(b, {shortest})"))
+    return alike.groupBy("lang", "a", "b").agg(F.count(F.lit(1)).alias("together")).where(F.col("together") >= e.least_together)
+
+
+def word_links(own: DataFrame, words: DataFrame, e: Evidence = Evidence()) -> DataFrame:
+    """(lang, a, b, together) of the linked word forms, from `document_words` and
+    (lang, word, df) of all words."""
+    docs = own.select("lang", "doc_id").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
+    classes = ending_classes(_cuts(words.select("lang", "word"), e), e)
+    # a pair's stems, the shortest first: one of them has endings of a class
+    cuts = F.expr(f"sequence(greatest({int(e.least_stem)}, length(a) - {int(e.most_ending)}, length(b) - {int(e.most_ending)}), "
+                  "least(length(a), length(b)))")
+    cut = _pairs_together(own, e).select("*", F.explode(cuts).alias("cut")).where("left(a, cut) = left(b, cut)")
+    ends = cut.select("lang", "a", "b", "together", F.expr("substring(a, cut + 1)").alias("x"), F.expr("substring(b, cut + 1)").alias("y"))
+    asked = ends.join(F.broadcast(classes), ["lang", "x", "y"]).select("lang", "a", "b", "together").distinct()
     one = words.select("lang", F.col("word").alias("a"), F.col("df").alias("a_df"))
     two = words.select("lang", F.col("word").alias("b"), F.col("df").alias("b_df"))
-    # a pair cannot be seen together more often than its rarer word is seen
-    asked = durable(asked.join(one, ["lang", "a"]).join(two, ["lang", "b"]).where(
-        F.least("a_df", "b_df") >= e.least_together))
-    # the rarer word's documents are looked up, then the other word in them
-    first = F.when(F.col("a_df") <= F.col("b_df"), F.col("a")).otherwise(F.col("b"))
-    other = F.when(F.col("a_df") <= F.col("b_df"), F.col("b")).otherwise(F.col("a"))
-    seen = asked.withColumn("word", first).withColumn("other", other).join(held, ["lang", "word"]).select(
-        "lang", "a", "b", "a_df", "b_df", "doc_id", F.col("other").alias("word"))
-    both = seen.join(held, ["lang", "doc_id", "word"]).groupBy("lang", "a", "b", "a_df", "b_df").agg(
-        F.count(F.lit(1)).alias("together"))
+    both = asked.join(one, ["lang", "a"]).join(two, ["lang", "b"])
     return both.join(F.broadcast(docs), "lang").where(
-        (F.col("together") >= e.least_together)
-        & (F.col("together") * F.col("docs") >= F.lit(e.least_lift) * F.col("a_df") * F.col("b_df"))).select(
+        F.col("together") * F.col("docs") >= F.lit(e.least_lift) * F.col("a_df") * F.col("b_df")).select(
         "lang", "a", "b", "together")
 
 
 def learn_terms(held: DataFrame, e: Evidence = Evidence()) -> DataFrame:
     """(lang, word, term, df): every word that shares its term with another, and the
     term, which is its most frequent form (of several the first in the alphabet)."""
-    held = durable(held.select("lang", "doc_id", "word").where("lang IS NOT NULL AND doc_id IS NOT NULL AND word IS NOT NULL").distinct())
-    links = durable(word_links(held, e))
+    docs = document_words(held, e)
+    df = durable(docs.select("lang", F.explode("words").alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("df")))
+    links = durable(word_links(docs, df, e))
     node = lambda c: F.struct("lang", F.col(c).alias("word"))
     found = components(links.select(node("a").alias("a"), node("b").alias("b")))
-    df = held.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("df"))
     own = found.select("node.lang", "node.word", F.col("component.word").alias("least")).join(df, ["lang", "word"])
     names = own.groupBy("lang", "least").agg(F.min_by("word", F.struct(-F.col("df"), F.col("word"))).alias("term"))
     return own.join(names, ["lang", "least"]).select("lang", "word", "term", "df")

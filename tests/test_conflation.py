@@ -66,6 +66,30 @@ def test_no_words(spark):
     assert CF.learn_terms(spark.createDataFrame([], "lang string, doc_id long, word string")).count() == 0
 
 
+def test_pairs_are_counted_inside_documents(spark):
+    """Every form in many documents, few of them shared: what is joined and counted is
+    what documents hold together, not each pair's documents."""
+    e, rng = CF.Evidence(least_stems=2), random.Random(3)
+    docs = {d: {rng.choice(("walk", "talk", "ache", "achen")) + rng.choice(("", "s", "er", "ers", "ing")) for _ in range(3)} for d in range(300)}
+    docs[300] = {"a", "ab", "abc", "walk", "walkings", "walkers"}
+    rows = [("en", d, w) for d, words in docs.items() for w in words]
+    held = spark.createDataFrame(rows + rows[:50], "lang string, doc_id long, word string").repartition(3)
+    own = CF.document_words(held, e)
+    assert sorted((r["doc_id"], w) for r in own.collect() for w in r["words"]) == sorted((d, w) for _, d, w in rows)
+    want = {}
+    for words in docs.values():
+        for a in words:
+            for b in words:
+                k = max(4, len(a) - 3, len(b) - 3)
+                if a < b and min(len(a), len(b)) >= k and a[:k] == b[:k]:
+                    want[a, b] = want.get((a, b), 0) + 1
+    got = {(r["a"], r["b"]): r["together"] for r in CF._pairs_together(own, e).collect()}
+    assert got == {k: n for k, n in want.items() if n >= e.least_together} and len(got) > 10
+    words = own.select("lang", F.explode("words").alias("word")).groupBy("lang", "word").agg(F.count("word").alias("df"))
+    plan = CF.word_links(own, words, e)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Join" in x and "doc_id" in x]
+
+
 def test_components(spark):
     rng = random.Random(9)
     links = [(i, i + 1) for i in range(100)] + [(200, 150), (150, 170), (300, 300), (None, 5), (7, None)]
