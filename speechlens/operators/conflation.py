@@ -62,30 +62,61 @@ def ending_classes(cuts: DataFrame, e: Evidence) -> DataFrame:
         F.col("stems") >= e.least_stems).select("lang", "x", "y")
 
 
-def document_words(held: DataFrame, e: Evidence) -> DataFrame:
-    """(lang, doc_id, head, words): the distinct words of every document by their first
-    characters, written once. Rows that are dealt by doc_id are not shuffled."""
-    rows = held.select("lang", "doc_id", "word").where("lang IS NOT NULL AND doc_id IS NOT NULL AND word IS NOT NULL").distinct()
-    path = scratch_path(held.sparkSession, "words")
-    rows.groupBy("lang", "doc_id", F.expr(f"left(word, {int(e.least_stem)})").alias("head")).agg(
-        F.collect_list("word").alias("words")).write.parquet(path)
-    return held.sparkSession.read.parquet(path)
+def document_words(texts: DataFrame) -> DataFrame:
+    """(lang, doc_id, words): the distinct words of every document in order, from rows
+    (lang, doc_id, words), several a document or one; written once. Rows that are
+    dealt by doc_id are not shuffled."""
+    own = texts.where("lang IS NOT NULL AND doc_id IS NOT NULL").groupBy("lang", "doc_id").agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("words")))).alias("words"))
+    path = scratch_path(texts.sparkSession, "words")
+    own.where(F.size("words") > 0).write.parquet(path)
+    return texts.sparkSession.read.parquet(path)
 
 
 def _pairs_together(own: DataFrame, e: Evidence) -> DataFrame:
     """(lang, a, b, together): words a < b that a common stem and endings of at most
     `most_ending` characters make, in at least `least_together` documents at once."""
-    a = own.where((F.size("words") > 1) & (F.length("head") >= e.least_stem)).select("lang", "words", F.explode("words").alias("a"))
-    pairs = a.select("lang", "a", F.explode("words").alias("b")).where("a < b")
-    shortest = f"greatest({int(e.least_stem)}, length(a) - {int(e.most_ending)}, length(b) - {int(e.most_ending)})"
-    alike = pairs.where(F.expr(f"least(length(a), length(b)) >= {shortest} AND left(a, {shortest}) = left(b, {shortest})"))
-    return alike.groupBy("lang", "a", "b").agg(F.count(F.lit(1)).alias("together")).where(F.col("together") >= e.least_together)
+    stem, most = e.least_stem, e.most_ending
+
+    def run(batches):
+        from itertools import groupby
+        from operator import itemgetter
+
+        import numpy as np
+        import pyarrow as pa
+
+        head = itemgetter(slice(stem))
+
+        def batch_of(rows):
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*rows)], names=["lang", "a", "b"])
+
+        out = []
+        for batch in batches:
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            ends = batch.column(1).value_lengths().to_numpy().cumsum()
+            for lang, words in zip(batch.column(0).to_pylist(), np.split(flat, ends[:-1])):
+                # in order, words that start alike stand together
+                for _, alike in groupby([w for w in words.tolist() if len(w) >= stem], key=head):
+                    alike = list(alike)
+                    for i, a in enumerate(alike):
+                        for b in alike[i + 1:]:
+                            k = max(stem, len(a) - most, len(b) - most)
+                            if k <= len(a) and k <= len(b) and a[:k] == b[:k]:
+                                out.append((lang, a, b))
+                        if len(out) >= 50_000:
+                            yield batch_of(out)
+                            out = []
+        if out:
+            yield batch_of(out)
+
+    pairs = own.select("lang", "words").mapInArrow(run, "lang string, a string, b string")
+    return pairs.groupBy("lang", "a", "b").agg(F.count(F.lit(1)).alias("together")).where(F.col("together") >= e.least_together)
 
 
 def word_links(own: DataFrame, words: DataFrame, e: Evidence = Evidence()) -> DataFrame:
     """(lang, a, b, together) of the linked word forms, from `document_words` and
     (lang, word, df) of all words."""
-    docs = own.select("lang", "doc_id").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
+    docs = own.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
     classes = ending_classes(_cuts(words.select("lang", "word"), e), e)
     # a pair's stems, the shortest first: one of them has endings of a class
     cuts = F.expr(f"sequence(greatest({int(e.least_stem)}, length(a) - {int(e.most_ending)}, length(b) - {int(e.most_ending)}), "
@@ -102,9 +133,15 @@ def word_links(own: DataFrame, words: DataFrame, e: Evidence = Evidence()) -> Da
 
 
 def learn_terms(held: DataFrame, e: Evidence = Evidence()) -> DataFrame:
+    """`learn_terms_of` the words of documents, one to a row (lang, doc_id, word)."""
+    return learn_terms_of(held.where("word IS NOT NULL").select("lang", "doc_id", F.array("word").alias("words")), e)
+
+
+def learn_terms_of(texts: DataFrame, e: Evidence = Evidence()) -> DataFrame:
     """(lang, word, term, df): every word that shares its term with another, and the
-    term, which is its most frequent form (of several the first in the alphabet)."""
-    docs = document_words(held, e)
+    term, which is its most frequent form (of several the first in the alphabet), from
+    the words of documents (lang, doc_id, words)."""
+    docs = document_words(texts)
     df = durable(docs.select("lang", F.explode("words").alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("df")))
     links = durable(word_links(docs, df, e))
     node = lambda c: F.struct("lang", F.col(c).alias("word"))

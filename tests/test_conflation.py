@@ -74,7 +74,7 @@ def test_pairs_are_counted_inside_documents(spark):
     docs[300] = {"a", "ab", "abc", "walk", "walkings", "walkers"}
     rows = [("en", d, w) for d, words in docs.items() for w in words]
     held = spark.createDataFrame(rows + rows[:50], "lang string, doc_id long, word string").repartition(3)
-    own = CF.document_words(held, e)
+    own = CF.document_words(held.select("lang", "doc_id", F.array("word").alias("words")))
     assert sorted((r["doc_id"], w) for r in own.collect() for w in r["words"]) == sorted((d, w) for _, d, w in rows)
     want = {}
     for words in docs.values():
