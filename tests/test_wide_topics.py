@@ -1,5 +1,7 @@
 """The SVD with its basis in Spark against numpy."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -79,3 +81,33 @@ def test_low_rank_and_empty(spark, rank):
     assert dense(model, 9).shape == (9, rank)
     none = W.fit_lsa_wide(spark.createDataFrame([], "doc_id long, term_id int, weight double"), k=2)
     assert len(none.singular_values) == 0 and none.components.count() == 0
+
+
+def test_disk_does_not_grow_with_the_passes(spark):
+    """Neither a row for each weight nor the basis of every pass stays on disk."""
+    a = np.random.default_rng(5).random((300, 400))
+    top = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+
+    def on_disk():
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(top) for f in files)
+
+    given = table(spark, a).cache()
+    given.count()
+    before = on_disk()
+    model = W.fit_lsa_wide(given, k=10, n_iter=8, tol=0)
+    assert model.n_iter == 8
+    # the basis of 160 columns alone has 400 KB
+    assert on_disk() - before < 500_000
+    assert not os.path.isdir(f"{top}/speechlens-scratch") or not [x for x in os.listdir(f"{top}/speechlens-scratch") if "basis" in x or "blocks" in x]
+
+
+def test_terms_of_one_block_are_not_sent(spark, tmp_path):
+    own = spark.createDataFrame([(d, t, 1.0) for d in range(40) for t in (0, 1, 100 + d)], "doc_id long, term_id int, weight double")
+    blocks = W._blocks(own, 4, f"{tmp_path}/blocks-0a1b")
+    rows = blocks.select("n_sent", F.length("terms")).collect()
+    assert [r[0] for r in rows] == [2] * 4 and sum(r[1] for r in rows) == 4 * (4 * 2 + 40)
+    q = spark.createDataFrame([(d, [float(d), 1.0]) for d in range(40)], "doc_id long, q array<double>")
+    got = {r["doc_id"]: r["z"] for r in W._multiplied(blocks, q, 4, 2).collect()}
+    s = sum(range(40))
+    assert got == {d: [2.0 * s + d, 2.0 * 40 + 1] for d in range(40)}
+    spark.sql(f"DROP TABLE {W._table_of(f'{tmp_path}/blocks-0a1b')}")
