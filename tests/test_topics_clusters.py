@@ -98,3 +98,17 @@ def test_cluster_profile_cohesion(spark):
     # centroid (0.5, 0.5): cos with each doc = 1/sqrt(2); doc 3 has no terms
     assert prof[0] == (2, pytest.approx(round(1 / np.sqrt(2), 6)))
     assert prof[1] == (1, 0.0)
+
+
+def test_a_pass_takes_some_entries_at_a_time(spark, monkeypatch):
+    """Documents longer than a cut, of one term and without terms."""
+    monkeypatch.setattr(TP, "PASS_ENTRIES", 7)
+    rng = np.random.default_rng(8)
+    a = rng.random((50, 30)) * (rng.random((50, 30)) < 0.3)
+    a[3] = rng.random(30)
+    a[4] = a[5] = 0
+    a[5, 2] = 1.5
+    rows = [(i, [int(t) for t in np.nonzero(x)[0]], [float(v) for v in x[x != 0]]) for i, x in enumerate(a)]
+    packed = spark.createDataFrame(rows, "doc_id long, term_ids array<int>, values array<double>").coalesce(2)
+    q = rng.standard_normal((30, 4))
+    assert np.allclose(TP._gram_pass(packed, q), a.T @ (a @ q), atol=1e-10)
