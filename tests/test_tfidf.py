@@ -115,3 +115,29 @@ def test_parts_equal_joined_text(spark):
     assert wa == wb and a.n_docs == b.n_docs == 3
     assert sorted(map(tuple, groups.drop("doc_id").collect())) == sorted(
         map(tuple, joined.drop("doc_id", "speech").collect()))
+
+
+def test_written_model_of_all_terms_takes_little_disk(spark, plain, tmp_path, monkeypatch):
+    """Its rows are those of a model kept in memory; no weight is written, let alone twice,
+    and neither a cache nor the counts stay."""
+    import os
+
+    monkeypatch.setattr(T, "SLICE_BYTES", 1)
+    rows = [(i, " ".join(f"w{(i * j) % 31 + j}" for j in range(i % 9))) for i in range(60)] + [(None, "w1 w2 w2"), (7, "w1"), (None, None)]
+    d = spark.createDataFrame(rows, "doc_id long, speech string")
+    p = str(tmp_path / "m")
+    kept = len(spark.sparkContext._jsc.getPersistentRDDs())
+    written = T.fit_tfidf(d, max_df=1.0, max_features=None, options=plain, path=p)
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == kept
+    scratch = spark.sparkContext.getCheckpointDir().removeprefix("file:") + "/speechlens-scratch"
+    assert not os.path.isdir(scratch) or not [x for x in os.listdir(scratch) if x.startswith("counts-")]
+    for kind in ("weights", "postings"):
+        assert "weight" not in spark.read.parquet(f"{p}/{kind}").columns
+    wanted = T.fit_tfidf(d, max_df=1.0, max_features=None, options=plain)
+    order = lambda df: sorted((tuple(round(x, 12) if isinstance(x, float) else x for x in r) for r in df.collect()), key=str)
+    for m in (written, T.load_tfidf(spark, p)):
+        assert order(m.vocabulary) == order(wanted.vocabulary) and m.n_docs == wanted.n_docs
+        assert m.weights.columns == wanted.weights.columns and order(m.weights) == order(wanted.weights)
+        assert order(m.postings) == order(wanted.weights)
+        product = F.col("weight") * F.col("term_scale") / F.col("doc_scale")
+        assert order(m.factors.select("doc_id", "term_id", product)) == order(wanted.weights.select("doc_id", "term_id", "weight"))

@@ -111,3 +111,34 @@ def test_terms_of_one_block_are_not_sent(spark, tmp_path):
     s = sum(range(40))
     assert got == {d: [2.0 * s + d, 2.0 * 40 + 1] for d in range(40)}
     spark.sql(f"DROP TABLE {W._table_of(f'{tmp_path}/blocks-0a1b')}")
+
+
+def test_columns_and_terms_at_a_time(spark, monkeypatch):
+    """The numbers under way are sent in parts, and the basis is kept once and not shuffled."""
+    monkeypatch.setattr(W, "TASK_ROWS", 12)
+    monkeypatch.setattr(W, "SENT_LEAST", 0)
+    monkeypatch.setattr(W, "SENT_BYTES", 10)
+    seen, plans, product, beside = [], [], W._product, W._beside
+    monkeypatch.setattr(W, "_product", lambda blocks, q, n, columns, width: seen.append(columns) or product(blocks, q, n, columns, width))
+    monkeypatch.setattr(W, "_beside", lambda tables: plans.append(beside(tables)) or plans[-1])
+    rng = np.random.default_rng(6)
+    a = rng.random((50, 4)) @ rng.random((4, 80))   # of low rank: two passes
+    model = W.fit_lsa_wide(table(spark, a), k=3, oversamples=3)
+    check(model, a, 3)
+    assert len(seen) > model.n_iter and max(c.stop - c.start for c in seen) < 6
+    assert not any("Exchange" in p._jdf.queryExecution().executedPlan().toString() for p in plans[:3])
+
+
+def test_weights_given_as_factors(spark):
+    rng = np.random.default_rng(7)
+    counts = np.floor(rng.random((40, 60)) * 300 * (rng.random((40, 60)) < 0.3))
+    of_term, of_doc = rng.random(60) + 1, rng.random(40) + 1
+    a = counts * of_term / of_doc[:, None]
+    rows = [(int(i), int(j), float(a[i, j]), float(counts[i, j]), float(of_term[j]), float(of_doc[i])) for i, j in zip(*np.nonzero(a))]
+    given = spark.createDataFrame([*rows, (None, 60, 1.0, 1.0, 1.0, 1.0)],
+                                  "doc_id long, term_id int, product double, weight double, term_scale double, doc_scale double")
+    model = W.fit_lsa_wide(given.select("doc_id", "term_id", F.col("product").alias("weight")), k=4, factors=given)
+    assert np.allclose(model.singular_values, np.linalg.svd(a, compute_uv=False)[:4], atol=1e-8 * a.max())
+    v = dense(model, 61)
+    assert np.allclose(v.T @ v, np.eye(4), atol=1e-8) and not v[60].any()
+    assert np.allclose((a.T @ (a @ v[:60])) / model.singular_values ** 2, v[:60], atol=1e-7)
